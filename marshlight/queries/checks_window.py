@@ -362,12 +362,12 @@ def _rain_districts(t):
     return Z.smallest_block(Z.seasonal_districts(_rain_blocks(t)))
 
 
-@query("E9_E11_forward_blocks", "SELECT * FROM v_blocks")
+@query("E9_E11_forward_blocks", "SELECT * FROM v_blocks", "SHARE_3M SHARE_4M SHARE_5M")
 def _(t):
     return _rain_blocks(t)
 
 
-@query("E10_calendar_year_blocks", _blocks_sql("RAIN", "year", 0.3))
+@query("E10_calendar_year_blocks", _blocks_sql("RAIN", "year", 0.3), "SHARE_3M SHARE_4M SHARE_5M")
 def _(t):
     return Z.month_blocks(_rain(t), "VALUE", threshold=0.3, calendar_year=True)
 
@@ -378,7 +378,7 @@ SELECT ADM2_ID, YEAR, MONTH, VALUE, TOTAL_YEAR, SUM_3M,
   CAST(TOTAL_YEAR > 0 AND CASE WHEN TOTAL_YEAR > 0 THEN SUM_3M * 100 / TOTAL_YEAR END >= 30 AS INTEGER) AS REACHED_3M
 FROM (SELECT ADM2_ID, YEAR, MONTH, RAIN AS VALUE, coalesce(sum(RAIN) OVER (PARTITION BY ADM2_ID, YEAR), 0) AS TOTAL_YEAR,
   CASE WHEN count(*) OVER f = 3 THEN coalesce(sum(RAIN) OVER f, 0) END AS SUM_3M FROM v_district_month
-  WINDOW f AS (PARTITION BY ADM2_ID ORDER BY YEAR, MONTH ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING))""")
+  WINDOW f AS (PARTITION BY ADM2_ID ORDER BY YEAR, MONTH ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING))""", "PCT_3M")
 def _(t):
     return Z.block_percentage(_rain(t), "VALUE", [3], 30)
 
@@ -393,7 +393,7 @@ def _(t):
     return _rain_districts(t)
 
 
-@query("E15_season_share", "SELECT * FROM v_share")
+@query("E15_season_share", "SELECT * FROM v_share", "PROPORTION")
 def _(t):
     return Z.season_share(_rain_blocks(t), _rain_districts(t), "VALUE")
 
@@ -411,7 +411,7 @@ def _(t):
 @query("K18_case_seasonality", """
 SELECT s.ADM2_ID, SEASONALITY AS SEASONALITY_CASES, CAST(BLOCK AS DOUBLE) AS SEASONAL_BLOCK_DURATION_CASES,
   CAST(START_MONTH AS DOUBLE) AS SEASONAL_BLOCK_START_MONTH_CASES, PROPORTION AS CASES_PROPORTION
-FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start USING (ADM2_ID)""")
+FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start USING (ADM2_ID)""", "CASES_PROPORTION")
 def _(t):
     # months without a report are absent here, so no gap needs a model
     out = Z.seasonality(_rain(t), "VALUE", "CASES", "CASES_PROPORTION", threshold=0.3)
@@ -422,7 +422,7 @@ def _(t):
 @query("K19_rain_seasonality", """
 SELECT s.ADM2_ID, SEASONALITY AS SEASONALITY_RAINFALL, CAST(BLOCK AS DOUBLE) AS SEASONAL_BLOCK_DURATION_RAINFALL,
   CAST(START_MONTH AS DOUBLE) AS SEASONAL_BLOCK_START_MONTH_RAINFALL, PROPORTION AS RAIN_PROPORTION
-FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start_first USING (ADM2_ID)""")
+FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start_first USING (ADM2_ID)""", "RAIN_PROPORTION")
 def _(t):
     out = Z.seasonality(_rain(t), "VALUE", "RAINFALL", "RAIN_PROPORTION", rainfall=True, threshold=0.3)
     return out.withColumns({c: F.col(c).cast("double") for c in
@@ -447,6 +447,6 @@ SELECT max(months) AS n_months, sum(gone) / sum(n) AS missing_share, max(gone /
 FROM (SELECT a.ADM2_ID, count(*) AS n, count(DISTINCT m.PERIOD) AS months, count(*) - count(d.v) AS gone
   FROM (SELECT DISTINCT ADM2_ID FROM v_routine) a CROSS JOIN (SELECT DISTINCT PERIOD FROM v_routine) m
   LEFT JOIN (SELECT ADM2_ID, PERIOD, sum(MALDTH) AS v FROM v_routine GROUP BY ALL) d
-    ON d.ADM2_ID = a.ADM2_ID AND d.PERIOD = m.PERIOD GROUP BY 1)""")
+    ON d.ADM2_ID = a.ADM2_ID AND d.PERIOD = m.PERIOD GROUP BY 1)""", "missing_share worst_district_share")
 def _(t):
     return Z.readiness(Z.district_months(t.routine, "MALDTH"), "MALDTH", 36)

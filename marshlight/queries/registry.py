@@ -32,15 +32,22 @@ def with_views(sql: str) -> str:
     return "WITH " + ", ".join(ctes) + " " + body
 
 
-def query(name: str, sql: str | None = None):
-    """Register fn(Tables) -> DataFrame under `name`; doubles are rounded to 6 places on both sides."""
+def query(name: str, sql: str | None = None, doubles: str = ""):
+    """Register fn(Tables) -> DataFrame under `name`; doubles are rounded to 6 places on both sides.
+
+    `doubles` names the columns of `sql` that can hold fractions.
+    """
 
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = lambda spark, sf_dir: rounded(fn(Tables(spark, sf_dir)))
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            text = sql
+            if doubles:
+                fixes = ", ".join(f'round("{c}", 6) AS "{c}"' for c in doubles.split())
+                text = f"SELECT * REPLACE ({fixes}) FROM ({sql})"
+            ORACLES[name] = with_views(text)
         return fn
 
     return register

@@ -44,7 +44,7 @@ def norm(value):
         value = float(value)
         if math.isnan(value):
             return "NaN"
-        return f"{value:.5g}" if abs(value) > 1e7 else f"{round(value, 5) + 0.0:.5f}"
+        return repr(value + 0.0)
     return repr(value)
 
 
