@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .standins import VIEWS, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {}  # without the view definitions, see `oracle_sql`
 
 
 def with_views(sql: str) -> str:
@@ -47,7 +47,7 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
             if doubles:
                 fixes = ", ".join(f'round("{c}", 6) AS "{c}"' for c in doubles.split())
                 text = f"SELECT * REPLACE ({fixes}) FROM ({sql})"
-            ORACLES[name] = with_views(text)
+            ORACLES[name] = text
         return fn
 
     return register
@@ -58,3 +58,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[
         (F.round(F.col(f"`{n}`"), digits) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes
     ])
+
+
+def oracle_sql() -> dict[str, str]:
+    """Complete SQL per query; views are resolved once all modules have defined theirs."""
+    return {name: with_views(text) for name, text in ORACLES.items()}
