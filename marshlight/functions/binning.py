@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .nulls import as_col
 
 
-def bin_index(c: Column | str, breaks: Sequence[float], right: bool = False) -> Column:
-    """0-based class of `c` between consecutive breaks; null outside the outer breaks.
+def _classes(c: Column | str, breaks: Sequence[float], values: Sequence, right: bool) -> Column:
+    """The value of the class of `c` between consecutive breaks; null outside the outer breaks.
 
     Classes are closed on the left (`right=False`, the last one on both sides) or closed on the right
     (`right=True`, the first one on both sides).
@@ -28,14 +28,20 @@ def bin_index(c: Column | str, breaks: Sequence[float], right: bool = False) ->
         else:
             below = (c <= high) if i == last else (c < high)
             cond = (c >= low) & below
-        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
+        value = F.lit(values[i])
+        out = F.when(cond, value) if out is None else out.when(cond, value)
     return out
 
 
+def bin_index(c: Column | str, breaks: Sequence[float], right: bool = False) -> Column:
+    """0-based class number."""
+    return _classes(c, breaks, list(range(len(breaks) - 1)), right)
+
+
 def bin_label(c: Column | str, breaks: Sequence[float], labels: Sequence[str], right: bool = False) -> Column:
     if len(labels) != len(breaks) - 1:
         raise ValueError("one label per class is needed")
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), bin_index(c, breaks, right) + 1)
+    return _classes(c, breaks, list(labels), right)
 
 
 def number_text(x: float, decimals: int) -> str:

@@ -71,7 +71,7 @@ def _(t):
 
 
 @query("A6_merge_period_files", """
-SELECT O_ORDERKEY, O_CUSTKEY, O_ORDERSTATUS FROM orders""")
+SELECT o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", o_orderstatus AS "O_ORDERSTATUS" FROM orders""")
 def _(t):
     df = Rd.merge_period_files(t.spark, f"{t.dir}/orders*.parquet")
     return df.select("O_ORDERKEY", "O_CUSTKEY", "O_ORDERSTATUS")
@@ -85,9 +85,9 @@ def _(t):
 
 
 @query("A8_missing_periods", """
-SELECT OU, PE, DX, CO FROM v_raw WHERE PE NOT IN (SELECT PE FROM v_raw WHERE VALUE = '50.5')""")
+SELECT OU, PE, DX, CO FROM v_raw WHERE PE NOT IN (SELECT PE FROM v_raw WHERE try_cast(VALUE AS DOUBLE) > 150)""")
 def _(t):
-    return missing_periods(t.raw, t.raw.filter("VALUE = '50.5'")).select("OU", "PE", "DX", "CO")
+    return missing_periods(t.raw, t.raw.filter(to_num("VALUE") > 150)).select("OU", "PE", "DX", "CO")
 
 
 @query("A11_cells_with_nodata", "SELECT lon, lat, CASE WHEN label <> 3 THEN value END AS value FROM v_cells", "value")
