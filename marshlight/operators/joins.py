@@ -6,9 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.periods import month_end, month_start, months_between, period_of
+from .keys import first_per_key
+
 
 def attach(df: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Left join of attributes, one row per key on the right."""
@@ -49,8 +52,6 @@ def open_in_month(facilities: DataFrame, months: DataFrame, opening: str = "OPEN
     Instead of an interval join, each facility explodes the months of its own open span that fall into
     the span of `months`: no comparison of all facilities with all months.
     """
-    from ..functions.periods import month_end, month_start, months_between, period_of
-
     span = months.agg(F.min("PERIOD").alias("lo"), F.max("PERIOD").alias("hi"))
     first, last = span.select("lo").scalar(), span.select("hi").scalar()
     df = facilities.withColumns({"_lo": first, "_hi": last})
@@ -63,8 +64,6 @@ def open_in_month(facilities: DataFrame, months: DataFrame, opening: str = "OPEN
 
 def open_at_month_start(opening: Column | str, closing: Column | str, period: Column | str) -> Column:
     """Opened on or before the first of the month and not closed by then; no opening date means not open."""
-    from ..functions.periods import month_start
-
     opening = F.to_date(opening)
     closing = F.to_date(closing)
     day = month_start(period)
@@ -91,8 +90,6 @@ def open_years(facilities: DataFrame, years: DataFrame, opening: str = "OPENING_
         F.struct(F.col("_first").alias("YEAR"), F.lit(1).alias("d")),
         F.struct((F.col("_last") + 1).alias("YEAR"), F.lit(-1).alias("d")),
     )).alias("e")).groupBy(F.col("e.YEAR").alias("YEAR")).agg(F.sum("e.d").alias("d"))
-    from pyspark.sql import Window
-
     both = years.select("YEAR", F.lit(0).alias("d"), F.lit(True).alias("keep")).unionByName(
         events.withColumn("keep", F.lit(False))
     ).groupBy("YEAR").agg(F.sum("d").alias("d"), F.max("keep").alias("keep"))
@@ -101,18 +98,21 @@ def open_years(facilities: DataFrame, years: DataFrame, opening: str = "OPENING_
     return both.withColumn("n_open", F.sum("d").over(run)).filter("keep").select("YEAR", "n_open")
 
 
-def mapping_join(facts: DataFrame, mapping: DataFrame, dx: str = "DX", co: str = "CO") -> DataFrame:
+def mapping_join(facts: DataFrame, mapping: DataFrame, dx: str = "DX", co: str = "CO",
+                 how: str = "inner") -> DataFrame:
     """Facts matched to indicator definitions: on the element alone, or on element and category.
 
-    A fact that matches an indicator both ways is kept once.
+    A definition by category is dropped beforehand where the same indicator takes the whole element, so a
+    fact meets an indicator once. That is settled on the mapping; the facts are read once and meet it in
+    one join on the element (a broadcast, since a mapping is configuration-sized).
     """
-    by_element = mapping.filter(F.col("CO").isNull() & F.col("DX").isNotNull()).select(
-        F.col("DX").alias(dx), "INDICATOR")
-    by_both = mapping.filter(F.col("CO").isNotNull()).select(
-        F.col("DX").alias(dx), F.col("CO").alias(co), "INDICATOR")
-    whole = facts.join(by_element.distinct(), dx)
-    covered = by_both.join(by_element, [dx, "INDICATOR"], "left_anti").distinct()
-    return whole.unionByName(facts.join(covered, [dx, co]).select(*whole.columns))
+    named = mapping.filter("DX is not null").distinct()
+    whole = named.filter("CO is null").select("DX", "INDICATOR")
+    parts = named.filter("CO is not null").join(whole, ["DX", "INDICATOR"], "left_anti")
+    rules = whole.withColumn("CO", F.lit(None).cast("string")).unionByName(parts).select(
+        F.col("DX").alias("_dx"), F.col("CO").alias("_co"), "INDICATOR")
+    same = (F.col(dx) == F.col("_dx")) & (F.col("_co").isNull() | (F.col("_co") == F.col(co)))
+    return facts.join(rules, same, how).drop("_dx", "_co")
 
 
 def remap_units(units: DataFrame, mapping: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -121,8 +121,6 @@ def remap_units(units: DataFrame, mapping: DataFrame, keys: Sequence[str], order
 
     `patches` overrides columns for single units by id.
     """
-    from .keys import first_per_key
-
     one = first_per_key(mapping, keys, order).withColumn("_hit", F.lit(True))
     joined = units.join(one, list(keys), "left")
     joined = joined.withColumn("_hit", F.when(F.col("_hit"), F.lit(True)).otherwise(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 PERIOD = 12
 
@@ -15,66 +14,6 @@ def _linear_fill(y: np.ndarray) -> np.ndarray:
     return np.interp(np.arange(len(y)), known, y[known])
 
 
-def _seasonal_shape(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Trend by a centred year average and the mean deviation of each calendar month."""
-    kernel = np.r_[0.5, np.ones(PERIOD - 1), 0.5] / PERIOD
-    padded = np.pad(y, PERIOD // 2, mode="edge")
-    trend = np.convolve(padded, kernel, mode="valid")
-    month = np.arange(len(y)) % PERIOD
-    means = np.array([np.median((y - trend)[month == m]) for m in range(PERIOD)])
-    return trend, (means - means.mean())[month]
-
-
-def clean_series(values: np.ndarray) -> np.ndarray:
-    """Replace values whose residual lies beyond 3 IQR, and missing ones, by interpolation.
-
-    With two full years or more the residual is taken after trend and season, else after a local median.
-    """
-    y = _linear_fill(values.astype(float))
-    if len(y) > 2 * PERIOD:
-        trend, season = _seasonal_shape(y)
-    else:
-        half = min(2, len(y) - 1)
-        padded = np.pad(y, half, mode="edge")
-        trend = np.median(np.lib.stride_tricks.sliding_window_view(padded, 2 * half + 1), axis=1)
-        season = np.zeros(len(y))
-    residual = y - trend - season
-    q1, q3 = np.quantile(residual, [0.25, 0.75])
-    bad = (residual < q1 - 3 * (q3 - q1)) | (residual > q3 + 3 * (q3 - q1)) | np.isnan(values)
-    if bad.all():
-        return y
-    base = np.where(bad, np.nan, y - season)
-    return np.where(bad, _linear_fill(base) + season, y)
-
-
-def seasonal_flag(values: np.ndarray, deviation: float) -> np.ndarray:
-    known = values[~np.isnan(values)]
-    if len(known) < 2:
-        return np.zeros(len(values), dtype=bool)
-    mad = np.median(np.abs(known - np.median(known)))
-    if mad == 0:
-        return np.zeros(len(values), dtype=bool)
-    gap = np.abs(values - clean_series(values)) / mad
-    return np.where(np.isnan(gap), False, gap >= deviation)
-
-
-def seasonal_outliers(df: DataFrame, deviation: float, name: str) -> DataFrame:
-    """Flag per facility and indicator: far from the cleaned monthly series, in units of its MAD."""
-    kept = df.select("OU_ID", "INDICATOR", "PERIOD", "VALUE")
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("PERIOD")
-        values = pdf["VALUE"].to_numpy(dtype=float, na_value=np.nan)
-        return pdf[["OU_ID", "INDICATOR", "PERIOD"]].assign(**{name: seasonal_flag(values, deviation)})
-
-    types = dict(kept.dtypes)
-    schema = f"OU_ID {types['OU_ID']}, INDICATOR string, PERIOD {types['PERIOD']}, {name} boolean"
-    flags = kept.groupBy("OU_ID", "INDICATOR").applyInPandas(one, schema)
-    return df.join(flags, ["OU_ID", "INDICATOR", "PERIOD"], "left").withColumn(
-        name, F.coalesce(name, F.lit(False))
-    )
-
-
 def _lag_weights(phi: float, seasonal: float) -> np.ndarray:
     """Coefficients of (1 - phi B)(1 - seasonal B^12)(1 - B)(1 - B^12)."""
     def poly(lag: int, c: float) -> np.ndarray:

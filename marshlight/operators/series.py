@@ -1,15 +1,18 @@
 """Windows over facility and district series.
 
-Every window here is partitioned by a series key (facility x indicator, facility x year, district) after
-the rows have been reduced to one per month, so a partition holds at most as many rows as there are months.
-A facility with a third of the raw reports is reduced before the shuffle and costs the same as any other.
+Every window here is partitioned by a series key (facility, facility x indicator, district) after the rows
+have been reduced to one per month, so a partition holds at most as many rows as there are months. A
+facility with a third of the raw reports is reduced before the shuffle and costs the same as any other.
+
+Functions take the names of the value columns: one (`VALUE`) on a long table, one per indicator on a wide
+table. On the wide table all indicators share one shuffle and one sort, and no row is multiplied.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.nulls import ceil_d
@@ -18,60 +21,74 @@ SERIES = ("ADM1_ID", "ADM2_ID", "OU_ID", "INDICATOR")
 ORDER = ("PERIOD", "YEAR", "MONTH")
 
 
-def median_absolute_deviation(value: str, median: Column, by: Window) -> Column:
-    return F.median(F.abs(F.col(value) - median)).over(by)
+def with_medians(df: DataFrame, values: Sequence[str], by: WindowSpec) -> DataFrame:
+    """_med_<v> and _mad_<v>: unrounded median and median absolute deviation (constant 1) on every row."""
+    df = df.withColumns({f"_med_{v}": F.median(v).over(by) for v in values})
+    return df.withColumns({f"_mad_{v}": F.median(F.abs(F.col(v) - F.col(f"_med_{v}"))).over(by) for v in values})
 
 
-def series_stats(df: DataFrame, keys: Sequence[str] = SERIES, value: str = "VALUE",
-                 rounded_up: bool = True) -> DataFrame:
-    """Mean, median, sd, MAD (constant 1) and quartiles of each series on every row.
+def series_stats(df: DataFrame, keys: Sequence[str] = SERIES, value: str = "VALUE") -> DataFrame:
+    """Mean, median, sd, MAD and quartiles of each series on every row, each rounded up to whole cases.
 
-    All are rounded up to whole cases, which is why limits built from them differ from textbook ones.
-    The MAD is taken around the unrounded median.
+    Limits built from rounded statistics differ from textbook ones on purpose.
     """
     by = Window.partitionBy(*keys)
-    fix = ceil_d if rounded_up else (lambda c: c)
-    df = df.withColumn("_median", F.median(value).over(by))
-    df = df.withColumns({
-        "MEAN": fix(F.avg(value).over(by)),
-        "MEDIAN": fix(F.col("_median")),
-        "SD": fix(F.stddev_samp(value).over(by)),
-        "MAD": fix(median_absolute_deviation(value, F.col("_median"), by)),
-        "Q1": fix(F.percentile(value, 0.25).over(by)),
-        "Q3": fix(F.percentile(value, 0.75).over(by)),
-    })
-    return df.drop("_median")
-
-
-def outside(value: Column | str, low: Column, high: Column) -> Column:
-    """True outside [low, high]; false when anything needed is missing."""
+    df = with_medians(df, [value], by)
+    return df.withColumns({
+        "MEAN": ceil_d(F.avg(value).over(by)),
+        "MEDIAN": ceil_d(f"_med_{value}"),
+        "SD": ceil_d(F.stddev_samp(value).over(by)),
+        "MAD": ceil_d(f"_mad_{value}"),
+        "Q1": ceil_d(F.percentile(value, 0.25).over(by)),
+        "Q3": ceil_d(F.percentile(value, 0.75).over(by)),
+    }).drop(f"_med_{value}", f"_mad_{value}")
+
+
+def outside(value: Column | str, centre_low: Column, centre_high: Column, spread: Column) -> Column:
+    """True beyond `spread` from the centre(s); false when anything needed is missing."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.coalesce((value < low) | (value > high), F.lit(False))
-
-
-def iqr_flag(df: DataFrame, k: float = 1.5, name: str = "OUTLIER_DETECTED") -> DataFrame:
-    spread = (F.col("Q3") - F.col("Q1")) * k
-    return df.withColumn(name, outside("VALUE", F.col("Q1") - spread, F.col("Q3") + spread))
-
-
-def mean_sd_flag(df: DataFrame, k: float = 3, name: str = "OUTLIER_DETECTED") -> DataFrame:
-    spread = F.col("SD") * k
-    return df.withColumn(name, outside("VALUE", F.col("MEAN") - spread, F.col("MEAN") + spread))
+    return F.coalesce((value < centre_low - spread) | (value > centre_high + spread), F.lit(False))
+
+
+def with_flags(df: DataFrame, values: Sequence[str], method: str, k: float, by: WindowSpec,
+               prefix: str = "OUT_") -> DataFrame:
+    """Boolean <prefix><v> per value column: IQR, MEAN (sd) or MEDIAN (MAD) rule on rounded-up statistics."""
+    if method == "IQR":
+        df = df.withColumns({f"_q{n}_{v}": ceil_d(F.percentile(v, p).over(by))
+                             for v in values for n, p in ((1, 0.25), (3, 0.75))})
+        flags = {f"{prefix}{v}": outside(v, F.col(f"_q1_{v}"), F.col(f"_q3_{v}"),
+                                         (F.col(f"_q3_{v}") - F.col(f"_q1_{v}")) * k) for v in values}
+        helpers = [f"_q{n}_{v}" for v in values for n in (1, 3)]
+    elif method == "MEAN":
+        df = df.withColumns({f"_mean_{v}": ceil_d(F.avg(v).over(by)) for v in values}
+                            | {f"_sd_{v}": ceil_d(F.stddev_samp(v).over(by)) for v in values})
+        flags = {f"{prefix}{v}": outside(v, F.col(f"_mean_{v}"), F.col(f"_mean_{v}"), F.col(f"_sd_{v}") * k)
+                 for v in values}
+        helpers = [f"_{s}_{v}" for v in values for s in ("mean", "sd")]
+    elif method == "MEDIAN":
+        df = with_medians(df, values, by)
+        flags = {f"{prefix}{v}": outside(v, ceil_d(f"_med_{v}"), ceil_d(f"_med_{v}"), ceil_d(f"_mad_{v}") * k)
+                 for v in values}
+        helpers = [f"_{s}_{v}" for v in values for s in ("med", "mad")]
+    else:
+        raise ValueError(f"unknown method {method}")
+    return df.withColumns(flags).drop(*helpers)
 
 
-def median_mad_flag(df: DataFrame, k: float = 3, name: str = "OUTLIER_DETECTED") -> DataFrame:
-    spread = F.col("MAD") * k
-    return df.withColumn(name, outside("VALUE", F.col("MEDIAN") - spread, F.col("MEDIAN") + spread))
+def with_mad_flags(df: DataFrame, values: Sequence[str], deviation: float, by: WindowSpec, prefix: str,
+                   constant: float = 1.0) -> DataFrame:
+    """As the MEDIAN rule, on unrounded statistics; usually by facility and year."""
+    df = with_medians(df, values, by)
+    flags = {f"{prefix}{v}": outside(v, F.col(f"_med_{v}"), F.col(f"_med_{v}"),
+                                     F.col(f"_mad_{v}") * (constant * deviation)) for v in values}
+    return df.withColumns(flags).drop(*[f"_{s}_{v}" for v in values for s in ("med", "mad")])
 
 
 def mad_flag(df: DataFrame, deviation: float, name: str, keys: Sequence[str] = ("YEAR", "OU_ID", "INDICATOR"),
-             constant: float = 1.0, value: str = "VALUE") -> DataFrame:
-    """Flag by unrounded median and MAD of the group, usually facility, indicator and year."""
-    by = Window.partitionBy(*keys)
-    df = df.withColumn("_median", F.median(value).over(by))
-    df = df.withColumn("_spread", median_absolute_deviation(value, F.col("_median"), by) * (constant * deviation))
-    flag = outside(value, F.col("_median") - F.col("_spread"), F.col("_median") + F.col("_spread"))
-    return df.withColumn(name, flag).drop("_median", "_spread")
+             constant: float = 1.0) -> DataFrame:
+    """Long-table form of `with_mad_flags`."""
+    out = with_mad_flags(df, ["VALUE"], deviation, Window.partitionBy(*keys), "_flag_", constant)
+    return out.withColumnRenamed("_flag_VALUE", name)
 
 
 def _median_of_frame(values: Column) -> Column:
@@ -81,37 +98,54 @@ def _median_of_frame(values: Column) -> Column:
     return F.when(n > 0, (lower + upper) / 2)
 
 
-def impute_centred(df: DataFrame, flag: str, how: str = "mean", keys: Sequence[str] = SERIES,
-                   order: Sequence[str] = ORDER) -> DataFrame:
-    """VALUE_IMPUTED: the value, or the mean/median of the row and its two neighbours, rounded up.
+def with_imputed(df: DataFrame, values: Sequence[str], how: str, keys: Sequence[str],
+                 order: Sequence[str] = ORDER, flags: str = "OUT_", prefix: str = "FILL_") -> DataFrame:
+    """<prefix><v>: the value, or the mean/median of the row and its two neighbours, rounded up.
 
     Flagged values count as missing. Every missing value is filled, not only flagged ones. The first and
     the last row of a series have no full neighbourhood and stay missing.
     """
-    series = Window.partitionBy(*keys).orderBy(*order)
-    near = series.rowsBetween(-1, 1)
-    kept = F.when(~F.col(flag), F.col("VALUE"))
-    df = df.withColumn("_kept", kept)
-    if how == "mean":
-        middle = F.avg("_kept").over(near)
-    elif how == "median":
-        middle = _median_of_frame(F.collect_list("_kept").over(near))  # at most three values
-    else:
-        raise ValueError(how)
+    near = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-1, 1)
+    df = df.withColumns({f"_kept_{v}": F.when(~F.col(f"{flags}{v}"), F.col(v)) for v in values})
     full = F.count(F.lit(1)).over(near) == 3
-    filled = F.coalesce(F.col("_kept"), F.when(full, ceil_d(middle)))
-    return df.withColumn("VALUE_IMPUTED", filled).drop("_kept")
-
-
-def trimmed_stats(df: DataFrame, keys: Sequence[str] = SERIES, value: str = "VALUE") -> DataFrame:
-    """MEAN_80 and SD_80: the middle 80 % of the positive values of each series, rounded up."""
-    positive = df.filter(F.col(value) > 0)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
-    middle = positive.withColumns({"_n": n, "_rank": rank}).filter("_rank > _n * 0.1D and _rank <= _n * 0.9D")
-    return middle.groupBy(*keys).agg(
-        ceil_d(F.avg(value)).alias("MEAN_80"), ceil_d(F.stddev_samp(value)).alias("SD_80")
-    )
+    out = {}
+    for v in values:
+        if how == "mean":
+            middle = F.avg(f"_kept_{v}").over(near)
+        elif how == "median":
+            middle = _median_of_frame(F.collect_list(f"_kept_{v}").over(near))  # at most three values
+        else:
+            raise ValueError(how)
+        out[f"{prefix}{v}"] = F.coalesce(F.col(f"_kept_{v}"), F.when(full, ceil_d(middle)))
+    return df.withColumns(out).drop(*[f"_kept_{v}" for v in values])
+
+
+def trimmed_stats(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """MEAN_80_<v> and SD_80_<v> per series: the middle 80 % of its positive values, rounded up.
+
+    The sorted values of a series are an array as long as its number of months.
+    """
+    arrays = df.groupBy(*keys).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col(v) > 0, F.col(v)))).alias(v) for v in values])
+    arrays = arrays.withColumns({v: _middle_80(v) for v in values})
+    arrays = arrays.withColumns({
+        f"_m_{v}": F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)) for v in values})
+    cols = []
+    for v in values:
+        cols += [ceil_d(f"_m_{v}").alias(f"MEAN_80_{v}"), ceil_d(_sample_sd(v, f"_m_{v}")).alias(f"SD_80_{v}")]
+    return arrays.select(*keys, *cols)
+
+
+def _middle_80(values: str) -> Column:
+    """Of a sorted array, the elements ranked above 10 % and up to 90 %."""
+    n = F.size(values)
+    return F.filter(values, lambda x, i: (i + 1 > n * F.lit(0.1)) & (i + 1 <= n * F.lit(0.9)))
+
+
+def _sample_sd(values: str, mean: str) -> Column:
+    n = F.size(values)
+    squares = F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - F.col(mean)) * (x - F.col(mean)))
+    return F.when(n > 1, F.sqrt(squares / (n - 1)))
 
 
 def forward_sum(value: str, months: int, unit: str, order: Sequence[str]) -> Column:
@@ -143,3 +177,73 @@ def cycles_long(df: DataFrame, space: str, time: str, cols: Sequence[str]) -> Da
 
 def max_back_on_rows(df: DataFrame, target: str, keys: Sequence[str], name: str) -> DataFrame:
     return df.withColumn(name, F.max(target).over(Window.partitionBy(*keys)))
+
+
+# --- seasonal cleaning ------------------------------------------------------------------------------
+
+PERIOD = 12
+
+
+def _filled_line(value: str, order: WindowSpec) -> tuple[dict[str, Column], Column]:
+    """Helper columns and the expression of `value` with gaps joined by straight lines, ends held level."""
+    before = order.rowsBetween(Window.unboundedPreceding, 0)
+    after = order.rowsBetween(0, Window.unboundedFollowing)
+    at = F.when(F.col(value).isNotNull(), F.col("_pos"))
+    helpers = {
+        "_p0": F.last(at, ignorenulls=True).over(before), "_v0": F.last(value, ignorenulls=True).over(before),
+        "_p1": F.first(at, ignorenulls=True).over(after), "_v1": F.first(value, ignorenulls=True).over(after),
+    }
+    slope = F.try_divide(F.col("_v1") - F.col("_v0"), F.col("_p1") - F.col("_p0"))
+    between = F.col("_v0") + slope * (F.col("_pos") - F.col("_p0"))
+    return helpers, F.coalesce(F.col(value), between, F.col("_v0"), F.col("_v1"))
+
+
+def with_seasonal_flag(df: DataFrame, deviation: float, name: str, keys: Sequence[str] = ("OU_ID", "INDICATOR"),
+                       order: Sequence[str] = ("PERIOD",), value: str = "VALUE") -> DataFrame:
+    """Flag values far from their cleaned monthly series, in units of the series' MAD.
+
+    Cleaning: gaps are joined by straight lines; with more than two years the residual is taken after a
+    centred year average and the median of each calendar position, else after a median of five; values
+    whose residual lies beyond 3 IQR are replaced by interpolation. A series with fewer than two values or
+    with MAD 0 has no outlier. All steps are windows on one partitioning.
+    """
+    by = Window.partitionBy(*keys)
+    line = by.orderBy(*order)
+    cols = df.columns
+    df = df.withColumns({"_pos": F.row_number().over(line), "_n": F.count(F.lit(1)).over(by),
+                         "_known": F.count(value).over(by), "_med": F.median(value).over(by)})
+    helpers, filled = _filled_line(value, line)
+    df = df.withColumns(helpers).withColumn("_y", filled)
+    df = df.withColumn("_mad", F.median(F.abs(F.col(value) - F.col("_med"))).over(by))
+    # Beyond either end the series is held at its first or last value.
+    first, last = F.first("_y").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.last(
+        "_y").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    df = df.withColumns({"_first": first, "_last": last})
+
+    def short(side: str, reach: int) -> Column:
+        there = F.col("_pos") - 1 if side == "left" else F.col("_n") - F.col("_pos")
+        return F.greatest(F.lit(reach) - there, F.lit(0)).cast("int")
+
+    inner = F.sum("_y").over(line.rowsBetween(-5, 5)) + short("left", 5) * F.col("_first") + short("right", 5) * F.col("_last")
+    outer = F.coalesce(F.lag("_y", 6).over(line), F.col("_first")) + F.coalesce(F.lead("_y", 6).over(line), F.col("_last"))
+    five = F.concat(F.collect_list("_y").over(line.rowsBetween(-2, 2)),
+                    F.array_repeat("_first", short("left", 2)), F.array_repeat("_last", short("right", 2)))
+    long_series = F.col("_n") > 2 * PERIOD
+    trend = F.when(long_series, (inner + outer / 2) / PERIOD).otherwise(_median_of_frame(five))
+    df = df.withColumns({"_trend": trend, "_month": (F.col("_pos") - 1) % PERIOD})
+    month = Window.partitionBy(*keys, "_month")
+    df = df.withColumns({"_shape": F.median(F.col("_y") - F.col("_trend")).over(month),
+                         "_in_month": F.count(F.lit(1)).over(month)})
+    level = F.sum(F.col("_shape") / F.col("_in_month")).over(by) / PERIOD
+    df = df.withColumn("_level", level)
+    df = df.withColumn("_season", F.when(long_series, F.col("_shape") - F.col("_level")).otherwise(0.0))
+    df = df.withColumn("_r", F.col("_y") - F.col("_trend") - F.col("_season"))
+    df = df.withColumns({"_q1": F.percentile("_r", 0.25).over(by), "_q3": F.percentile("_r", 0.75).over(by)})
+    reach = 3 * (F.col("_q3") - F.col("_q1"))
+    bad = (F.col("_r") < F.col("_q1") - reach) | (F.col("_r") > F.col("_q3") + reach) | F.col(value).isNull()
+    df = df.withColumn("_base", F.when(~bad, F.col("_y") - F.col("_season")))
+    helpers, cleaned = _filled_line("_base", line)
+    df = df.withColumns(helpers).withColumn("_clean", F.coalesce(cleaned + F.col("_season"), F.col("_y")))
+    gap = F.try_divide(F.abs(F.col(value) - F.col("_clean")), F.col("_mad"))
+    usable = (F.col("_known") >= 2) & (F.col("_mad") > 0)
+    return df.withColumn(name, F.coalesce(usable & (gap >= deviation), F.lit(False))).select(*cols, name)

@@ -37,8 +37,7 @@ def units_at_level(units: DataFrame, level: int, prefix: str | None = None) -> D
 def build_indicators(raw: DataFrame, mapping: DataFrame, unit: str = "OU", period: str = "PE") -> DataFrame:
     """Long indicator values per unit and month: the sum of the matched data elements, null only if all are.
 
-    The raw rows are summed per (unit, month, indicator) with map-side combine straight after the match;
-    nothing is pivoted until the table is small.
+    The raw rows are summed per (unit, month, indicator) with map-side combine straight after the match.
     """
     facts = raw.select(unit, period, "DX", "CO", to_num("VALUE").alias("VALUE"))
     matched = mapping_join(facts, mapping)
@@ -49,23 +48,23 @@ def format_routine(raw: DataFrame, mapping: DataFrame, indicators: Sequence[str]
                    pyramid: DataFrame) -> DataFrame:
     """Wide routine table. Every facility and month of the raw extract keeps its row.
 
-    `indicators` also lists those with an empty definition; they become null columns.
+    `indicators` also lists those with an empty definition; they become null columns. Matching, summing and
+    widening are one aggregation: raw rows that match nothing stay in it with no indicator, so their
+    facility and month appear without a second pass over the extract.
     """
-    long = build_indicators(raw, mapping)
-    wide = wide_form(long, ["OU", "PE"], indicators)
-    rows = raw.select("OU", "PE").distinct()
-    table = rows.join(wide, ["OU", "PE"], "left").withColumnRenamed("OU", "OU_ID")
-    table = table.select(F.col("PE").cast("int").alias("PERIOD"), year_of("PE").alias("YEAR"),
-                         month_of("PE").alias("MONTH"), "OU_ID", *indicators)
+    facts = raw.select("OU", "PE", "DX", "CO", to_num("VALUE").alias("VALUE"))
+    wide = wide_form(mapping_join(facts, mapping, how="left"), ["OU", "PE"], indicators, agg="sum")
+    table = wide.select(F.col("PE").cast("int").alias("PERIOD"), year_of("PE").alias("YEAR"),
+                        month_of("PE").alias("MONTH"), F.col("OU").alias("OU_ID"), *indicators)
     return attach(table, normalise_name_columns(pyramid), ["OU_ID"])
 
 
 def format_population(raw: DataFrame, mapping: DataFrame, indicators: Sequence[str], admin: DataFrame,
                       years: Sequence[int], unit: str = "ADM2_ID") -> DataFrame:
     """District population by year: every district and year has a row, decimals are cut off, sums are 0-based."""
-    sums = mapping_join(raw, mapping).groupBy("OU", "PE", "INDICATOR").agg(
-        F.coalesce(F.sum(truncate_int("VALUE")), F.lit(0)).cast("double").alias("VALUE"))
-    wide = wide_form(sums, ["OU", "PE"], indicators).select(
+    whole = F.coalesce(truncate_int("VALUE"), F.lit(0)).cast("double")
+    matched = mapping_join(raw, mapping).withColumn("VALUE", whole)
+    wide = wide_form(matched, ["OU", "PE"], indicators, agg="sum").select(
         F.col("OU").alias(unit), F.col("PE").cast("int").alias("YEAR"), *indicators)
     grid = with_values(normalise_name_columns(admin), "YEAR", list(years))
     return grid.join(wide, [unit, "YEAR"], "left")

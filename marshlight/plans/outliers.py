@@ -1,26 +1,30 @@
-"""Outlier detection and imputation of monthly facility data."""
+"""Outlier detection and imputation of monthly facility data.
+
+All jobs work on the wide table: one row per facility and month, one column per indicator. After the
+deduplication a single repartition by facility serves every later window and aggregation, whatever the
+number of indicators or passes; the long `detected` table is unfolded row by row at the end.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import ratio
 from ..functions.periods import month_of, year_of
 from ..operators import series as S
-from ..operators.joins import attach, attach_flag
 from ..operators.keys import first_per_key
-from ..operators.models import seasonal_outliers
-from ..operators.shape import (drop_all_missing, long_form, long_many, pad_columns, wide_form, wide_many,
-                               with_every_month)
+from ..operators.shape import long_form, long_many
 
 FIXED = ("PERIOD", "YEAR", "MONTH", "ADM1_ID", "ADM2_ID", "OU_ID")
 NAMES = ("ADM1_NAME", "ADM2_NAME", "OU_NAME")
 PLACE = ("ADM1_ID", "ADM2_ID", "OU_ID")
-KEY = ("PERIOD", "OU_ID", "INDICATOR")
+
+# Default distance and imputation of each method.
+METHODS = {"IQR": (1.5, "mean"), "MEAN": (3, "mean"), "MEDIAN": (3, "median")}
 
 
 class Outcome(NamedTuple):
@@ -35,104 +39,120 @@ def routine_long(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
     return long_form(routine, FIXED, indicators)
 
 
-def deduplicated(long: DataFrame, order: Sequence[str] = ("VALUE",)) -> DataFrame:
-    """One row per facility, month and indicator; `order` decides which."""
-    return first_per_key(long, [*FIXED, "INDICATOR"], order)
-
+def facility_months(routine: DataFrame, indicators: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per facility and month, partitioned by facility.
 
-def place_names(routine: DataFrame) -> DataFrame:
-    return routine.select(*PLACE, *[c for c in NAMES if c in routine.columns]).distinct()
+    Of several rows the first in `order` (by default by value) is kept. The choice is an aggregation, so
+    repeated rows are gone before the facility shuffle and no facility is larger than the calendar.
+    """
+    names = [c for c in NAMES if c in routine.columns]
+    table = routine.select(*FIXED, *names, *[F.col(i).cast("double").alias(i) for i in indicators])
+    return first_per_key(table, FIXED, list(order or indicators)).repartition("OU_ID")
 
 
-def detected_table(flagged: DataFrame, flag: str, method: str, names: DataFrame) -> DataFrame:
-    table = flagged.select(*FIXED, "INDICATOR", "VALUE", F.col(flag).alias("OUTLIER_DETECTED"),
-                           F.lit(method).alias("OUTLIER_METHOD"),
-                           F.make_date("YEAR", "MONTH", F.lit(1)).alias("DATE"))
-    return attach(table, names, PLACE)
+def _flags(df: DataFrame, indicators: Sequence[str], flag: str, value: str = "") -> DataFrame:
+    """Long rows (FIXED, names, INDICATOR, VALUE, FLAG) from the wide table; the partitioning is kept."""
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("INDICATOR"), F.col(f"{value}{i}").alias("VALUE"), F.col(f"{flag}{i}").alias("FLAG"))
+        for i in indicators])
+    keep = [*FIXED, *[c for c in NAMES if c in df.columns]]
+    return df.select(*keep, F.explode(rows).alias("_r")).select(*keep, "_r.*")
 
 
-def wide_routine(long: DataFrame, value: str, names: DataFrame, indicators: Sequence[str]) -> DataFrame:
-    wide = wide_form(long, FIXED, indicators, value=value)
-    order = ["PERIOD", "YEAR", "MONTH", "ADM1_NAME", "ADM1_ID", "ADM2_NAME", "ADM2_ID", "OU_ID", "OU_NAME",
-             *indicators]
-    return pad_columns(attach(wide, names, PLACE), order, {i: "double" for i in indicators})
+def detected_table(df: DataFrame, indicators: Sequence[str], method: str, flag: str = "OUT_") -> DataFrame:
+    return _flags(df, indicators, flag).withColumnRenamed("FLAG", "OUTLIER_DETECTED").withColumns({
+        "OUTLIER_METHOD": F.lit(method), "DATE": F.make_date("YEAR", "MONTH", F.lit(1))})
 
 
-METHODS = {
-    # name: (flag builder, default k, imputation)
-    "IQR": (S.iqr_flag, 1.5, "mean"),
-    "MEAN": (S.mean_sd_flag, 3, "mean"),
-    "MEDIAN": (S.median_mad_flag, 3, "median"),
-}
+def wide_table(df: DataFrame, cells: dict[str, Column]) -> DataFrame:
+    names = [c for c in NAMES if c in df.columns]
+    order = ["PERIOD", "YEAR", "MONTH", "ADM1_NAME", "ADM1_ID", "ADM2_NAME", "ADM2_ID", "OU_ID", "OU_NAME"]
+    return df.select(*[c for c in order if c in FIXED or c in names], *[c.alias(i) for i, c in cells.items()])
 
 
 def flag_series(long: DataFrame, method: str, k: float | None = None) -> DataFrame:
-    build, default, _ = METHODS[method]
-    return build(S.series_stats(long), default if k is None else k)
+    """Long-table form of the three rules: OUTLIER_DETECTED per row."""
+    out = S.with_flags(long, ["VALUE"], method, METHODS[method][0] if k is None else k, Window.partitionBy(*S.SERIES))
+    return out.withColumnRenamed("OUT_VALUE", "OUTLIER_DETECTED")
 
 
 def detect(long: DataFrame, method: str, k: float | None = None) -> DataFrame:
-    """Flagged and imputed long table for IQR, MEAN or MEDIAN.
-
-    Statistics, flag and imputation share one partitioning (the series key), so one shuffle serves all.
-    """
-    return S.impute_centred(flag_series(long, method, k), "OUTLIER_DETECTED", METHODS[method][2])
+    """Long-table form with VALUE_IMPUTED."""
+    flagged = flag_series(long, method, k).withColumn("OUT_VALUE", F.col("OUTLIER_DETECTED"))
+    out = S.with_imputed(flagged, ["VALUE"], METHODS[method][1], S.SERIES)
+    return out.withColumnRenamed("FILL_VALUE", "VALUE_IMPUTED").drop("OUT_VALUE")
 
 
 def run(routine: DataFrame, indicators: Sequence[str], method: str, k: float | None = None) -> Outcome:
     """IQR, mean and median methods.
 
-    The removed table drops flagged rows and carries the imputed value for the rows that stay.
+    The removed table drops flagged cells, and rows whose cells are all flagged, and carries the imputed
+    value in the cells that stay.
     """
-    names = place_names(routine)
-    flagged = detect(deduplicated(routine_long(routine, indicators)), method, k)
+    distance, how = METHODS[method]
+    df = facility_months(routine, indicators)
+    df = S.with_flags(df, indicators, method, distance if k is None else k, Window.partitionBy(*PLACE))
+    filled = S.with_imputed(df, indicators, how, PLACE)
+    kept = filled.filter(~_all([F.col(f"OUT_{i}") for i in indicators]))
     return Outcome(
-        detected_table(flagged, "OUTLIER_DETECTED", method, names),
-        wide_routine(flagged, "VALUE_IMPUTED", names, indicators),
-        wide_routine(flagged.filter(~F.col("OUTLIER_DETECTED")), "VALUE_IMPUTED", names, indicators),
+        detected_table(df, indicators, method),
+        wide_table(filled, {i: F.col(f"FILL_{i}") for i in indicators}),
+        wide_table(kept, {i: F.when(~F.col(f"OUT_{i}"), F.col(f"FILL_{i}")) for i in indicators}),
     )
 
 
+def _all(conds: Sequence[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
 # --- staged detection -------------------------------------------------------------------------------
 
 
-def staged_mad(long: DataFrame, first: float = 15, second: float = 10) -> DataFrame:
-    """Yearly MAD at a wide limit, then at a narrower one on what is left.
+def staged_mad(df: DataFrame, indicators: Sequence[str], first: float = 15, second: float = 10) -> DataFrame:
+    """Yearly MAD at a wide limit, then at a narrower one on what is left: FIRST_<i> and OUT_<i>.
 
-    OUTLIER_FIRST and OUTLIER_STAGED. A row removed by the first pass counts as an outlier of both. The
-    second pass nulls the removed values instead of joining a filtered copy back: the statistics skip
-    nulls, so the result is the same and both passes stay in one shuffle.
+    A value removed by the first pass is an outlier of both. The second pass reads the column with those
+    values nulled instead of joining a filtered copy back; statistics skip nulls, so the result is the same.
     """
-    df = S.mad_flag(long, first, "OUTLIER_FIRST")
-    df = df.withColumn("_rest", F.when(~F.col("OUTLIER_FIRST"), F.col("VALUE")))
-    df = S.mad_flag(df, second, "_second", value="_rest")
-    return df.withColumn("OUTLIER_STAGED", F.col("OUTLIER_FIRST") | F.col("_second")).drop("_rest", "_second")
+    year = Window.partitionBy("OU_ID", "YEAR")
+    df = S.with_mad_flags(df, indicators, first, year, "FIRST_")
+    rest = {f"_rest_{i}": F.when(~F.col(f"FIRST_{i}"), F.col(i)) for i in indicators}
+    df = S.with_mad_flags(df.withColumns(rest), list(rest), second, year, "_then_")
+    df = df.withColumns({f"OUT_{i}": F.col(f"FIRST_{i}") | F.col(f"_then__rest_{i}") for i in indicators})
+    return df.drop(*rest, *[f"_then_{r}" for r in rest])
 
 
-def staged_seasonal(long: DataFrame, flag: str = "OUTLIER_STAGED", first: float = 5,
-                    second: float = 3) -> DataFrame:
-    """Seasonal passes on the rows the MAD passes kept; OUTLIER_COMPLETE joins all four."""
-    kept = long.filter(~F.col(flag))
-    one = seasonal_outliers(kept, first, "_s1")
-    two = seasonal_outliers(one.filter(~F.col("_s1")), second, "_s2")
-    both = attach_flag(one, two, KEY, "_s2", absent=True).withColumnRenamed("_s2", "_seasonal")
-    out = attach_flag(long, both, KEY, "_seasonal", absent=True)
-    return out.withColumn("OUTLIER_COMPLETE", F.col(flag) | F.col("_seasonal")).drop("_seasonal")
+def staged_seasonal(long: DataFrame, flag: str = "FLAG", first: float = 5, second: float = 3) -> DataFrame:
+    """Seasonal passes on the rows the MAD passes kept; `flag` becomes true for rows of any pass.
+
+    Rows already out form partitions of their own, so the passes need neither a filter nor a join back.
+    """
+    for i, deviation in enumerate((first, second)):
+        long = S.with_seasonal_flag(long, deviation, f"_s{i}", keys=("OU_ID", "INDICATOR", flag))
+        long = long.withColumn(flag, F.col(flag) | F.col(f"_s{i}")).drop(f"_s{i}")
+    return long
 
 
 def run_staged(routine: DataFrame, indicators: Sequence[str], complete: bool = False) -> Outcome:
     """MAD 15 then MAD 10; `complete` adds the seasonal passes. Removed values become null, rows stay."""
-    names = place_names(routine)
-    long = routine_long(routine, indicators).distinct()
-    flagged, flag, method = staged_mad(long), "OUTLIER_STAGED", "MAGIC_GLASSES_PARTIAL"
+    df = staged_mad(facility_months(routine, indicators), indicators)
+    method = "MAGIC_GLASSES_PARTIAL"
     if complete:
-        flagged, flag, method = staged_seasonal(flagged), "OUTLIER_COMPLETE", "MAGIC_GLASSES_COMPLETE"
-    imputed = S.impute_centred(flagged, flag)
-    removed = flagged.withColumn("VALUE", F.when(~F.col(flag), F.col("VALUE")))
+        method = "MAGIC_GLASSES_COMPLETE"
+        long = staged_seasonal(_flags(df, indicators, "OUT_"))
+        names = [c for c in NAMES if c in df.columns]
+        # one row per facility-month again; the facility partitioning still holds
+        df = long.groupBy(*FIXED, *names).agg(*[
+            F.max(F.when(F.col("INDICATOR") == i, F.col(c))).alias(f"{p}{i}")
+            for i in indicators for c, p in (("VALUE", ""), ("FLAG", "OUT_"))])
+    filled = S.with_imputed(df, indicators, "mean", PLACE)
     return Outcome(
-        detected_table(flagged, flag, method, names),
-        wide_routine(imputed, "VALUE_IMPUTED", names, indicators),
-        wide_routine(removed, "VALUE", names, indicators),
+        detected_table(df, indicators, method),
+        wide_table(filled, {i: F.col(f"FILL_{i}") for i in indicators}),
+        wide_table(df, {i: F.when(~F.col(f"OUT_{i}"), F.col(i)) for i in indicators}),
     )
 
 
@@ -142,96 +162,86 @@ def run_staged(routine: DataFrame, indicators: Sequence[str], complete: bool = F
 FLOORS = {"TEST": 50, "PRES": 50, "CONF": 10}
 
 
-def full_grid_long(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
-    """Every facility x month seen x indicator, missing values null, one row each.
+def full_grid(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
+    """Every facility x month seen, wide, with MEAN_80_<i> and SD_80_<i> of the facility.
 
-    The routine table is reduced to one row per facility and month first (first non-missing value by
-    row order of `PERIOD`), then widened to the full grid and only then made long.
+    The trimmed statistics are computed with the list of facilities, and that list is then spread over the
+    months: facility list, statistics and grid are one aggregation, and the values come in by one join.
     """
-    one = first_per_key(routine.select(*PLACE, "PERIOD", *indicators), [*PLACE, "PERIOD"], list(indicators))
+    names = [c for c in NAMES if c in routine.columns]
+    table = routine.select(*PLACE, "PERIOD", *names, *[F.col(i).cast("double").alias(i) for i in indicators])
+    one = first_per_key(table, [*PLACE, "PERIOD"], list(indicators))
+    places = S.trimmed_stats(one, [*PLACE, *names], indicators)
     months = one.agg(F.array_sort(F.collect_set("PERIOD")).alias("m")).scalar()  # the calendar's length
-    grid = one.select(*PLACE).distinct().withColumn("_m", months).withColumn("PERIOD", F.explode("_m")).drop("_m")
-    return long_form(grid.join(one, [*PLACE, "PERIOD"], "left"), [*PLACE, "PERIOD"], indicators)
+    grid = places.withColumn("_m", months).withColumn("PERIOD", F.explode("_m")).drop("_m")
+    return grid.join(one.drop(*names), [*PLACE, "PERIOD"], "left").withColumns(
+        {"YEAR": year_of("PERIOD"), "MONTH": month_of("PERIOD")})
+
+
+def full_grid_long(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
+    return long_form(full_grid(routine, indicators), [*PLACE, "PERIOD"], indicators)
 
 
-def pathway_flags(long: DataFrame, deviation: float = 10) -> DataFrame:
-    """MEAN_80, SD_80 and OUTLIER_TREND: unusually high against the trimmed mean, above the floors."""
-    stats = S.trimmed_stats(long)
-    df = long.join(stats, list(S.SERIES), "left")
-    high = F.col("VALUE") > F.col("MEAN_80") + F.lit(deviation) * F.col("SD_80")
-    flag = F.coalesce(high, F.lit(False))
-    for name, floor in FLOORS.items():
-        low = (F.col("INDICATOR") == name) & (F.col("VALUE") < floor)
-        flag = flag & ~F.coalesce(low, F.lit(False))
-    return df.withColumn("OUTLIER_TREND", flag)
+def pathway_flags(grid: DataFrame, indicators: Sequence[str], deviation: float = 10) -> DataFrame:
+    """TREND_<i>: unusually high against the trimmed mean, and not below the floor."""
+    flags = {}
+    for i in indicators:
+        high = F.col(i) > F.col(f"MEAN_80_{i}") + F.col(f"SD_80_{i}") * deviation
+        if i in FLOORS:
+            high = high & (F.col(i) >= FLOORS[i])
+        flags[f"TREND_{i}"] = F.coalesce(high, F.lit(False))
+    return grid.withColumns(flags)
 
 
-def pathway_exceptions(flagged: DataFrame, deviation: float = 10) -> DataFrame:
-    """POSSIBLE_STKOUT and POSSIBLE_EPID per facility and month, and the corrected flag.
+def pathway_exceptions(flagged: DataFrame, indicators: Sequence[str], deviation: float = 10) -> DataFrame:
+    """POSSIBLE_STKOUT, POSSIBLE_EPID and the corrected flags OUT_<i>.
 
-    Both rules compare indicators of one facility and month, so one aggregation on that key replaces
-    the self joins.
+    A possible stock-out (few tests, presumed cases high but within the usual range of tests) clears the
+    flag of PRES. A possible epidemic is recorded and changes no flag. The rules compare indicators of one
+    facility and month, which is one row here.
     """
-    key = [*PLACE, "PERIOD"]
-
-    def of(name: str, col: str | F.Column):
-        value = F.col(col) if isinstance(col, str) else col
-        return F.max(F.when(F.col("INDICATOR") == name, value))
-
-    limit = F.col("MEAN_80") + F.lit(deviation) * F.col("SD_80")
-    side = flagged.groupBy(*key).agg(
-        of("TEST", "VALUE").alias("test"), of("CONF", "VALUE").alias("conf"), of("PRES", "VALUE").alias("pres"),
-        of("TEST", F.col("VALUE") < F.col("MEAN_80")).alias("low_testing"), of("TEST", limit).alias("test_limit"),
-        of("TEST", "OUTLIER_TREND").alias("out_test"), of("CONF", "OUTLIER_TREND").alias("out_conf"),
-        of("PRES", "OUTLIER_TREND").alias("out_pres"),
-    )
-    stockout = F.col("out_pres") & F.col("low_testing") & (F.col("pres") < F.col("test_limit"))
-    epidemic = F.col("out_conf") & (F.col("out_test") | (F.col("test") >= F.col("conf")))
-    side = side.select(*key, F.when(stockout, True).alias("POSSIBLE_STKOUT"),
-                       F.when(epidemic, True).alias("POSSIBLE_EPID"))
-    df = flagged.join(side, key, "left")
-    cleared = (F.col("INDICATOR") == "PRES") & F.coalesce("POSSIBLE_STKOUT", F.lit(False))
+    c = F.col
+    usual = c("MEAN_80_TEST") + c("SD_80_TEST") * deviation
+    stockout = c("TREND_PRES") & (c("TEST") < c("MEAN_80_TEST")) & (c("PRES") < usual)
+    epidemic = c("TREND_CONF") & (c("TREND_TEST") | (c("TEST") >= c("CONF")))
+    df = flagged.withColumns({"POSSIBLE_STKOUT": F.when(stockout, True), "POSSIBLE_EPID": F.when(epidemic, True)})
     return df.withColumns({
-        "OUTLIER_TREND": F.col("OUTLIER_TREND") & ~cleared,
-        "YEAR": year_of("PERIOD"),
-        "MONTH": month_of("PERIOD"),
-    })
+        f"OUT_{i}": c("TREND_PRES") & c("POSSIBLE_STKOUT").isNull() if i == "PRES" else c(f"TREND_{i}")
+        for i in indicators})
 
 
 def pathway_impute(clean: DataFrame, indicators: Sequence[str]) -> DataFrame:
-    """VALUE_OLD, VALUE_IMPUTED, OUTLIER_TREND; TEST and CONF go back when imputing made TEST < CONF."""
+    """FILL_<i> and final OUT_<i>; TEST and CONF go back when imputing made TEST < CONF."""
     df = clean.withColumns({
-        "VALUE_OLD": F.col("VALUE"),
-        "VALUE_IMPUTED": F.when(F.col("OUTLIER_TREND"), F.col("MEAN_80")).otherwise(F.col("VALUE")),
-    })
-    parts = ["VALUE_OLD", "VALUE_IMPUTED", "OUTLIER_TREND"]
-    wide = wide_many(df, FIXED, "INDICATOR", indicators, parts)
-    undo = F.coalesce(
-        (F.col("VALUE_IMPUTED_TEST") < F.col("VALUE_IMPUTED_CONF"))
-        & (F.col("VALUE_OLD_TEST") > F.col("VALUE_OLD_CONF")), F.lit(False))
-    wide = wide.withColumn("_undo", undo)
-    for name in ("TEST", "CONF"):
-        wide = wide.withColumns({
-            f"VALUE_IMPUTED_{name}": F.when(F.col("_undo"), F.col(f"VALUE_OLD_{name}")).otherwise(
-                F.col(f"VALUE_IMPUTED_{name}")),
-            f"OUTLIER_TREND_{name}": F.when(F.col("_undo"), F.lit(False)).otherwise(
-                F.col(f"OUTLIER_TREND_{name}")),
-        })
-    return long_many(wide, FIXED, "INDICATOR", indicators, parts)
+        f"FILL_{i}": F.when(F.col(f"OUT_{i}"), F.col(f"MEAN_80_{i}")).otherwise(F.col(i)) for i in indicators})
+    undo = F.coalesce((F.col("FILL_TEST") < F.col("FILL_CONF")) & (F.col("TEST") > F.col("CONF")), F.lit(False))
+    df = df.withColumn("_undo", undo)
+    back = {}
+    for i in ("TEST", "CONF"):
+        back[f"FILL_{i}"] = F.when(F.col("_undo"), F.col(i)).otherwise(F.col(f"FILL_{i}"))
+        back[f"OUT_{i}"] = F.col(f"OUT_{i}") & ~F.col("_undo")
+    return df.withColumns(back).drop("_undo")
 
 
 def run_pathway(routine: DataFrame, indicators: Sequence[str], deviation: float = 10) -> Outcome:
-    names = place_names(routine)
-    clean = pathway_exceptions(pathway_flags(full_grid_long(routine, indicators), deviation), deviation)
-    imputed = pathway_impute(clean, indicators)
-    kept = imputed.filter(~F.col("OUTLIER_TREND"))
+    clean = pathway_exceptions(pathway_flags(full_grid(routine, indicators), indicators, deviation), indicators,
+                               deviation)
+    done = pathway_impute(clean, indicators)
+    removed = wide_table(done, {i: F.when(~F.col(f"OUT_{i}"), F.col(f"FILL_{i}")) for i in indicators})
     return Outcome(
-        detected_table(clean, "OUTLIER_TREND", "PATH", names),
-        wide_routine(imputed, "VALUE_IMPUTED", names, indicators),
-        drop_all_missing(wide_routine(kept, "VALUE_IMPUTED", names, indicators), indicators),
+        detected_table(clean, indicators, "PATH"),
+        wide_table(done, {i: F.col(f"FILL_{i}") for i in indicators}),
+        removed.dropna(how="all", subset=list(indicators)),
     )
 
 
+def imputed_long(done: DataFrame, indicators: Sequence[str]) -> DataFrame:
+    """Old value, imputed value and flag side by side, one row per indicator."""
+    df = done.withColumnsRenamed({i: f"VALUE_OLD_{i}" for i in indicators} | {f"FILL_{i}": f"VALUE_IMPUTED_{i}" for i in indicators}
+                                 | {f"OUT_{i}": f"OUTLIER_TREND_{i}" for i in indicators})
+    return long_many(df, FIXED, "INDICATOR", indicators, ["VALUE_OLD", "VALUE_IMPUTED", "OUTLIER_TREND"])
+
+
 # --- reporting on results ---------------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import series as S
 from ..operators.keys import duplicate_keys, first_per_key
+from ..operators.shape import long_many, wide_many
 from ..plans import outliers as O
 from ..plans import seasonality as Z
 from .registry import query
@@ -113,8 +114,10 @@ def _(t):
 # The staged passes at limits that the smooth stand-in data actually crosses.
 @query("K10_outliers_staged_flags", "SELECT OU_ID, INDICATOR, PERIOD, VALUE, OUTLIER_FIRST, OUTLIER FROM v_staged")
 def _(t):
-    return O.staged_mad(t.long, 3, 2).select(
-        "OU_ID", "INDICATOR", "PERIOD", "VALUE", "OUTLIER_FIRST", F.col("OUTLIER_STAGED").alias("OUTLIER"))
+    df = O.staged_mad(O.facility_months(t.routine, INDICATORS), INDICATORS, 3, 2)
+    df = df.withColumnsRenamed({i: f"VALUE_{i}" for i in INDICATORS} | {f"FIRST_{i}": f"OUTLIER_FIRST_{i}" for i in INDICATORS}
+                               | {f"OUT_{i}": f"OUTLIER_{i}" for i in INDICATORS})
+    return long_many(df, ["OU_ID", "PERIOD"], "INDICATOR", INDICATORS, ["VALUE", "OUTLIER_FIRST", "OUTLIER"])
 
 
 VIEWS["v_staged_std"] = VIEWS["v_staged"].replace("2 * mad2", "10 * mad2").replace("3 * mad", "15 * mad")
@@ -146,10 +149,7 @@ def _(t):
 
 @query("U1_seasonal_outliers")
 def _(t):
-    from ..operators.models import seasonal_outliers
-
-    return seasonal_outliers(t.long.filter("VALUE is not null"), 5, "OUTLIER").select(
-        "OU_ID", "INDICATOR", "PERIOD", "VALUE", "OUTLIER")
+    return S.with_seasonal_flag(t.long, 5, "OUTLIER").select("OU_ID", "INDICATOR", "PERIOD", "VALUE", "OUTLIER")
 
 
 VIEWS["v_grid"] = """
@@ -192,7 +192,8 @@ FROM (SELECT a.*, a.raw_imputed AS VALUE_IMPUTED, coalesce(a.INDICATOR IN ('TEST
 
 @query("D25_trimmed_statistics", "SELECT * FROM v_trim")
 def _(t):
-    return S.trimmed_stats(t.long)
+    return S.trimmed_stats(t.long, S.SERIES, ["VALUE"]).withColumnsRenamed(
+        {"MEAN_80_VALUE": "MEAN_80", "SD_80_VALUE": "SD_80"}).dropna(subset=["MEAN_80"])
 
 
 @query("E18_rank_and_group_size", """
@@ -215,9 +216,10 @@ def _(t):
 
 @query("K11_pathway_flags", "SELECT * FROM v_path1")
 def _(t):
-    df = O.pathway_exceptions(O.pathway_flags(O.full_grid_long(t.routine, INDICATORS), 2), 2)
-    return df.select("PERIOD", "YEAR", "MONTH", "ADM1_ID", "ADM2_ID", "OU_ID", "INDICATOR", "VALUE", "MEAN_80",
-                     "SD_80", F.col("OUTLIER_TREND").alias("OUTLIER"), "POSSIBLE_STKOUT", "POSSIBLE_EPID")
+    df = O.pathway_exceptions(O.pathway_flags(O.full_grid(t.routine, INDICATORS), INDICATORS, 2), INDICATORS, 2)
+    df = df.withColumnsRenamed({i: f"VALUE_{i}" for i in INDICATORS} | {f"OUT_{i}": f"OUTLIER_{i}" for i in INDICATORS})
+    return long_many(df, [*O.FIXED, "POSSIBLE_STKOUT", "POSSIBLE_EPID"], "INDICATOR", INDICATORS,
+                     ["VALUE", "MEAN_80", "SD_80", "OUTLIER"])
 
 
 @query("K11_outliers_pathway_detected", DETECTED.format(method="PATH", view="v_path1"))
@@ -239,8 +241,6 @@ def _(t):
 @query("D22_long_with_name_split", """
 SELECT PERIOD, OU_ID, INDICATOR, VALUE AS VALUE_OLD, VALUE * 2 AS VALUE_NEW FROM v_long""")
 def _(t):
-    from ..operators.shape import long_many, wide_many
-
     df = t.long.select("PERIOD", "OU_ID", "INDICATOR", F.col("VALUE").alias("VALUE_OLD"),
                        (F.col("VALUE") * 2).alias("VALUE_NEW"))
     wide = wide_many(df, ["PERIOD", "OU_ID"], "INDICATOR", INDICATORS, ["VALUE_OLD", "VALUE_NEW"])

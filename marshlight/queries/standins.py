@@ -121,7 +121,7 @@ FROM (SELECT 'L' || label AS ADM2_ID, min(lon) AS w, max(lon) AS e, min(lat) AS
 
 VIEWS["v_climate"] = """
 SELECT 'D' || (user_id % 25) AS ADM2_ID, user_id * 1.0 AS lon, 0.0 AS lat, date_trunc('hour', ts) AS ts,
-  round(avg(value), 1) AS value
+  max(value) AS value
 FROM events GROUP BY 1, 2, 3, 4"""
 
 VIEWS["v_district_month"] = """
@@ -299,7 +299,7 @@ class Tables:
         return self.raw_table("events").groupBy(
             F.concat(F.lit("D"), F.col("user_id") % 25).alias("ADM2_ID"), (F.col("user_id") * 1.0).alias("lon"),
             F.lit(0.0).alias("lat"), F.date_trunc("hour", "ts").alias("ts"),
-        ).agg(F.round(F.avg("value"), 1).alias("value"))
+        ).agg(F.max("value").alias("value"))
 
     @cached_property
     def district_month(self) -> DataFrame:
