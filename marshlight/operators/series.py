@@ -120,20 +120,21 @@ def with_imputed(df: DataFrame, values: Sequence[str], how: str, keys: Sequence[
     return df.withColumns(out).drop(*[f"_kept_{v}" for v in values])
 
 
-def trimmed_stats(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def trimmed_stats(df: DataFrame, keys: Sequence[str], values: Sequence[str], *extra: Column) -> DataFrame:
     """MEAN_80_<v> and SD_80_<v> per series: the middle 80 % of its positive values, rounded up.
 
-    The sorted values of a series are an array as long as its number of months.
+    The sorted values of a series are an array as long as its number of months. `extra` aggregates ride along.
     """
     arrays = df.groupBy(*keys).agg(*[
-        F.array_sort(F.collect_list(F.when(F.col(v) > 0, F.col(v)))).alias(v) for v in values])
+        F.array_sort(F.collect_list(F.when(F.col(v) > 0, F.col(v)))).alias(v) for v in values], *extra)
     arrays = arrays.withColumns({v: _middle_80(v) for v in values})
     arrays = arrays.withColumns({
         f"_m_{v}": F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)) for v in values})
     cols = []
     for v in values:
         cols += [ceil_d(f"_m_{v}").alias(f"MEAN_80_{v}"), ceil_d(_sample_sd(v, f"_m_{v}")).alias(f"SD_80_{v}")]
-    return arrays.select(*keys, *cols)
+    kept = [c for c in arrays.columns if c not in (*keys, *values) and not c.startswith("_m_")]
+    return arrays.select(*keys, *cols, *kept)
 
 
 def _middle_80(values: str) -> Column:

@@ -165,17 +165,22 @@ FLOORS = {"TEST": 50, "PRES": 50, "CONF": 10}
 def full_grid(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
     """Every facility x month seen, wide, with MEAN_80_<i> and SD_80_<i> of the facility.
 
-    The trimmed statistics are computed with the list of facilities, and that list is then spread over the
-    months: facility list, statistics and grid are one aggregation, and the values come in by one join.
+    A facility's months are gathered in one row (as long as the calendar), its trimmed statistics are taken
+    there, and the row is unfolded into its months and the ones it lacks: no join and no shuffle of the grid.
     """
     names = [c for c in NAMES if c in routine.columns]
     table = routine.select(*PLACE, "PERIOD", *names, *[F.col(i).cast("double").alias(i) for i in indicators])
     one = first_per_key(table, [*PLACE, "PERIOD"], list(indicators))
-    places = S.trimmed_stats(one, [*PLACE, *names], indicators)
-    months = one.agg(F.array_sort(F.collect_set("PERIOD")).alias("m")).scalar()  # the calendar's length
-    grid = places.withColumn("_m", months).withColumn("PERIOD", F.explode("_m")).drop("_m")
-    return grid.join(one.drop(*names), [*PLACE, "PERIOD"], "left").withColumns(
-        {"YEAR": year_of("PERIOD"), "MONTH": month_of("PERIOD")})
+    month = F.struct("PERIOD", *indicators)
+    places = S.trimmed_stats(one, [*PLACE, *names], indicators, F.collect_list(month).alias("_rows"))
+    calendar = routine.agg(F.array_sort(F.collect_set("PERIOD")).alias("m")).scalar()  # the calendar's length
+    period = dict(routine.dtypes)["PERIOD"]
+    places = places.withColumn("_lack", F.array_except(calendar, F.transform("_rows", lambda r: r["PERIOD"])))
+    missing = F.transform("_lack", lambda p: F.struct(
+        p.cast(period).alias("PERIOD"), *[F.lit(None).cast("double").alias(i) for i in indicators]))
+    grid = places.withColumn("_r", F.explode(F.concat("_rows", missing))).drop("_rows", "_lack")
+    stats = [c for c in places.columns if c.startswith(("MEAN_80_", "SD_80_"))]
+    return grid.select(*PLACE, *names, "_r.*", *stats).withColumns({"YEAR": year_of("PERIOD"), "MONTH": month_of("PERIOD")})
 
 
 def full_grid_long(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:

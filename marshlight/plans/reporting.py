@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import any_true, ratio, row_sum, sum_zero
@@ -12,6 +12,7 @@ from ..functions.periods import year_of
 from ..functions.text import name_is_closed
 from ..operators.joins import attach, open_at_month_start, open_in_month
 from ..operators.shape import wide_form, with_every_month
+from ..sources.staging import stage
 
 RATE_KEYS = ("ADM2_ID", "YEAR", "MONTH")
 ADMIN = ("ADM1_ID", "ADM1_NAME", "ADM2_ID", "ADM2_NAME")
@@ -43,21 +44,21 @@ def deduplicate_reports(wide: DataFrame) -> DataFrame:
 
     Rows that tie are all kept, so agreeing products still count twice. A facility is treated in all its
     months once it is doubled in any. Nothing is removed when a doubled row holds anything but 0 or 1.
+    The windows hold one facility's months and products.
     """
-    per_month = wide.groupBy("OU_ID", "PERIOD").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("ACTUAL_REPORTS").alias("_best"),
-        # a missing value counts as "not 0 or 1" and as an unknown maximum
-        F.count_if(F.col("ACTUAL_REPORTS").isNull()).alias("_unknown"),
-        F.count_if(~F.coalesce(F.col("ACTUAL_REPORTS").isin(0, 1) & F.col("EXPECTED_REPORTS").isin(0, 1),
-                               F.lit(False))).alias("_odd"),
-    )
-    doubled = per_month.filter("_n > 1")
-    odd = doubled.agg(F.coalesce(F.sum("_odd"), F.lit(0)).alias("odd")).scalar()
-    units = doubled.select("OU_ID").distinct().withColumn("_doubled", F.lit(True))
-    best = per_month.join(units, "OU_ID").select("OU_ID", "PERIOD", "_doubled",
-                                                 F.when(F.col("_unknown") == 0, F.col("_best")).alias("_best"))
-    keep = F.col("_doubled").isNull() | (odd > 0) | (F.col("ACTUAL_REPORTS") == F.col("_best"))
-    return wide.join(best, ["OU_ID", "PERIOD"], "left").filter(keep).drop("_best", "_doubled")
+    known = F.coalesce(F.col("ACTUAL_REPORTS").isin(0, 1) & F.col("EXPECTED_REPORTS").isin(0, 1), F.lit(False))
+    per_month = wide.groupBy("OU_ID", "PERIOD").agg(F.count(F.lit(1)).alias("n"), F.count_if(~known).alias("odd"))
+    odd = per_month.filter("n > 1").agg(F.coalesce(F.sum("odd"), F.lit(0)).alias("odd")).scalar()
+    month, unit = Window.partitionBy("OU_ID", "PERIOD"), Window.partitionBy("OU_ID")
+    df = wide.repartition("OU_ID").withColumns({
+        "_n": F.count(F.lit(1)).over(month),
+        # one unknown value leaves the month's highest unknown
+        "_best": F.when(F.count("ACTUAL_REPORTS").over(month) == F.count(F.lit(1)).over(month),
+                        F.max("ACTUAL_REPORTS").over(month)),
+    })
+    df = df.withColumn("_doubled", F.max("_n").over(unit) > 1)
+    keep = ~F.col("_doubled") | (odd > 0) | (F.col("ACTUAL_REPORTS") == F.col("_best"))
+    return df.filter(keep).drop("_n", "_best", "_doubled")
 
 
 def cap_reports(wide: DataFrame) -> DataFrame:
@@ -71,8 +72,12 @@ def district_rate(wide: DataFrame, keys: Sequence[str] = ("PERIOD", "YEAR", "MON
 
 
 def dataset_rate(reports: DataFrame, wanted: Sequence[str], cap: bool = False) -> DataFrame:
-    """Actual over expected reports per district and month."""
-    wide = deduplicate_reports(reports_wide(chosen_products(reports, wanted)))
+    """Actual over expected reports per district and month.
+
+    The wide table is staged: which products exist and whether any doubled row is odd are questions about
+    all of it that must be answered before its rows can be chosen.
+    """
+    wide = deduplicate_reports(chosen_products(stage(reports_wide(reports)), wanted))
     return district_rate(cap_reports(wide) if cap else wide)
 
 
@@ -83,28 +88,33 @@ def attach_rate(routine: DataFrame, rate: DataFrame) -> DataFrame:
 # --- data element method ----------------------------------------------------------------------------
 
 
-def facility_months(pyramid: DataFrame, routine: DataFrame, activity: Sequence[str]) -> DataFrame:
-    """One row per facility and month: ACTIVE_THIS_PERIOD and OPEN as 0/1.
+def facility_months(pyramid: DataFrame, routine: DataFrame, activity: Sequence[str],
+                    facility: DataFrame | None = None) -> DataFrame:
+    """One row per facility and month: ACTIVE_THIS_PERIOD, ACTIVE_THIS_YEAR and OPEN as 0/1.
 
     Active = any activity indicator present and not negative. Open = by dates at the start of the month
-    and no closing word in the name. Routine rows are reduced to one flag per facility and month before
-    the join with the grid.
+    and no closing word in the name. A facility's active months are gathered as one array (as long as the
+    calendar at most) before the only join, by facility; the months are then unfolded in place, so the
+    facility x month grid is never shuffled. `facility` adds columns by OU_ID in the same join.
     """
-    active = routine.groupBy("OU_ID", "PERIOD").agg(
-        F.max(any_true([F.col(c) >= 0 for c in activity]).cast("int")).alias("ACTIVE_THIS_PERIOD"))
-    grid = with_every_month(pyramid.select(*ADMIN, "OU_ID", "OU_NAME", "OPENING_DATE", "CLOSED_DATE").distinct(),
-                            routine)
-    df = grid.join(active, ["OU_ID", "PERIOD"], "left")
+    active = F.when(any_true([F.col(c) >= 0 for c in activity]), F.col("PERIOD"))
+    seen = routine.groupBy("OU_ID").agg(F.collect_set(active).alias("_active"))
+    extra = []
+    if facility is not None:
+        extra = [c for c in facility.columns if c != "OU_ID"]
+        seen = seen.join(facility, "OU_ID", "full")
+    units = pyramid.select(*ADMIN, "OU_ID", "OU_NAME", "OPENING_DATE", "CLOSED_DATE").distinct()
+    df = with_every_month(units.join(seen, "OU_ID", "left"), routine)
+    year = (F.col("PERIOD") / 100).cast("int")
+    this_month = F.array_contains("_active", F.col("PERIOD"))
+    this_year = F.exists("_active", lambda p: (p / 100).cast("int") == year)
     is_open = open_at_month_start("OPENING_DATE", "CLOSED_DATE", "PERIOD") & ~name_is_closed("OU_NAME")
-    return df.select(*ADMIN, "OU_ID", "PERIOD", year_of("PERIOD").alias("YEAR"),
-                     F.coalesce("ACTIVE_THIS_PERIOD", F.lit(0)).alias("ACTIVE_THIS_PERIOD"),
-                     F.coalesce(is_open, F.lit(False)).cast("int").alias("OPEN"))
 
+    def zero_one(c: Column) -> Column:
+        return F.coalesce(c, F.lit(False)).cast("int")
 
-def with_active_year(months: DataFrame) -> DataFrame:
-    """ACTIVE_THIS_YEAR: active in any month of the year. At most 12 rows per window."""
-    year = Window.partitionBy("OU_ID", "YEAR")
-    return months.withColumn("ACTIVE_THIS_YEAR", F.max("ACTIVE_THIS_PERIOD").over(year))
+    return df.select(*ADMIN, "OU_ID", "PERIOD", year.alias("YEAR"), zero_one(this_month).alias("ACTIVE_THIS_PERIOD"),
+                     zero_one(this_year).alias("ACTIVE_THIS_YEAR"), zero_one(is_open).alias("OPEN"), *extra)
 
 
 def facility_means(routine: DataFrame, volume: Sequence[str]) -> DataFrame:
@@ -129,9 +139,9 @@ def facility_weights(routine: DataFrame, volume: Sequence[str]) -> DataFrame:
 FLAGS = ("ACTIVE_THIS_PERIOD", "COUNT", "OPEN", "ACTIVE_THIS_YEAR")
 
 
-def monthly_rates(months: DataFrame, weights: DataFrame) -> DataFrame:
-    """All reporting rates per district and month, plain and weighted."""
-    df = months.withColumn("COUNT", F.lit(1)).join(weights.select("OU_ID", "WEIGHT"), "OU_ID", "left")
+def monthly_rates(months: DataFrame) -> DataFrame:
+    """All reporting rates per district and month, plain and weighted, from months with a WEIGHT column."""
+    df = months.withColumn("COUNT", F.lit(1))
     sums = df.groupBy(*ADMIN, "YEAR", "PERIOD").agg(
         *[F.sum(f).cast("double").alias(f) for f in FLAGS],
         *[sum_zero(F.col(f) * F.col("WEIGHT")).alias(f"{f}_W") for f in FLAGS],
@@ -166,8 +176,9 @@ def chosen_rate(monthly: DataFrame, denominator: str, weighted: bool = False) ->
 
 def element_rate(pyramid: DataFrame, routine: DataFrame, activity: Sequence[str], volume: Sequence[str],
                  denominator: str = "ROUTINE_ACTIVE_FACILITIES", weighted: bool = False) -> DataFrame:
-    months = with_active_year(facility_months(pyramid, routine, activity))
-    return chosen_rate(monthly_rates(months, facility_weights(routine, volume)), denominator, weighted)
+    weights = facility_weights(routine, volume).select("OU_ID", "WEIGHT")
+    months = facility_months(pyramid, routine, activity, weights)
+    return chosen_rate(monthly_rates(months), denominator, weighted)
 
 
 # --- older method -----------------------------------------------------------------------------------

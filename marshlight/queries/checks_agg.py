@@ -163,8 +163,9 @@ RATE_COLS = " ".join(f"RR_{d}_HF{w}" for d in ("TOTAL", "OPEN", "ACTIVE") for w
 SUM_COLS = "ACTIVE_THIS_PERIOD_W COUNT_W OPEN_W ACTIVE_THIS_YEAR_W"
 
 
-def _months(t):
-    return R.with_active_year(R.facility_months(t.pyramid, t.routine, ACTIVITY))
+def _months(t, weighted=False):
+    weights = R.facility_weights(t.routine, ACTIVITY).select("OU_ID", "WEIGHT") if weighted else None
+    return R.facility_months(t.pyramid, t.routine, ACTIVITY, weights)
 
 
 @query("B9_B10_open_and_active_flags", "SELECT OU_ID, PERIOD, ACTIVE_THIS_PERIOD, OPEN FROM v_months")
@@ -201,22 +202,21 @@ def _(t):
 
 @query("D10_all_reporting_rates", "SELECT * FROM v_rates", f"{RATE_COLS} {SUM_COLS}")
 def _(t):
-    return R.monthly_rates(_months(t), R.facility_weights(t.routine, ACTIVITY))
+    return R.monthly_rates(_months(t, weighted=True))
 
 
 for _col, _den, _w in (("RR_ACTIVE_HF", "ROUTINE_ACTIVE_FACILITIES", False),
                        ("RR_OPEN_HF_W", "PYRAMID_OPEN_FACILITIES", True)):
     query(f"K13_element_rate_{_col.lower()}", f"""
 SELECT ADM2_ID, YEAR, CAST(PERIOD % 100 AS INTEGER) AS MONTH, {_col} AS REPORTING_RATE FROM v_rates""",
-          "REPORTING_RATE")(lambda t, d=_den, w=_w: R.element_rate(t.pyramid, t.routine, ACTIVITY, ACTIVITY, d, w))
+          "REPORTING_RATE")(lambda t, d=_den, w=_w: R.element_rate(t.pyramid, t.staged_routine, ACTIVITY, ACTIVITY, d, w))
 
 
 @query("B17_chosen_rate", """
 SELECT ADM2_ID, YEAR, CAST(PERIOD % 100 AS INTEGER) AS MONTH, RR_ACTIVE_HF_W AS REPORTING_RATE FROM v_rates""",
        "REPORTING_RATE")
 def _(t):
-    rates = R.monthly_rates(_months(t), R.facility_weights(t.routine, ACTIVITY))
-    return R.chosen_rate(rates, "ROUTINE_ACTIVE_FACILITIES", weighted=True)
+    return R.chosen_rate(R.monthly_rates(_months(t, weighted=True)), "ROUTINE_ACTIVE_FACILITIES", weighted=True)
 
 
 VIEWS["v_submitted"] = """
@@ -481,7 +481,7 @@ Y_COLS = "N1 N2 N3 INCIDENCE_CRUDE INCIDENCE_ADJ_TESTING INCIDENCE_ADJ_REPORTING
 
 
 def yearly(t):
-    return I.incidence(t.routine, t.rate, t.population, "PRES", I.care_seeking(t.care, "PCT"))
+    return I.incidence(t.staged_routine, t.rate, t.population, "PRES", I.care_seeking(t.care, "PCT"))
 
 
 @query("D45_yearly_order_checks", """

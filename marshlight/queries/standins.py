@@ -11,6 +11,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.outliers import routine_long
+from ..sources.staging import stage
+
 INDICATORS = ["SUSP", "TEST", "CONF", "PRES"]
 CARE = ["MALTREAT", "MALADM", "MALDTH", "ALLADM", "ALLDTH", "ALLOUT"]
 
@@ -191,9 +194,16 @@ class Tables:
             "ADM1_ID", "ADM1_NAME", "ADM2_ID", "ADM2_NAME", "OU_ID", "OU_NAME", *INDICATORS, *CARE)
 
     @cached_property
-    def long(self) -> DataFrame:
-        from ..plans.outliers import routine_long
+    def staged_routine(self) -> DataFrame:
+        """The routine table written once, for jobs that read it several times.
+
+        Later uses of `routine` and of what is derived from it read the written table too.
+        """
+        self.routine = stage(self.routine)
+        return self.routine
 
+    @cached_property
+    def long(self) -> DataFrame:
         return routine_long(self.routine, INDICATORS)
 
     @cached_property
