@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import climate as C
-from .checks_join import SIZE
 from .registry import query
 from .standins import VIEWS
 
@@ -73,7 +72,7 @@ VIEWS["v_zone"] = "SELECT d.ADM2_ID, c.* FROM v_cells c JOIN v_cell_district d U
 SELECT ADM2_ID, CAST(label % 2 + 2020 AS INTEGER) AS YEAR, CAST(round_even(sum(value), 0) AS BIGINT) AS POPULATION,
   count(value) AS CELLS FROM v_zone GROUP BY 1, 2""")
 def _(t):
-    return C.district_population(_yearly_cells(t), C.district_cells(t.cells, t.edges, SIZE))
+    return C.district_population(_yearly_cells(t), t.district_cells)
 
 
 @query("D17_K28_metric_means", """
@@ -83,4 +82,4 @@ def _(t):
     k = F.col("label") % 3
     cells = t.cells.select("lon", "lat", "value", F.lit("Pf_Parasite_Rate").alias("metric"), (F.col("label") % 2 + 2020).alias("year"),
                            F.when(k == 0, "Data").when(k == 1, "LCI").otherwise("UCI").alias("band"))
-    return C.metric_means(cells, C.district_cells(t.cells, t.edges, SIZE))
+    return C.metric_means(cells, t.district_cells)

@@ -12,9 +12,9 @@ from ..functions import text as X
 from ..plans import formatting as Fm
 from ..plans import incidence as I
 from ..plans import population as Pop
-from .checks_join import SIZE, indicator_map, monthly
+from .checks_join import indicator_map, monthly
 from .registry import query
-from .standins import VIEWS
+from .standins import SIZE, VIEWS
 
 
 @query("H1_normalise_names", """

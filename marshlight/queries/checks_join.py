@@ -16,9 +16,7 @@ from ..plans import formatting as Fm
 from ..plans import incidence as I
 from ..plans import population as Pop
 from .registry import query
-from .standins import VIEWS
-
-SIZE = 0.05  # square size for shapes about half a degree wide
+from .standins import SIZE, VIEWS
 
 
 @query("C1_attach_unit_attributes", """
@@ -376,7 +374,7 @@ SELECT *, WEIGHTED_SUM / nullif(POPULATION, 0) AS POPULATION_WEIGHTED FROM v_wei
        "WEIGHTED_SUM POPULATION_WEIGHTED")
 def _(t):
     aligned = P.align_grid(t.cells, coarse(t), -1.0, -1.0, 0.1, 0.1, "metric", "metric")
-    return C.weighted_metric(aligned, C.district_cells(t.cells, t.edges, SIZE), "value", "metric")
+    return C.weighted_metric(aligned, t.district_cells, "value", "metric")
 
 
 @query("C25_outlier_flag_back_to_routine", """
@@ -446,7 +444,7 @@ FROM (SELECT d.ADM2_ID, a.value, EXISTS (SELECT 1 FROM v_cells b WHERE b.label =
       FROM v_cells a JOIN v_cell_district d USING (lon, lat)) z GROUP BY 1""", "POPULATION COVERED PCT_HEALTH_ACCESS")
 def _(t):
     sites = t.cells.filter("label = 3").select(F.col("lon").alias("LONGITUDE"), F.col("lat").alias("LATITUDE"))
-    return A.population_access(t.cells, sites, t.edges, C.district_cells(t.cells, t.edges, SIZE), 5.0, SIZE)
+    return A.population_access(t.cells, sites, t.edges, t.district_cells, 5.0, SIZE)
 
 
 @query("B8_active_facilities", """

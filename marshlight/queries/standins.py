@@ -11,9 +11,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.climate import district_cells
 from ..plans.outliers import routine_long
 from ..sources.staging import stage
 
+SIZE = 0.05  # square size for shapes about half a degree wide
 INDICATORS = ["SUSP", "TEST", "CONF", "PRES"]
 CARE = ["MALTREAT", "MALADM", "MALDTH", "ALLADM", "ALLDTH", "ALLOUT"]
 
@@ -304,6 +306,11 @@ class Tables:
         return box.select(name.alias("ADM2_ID"), F.concat(F.lit("DS "), name).alias("ADM2_NAME"),
                           F.explode(rows).alias("r")).select("ADM2_ID", "ADM2_NAME", "r.*")
 
+    @cached_property
+    def district_cells(self) -> DataFrame:
+        """The cell to district table, located once and written."""
+        return stage(district_cells(self.cells, self.edges, SIZE))
+
     @cached_property
     def climate(self) -> DataFrame:
         return self.raw_table("events").groupBy(

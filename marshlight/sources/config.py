@@ -8,14 +8,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def literal_table(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str]) -> DataFrame:
+    """A driver-side list of text rows as a table whose size the optimizer can see.
+
+    Written as literals over a one-row range, so joins with facts are broadcast by Spark's own size rule
+    and never shuffle the facts on a handful of keys. Longer lists become an ordinary table.
+    """
+    schema = ", ".join(f"`{n}` string" for n in names)
+    if not rows or len(rows) > 5000:
+        return spark.createDataFrame([tuple(r) for r in rows], schema)
+    structs = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def indicator_map(spark: SparkSession, definitions: Mapping[str, Sequence[str]]) -> DataFrame:
     """Rows (INDICATOR, DX, CO): one per element id of a definition; `DX.CO` names one category.
 
     An indicator with an empty definition keeps one row with null DX, so its name is not lost.
     """
     rows = [(name, raw) for name, ids in definitions.items() for raw in (list(ids) or [None])]
-    raw = spark.createDataFrame(rows, "INDICATOR string, RAW string")
-    return split_definitions(raw)
+    return split_definitions(literal_table(spark, rows, ["INDICATOR", "RAW"]))
 
 
 def split_definitions(raw: DataFrame, col: str = "RAW") -> DataFrame:
@@ -37,8 +49,7 @@ def metadata_table(spark: SparkSession, metadata: Mapping[str, Mapping[str, obje
     attributes = list(dict.fromkeys(k for v in metadata.values() for k in v))
     rows = [(name, *[None if v.get(a) is None else str(v[a]) for a in attributes])
             for name, v in metadata.items()]
-    schema = ", ".join(["VARIABLE string", *[f"`{a.upper()}` string" for a in attributes]])
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, ["VARIABLE", *[a.upper() for a in attributes]])
 
 
 def update_metadata(meta: DataFrame, updates: DataFrame, attribute: str = "PERIOD") -> DataFrame:
