@@ -19,17 +19,17 @@ BUCKETS = 2048
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Columns `keys`, `prob`, `quantile` (linear interpolation); missing values are left out."""
     keys = list(keys)
-    if not keys:
-        df, keys, drop = df.withColumn("_g", F.lit(1)), ["_g"], True
-    else:
-        drop = False
     v = F.col(value).cast("double")
     counts = df.filter(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     # A signed logarithm keeps buckets even for long-tailed counts; it is monotone, so order is kept.
     squeezed = F.signum("_v") * F.log1p(F.abs(F.col("_v")))
     counts = counts.withColumn("_s", squeezed)
     span = counts.groupBy(*keys).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    placed = counts.join(span, keys).withColumn(
+    if keys:
+        placed = counts.join(span, keys)
+    else:
+        placed = counts.withColumns({c: span.select(c).scalar() for c in ("_lo", "_hi")})
+    placed = placed.withColumn(
         "_b",
         F.coalesce(
             F.floor(F.try_divide(F.col("_s") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * (BUCKETS - 1)),
@@ -66,4 +66,4 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     out = out.withColumn(
         "quantile", F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))
     )
-    return out.select(*([] if drop else keys), "prob", "quantile")
+    return out.select(*keys, "prob", "quantile")

@@ -57,12 +57,14 @@ def update_metadata(meta: DataFrame, updates: DataFrame, attribute: str = "PERIO
 
     A name that is not in the table raises when the result is computed.
     """
-    new = updates.select("VARIABLE", F.col(attribute).cast("string").alias("_new"))
-    joined = meta.withColumn("_known", F.lit(True)).join(new, "VARIABLE", "full")
+    known = meta.withColumns({"_known": F.lit(True), "_new": F.lit(None).cast("string")})
+    new = updates.select("VARIABLE", F.lit(False).alias("_known"), F.col(attribute).cast("string").alias("_new"))
+    rest = [c for c in meta.columns if c != "VARIABLE"]
+    both = known.unionByName(new, allowMissingColumns=True).groupBy("VARIABLE").agg(
+        F.max("_known").alias("_known"), F.max("_new").alias("_new"), *[F.max(c).alias(c) for c in rest])
     checked = F.when(F.col("_known"), F.coalesce("_new", attribute)).otherwise(
-        F.raise_error(F.concat(F.lit("unknown variable: "), F.col("VARIABLE")))
-    )
-    return joined.withColumn(attribute, checked).select(*meta.columns)
+        F.raise_error(F.concat(F.lit("unknown variable: "), F.col("VARIABLE"))))
+    return both.withColumn(attribute, checked).select(*meta.columns)
 
 
 def code_labels(df: DataFrame, code: str, label: str, code_name: str, label_name: str) -> DataFrame:
