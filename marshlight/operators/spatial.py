@@ -25,6 +25,22 @@ def square(c: Column | str, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("bigint")
 
 
+def polygon_edges(shapes: DataFrame, ids: Sequence[str], geometry: str = "GEOMETRY") -> DataFrame:
+    """Edge rows of GeoJSON polygons and multipolygons; a shape without readable rings gives none."""
+    text = F.get_json_object(geometry, "$.coordinates")
+    kind = F.get_json_object(geometry, "$.type")
+    many = F.from_json(text, "array<array<array<array<double>>>>")
+    single = F.array(F.from_json(text, "array<array<array<double>>>"))
+    rings = F.flatten(F.when(kind == "MultiPolygon", many).when(kind == "Polygon", single))
+    ring_rows = shapes.select(*ids, F.posexplode(rings).alias("ring", "points"))
+    n = F.size("points")
+    # a ring repeats its first point at the end, so n points are n - 1 edges
+    sides = F.transform(F.slice("points", F.lit(1), F.greatest(n - 1, F.lit(0))), lambda a, i: F.struct(
+        (i + 1).alias("seq"), F.get(a, F.lit(0)).alias("x1"), F.get(a, F.lit(1)).alias("y1"),
+        F.get(F.get("points", i + 1), F.lit(0)).alias("x2"), F.get(F.get("points", i + 1), F.lit(1)).alias("y2")))
+    return ring_rows.select(*ids, "ring", F.inline(sides))
+
+
 def usable_edges(edges: DataFrame, shape_id: str) -> DataFrame:
     """Edges of real shapes: coordinates present and at least three edges per shape."""
     ok = edges.dropna(subset=[shape_id, "x1", "y1", "x2", "y2"])

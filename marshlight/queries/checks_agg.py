@@ -636,3 +636,11 @@ def _(t):
     return t.long.select("OU_ID", "INDICATOR").distinct().agg(F.count(F.lit(1)).alias("n"))
 
 
+
+
+@query("K14_merged_facility_levels", """
+SELECT DISTINCT OU_ID, ADM2_ID, coalesce(NULL, CASE WHEN OPENING_DATE IS NULL THEN 'hospital' END) AS kind FROM v_pyramid""")
+def _(t):
+    hospitals = t.pyramid.filter("OPENING_DATE is null").select("OU_ID", "ADM2_ID", F.lit("hospital").alias("kind"))
+    others = t.pyramid.filter("OPENING_DATE is not null").select("OU_ID", "ADM2_ID")
+    return R.merge_facility_levels(hospitals, others)

@@ -355,3 +355,27 @@ def _(t):
     return Fm.format_shapes(s, {"ADM1": 2, "ADM2": 3})
 
 
+
+
+@query("K5_A3_shape_edges", """
+SELECT ADM2_ID, r.ring, CAST(seq AS INTEGER) AS seq, CASE r.ring WHEN 0 THEN x1 ELSE round(x1 / 2, 6) END AS x1,
+  CASE r.ring WHEN 0 THEN y1 ELSE round(y1 / 2, 6) END AS y1, CASE r.ring WHEN 0 THEN x2 ELSE round(x2 / 2, 6) END AS x2,
+  CASE r.ring WHEN 0 THEN y2 ELSE round(y2 / 2, 6) END AS y2
+FROM v_edges CROSS JOIN (VALUES (0), (1)) r(ring)""", "x1 y1 x2 y2")
+def _(t):
+    from ..operators.spatial import polygon_edges
+
+    e = t.edges
+
+    def ring(scale):
+        point = F.format_string("[%.9f,%.9f]", F.col("x1") * scale, F.col("y1") * scale)
+        order = F.array_sort(F.collect_list(F.struct("seq", point.alias("p"))))
+        points = F.transform(order, lambda s: s["p"])
+        return F.concat(F.lit("["), F.array_join(F.concat(points, F.slice(points, 1, 1)), ","), F.lit("]"))
+
+    # every shape as a Polygon with a second ring half its size, odd labels as a MultiPolygon
+    shapes = e.groupBy("ADM2_ID").agg(ring(1.0).alias("a"), ring(0.5).alias("b"))
+    multi = F.col("ADM2_ID").isin("L1", "L3", "L5", "L7", "L9")
+    text = F.when(multi, F.concat(F.lit('{"type":"MultiPolygon","coordinates":[['), "a", F.lit("],["), "b", F.lit("]]}"))).otherwise(
+        F.concat(F.lit('{"type":"Polygon","coordinates":['), "a", F.lit(","), "b", F.lit("]}")))
+    return polygon_edges(shapes.select("ADM2_ID", text.alias("GEOMETRY")), ["ADM2_ID"])

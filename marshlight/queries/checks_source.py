@@ -344,3 +344,8 @@ def _(t):
     return J.attach(df, t.admin, ["ADM2_ID"], ["ADM2_NAME"]).drop("ADM2_ID")
 
 
+
+
+@query("A9_written_and_read_back", "SELECT OU_ID, PERIOD, SUSP, CONF FROM v_routine")
+def _(t):
+    return t.staged_routine.select("OU_ID", "PERIOD", "SUSP", "CONF")
