@@ -126,27 +126,54 @@ def count_per_shape(points: DataFrame, edges: DataFrame, ids: Sequence[str], siz
     return shapes.join(counts, list(ids), "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
 
 
+FINE = 4  # squares per radius
+
+
+def reach_index(facilities: DataFrame, radius_km: float, f_lon: str = "LONGITUDE", f_lat: str = "LATITUDE") -> DataFrame:
+    """Rows (bx, by, whole, f_lon, f_lat): the squares within reach of a facility.
+
+    A square that lies wholly inside some facility's circle is one row, however many facilities reach it;
+    only squares cut by circles and inside none list their facilities for a distance test.
+    """
+    size = radius_km / KM_PER_DEGREE * 1.01 / FINE
+    places = facilities.select(F.col(f_lon).cast("double").alias("f_lon"), F.col(f_lat).cast("double").alias("f_lat")
+                               ).dropna().distinct()
+    up = F.lit(size * FINE)
+    widest = F.cos(F.radians(F.least(F.abs(F.col("f_lat")) + up, F.lit(89.0))))
+    across = up / F.greatest(widest, F.lit(0.01))
+    squares = places.withColumn(
+        "bx", F.explode(F.sequence(square(F.col("f_lon") - across, size), square(F.col("f_lon") + across, size)))
+    ).withColumn("by", F.explode(F.sequence(square(F.col("f_lat") - up, size), square(F.col("f_lat") + up, size))))
+    west, south = F.col("bx") * size, F.col("by") * size
+
+    def away(x: Column, y: Column) -> Column:
+        return haversine_km(F.col("f_lon"), F.col("f_lat"), x, y)
+
+    corners = F.greatest(*[away(x, y) for x in (west, west + size) for y in (south, south + size)])
+    nearest = away(F.least(F.greatest(F.col("f_lon"), west), west + size), F.least(F.greatest(F.col("f_lat"), south), south + size))
+    # the margins keep every doubtful square on the exact test
+    squares = squares.withColumn("whole", corners <= radius_km * 0.999).filter(nearest <= radius_km * 1.01)
+    whole = squares.filter("whole").select("bx", "by").distinct()
+    cut = squares.filter(~F.col("whole")).join(whole, ["bx", "by"], "left_anti")
+    nowhere = F.lit(None).cast("double")
+    return whole.select("bx", "by", F.lit(True).alias("whole"), nowhere.alias("f_lon"), nowhere.alias("f_lat")).unionByName(
+        cut.select("bx", "by", "whole", "f_lon", "f_lat"))
+
+
 def within_distance(cells: DataFrame, facilities: DataFrame, radius_km: float, lon: str = "lon",
                     lat: str = "lat", f_lon: str = "LONGITUDE", f_lat: str = "LATITUDE") -> DataFrame:
     """Cells that have a facility within `radius_km` (great-circle distance).
 
-    Facilities, the smaller side, are reduced to distinct positions and written into every square their
-    circle can touch; a cell then looks in its own square only. The semi join stops at the first hit, so
-    pairs are never emitted.
+    The facility side is spread over the squares it can reach; a cell looks in its own square only. The
+    semi join stops at the first hit, so pairs are never emitted, and around a crowd of facilities most
+    squares answer without any distance.
     """
-    size = radius_km / KM_PER_DEGREE * 1.01
-    places = facilities.select(F.col(f_lon).cast("double").alias("_flon"), F.col(f_lat).cast("double").alias("_flat")
-                               ).dropna().distinct()
-    reach = F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("_flat")) + size, F.lit(89.0)))), F.lit(0.01))
-    spread = places.withColumn(
-        "bx", F.explode(F.sequence(square(F.col("_flon") - reach, size), square(F.col("_flon") + reach, size)))
-    ).withColumn(
-        "by", F.explode(F.sequence(square(F.col("_flat") - size, size), square(F.col("_flat") + size, size)))
-    ).alias("f")
+    size = radius_km / KM_PER_DEGREE * 1.01 / FINE
+    index = reach_index(facilities, radius_km, f_lon, f_lat).alias("f")
     keyed = cells.withColumns({"bx": square(lon, size), "by": square(lat, size)}).alias("c")
-    near = haversine_km(F.col(f"c.{lon}"), F.col(f"c.{lat}"), F.col("f._flon"), F.col("f._flat")) <= radius_km
+    near = haversine_km(F.col(f"c.{lon}"), F.col(f"c.{lat}"), F.col("f.f_lon"), F.col("f.f_lat")) <= radius_km
     same = (F.col("c.bx") == F.col("f.bx")) & (F.col("c.by") == F.col("f.by"))
-    return keyed.join(spread, same & near, "left_semi").drop("bx", "by")
+    return keyed.join(index, same & (F.col("f.whole") | near), "left_semi").drop("bx", "by")
 
 
 def grid_index(c: str, origin: float, step: float) -> Column:

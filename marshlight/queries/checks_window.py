@@ -142,14 +142,54 @@ def _(t):
     return O.run_staged(t.routine, INDICATORS).removed
 
 
-@query("K10_outliers_staged_complete")
+def _seasonal_sql(source: str, part: str, deviation: float) -> str:
+    """Seasonal cleaning as SQL: `source` with a boolean column s."""
+    w = f"PARTITION BY {part} ORDER BY PERIOD"
+    back, ahead = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", f"({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    whole = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+
+    def ends(v: str) -> str:
+        return (f"last_value(CASE WHEN {v} IS NOT NULL THEN pos END IGNORE NULLS) OVER {back} AS p0, last_value({v} IGNORE NULLS) OVER {back} AS v0, "
+                f"first_value(CASE WHEN {v} IS NOT NULL THEN pos END IGNORE NULLS) OVER {ahead} AS p1, first_value({v} IGNORE NULLS) OVER {ahead} AS v1")
+
+    def line(v: str) -> str:
+        return f"coalesce({v}, v0 + (v1 - v0) / nullif(p1 - p0, 0) * (pos - p0), v0, v1)"
+
+    a = (f"SELECT *, row_number() OVER ({w}) AS pos, count(*) OVER (PARTITION BY {part}) AS n, count(VALUE) OVER (PARTITION BY {part}) AS known, "
+         f"median(VALUE) OVER (PARTITION BY {part}) AS med FROM {source}")
+    b = f"SELECT *, {ends('VALUE')} FROM ({a})"
+    c = f"SELECT * EXCLUDE (p0, v0, p1, v1), {line('VALUE')} AS y FROM ({b})"
+    d = (f"SELECT *, median(abs(VALUE - med)) OVER (PARTITION BY {part}) AS mad, first_value(y) OVER {whole} AS fy, last_value(y) OVER {whole} AS ly, "
+         f"sum(y) OVER ({w} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS inner_sum, lag(y, 6) OVER ({w}) AS y6, lead(y, 6) OVER ({w}) AS z6, "
+         f"list(y) OVER ({w} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS five FROM ({c})")
+    e = ("SELECT *, (pos - 1) % 12 AS mo, CASE WHEN n > 24 THEN (inner_sum + greatest(6 - pos, 0) * fy + greatest(5 - (n - pos), 0) * ly "
+         "+ (coalesce(y6, fy) + coalesce(z6, ly)) / 2) / 12 ELSE list_aggregate(list_concat(five, list_concat("
+         "list_transform(range(greatest(3 - pos, 0)), lambda i: fy), list_transform(range(greatest(2 - (n - pos), 0)), lambda i: ly))), 'median') END AS trend "
+         f"FROM ({d})")
+    f = f"SELECT *, median(y - trend) OVER (PARTITION BY {part}, mo) AS shape, count(*) OVER (PARTITION BY {part}, mo) AS in_mo FROM ({e})"
+    g = f"SELECT *, CASE WHEN n > 24 THEN shape - sum(shape / in_mo) OVER (PARTITION BY {part}) / 12 ELSE 0 END AS season FROM ({f})"
+    h = f"SELECT *, y - trend - season AS r FROM ({g})"
+    i = f"SELECT *, quantile_cont(r, 0.25) OVER (PARTITION BY {part}) AS q1, quantile_cont(r, 0.75) OVER (PARTITION BY {part}) AS q3 FROM ({h})"
+    j = f"SELECT *, CASE WHEN NOT (r < q1 - 3 * (q3 - q1) OR r > q3 + 3 * (q3 - q1) OR VALUE IS NULL) THEN y - season END AS base FROM ({i})"
+    k = f"SELECT *, {ends('base')} FROM ({j})"
+    return (f"SELECT *, coalesce(known >= 2 AND mad > 0 AND abs(VALUE - coalesce({line('base')} + season, y)) / nullif(mad, 0) >= {deviation}, false) AS s "
+            f"FROM ({k})")
+
+
+_LONG = "PERIOD, YEAR, MONTH, ADM1_ID, ADM2_ID, OU_ID, INDICATOR, VALUE"
+VIEWS["v_seasonal5"] = f"SELECT {_LONG}, OUTLIER OR s AS OUTLIER FROM (" + _seasonal_sql("v_staged_std", "OU_ID, INDICATOR, OUTLIER", 5) + ")"
+VIEWS["v_seasonal3"] = f"SELECT {_LONG}, OUTLIER OR s AS OUTLIER FROM (" + _seasonal_sql("v_seasonal5", "OU_ID, INDICATOR, OUTLIER", 3) + ")"
+
+
+@query("K10_outliers_staged_complete", DETECTED.format(method="MAGIC_GLASSES_COMPLETE", view="v_seasonal3"))
 def _(t):
     return text_date(O.run_staged(t.routine, INDICATORS, complete=True).detected)
 
 
-@query("U1_seasonal_outliers")
+@query("U1_seasonal_outliers", "SELECT OU_ID, INDICATOR, PERIOD, VALUE, s AS OUTLIER FROM ("
+       + _seasonal_sql("v_long", "OU_ID, INDICATOR", 2) + ")")
 def _(t):
-    return S.with_seasonal_flag(t.long, 5, "OUTLIER").select("OU_ID", "INDICATOR", "PERIOD", "VALUE", "OUTLIER")
+    return S.with_seasonal_flag(t.long, 2, "OUTLIER").select("OU_ID", "INDICATOR", "PERIOD", "VALUE", "OUTLIER")
 
 
 VIEWS["v_grid"] = """

@@ -28,11 +28,23 @@ def shared_folder(spark: SparkSession) -> str | None:
     return None
 
 
+def _app_folder(spark: SparkSession, root: str) -> str:
+    return f"{root}/marshlight-{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; call it when its last result is written."""
+    root = shared_folder(spark)
+    if root is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_app_folder(spark, root))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """`df` written and read back. Without a shared folder it stays a plan and is computed where used."""
     root = shared_folder(df.sparkSession)
     if root is None:
         return df
-    path = f"{root}/marshlight-{uuid4().hex}"
+    path = f"{_app_folder(df.sparkSession, root)}/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

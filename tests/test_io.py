@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marshlight.sources import readers, writers
-from marshlight.sources.staging import shared_folder, stage
+from marshlight.sources.staging import drop_staged, shared_folder, stage
 from marshlight.streaming.incremental import load_periods
 
 
@@ -93,3 +93,7 @@ def test_stage_uses_the_shared_folder_of_the_session(spark):
     assert folder and shared_folder(spark) == folder
     df = stage(spark.range(5).withColumn("x", F.col("id") * 2))
     assert df.count() == 5 and folder in df.inputFiles()[0]
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert readers.path_exists(spark, path)
+    drop_staged(spark)
+    assert not readers.path_exists(spark, path)
