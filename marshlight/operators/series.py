@@ -21,6 +21,11 @@ SERIES = ("ADM1_ID", "ADM2_ID", "OU_ID", "INDICATOR")
 ORDER = ("PERIOD", "YEAR", "MONTH")
 
 
+def quartiles(value: str) -> Column:
+    """First and third quartile as one aggregate."""
+    return F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
+
+
 def with_medians(df: DataFrame, values: Sequence[str], by: WindowSpec) -> DataFrame:
     """_med_<v> and _mad_<v>: unrounded median and median absolute deviation (constant 1) on every row."""
     df = df.withColumns({f"_med_{v}": F.median(v).over(by) for v in values})
@@ -54,11 +59,12 @@ def with_flags(df: DataFrame, values: Sequence[str], method: str, k: float, by:
                prefix: str = "OUT_") -> DataFrame:
     """Boolean <prefix><v> per value column: IQR, MEAN (sd) or MEDIAN (MAD) rule on rounded-up statistics."""
     if method == "IQR":
-        df = df.withColumns({f"_q{n}_{v}": ceil_d(F.percentile(v, p).over(by))
-                             for v in values for n, p in ((1, 0.25), (3, 0.75))})
-        flags = {f"{prefix}{v}": outside(v, F.col(f"_q1_{v}"), F.col(f"_q3_{v}"),
-                                         (F.col(f"_q3_{v}") - F.col(f"_q1_{v}")) * k) for v in values}
-        helpers = [f"_q{n}_{v}" for v in values for n in (1, 3)]
+        df = df.withColumns({f"_q_{v}": quartiles(v).over(by) for v in values})
+        flags = {}
+        for v in values:
+            q1, q3 = ceil_d(F.col(f"_q_{v}")[0]), ceil_d(F.col(f"_q_{v}")[1])
+            flags[f"{prefix}{v}"] = outside(v, q1, q3, (q3 - q1) * k)
+        helpers = [f"_q_{v}" for v in values]
     elif method == "MEAN":
         df = df.withColumns({f"_mean_{v}": ceil_d(F.avg(v).over(by)) for v in values}
                             | {f"_sd_{v}": ceil_d(F.stddev_samp(v).over(by)) for v in values})
@@ -185,14 +191,18 @@ def max_back_on_rows(df: DataFrame, target: str, keys: Sequence[str], name: str)
 PERIOD = 12
 
 
-def _filled_line(value: str, order: WindowSpec) -> tuple[dict[str, Column], Column]:
-    """Helper columns and the expression of `value` with gaps joined by straight lines, ends held level."""
-    before = order.rowsBetween(Window.unboundedPreceding, 0)
-    after = order.rowsBetween(0, Window.unboundedFollowing)
+def _filled_line(value: str, forward: WindowSpec, backward: WindowSpec) -> tuple[dict[str, Column], Column]:
+    """Helper columns and the expression of `value` with gaps joined by straight lines, ends held level.
+
+    The next known value is the last one seen in a backward walk: a running frame costs one step per row,
+    a frame open towards the end would be summed up again for every row.
+    """
+    before = forward.rowsBetween(Window.unboundedPreceding, 0)
+    after = backward.rowsBetween(Window.unboundedPreceding, 0)
     at = F.when(F.col(value).isNotNull(), F.col("_pos"))
     helpers = {
         "_p0": F.last(at, ignorenulls=True).over(before), "_v0": F.last(value, ignorenulls=True).over(before),
-        "_p1": F.first(at, ignorenulls=True).over(after), "_v1": F.first(value, ignorenulls=True).over(after),
+        "_p1": F.last(at, ignorenulls=True).over(after), "_v1": F.last(value, ignorenulls=True).over(after),
     }
     slope = F.try_divide(F.col("_v1") - F.col("_v0"), F.col("_p1") - F.col("_p0"))
     between = F.col("_v0") + slope * (F.col("_pos") - F.col("_p0"))
@@ -210,16 +220,15 @@ def with_seasonal_flag(df: DataFrame, deviation: float, name: str, keys: Sequenc
     """
     by = Window.partitionBy(*keys)
     line = by.orderBy(*order)
+    back = by.orderBy(*[F.desc(o) for o in order])
     cols = df.columns
     df = df.withColumns({"_pos": F.row_number().over(line), "_n": F.count(F.lit(1)).over(by),
                          "_known": F.count(value).over(by), "_med": F.median(value).over(by)})
-    helpers, filled = _filled_line(value, line)
+    helpers, filled = _filled_line(value, line, back)
     df = df.withColumns(helpers).withColumn("_y", filled)
     df = df.withColumn("_mad", F.median(F.abs(F.col(value) - F.col("_med"))).over(by))
     # Beyond either end the series is held at its first or last value.
-    first, last = F.first("_y").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.last(
-        "_y").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    df = df.withColumns({"_first": first, "_last": last})
+    df = df.withColumns({"_first": F.min_by("_y", "_pos").over(by), "_last": F.max_by("_y", "_pos").over(by)})
 
     def short(side: str, reach: int) -> Column:
         there = F.col("_pos") - 1 if side == "left" else F.col("_n") - F.col("_pos")
@@ -239,11 +248,12 @@ def with_seasonal_flag(df: DataFrame, deviation: float, name: str, keys: Sequenc
     df = df.withColumn("_level", level)
     df = df.withColumn("_season", F.when(long_series, F.col("_shape") - F.col("_level")).otherwise(0.0))
     df = df.withColumn("_r", F.col("_y") - F.col("_trend") - F.col("_season"))
-    df = df.withColumns({"_q1": F.percentile("_r", 0.25).over(by), "_q3": F.percentile("_r", 0.75).over(by)})
-    reach = 3 * (F.col("_q3") - F.col("_q1"))
-    bad = (F.col("_r") < F.col("_q1") - reach) | (F.col("_r") > F.col("_q3") + reach) | F.col(value).isNull()
+    df = df.withColumn("_q", quartiles("_r").over(by))
+    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    reach = 3 * (q3 - q1)
+    bad = (F.col("_r") < q1 - reach) | (F.col("_r") > q3 + reach) | F.col(value).isNull()
     df = df.withColumn("_base", F.when(~bad, F.col("_y") - F.col("_season")))
-    helpers, cleaned = _filled_line("_base", line)
+    helpers, cleaned = _filled_line("_base", line, back)
     df = df.withColumns(helpers).withColumn("_clean", F.coalesce(cleaned + F.col("_season"), F.col("_y")))
     gap = F.try_divide(F.abs(F.col(value) - F.col("_clean")), F.col("_mad"))
     usable = (F.col("_known") >= 2) & (F.col("_mad") > 0)

@@ -47,7 +47,16 @@ def facility_months(routine: DataFrame, indicators: Sequence[str], order: Sequen
     """
     names = [c for c in NAMES if c in routine.columns]
     table = routine.select(*FIXED, *names, *[F.col(i).cast("double").alias(i) for i in indicators])
-    return first_per_key(table, FIXED, list(order or indicators)).repartition("OU_ID")
+    return by_facility(first_per_key(table, FIXED, list(order or indicators)))
+
+
+def by_facility(df: DataFrame) -> DataFrame:
+    """Partitioned by facility in as many parts as the session shuffles into.
+
+    The number is explicit because the work that follows (many windows, rows unfolded per indicator) is far
+    larger than the shuffled bytes by which adaptive execution would merge partitions.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "OU_ID")
 
 
 def _flags(df: DataFrame, indicators: Sequence[str], flag: str, value: str = "") -> DataFrame:

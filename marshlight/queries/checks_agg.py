@@ -481,7 +481,8 @@ Y_COLS = "N1 N2 N3 INCIDENCE_CRUDE INCIDENCE_ADJ_TESTING INCIDENCE_ADJ_REPORTING
 
 
 def yearly(t):
-    return I.incidence(t.staged_routine, t.rate, t.population, "PRES", I.care_seeking(t.care, "PCT"))
+    t.use_staged_routine()
+    return I.incidence(t.routine, t.rate, t.population, "PRES", I.care_seeking(t.care, "PCT"))
 
 
 @query("D45_yearly_order_checks", """

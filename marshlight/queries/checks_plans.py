@@ -309,6 +309,7 @@ LEFT JOIN v_season_block s USING (ADM2_ID) LEFT JOIN v_care c USING (ADM1_ID) LE
 def _(t):
     from ..operators.survey import under_five_mortality
 
+    t.use_staged_routine()  # written once; every table below reads it
     rain = Se.seasonality(
         t.district_month.select("ADM2_ID", "YEAR", "MONTH", F.col("RAIN").alias("VALUE")), "VALUE", "RAINFALL", "RAIN_PROPORTION",
         rainfall=True, threshold=0.3)

@@ -197,12 +197,12 @@ class Tables:
 
     @cached_property
     def staged_routine(self) -> DataFrame:
-        """The routine table written once, for jobs that read it several times.
+        """The routine table written once, for jobs that read it several times."""
+        return stage(self.routine)
 
-        Later uses of `routine` and of what is derived from it read the written table too.
-        """
-        self.routine = stage(self.routine)
-        return self.routine
+    def use_staged_routine(self) -> None:
+        """Let everything derived from the routine table read the written one."""
+        self.routine = self.staged_routine
 
     @cached_property
     def long(self) -> DataFrame:

@@ -1,6 +1,5 @@
 """What the plans promise: shuffles, joins, pruning, skew."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -16,12 +15,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(ALL))
-def test_no_cartesian_plan(spark, name):
-    text = plan(ALL[name](spark, SF))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_outliers_shuffle_twice_whatever_the_number_of_indicators(spark):
     cols = [f"I{i}" for i in range(8)]
     schema = ("PERIOD int, YEAR int, MONTH int, ADM1_ID string, ADM2_ID string, OU_ID string, ADM1_NAME string, "
