@@ -9,7 +9,6 @@ part of the points. The index grows with the shapes, not with the points.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -197,8 +196,3 @@ def zonal(cells: DataFrame, keys: Sequence[str], value: str = "value") -> DataFr
         F.count(v).alias("cells"),
         F.avg(v).alias("mean"),
     )
-
-
-def box_size(extent_degrees: float, squares: int = 64) -> float:
-    """A square size that cuts an extent into about `squares` bands."""
-    return max(extent_degrees / squares, 10 ** math.floor(math.log10(max(extent_degrees, 1e-6))) / 1000)

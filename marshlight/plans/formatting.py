@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import on_earth, parse_point, point_text, position_candidates
 from ..functions.nulls import to_num, truncate_int
 from ..functions.periods import month_of, year_of
-from ..functions.text import clean_columns, normalise_name, normalise_name_columns
+from ..functions.text import clean_columns, normalise_name_columns
 from ..operators.joins import attach, mapping_join
 from ..operators.keys import first_per_key
 from ..operators.shape import pad_columns, require, wide_form, with_values
@@ -191,7 +191,3 @@ def relevel(units: DataFrame, priority: DataFrame, edges: DataFrame, district_le
 
 def point_column(df: DataFrame, lon: str, lat: str, name: str = "geometry") -> DataFrame:
     return df.withColumn(name, point_text(lon, lat))
-
-
-def names_normalised(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: normalise_name(c) for c in cols})

@@ -143,16 +143,17 @@ def readiness(series: DataFrame, value: str, min_months: int, max_missing: float
     )
 
 
-def case_seasonality(routine: DataFrame, value: str = "CONF", impute: bool = True) -> DataFrame:
+def case_seasonality(routine: DataFrame, value: str = "CONF", impute: bool = True,
+                     threshold: float = 0.6) -> DataFrame:
     """Gaps of the district series are modelled first; needs 36 months (see `readiness`)."""
     series = district_months(routine, value)
     column = value
     if impute:
         column = f"{value}_IMPUTED"
         series = fill_gaps(series, value, column)
-    return seasonality(series, column, "CASES", "CASES_PROPORTION")
+    return seasonality(series, column, "CASES", "CASES_PROPORTION", threshold=threshold)
 
 
-def rain_seasonality(monthly: DataFrame, value: str = "MEAN") -> DataFrame:
+def rain_seasonality(monthly: DataFrame, value: str = "MEAN", threshold: float = 0.6) -> DataFrame:
     """Needs 48 months (see `readiness`)."""
-    return seasonality(monthly, value, "RAINFALL", "RAIN_PROPORTION", rainfall=True)
+    return seasonality(monthly, value, "RAINFALL", "RAIN_PROPORTION", rainfall=True, threshold=threshold)

@@ -278,6 +278,14 @@ def _(t):
     return O.run_pathway(t.routine, INDICATORS, 2).removed
 
 
+@query("K11_pathway_imputed_long", """
+SELECT PERIOD, YEAR, MONTH, ADM1_ID, ADM2_ID, OU_ID, INDICATOR, VALUE AS VALUE_OLD, VALUE_IMPUTED, OUTLIER AS OUTLIER_TREND
+FROM v_path2""")
+def _(t):
+    grid = O.pathway_flags(O.full_grid(t.routine, INDICATORS), INDICATORS, 2)
+    return O.imputed_long(O.pathway_impute(O.pathway_exceptions(grid, INDICATORS, 2), INDICATORS), INDICATORS)
+
+
 @query("D22_long_with_name_split", """
 SELECT PERIOD, OU_ID, INDICATOR, VALUE AS VALUE_OLD, VALUE * 2 AS VALUE_NEW FROM v_long""")
 def _(t):
@@ -464,7 +472,7 @@ SELECT s.ADM2_ID, SEASONALITY AS SEASONALITY_RAINFALL, CAST(BLOCK AS DOUBLE) AS
   CAST(START_MONTH AS DOUBLE) AS SEASONAL_BLOCK_START_MONTH_RAINFALL, PROPORTION AS RAIN_PROPORTION
 FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start_first USING (ADM2_ID)""", "RAIN_PROPORTION")
 def _(t):
-    out = Z.seasonality(_rain(t), "VALUE", "RAINFALL", "RAIN_PROPORTION", rainfall=True, threshold=0.3)
+    out = Z.rain_seasonality(_rain(t), "VALUE", threshold=0.3)
     return out.withColumns({c: F.col(c).cast("double") for c in
                             ("SEASONAL_BLOCK_DURATION_RAINFALL", "SEASONAL_BLOCK_START_MONTH_RAINFALL")})
 

@@ -11,7 +11,8 @@ def spark(tmp_path_factory):
     from marshlight.session import local_session
 
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(8, shuffle_partitions=4, **{"spark.checkpoint.dir": shared})
+    session = local_session(8, shuffle_partitions=4, **{
+        "spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

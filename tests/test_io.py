@@ -97,3 +97,22 @@ def test_stage_uses_the_shared_folder_of_the_session(spark):
     assert readers.path_exists(spark, path)
     drop_staged(spark)
     assert not readers.path_exists(spark, path)
+
+
+def test_catalog_table_replaces_what_is_there(spark):
+    for n in (3, 2):
+        writers.push_to_database(spark.range(n), "outliers_detected")
+    assert spark.table("outliers_detected").count() == 2
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select(F.col("id").alias("OU_ID"), (F.col("id") * 2).alias("v"))
+        for name in ("facts_a", "facts_b"):
+            writers.write_bucketed(df, name, "OU_ID", 4)
+        joined = spark.table("facts_a").join(spark.table("facts_b"), "OU_ID")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
