@@ -7,44 +7,29 @@ size, and a lost executor costs no recomputation of what came before.
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: dict[str, str] = {}
 
+def shared_folder(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`, or the session's warehouse where that is unset: both are shared by all executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's `spark.checkpoint.dir`; a temporary folder only where that is unset in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        app = spark.sparkContext.applicationId
-        if app not in _local_root:
-            _local_root[app] = tempfile.mkdtemp(prefix="marshlight-")
-        return _local_root[app]
-    return None
 
-
-def _app_folder(spark: SparkSession, root: str) -> str:
-    return f"{root}/marshlight-{spark.sparkContext.applicationId}"
+def _app_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/marshlight-{spark.sparkContext.applicationId}"
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged; call it when its last result is written."""
-    root = shared_folder(spark)
-    if root is not None:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(_app_folder(spark, root))
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """`df` written and read back. Without a shared folder it stays a plan and is computed where used."""
-    root = shared_folder(df.sparkSession)
-    if root is None:
-        return df
-    path = f"{_app_folder(df.sparkSession, root)}/{uuid4().hex}"
+    """`df` written to the shared folder and read back, in every mode of running."""
+    path = f"{_app_folder(df.sparkSession)}/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
