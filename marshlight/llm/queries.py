@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, topk, url_filter
+from . import jaccard, language, line_dedup, lm, mixing, secrets, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +71,11 @@ def op2_topk_search(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    return language.held_out_language(table(spark, sf_dir, "documents"))
+
+
 @query("op5_line_dedup", sql=rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM d),
@@ -86,6 +91,17 @@ def op5_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op6_secret_scan")
+def op6_secret_scan(spark, sf_dir):
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark, sf_dir):
+    return lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op8_source_mixing", sql=rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len({WORDS_SQL.format("text")}), 0)::BIGINT AS size,
@@ -111,3 +127,29 @@ FROM p
 """)
 def op8_source_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    return toxicity.held_out_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_ngram_jaccard_join", sql=rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS_SQL.format(ASCII_LOWER_SQL.format("coalesce(text, '')"))} AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS h FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+inter AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM inter JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT a, a FROM edges UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.r = edges.a),
+least_of AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least_of.r, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least_of ON w.doc_id = least_of.doc_id
+""")
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.link_groups(table(spark, sf_dir, "documents"))
