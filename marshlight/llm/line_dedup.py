@@ -80,20 +80,17 @@ def kept_lines(lines: Column, runs: Column) -> Column:
     return F.array_join(F.flatten(parts), "\n")
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:
-    """doc_id, text (what is kept), n_lines, n_dropped and runs of every row of `docs`.
+def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False, columns: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text (what is kept), was_text, n_lines, n_dropped, runs and the asked-for `columns` of every row of `docs`.
 
-    A null or empty text is one empty line, whose key is too short to be dropped. A text that loses every line
-    becomes empty. Rows with the same doc_id count as one document and are judged each; repeated rows and a
-    null doc_id stay. Other columns are ignored; an empty table gives an empty table.
+    A null or empty text is one empty line, whose key is too short to be dropped (was_text is false for null). A text that loses
+    every line becomes empty. Rows with the same doc_id count as one document and are judged each; repeated rows and a
+    null doc_id stay. Columns that are not asked for are ignored; an empty table gives an empty table.
     """
-    rows = docs.select("doc_id", "text")
-    found = drop_bitmaps(rows, min_docs, min_chars, keep_first)
-    keyed = rows.withColumn("text_hash", F.xxhash64("text"))
-    on = [keyed["doc_id"].eqNullSafe(found["doc_id"]), keyed["text_hash"] == found["text_hash"]]
-    lines = split_lines(keyed["text"])
-    return keyed.join(found, on, "left").select(
-        keyed["doc_id"],
-        F.when(F.col("runs").isNull(), F.coalesce(keyed["text"], F.lit(""))).otherwise(kept_lines(lines, F.col("runs"))).alias("text"),
-        F.size(lines).cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        F.coalesce("runs", F.array()).alias("runs"))
+    found = drop_bitmaps(docs.select("doc_id", "text"), min_docs, min_chars, keep_first).toDF("_doc_id", "_text_hash", "_runs", "_dropped")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), *columns)
+    lines = split_lines(F.col("text"))
+    kept = F.when(F.col("_runs").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept_lines(lines, F.col("_runs")))
+    return keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash")), "left").select(
+        "doc_id", kept.alias("text"), F.col("text").isNotNull().alias("was_text"), F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce("_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.coalesce("_runs", F.array()).alias("runs"), *columns)

@@ -15,6 +15,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -187,6 +188,17 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(judge, f"doc_id {kind}, score double, predicted int")
 
 
+def keep_clean(docs: DataFrame, lexicon: Lexicon, limit: float = 0.5) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text scores under `limit`; rows are judged one by one."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([lexicon.score(t.as_py() or "") < limit for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """score_toxicity of every row with held_out: the lexicon learned only from rows whose fold is not 0."""
     lexicon = fit_toxicity(docs, labels.where(fold_share(F.col("doc_id"), folds) != 0))
