@@ -30,15 +30,19 @@ def update_columns(df: DataFrame, new: DataFrame, keys: Sequence[str], cols: Seq
                    keep_old: bool = True, rounding: int | None = None) -> DataFrame:
     """Replace `cols` by the values of `new`.
 
-    With `keep_old`, a missing new value keeps the old one; without it, missing replaces old.
+    With `keep_old`, a missing new value keeps the old one; without it, missing replaces old. A key that
+    `new` has twice fails the job. Numbers are rounded half to even.
     """
-    fresh = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols])
+    rows = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(f"_new_{c}") for c in cols])
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    once = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("key occurs more than once: "), shown)).cast("boolean")).otherwise(F.lit(True))
+    fresh = rows.filter(once).drop("_n")
     joined = df.join(fresh, list(keys), "left")
     out = {}
     for c in cols:
         value = F.col(f"_new_{c}")
         if rounding is not None:
-            value = F.round(value.cast("string").try_cast("double"), rounding)
+            value = F.bround(value.cast("string").try_cast("double"), rounding)
         out[c] = F.coalesce(value, F.col(c)) if keep_old and c in df.columns else value
     return joined.withColumns(out).drop(*[f"_new_{c}" for c in cols]).select(
         *df.columns, *[c for c in cols if c not in df.columns]

@@ -14,17 +14,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataF
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first in `order`.
+    """One row per key: the first in `order`, missing values last.
 
     Done as `min_by` instead of a row-number window: the minimum is combined before the shuffle, so a key
     that holds a large part of the rows costs no more than any other.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+    cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    rank = F.struct(*[part for c in cols for part in (c.isNull(), c)])
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
+def fullest(cols: Sequence[str]) -> list[Column]:
+    """An order for `first_per_key`: most known values of `cols` first, then the lowest values."""
+    known = sum((F.col(c).isNotNull().cast("int") for c in cols[1:]), F.col(cols[0]).isNotNull().cast("int"))
+    return [-known, *[F.col(c) for c in cols]]
+
+
 def only_in_left(left: DataFrame, right: DataFrame, left_cols: Sequence[str], right_cols: Sequence[str]) -> DataFrame:
     """Distinct value combinations of `left` that `right` lacks (nulls compare equal)."""
     return left.select(*left_cols).subtract(right.select(*right_cols).toDF(*left_cols))

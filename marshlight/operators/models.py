@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 PERIOD = 12
+MIN_MONTHS = 2 * PERIOD + 4  # two differences and both autoregressive terms need that many
 
 
 def _linear_fill(y: np.ndarray) -> np.ndarray:
@@ -44,8 +46,8 @@ def sarima_interpolate(y: np.ndarray, rounds: int = 15) -> np.ndarray:
         return y
     full = _linear_fill(y)
     n = len(y)
-    if n <= 2 * PERIOD + 4:
-        return full
+    if n <= MIN_MONTHS:
+        raise ValueError(f"a series with gaps needs more than {MIN_MONTHS} months, this one has {n}")
     phi = seasonal = 0.0
     for _ in range(rounds):
         d = np.diff(full)
@@ -73,19 +75,22 @@ def sarima_interpolate(y: np.ndarray, rounds: int = 15) -> np.ndarray:
 
 def fill_gaps(df: DataFrame, value: str, estimate: str, unit: str = "ADM2_ID", period: str = "PERIOD",
               threshold: float = 0.0) -> DataFrame:
-    """`estimate`: modelled values where `value` is missing, whole numbers; values up to `threshold` stay.
+    """`df` with `estimate`: the value where there is one, a whole modelled number where it is missing.
 
-    The series is modelled on the log scale so estimates cannot be negative.
+    Only series with gaps are modelled, on the log scale so estimates cannot be negative; values up to
+    `threshold` are no evidence for the model and stay. A series with gaps must be longer than MIN_MONTHS.
+    The rows pass through once: the group function returns all columns, so nothing is joined back.
     """
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(period)
         v = pdf[value].to_numpy(dtype=float, na_value=np.nan)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            logs = np.where(v > threshold, np.log(v), np.nan)
-        filled = np.round(np.exp(np.minimum(sarima_interpolate(logs), 700)))
-        return pdf[[unit, period]].assign(**{estimate: np.where(v <= threshold, v, filled)})
-
-    types = dict(df.dtypes)
-    schema = f"{unit} {types[unit]}, {period} {types[period]}, {estimate} double"
-    done = df.select(unit, period, value).groupBy(unit).applyInPandas(one, schema)
-    return df.join(done, [unit, period], "left")
+        filled = v
+        if np.isnan(v).any() and not np.isnan(v).all():
+            with np.errstate(divide="ignore", invalid="ignore"):
+                logs = np.where(v > threshold, np.log(v), np.nan)
+            modelled = np.round(np.exp(np.minimum(sarima_interpolate(logs), 700)))
+            filled = np.where(np.isnan(v), modelled, v)
+        return pdf.assign(**{estimate: filled})
+
+    schema = StructType([*df.schema.fields, StructField(estimate, DoubleType())])
+    return df.groupBy(unit).applyInPandas(one, schema)

@@ -40,7 +40,7 @@ def summary(c: Column | str, metric: str) -> Column:
 
 def mean_rate(rate: DataFrame, metric: str = "mean") -> DataFrame:
     """Mean or median over all periods, in percent with one decimal."""
-    return rate.groupBy(*KEY).agg(F.round(summary("REPORTING_RATE", metric) * 100, 1).alias("REPORTING_RATE"))
+    return rate.groupBy(*KEY).agg(F.bround(summary("REPORTING_RATE", metric) * 100, 1).alias("REPORTING_RATE"))
 
 
 def year_window(df: DataFrame, back: int) -> DataFrame:
@@ -63,7 +63,7 @@ def latest_metrics(metrics: DataFrame) -> DataFrame:
     latest = means.groupBy("METRIC_NAME").agg(F.max("YEAR").alias("YEAR"))
     rows = means.join(latest, ["METRIC_NAME", "YEAR"])
     return rows.groupBy(*KEY).agg(*[
-        F.round(F.max(F.when(F.col("METRIC_NAME") == name, F.col("VALUE"))) * factor, 2).alias(column)
+        F.bround(F.max(F.when(F.col("METRIC_NAME") == name, F.col("VALUE"))) * factor, 2).alias(column)
         for name, (column, factor) in METRICS.items()
     ])
 
@@ -73,9 +73,12 @@ def season_label(c: Column | str) -> Column:
     return F.when(c == 0, F.lit("not-seasonal")).when(c == 1, F.lit("seasonal"))
 
 
-def add_population(results: DataFrame, population: DataFrame) -> DataFrame:
-    """Latest year's population; extra group columns of the results follow it."""
-    latest = population.filter(F.col("YEAR") == population.agg(F.max("YEAR")).scalar())
+def add_population(results: DataFrame, population: DataFrame, year: int | None = None) -> DataFrame:
+    """Population of `year`, by default the latest; extra group columns of the results follow it.
+
+    A transformed population runs years ahead; its reference year is the one to give.
+    """
+    latest = population.filter(F.col("YEAR") == (population.agg(F.max("YEAR")).scalar() if year is None else year))
     cols = [c for c in population.columns if c in results.columns and (c == "POPULATION" or c.startswith("POP_"))]
     return update_columns(results, latest, KEY, cols)
 
@@ -120,10 +123,10 @@ def assemble(admin: DataFrame, variables: Sequence[str], population: DataFrame |
              rain: DataFrame | None = None, cases: DataFrame | None = None,
              surveys: Sequence[tuple[DataFrame, Mapping[str, str]]] = (), access: DataFrame | None = None,
              user_layer: DataFrame | None = None, rate_metric: str = "mean", incidence_metric: str = "mean",
-             years_back: int = 0) -> DataFrame:
+             years_back: int = 0, population_year: int | None = None) -> DataFrame:
     out = empty_results(admin, variables)
     if population is not None:
-        out = add_population(out, population)
+        out = add_population(out, population, population_year)
     if rate is not None:
         out = add_rate(out, rate, rate_metric)
     if incidence is not None:
@@ -141,3 +144,36 @@ def assemble(admin: DataFrame, variables: Sequence[str], population: DataFrame |
     if user_layer is not None:
         out = add_user_layer(out, user_layer)
     return out
+
+
+def periods_used(population: DataFrame | None = None, rate: DataFrame | None = None, incidence: DataFrame | None = None,
+                 metrics: DataFrame | None = None, rain: DataFrame | None = None, cases: DataFrame | None = None,
+                 years_back: int = 0, population_year: int | None = None) -> DataFrame:
+    """VARIABLE and PERIOD (a year, or first-last) of what `assemble` takes from these tables; one row per variable.
+
+    `rain` and `cases` are here the monthly series with a YEAR. Meant for `config.update_metadata`.
+    """
+    def span(df: DataFrame, variables: Sequence[str], one_year: bool = False) -> DataFrame:
+        years = df.agg(F.min("YEAR").alias("a"), F.max("YEAR").alias("b"))
+        text = F.when(F.lit(one_year) | (F.col("a") == F.col("b")), F.col("b").cast("string")).otherwise(F.concat_ws("-", "a", "b"))
+        return years.select(F.explode(F.array(*[F.lit(v) for v in variables])).alias("VARIABLE"), text.alias("PERIOD"))
+
+    parts = []
+    if population is not None:
+        chosen = population if population_year is None else population.filter(F.col("YEAR") == population_year)
+        parts.append(span(chosen, [c for c in population.columns if c == "POPULATION" or c.startswith("POP_")], one_year=True))
+    if rate is not None:
+        parts.append(span(rate, ["REPORTING_RATE"]))
+    if incidence is not None:
+        parts.append(span(year_window(incidence, years_back), [c for c in INCIDENCE if c in incidence.columns]))
+    for table, label in ((rain, "RAINFALL"), (cases, "CASES")):
+        if table is not None:
+            parts.append(span(table, [f"SEASONALITY_{label}", f"SEASONAL_BLOCK_DURATION_{label}"]))
+    if metrics is not None:
+        names = F.create_map(*[F.lit(x) for k, (column, _) in METRICS.items() for x in (k, column)])
+        latest = metrics.filter("STATISTIC = 'MEAN'").groupBy("METRIC_NAME").agg(F.max("YEAR").cast("string").alias("PERIOD"))
+        parts.append(latest.select(F.try_element_at(names, F.col("METRIC_NAME")).alias("VARIABLE"), "PERIOD").filter("VARIABLE is not null"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -150,8 +150,9 @@ def relevel(units: DataFrame, priority: DataFrame, edges: DataFrame, district_le
 
     units(id, name, level, level_n_id, level_n_name, lon, lat); `priority(id)` lists the facilities that
     are misplaced. Those at district level are placed in the district shape that contains them (first
-    match, district names start with `prefix`). Others whose district-level parent was itself moved take
-    that parent's new district. Whole move = two joins on the unit id, no loop over units.
+    match, district names start with `prefix`); a point that none contains becomes a leaf without a
+    district, a unit without a point keeps its places. Others whose district-level parent was itself moved
+    take that parent's new district, or lack of one. Whole move = two joins on the unit id, no loop over units.
     """
     chosen = units.join(priority.select("id").distinct(), "id", "left_semi")
     d_id, d_name = level_cols(district_level)
@@ -159,23 +160,24 @@ def relevel(units: DataFrame, priority: DataFrame, edges: DataFrame, district_le
     at_district = chosen.filter(F.col("level") == district_level)
     named = edges.filter(F.col("district_name").startswith(prefix))
     placed = first_shape(at_district, named, ["district_id", "district_name"], size, x="lon", y="lat")
+    at_point = F.col("lon").isNotNull() & F.col("lat").isNotNull()
     moved = placed.withColumns({
-        leaf_id: F.when(F.col("district_id").isNotNull(), F.col("id")),
-        leaf_name: F.when(F.col("district_id").isNotNull(), F.col("name")),
-        d_id: F.coalesce("district_id", d_id),
-        d_name: F.coalesce("district_name", d_name),
+        leaf_id: F.when(at_point, F.col("id")),
+        leaf_name: F.when(at_point, F.col("name")),
+        d_id: F.when(at_point, F.col("district_id")).otherwise(F.col(d_id)),
+        d_name: F.when(at_point, F.col("district_name")).otherwise(F.col(d_name)),
         "level": F.lit(leaf),
     }).select(*units.columns)
     parents = moved.filter(F.col(leaf_id).isNotNull()).select(
-        F.col(leaf_id).alias(d_id), F.col(d_id).alias("_new_id"), F.col(d_name).alias("_new_name"))
+        F.col(leaf_id).alias(d_id), F.col(d_id).alias("_new_id"), F.col(d_name).alias("_new_name"), F.lit(True).alias("_moved"))
     below = chosen.filter((F.col("level") > district_level) & (F.col("level") < leaf))
     shifted = below.join(parents, d_id, "left")
     own_id = F.coalesce(*[F.when(F.col("level") == n, F.col(f"level_{n}_id"))
                           for n in range(district_level + 1, leaf)])
     own_name = F.coalesce(*[F.when(F.col("level") == n, F.col(f"level_{n}_name"))
                             for n in range(district_level + 1, leaf)])
-    changes = {leaf_id: own_id, leaf_name: own_name, d_id: F.coalesce("_new_id", d_id),
-               d_name: F.coalesce("_new_name", d_name), "level": F.lit(leaf)}
+    changes = {leaf_id: own_id, leaf_name: own_name, d_id: F.when(F.col("_moved"), F.col("_new_id")).otherwise(F.col(d_id)),
+               d_name: F.when(F.col("_moved"), F.col("_new_name")).otherwise(F.col(d_name)), "level": F.lit(leaf)}
     for n in range(district_level + 1, leaf):
         for c in level_cols(n):
             changes[c] = F.when(F.col("level") != n, F.col(c))

@@ -33,10 +33,15 @@ def choose_population(population: DataFrame, group: str | None, fall_back: bool
 
 
 def care_seeking(data: DataFrame, value: str) -> DataFrame:
-    """CARESEEKING_PCT in percent: a column whose values are all at most 1 is a share."""
+    """CARESEEKING_PCT in percent: a column whose values are all at most 1 is a share.
+
+    Text that is no number fails the job; of several values of one place the lowest known one counts.
+    """
     key = "ADM2_ID" if "ADM2_ID" in data.columns else "ADM1_ID"
     require(data, [key, value], "care-seeking data")
-    v = F.col(value).cast("string").try_cast("double")
+    text = F.nullif(F.trim(F.col(value).cast("string")), F.lit(""))
+    v = F.when(text.isNotNull(), F.coalesce(text.try_cast("double"), F.raise_error(
+        F.concat(F.lit("care-seeking value is not a number: "), text)).cast("double")))
     top = data.agg(F.max(v).alias("top")).scalar()
     pct = F.when(top <= 1, v * 100).otherwise(v)
     return first_per_key(data.select(key, pct.alias("CARESEEKING_PCT")), [key], ["CARESEEKING_PCT"])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import ratio
 from ..functions.periods import month_of, year_of
 from ..operators import series as S
-from ..operators.keys import first_per_key
+from ..operators.keys import first_per_key, fullest
 from ..operators.shape import long_form, long_many
 
 FIXED = ("PERIOD", "YEAR", "MONTH", "ADM1_ID", "ADM2_ID", "OU_ID")
@@ -42,12 +42,12 @@ def routine_long(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
 def facility_months(routine: DataFrame, indicators: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per facility and month, partitioned by facility.
 
-    Of several rows the first in `order` (by default by value) is kept. The choice is an aggregation, so
+    Of several rows the first in `order` is kept, by default the one with the most known indicators. The choice is an aggregation, so
     repeated rows are gone before the facility shuffle and no facility is larger than the calendar.
     """
     names = [c for c in NAMES if c in routine.columns]
     table = routine.select(*FIXED, *names, *[F.col(i).cast("double").alias(i) for i in indicators])
-    return by_facility(first_per_key(table, FIXED, list(order or indicators)))
+    return by_facility(first_per_key(table, FIXED, list(order) if order else fullest(indicators)))
 
 
 def by_facility(df: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def full_grid(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
     """
     names = [c for c in NAMES if c in routine.columns]
     table = routine.select(*PLACE, "PERIOD", *names, *[F.col(i).cast("double").alias(i) for i in indicators])
-    one = first_per_key(table, [*PLACE, "PERIOD"], list(indicators))
+    one = first_per_key(table, [*PLACE, "PERIOD"], fullest(indicators))
     month = F.struct("PERIOD", *indicators)
     places = S.trimmed_stats(one, [*PLACE, *names], indicators, F.collect_list(month).alias("_rows"))
     calendar = routine.agg(F.array_sort(F.collect_set("PERIOD")).alias("m")).scalar()  # the calendar's length
@@ -210,13 +210,15 @@ def pathway_flags(grid: DataFrame, indicators: Sequence[str], deviation: float =
 def pathway_exceptions(flagged: DataFrame, indicators: Sequence[str], deviation: float = 10) -> DataFrame:
     """POSSIBLE_STKOUT, POSSIBLE_EPID and the corrected flags OUT_<i>.
 
-    A possible stock-out (few tests, presumed cases high but within the usual range of tests) clears the
+    Without PRES there is no stock-out rule. A possible stock-out (few tests, presumed cases high but within the usual range of tests) clears the
     flag of PRES. A possible epidemic is recorded and changes no flag. The rules compare indicators of one
     facility and month, which is one row here.
     """
     c = F.col
     usual = c("MEAN_80_TEST") + c("SD_80_TEST") * deviation
-    stockout = c("TREND_PRES") & (c("TEST") < c("MEAN_80_TEST")) & (c("PRES") < usual)
+    stockout = F.lit(False)
+    if "PRES" in indicators:
+        stockout = c("TREND_PRES") & (c("TEST") < c("MEAN_80_TEST")) & (c("PRES") < usual)
     epidemic = c("TREND_CONF") & (c("TREND_TEST") | (c("TEST") >= c("CONF")))
     df = flagged.withColumns({"POSSIBLE_STKOUT": F.when(stockout, True), "POSSIBLE_EPID": F.when(epidemic, True)})
     return df.withColumns({

@@ -40,15 +40,23 @@ def value_status(long: DataFrame) -> DataFrame:
 
 
 def district_status(long: DataFrame) -> DataFrame:
-    """Districts per indicator and month: nothing reported, only zeros, anything positive."""
+    """Districts per indicator and month: nothing reported, only zeros, anything positive; numbers and percents.
+
+    Of all districts, indicators and months; a district absent from a month is missing by subtraction.
+    """
     per = long.groupBy("INDICATOR", "PERIOD", "ADM2_ID").agg(
-        F.count("VALUE").alias("n"), F.max(F.abs("VALUE")).alias("top"))
-    missing = F.col("n") == 0
-    return per.groupBy("INDICATOR", "PERIOD").agg(
-        F.count_if(missing).alias("n_missing"),
-        F.count_if(~missing & (F.col("top") == 0)).alias("n_zero"),
-        F.count_if(~missing & (F.col("top") > 0)).alias("n_positive"),
-    )
+        F.count("VALUE").alias("n"), F.max("VALUE").alias("top"), F.bool_and(F.col("VALUE") == 0).alias("zero"))
+    known = F.col("n") > 0
+    seen = per.groupBy("INDICATOR", "PERIOD").agg(
+        F.count_if(known).alias("n_known"), F.count_if(known & F.col("zero")).alias("n_zero"),
+        F.count_if(known & (F.col("top") > 0)).alias("n_positive"))
+    n_units = long.agg(F.count_distinct("ADM2_ID").alias("n")).scalar()
+    months = long.agg(F.array_sort(F.collect_set("PERIOD")).alias("m")).scalar()  # the calendar's length
+    grid = long.select("INDICATOR").distinct().withColumn("PERIOD", F.explode(months))
+    df = grid.join(seen, ["INDICATOR", "PERIOD"], "left").fillna(0, ["n_known", "n_zero", "n_positive"])
+    df = df.withColumn("n_total", n_units).withColumn("n_missing", F.col("n_total") - F.col("n_known"))
+    return df.drop("n_known").withColumns(
+        {f"pct_{k}": ratio(f"n_{k}", "n_total") * 100 for k in ("missing", "zero", "positive")})
 
 
 def facility_activity(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
@@ -73,6 +81,17 @@ def monthly_activity(routine: DataFrame, indicators: Sequence[str]) -> DataFrame
     return routine.filter(active).groupBy("PERIOD").agg(F.count_distinct("OU_ID").alias("n_active"))
 
 
+def monthly_reporting(routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
+    """Reporting facilities per month, in percent of those ever active and of those active in the year."""
+    active = any_true([F.col(c).isNotNull() for c in indicators])
+    per = routine.groupBy("OU_ID", "YEAR", "PERIOD").agg(F.bool_or(active).alias("a"))
+    ever = per.agg(F.count_distinct(F.when(F.col("a"), F.col("OU_ID"))).alias("n")).scalar()
+    in_year = per.groupBy("YEAR").agg(F.count_distinct(F.when(F.col("a"), F.col("OU_ID"))).alias("n_active_year"))
+    months = per.groupBy("YEAR", "PERIOD").agg(F.count_if("a").alias("n_reporting"))
+    return months.join(in_year, "YEAR").withColumn("n_active_ever", ever).withColumns({
+        "pct_of_ever": ratio("n_reporting", "n_active_ever") * 100, "pct_of_year": ratio("n_reporting", "n_active_year") * 100})
+
+
 def opened_and_reporting(facilities: DataFrame, routine: DataFrame, indicators: Sequence[str]) -> DataFrame:
     active = any_true([F.col(c).isNotNull() for c in indicators])
     years = routine.select("YEAR").distinct()
@@ -82,10 +101,13 @@ def opened_and_reporting(facilities: DataFrame, routine: DataFrame, indicators:
 
 
 def element_coverage(raw: DataFrame, unit: str = "OU", period: str = "PE", element: str = "DX") -> DataFrame:
-    """Share of months with a value per facility and element, and the facility's mean share."""
+    """Share of months with a value per facility and element, and the facility's mean share.
+
+    An element listed without any value counts with 0 months.
+    """
     n_months = raw.agg(F.count_distinct(period).alias("n")).scalar()
-    per = raw.filter(F.col("VALUE").isNotNull()).groupBy(unit, element).agg(
-        F.count_distinct(period).alias("n_months"))
+    per = raw.groupBy(unit, element).agg(
+        F.count_distinct(F.when(F.col("VALUE").isNotNull(), F.col(period))).alias("n_months"))
     per = per.withColumn("coverage", F.col("n_months") / n_months)
     overall = per.groupBy(unit).agg(F.avg("coverage").alias("unit_coverage"))
     return per.join(overall, unit)
@@ -130,10 +152,12 @@ def _checks(df: DataFrame) -> dict:
 
 
 def national_coherence(routine: DataFrame) -> DataFrame:
-    """Percent of rows where the expected order holds, long form with labels."""
+    """Percent of a year's rows where the expected order holds, long form with labels."""
     checks = _checks(routine)
-    wide = routine.agg(*checks.values())
-    return _with_labels(wide.unpivot([], [f"pct_coherent_{n}" for n in checks], "check_type", "pct_coherent"))
+    wide = routine.groupBy("YEAR").agg(*checks.values())
+    long = wide.unpivot(["YEAR"], [f"pct_coherent_{n}" for n in checks], "check_type", "pct_coherent")
+    labelled = _with_labels(long.filter("pct_coherent is not null"))
+    return labelled.withColumn("check_type", F.regexp_replace("check_type", "^pct_coherent_", ""))
 
 
 def district_coherence(routine: DataFrame, min_reports: int = 5,
@@ -152,15 +176,17 @@ def _with_labels(long: DataFrame) -> DataFrame:
 
 
 def scatter_stats(df: DataFrame, x: str, y: str, prob: float = 0.999) -> DataFrame:
-    """Share of points with y > x, the pooled quantile of both columns, and the share beyond it."""
+    """Percent of rows with y > x, the pooled quantile of both columns, and the percent beyond it.
+
+    Percents are of all rows, also those with a missing value; they have 2 and 3 decimals.
+    """
     pooled = df.select(F.explode(F.array(F.col(x).cast("double"), F.col(y).cast("double"))).alias("v"))
     limit = exact_quantiles(pooled, "v", [prob]).select("quantile").scalar()
-    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("limit", limit)
-    return pairs.agg(
-        F.count(F.lit(1)).alias("n_points"), share(F.col(y) > F.col(x)).alias("pct_above"),
-        F.max("limit").alias("limit"),
-        share((F.col(x) > F.col("limit")) | (F.col(y) > F.col("limit"))).alias("pct_beyond"),
-    )
+    beyond = (F.col(x) > F.col("limit")) | (F.col(y) > F.col("limit"))
+    percent = lambda cond, digits: F.bround(ratio(F.count_if(cond), F.count(F.lit(1))) * 100, digits)
+    return df.withColumn("limit", limit).agg(
+        F.count(F.lit(1)).alias("n_points"), percent(F.col(y) > F.col(x), 2).alias("pct_above"),
+        F.max("limit").alias("limit"), percent(beyond, 3).alias("pct_beyond"))
 
 
 # --- trends -----------------------------------------------------------------------------------------

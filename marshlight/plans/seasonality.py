@@ -12,6 +12,7 @@ from ..functions.nulls import ratio
 from ..operators.models import fill_gaps
 from ..operators.series import forward_sum
 from ..operators.shape import with_every_month
+from ..sources.staging import stage
 
 DURATIONS = (3, 4, 5)
 UNIT, YEAR, MONTH = "ADM2_ID", "YEAR", "MONTH"
@@ -103,18 +104,55 @@ def start_month(blocks: DataFrame, districts: DataFrame, durations: Sequence[int
 
 def seasonality(series: DataFrame, value: str, label: str, share_name: str, rainfall: bool = False,
                 threshold: float = 0.6, year_share: float = 0.5, durations: Sequence[int] = DURATIONS) -> DataFrame:
-    """One row per district: seasonal or not, block length, start month, share of the year in the block."""
+    """One row per district: seasonal or not, block length, start month, share of the year in the block.
+
+    Same rules as the functions above, in one pass: the blocks of a district are gathered in one row (as
+    long as the calendar) by the partitioning their windows have, and all measures are taken from that array.
+    """
     blocks = month_blocks(series, value, durations, threshold)
-    districts = smallest_block(seasonal_districts(blocks, durations, year_share), durations)
-    share = season_share(blocks, districts, value, durations)
-    start = start_month(blocks, districts, durations, first_of_year=rainfall)
-    out = districts.join(share, UNIT, "left").join(start, UNIT, "left")
-    return out.select(
+    fields = [YEAR, MONTH, F.col(value).alias("v"), *[c for n in durations for c in (f"SUM_{n}M", f"FLAG_{n}M")]]
+    rows = blocks.groupBy(UNIT).agg(F.collect_list(F.struct(*fields)).alias("rows"))
+
+    def seasonal(n: int) -> Column:
+        flag = f"FLAG_{n}M"
+
+        def of_month(m: Column) -> Column:
+            known = F.filter("rows", lambda r: (r[MONTH] == m) & r[flag].isNotNull())
+            years = F.size(F.array_distinct(F.transform(known, lambda r: r[YEAR])))
+            return (ratio(F.size(F.filter(known, lambda r: r[flag] == 1)), years) >= year_share).cast("int")
+
+        return F.array_max(F.transform(F.sequence(F.lit(1), F.lit(12)), of_month))
+
+    flags = rows.withColumns({f"SEASONAL_{n}": seasonal(n) for n in durations})
+    chosen = smallest_block(flags.dropna(subset=[f"SEASONAL_{n}" for n in durations]), durations)
+
+    def pick(r: Column, kind: str) -> Column:
+        return F.coalesce(*[F.when(F.col("BLOCK") == n, r[f"{kind}_{n}M"]) for n in durations])
+
+    years = F.array_distinct(F.transform("rows", lambda r: r[YEAR]))
+    add = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    def of_year(y: Column) -> Column:
+        own = F.filter("rows", lambda r: r[YEAR] == y)
+        return F.struct(
+            F.array_max(F.transform(own, lambda r: pick(r, "SUM"))).cast("double").alias("best"),
+            add(F.filter(F.transform(own, lambda r: r["v"].cast("double")), lambda x: x.isNotNull())).alias("annual"),
+            F.array_min(F.transform(F.filter(own, lambda r: pick(r, "FLAG") == 1), lambda r: r[MONTH])).alias("first"))
+
+    out = chosen.withColumn("years", F.transform(years, of_year))
+    counted = F.filter("years", lambda y: y["best"].isNotNull() & (y["annual"] > 0))
+    share = ratio(add(F.transform(counted, lambda y: y["best"] / y["annual"])), F.size(counted))
+    starts = (F.transform("years", lambda y: y["first"]) if rainfall
+              else F.transform(F.filter("rows", lambda r: pick(r, "FLAG") == 1), lambda r: r[MONTH]))
+    votes = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.struct(
+        F.size(F.filter("starts", lambda s: s == m)).alias("n"), (-m).alias("m")))
+    best = F.array_max("votes")
+    return out.withColumn("starts", starts).withColumn("votes", votes).select(
         UNIT,
         F.col("SEASONALITY").alias(f"SEASONALITY_{label}"),
         F.col("BLOCK").alias(f"SEASONAL_BLOCK_DURATION_{label}"),
-        F.col("START_MONTH").alias(f"SEASONAL_BLOCK_START_MONTH_{label}"),
-        F.col("PROPORTION").alias(share_name),
+        F.when(best["n"] > 0, -best["m"]).alias(f"SEASONAL_BLOCK_START_MONTH_{label}"),
+        share.alias(share_name),
     )
 
 
@@ -143,10 +181,21 @@ def readiness(series: DataFrame, value: str, min_months: int, max_missing: float
     )
 
 
+def require_ready(series: DataFrame, value: str, min_months: int) -> None:
+    """Fail with the measures of `readiness` when the series are too short or have too many gaps. Runs a job."""
+    row = readiness(series, value, min_months).first()
+    if not row["usable"]:
+        raise ValueError(f"series not fit for seasonality ({min_months} months needed): {row.asDict()}")
+
+
 def case_seasonality(routine: DataFrame, value: str = "CONF", impute: bool = True,
                      threshold: float = 0.6) -> DataFrame:
-    """Gaps of the district series are modelled first; needs 36 months (see `readiness`)."""
-    series = district_months(routine, value)
+    """Gaps of the district series are modelled first. 36 months and few gaps are required.
+
+    The facts are read once: the district series are staged, checked and then used.
+    """
+    series = stage(district_months(routine, value))
+    require_ready(series, value, 36)
     column = value
     if impute:
         column = f"{value}_IMPUTED"
@@ -155,5 +204,7 @@ def case_seasonality(routine: DataFrame, value: str = "CONF", impute: bool = Tru
 
 
 def rain_seasonality(monthly: DataFrame, value: str = "MEAN", threshold: float = 0.6) -> DataFrame:
-    """Needs 48 months (see `readiness`)."""
-    return seasonality(monthly, value, "RAINFALL", "RAIN_PROPORTION", rainfall=True, threshold=threshold)
+    """48 months and few gaps are required; `monthly` has a PERIOD."""
+    series = stage(monthly.select(UNIT, YEAR, MONTH, "PERIOD", value))
+    require_ready(series, value, 48)
+    return seasonality(series, value, "RAINFALL", "RAIN_PROPORTION", rainfall=True, threshold=threshold)

@@ -256,13 +256,13 @@ def _(t):
 # --- summaries for the results table ----------------------------------------------------------------
 
 
-@query("D12_mean_rate", "SELECT ADM2_ID, round(avg(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1")
+@query("D12_mean_rate", "SELECT ADM2_ID, round_even(avg(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1")
 def _(t):
     return Z.mean_rate(t.rate)
 
 
 @query("D12_median_rate", """
-SELECT ADM2_ID, round(median(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1""")
+SELECT ADM2_ID, round_even(median(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1""")
 def _(t):
     return Z.mean_rate(t.rate, "median")
 
@@ -335,12 +335,12 @@ def _(t):
 # --- completeness -----------------------------------------------------------------------------------
 
 VIEWS["v_zlong"] = """
-SELECT * REPLACE (CASE WHEN VALUE < 40 THEN 0.0 ELSE VALUE END AS VALUE) FROM v_long WHERE VALUE IS NULL OR VALUE < 200"""
+SELECT * REPLACE (CASE WHEN VALUE < 40 THEN 0.0 WHEN VALUE < 200 THEN VALUE END AS VALUE) FROM v_long"""
 
 
 def _zlong(t):
-    df = t.long.filter("VALUE is null or VALUE < 200")
-    return df.withColumn("VALUE", F.when(F.col("VALUE") < 40, 0.0).otherwise(F.col("VALUE")))
+    v = F.col("VALUE")
+    return t.long.withColumn("VALUE", F.when(v < 40, 0.0).when(v < 200, v))
 
 
 @query("D36_value_status", """
@@ -357,13 +357,29 @@ def _(t):
 
 
 @query("D36_district_status", """
-SELECT INDICATOR, PERIOD, count(*) FILTER (WHERE n = 0) AS n_missing, count(*) FILTER (WHERE n > 0 AND top = 0) AS n_zero,
-  count(*) FILTER (WHERE top > 0) AS n_positive
-FROM (SELECT INDICATOR, PERIOD, ADM2_ID, count(VALUE) AS n, max(abs(VALUE)) AS top FROM v_zlong GROUP BY ALL) GROUP BY ALL""")
+SELECT g.INDICATOR, g.PERIOD, count(*) AS n_total, count(*) FILTER (WHERE coalesce(n, 0) = 0) AS n_missing,
+  count(*) FILTER (WHERE n > 0 AND zero) AS n_zero, count(*) FILTER (WHERE top > 0) AS n_positive,
+  100 * count(*) FILTER (WHERE coalesce(n, 0) = 0) / count(*) AS pct_missing, 100 * count(*) FILTER (WHERE n > 0 AND zero) / count(*) AS pct_zero,
+  100 * count(*) FILTER (WHERE top > 0) / count(*) AS pct_positive
+FROM (SELECT * FROM (SELECT DISTINCT ADM2_ID FROM v_zlong) CROSS JOIN (SELECT DISTINCT PERIOD FROM v_zlong)
+      CROSS JOIN (SELECT DISTINCT INDICATOR FROM v_zlong)) g
+LEFT JOIN (SELECT INDICATOR, PERIOD, ADM2_ID, count(VALUE) AS n, max(VALUE) AS top, bool_and(VALUE = 0) AS zero FROM v_zlong GROUP BY ALL) l
+  ON l.ADM2_ID = g.ADM2_ID AND l.PERIOD = g.PERIOD AND l.INDICATOR = g.INDICATOR GROUP BY 1, 2""", "pct_missing pct_zero pct_positive")
 def _(t):
     return T.district_status(_zlong(t))
 
 
+@query("D37_monthly_reporting", """
+WITH p AS (SELECT OU_ID, YEAR, PERIOD, bool_or(MALDTH IS NOT NULL) AS a FROM v_routine GROUP BY ALL)
+SELECT YEAR, PERIOD, n_reporting, n_active_year, n_active_ever, 100 * n_reporting / n_active_ever AS pct_of_ever,
+  100 * n_reporting / nullif(n_active_year, 0) AS pct_of_year
+FROM (SELECT YEAR, PERIOD, count(*) FILTER (WHERE a) AS n_reporting FROM p GROUP BY ALL)
+JOIN (SELECT YEAR, count(DISTINCT OU_ID) FILTER (WHERE a) AS n_active_year FROM p GROUP BY 1) USING (YEAR)
+CROSS JOIN (SELECT count(DISTINCT OU_ID) FILTER (WHERE a) AS n_active_ever FROM p)""", "pct_of_ever pct_of_year")
+def _(t):
+    return T.monthly_reporting(t.routine, ["MALDTH"])
+
+
 @query("D37_yearly_activity", """
 SELECT YEAR, count(*) FILTER (WHERE a) AS n_active, count(*) AS n_listed,
   count(*) FILTER (WHERE a) / (SELECT count(DISTINCT OU_ID) FROM v_routine) * 100 AS pct_of_all,
@@ -398,10 +414,13 @@ def _(t):
 
 @query("D39_element_coverage", """
 SELECT OU, DX, n_months, coverage, avg(coverage) OVER (PARTITION BY OU) AS unit_coverage FROM (
-  SELECT OU, DX, count(DISTINCT PE) AS n_months, count(DISTINCT PE) / (SELECT count(DISTINCT PE) FROM v_raw) AS coverage
-  FROM v_raw WHERE VALUE IS NOT NULL GROUP BY 1, 2)""", "coverage unit_coverage")
+  SELECT OU, DX, count(DISTINCT PE) FILTER (WHERE v IS NOT NULL) AS n_months,
+    count(DISTINCT PE) FILTER (WHERE v IS NOT NULL) / (SELECT count(DISTINCT PE) FROM v_raw) AS coverage
+  FROM (SELECT *, CASE WHEN NOT (DX = 'N' AND ends_with(OU, '1')) THEN VALUE END AS v FROM v_raw) GROUP BY 1, 2)""", "coverage unit_coverage")
 def _(t):
-    return T.element_coverage(t.raw)
+    # some facilities list an element without any value
+    listed = (F.col("DX") == "N") & F.endswith("OU", F.lit("1"))
+    return T.element_coverage(t.raw.withColumn("VALUE", F.when(~listed, F.col("VALUE"))))
 
 
 _PREFIX = "CASE CAST(floor(s_acctbal) AS BIGINT) % 6 WHEN 0 THEN 'CSI ' WHEN 1 THEN 'HD ' WHEN 2 THEN 'salle  ' WHEN 3 THEN 'CABINET ' WHEN 4 THEN 'CS' ELSE 'POLYCLINIQUE ' END || s_suppkey"
@@ -443,8 +462,8 @@ def _(t):
 
 _PAIRS = {n: (a, b, text) for n, (a, b, text) in T.COHERENCE.items()}
 _NATIONAL = " UNION ALL ".join(
-    f"SELECT 'pct_coherent_{n}' AS check_type, avg(CAST({a} >= {b} AS INTEGER)) * 100 AS pct_coherent, '{x}' AS check_label "
-    f"FROM v_routine" for n, (a, b, x) in _PAIRS.items())
+    f"SELECT YEAR, '{n}' AS check_type, avg(CAST({a} >= {b} AS INTEGER)) * 100 AS pct_coherent, '{x}' AS check_label "
+    f"FROM v_routine GROUP BY YEAR HAVING count({a} >= {b}) > 0" for n, (a, b, x) in _PAIRS.items())
 _DISTRICT = " UNION ALL ".join(
     f"SELECT ADM1_NAME, ADM2_NAME, ADM2_ID, YEAR, count(*) AS total_reports, 'pct_coherent_{n}' AS check_type, "
     f"avg(CAST({a} >= {b} AS INTEGER)) * 100 AS pct_coherent, '{x}' AS check_label FROM v_routine GROUP BY ALL HAVING count(*) >= 20"
@@ -462,10 +481,9 @@ def _(t):
 
 
 @query("D44_scatter_statistics", """
-SELECT count(*) AS n_points, avg(CAST(CONF > TEST AS INTEGER)) * 100 AS pct_above, max(q) AS "limit",
-  avg(CAST(TEST > q OR CONF > q AS INTEGER)) * 100 AS pct_beyond
-FROM v_routine, (SELECT quantile_cont(v, 0.999) AS q FROM (SELECT TEST AS v FROM v_routine UNION ALL SELECT CONF FROM v_routine))
-WHERE TEST IS NOT NULL AND CONF IS NOT NULL""", "pct_above limit pct_beyond")
+SELECT count(*) AS n_points, round_even(100 * count(*) FILTER (WHERE CONF > TEST) / count(*), 2) AS pct_above, max(q) AS "limit",
+  round_even(100 * count(*) FILTER (WHERE TEST > q OR CONF > q) / count(*), 3) AS pct_beyond
+FROM v_routine, (SELECT quantile_cont(v, 0.999) AS q FROM (SELECT TEST AS v FROM v_routine UNION ALL SELECT CONF FROM v_routine))""", "pct_above limit pct_beyond")
 def _(t):
     return T.scatter_stats(t.routine, "TEST", "CONF")
 

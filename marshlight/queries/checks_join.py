@@ -83,6 +83,13 @@ def _(t):
         "ADM2_ID", "YEAR", "MONTH", "N2", "CARESEEKING_PCT", "N3")
 
 
+@query("C4_conflicting_care_seeking", "SELECT ADM1_ID, PCT / 2 * 100 AS CARESEEKING_PCT FROM v_care", "CARESEEKING_PCT")
+def _(t):
+    """Each region three times: without a value, with its value and with half of it; the lowest known one counts."""
+    versions = F.array(F.lit(None).cast("double"), F.col("PCT"), F.col("PCT") / 2)
+    return I.care_seeking(t.care.select("ADM1_ID", F.explode(versions).alias("PCT")), "PCT")
+
+
 @query("C5_attach_population", """
 SELECT y.ADM2_ID, y.YEAR, y.CONF, p.POPULATION FROM
   (SELECT ADM2_ID, YEAR, sum(CONF) AS CONF FROM v_monthly GROUP BY ALL) y LEFT JOIN v_population p USING (ADM2_ID, YEAR)""")
@@ -257,7 +264,7 @@ def _(t):
     return J.update_columns(*_update_sides(t), ["ADM2_ID"], ["v"])
 
 
-@query("C17_update_overwrite", "SELECT ADM2_ID, round(new, 2) AS v FROM v_update")
+@query("C17_update_overwrite", "SELECT ADM2_ID, round_even(new, 2) AS v FROM v_update")
 def _(t):
     return J.update_columns(*_update_sides(t), ["ADM2_ID"], ["v"], keep_old=False, rounding=2)
 
@@ -303,7 +310,7 @@ SELECT 'U' || vec_id AS id, 'UNIT ' || vec_id AS name, CAST(CASE WHEN label = 1
   CASE WHEN label = 2 THEN 'U' || vec_id END AS level_4_id, CASE WHEN label = 2 THEN 'UNIT ' || vec_id END AS level_4_name,
   CASE WHEN label = 3 THEN 'U' || vec_id END AS level_5_id, CASE WHEN label = 3 THEN 'UNIT ' || vec_id END AS level_5_name,
   CASE WHEN label NOT IN (1, 2, 3) THEN 'U' || vec_id END AS level_6_id,
-  CASE WHEN label NOT IN (1, 2, 3) THEN 'UNIT ' || vec_id END AS level_6_name, lon, lat, vec_id
+  CASE WHEN label NOT IN (1, 2, 3) THEN 'UNIT ' || vec_id END AS level_6_name, CASE WHEN vec_id % 7 <> 3 THEN lon END AS lon, lat, vec_id
 FROM v_cells"""
 
 
@@ -320,7 +327,7 @@ def units(t):
         F.when(label == 2, own_id).alias("level_4_id"), F.when(label == 2, own_name).alias("level_4_name"),
         F.when(label == 3, own_id).alias("level_5_id"), F.when(label == 3, own_name).alias("level_5_name"),
         F.when(~label.isin(1, 2, 3), own_id).alias("level_6_id"),
-        F.when(~label.isin(1, 2, 3), own_name).alias("level_6_name"), "lon", "lat")
+        F.when(~label.isin(1, 2, 3), own_name).alias("level_6_name"), F.when(i % 7 != 3, F.col("lon")).alias("lon"), "lat")
 
 
 VIEWS["v_moved"] = """
@@ -330,12 +337,13 @@ WHERE level = 3"""
 
 
 @query("C21_K6_relevel_units", """
-SELECT id, name, CAST(6 AS INTEGER) AS level, coalesce(new_id, level_3_id) AS level_3_id,
-  coalesce(new_name, level_3_name) AS level_3_name, NULL AS level_4_id, NULL AS level_4_name, NULL AS level_5_id,
-  NULL AS level_5_name, CASE WHEN new_id IS NOT NULL THEN id END AS level_6_id,
-  CASE WHEN new_id IS NOT NULL THEN name END AS level_6_name FROM v_moved
-UNION ALL SELECT u.id, u.name, 6, coalesce(m.new_id, u.level_3_id), coalesce(m.new_name, u.level_3_name), NULL, NULL, NULL,
-  NULL, u.id, u.name FROM v_units u LEFT JOIN v_moved m ON m.id = u.level_3_id AND m.new_id IS NOT NULL
+SELECT id, name, CAST(6 AS INTEGER) AS level, CASE WHEN lon IS NULL THEN level_3_id ELSE new_id END AS level_3_id,
+  CASE WHEN lon IS NULL THEN level_3_name ELSE new_name END AS level_3_name, NULL AS level_4_id, NULL AS level_4_name, NULL AS level_5_id,
+  NULL AS level_5_name, CASE WHEN lon IS NOT NULL THEN id END AS level_6_id,
+  CASE WHEN lon IS NOT NULL THEN name END AS level_6_name FROM v_moved
+UNION ALL SELECT u.id, u.name, 6, CASE WHEN m.id IS NULL THEN u.level_3_id ELSE m.new_id END,
+  CASE WHEN m.id IS NULL THEN u.level_3_name ELSE m.new_name END, NULL, NULL, NULL,
+  NULL, u.id, u.name FROM v_units u LEFT JOIN v_moved m ON m.id = u.level_3_id AND m.lon IS NOT NULL
 WHERE u.level IN (4, 5)
 UNION ALL SELECT id, name, level, level_3_id, level_3_name, level_4_id, level_4_name, level_5_id, level_5_name,
   level_6_id, level_6_name FROM v_units WHERE level = 6""")

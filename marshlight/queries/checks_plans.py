@@ -10,6 +10,7 @@ from ..plans import incidence as I
 from ..plans import outliers as O
 from ..plans import seasonality as Se
 from ..plans import survey as V
+from ..sources.config import metadata_table, update_metadata
 from .checks_agg import Y_COLS, yearly
 from .registry import query
 from .standins import INDICATORS, VIEWS
@@ -273,15 +274,15 @@ def _metrics(t):
 
 
 @query("H31_scaled_metrics", """
-SELECT ADM2_ID, round(max(VALUE) FILTER (WHERE METRIC_NAME = 'Pf_Parasite_Rate') * 100, 2) AS PF_PR_RATE,
-  round(max(VALUE) FILTER (WHERE METRIC_NAME = 'IRS_Coverage') * 100, 2) AS IRS_COVERAGE_RATE
+SELECT ADM2_ID, round_even(max(VALUE) FILTER (WHERE METRIC_NAME = 'Pf_Parasite_Rate') * 100, 2) AS PF_PR_RATE,
+  round_even(max(VALUE) FILTER (WHERE METRIC_NAME = 'IRS_Coverage') * 100, 2) AS IRS_COVERAGE_RATE
 FROM (SELECT *, max(YEAR) OVER (PARTITION BY METRIC_NAME) AS last FROM v_metrics WHERE STATISTIC = 'MEAN') WHERE YEAR = last GROUP BY 1""")
 def _(t):
     return Z.latest_metrics(_metrics(t)).select("ADM2_ID", "PF_PR_RATE", "IRS_COVERAGE_RATE")
 
 
 @query("H32_region_values_to_districts", """
-SELECT a.ADM2_ID, round(c.PCT * 100, 2) AS PCT_CARE FROM v_admin a LEFT JOIN (SELECT * FROM v_care WHERE ADM1_ID <> 'R1') c USING (ADM1_ID)""")
+SELECT a.ADM2_ID, round_even(c.PCT * 100, 2) AS PCT_CARE FROM v_admin a LEFT JOIN (SELECT * FROM v_care WHERE ADM1_ID <> 'R1') c USING (ADM1_ID)""")
 def _(t):
     care = t.care.filter("ADM1_ID <> 'R1'").select("ADM1_ID", (F.col("PCT") * 100).alias("p"))
     out = Z.add_region_values(Z.empty_results(t.admin, ["PCT_CARE"]), care, {"p": "PCT_CARE"})
@@ -295,15 +296,15 @@ _VARS = ["POPULATION", "POP_UNDER_5", "REPORTING_RATE", "INCIDENCE_CRUDE", "INCI
 @query("K29_assembled_results", """
 SELECT a.*, p.POPULATION, p.POP_UNDER_5, rr.REPORTING_RATE, i.INCIDENCE_CRUDE, i.INCIDENCE_ADJ_TESTING, i.INCIDENCE_ADJ_REPORTING,
   m.PF_PR_RATE, m.IRS_COVERAGE_RATE, CASE s.SEASONALITY WHEN 0 THEN 'not-seasonal' WHEN 1 THEN 'seasonal' END AS SEASONALITY_RAINFALL,
-  CAST(s.BLOCK AS DOUBLE) AS SEASONAL_BLOCK_DURATION_RAINFALL, round(c.PCT * 100, 2) AS PCT_CARE, round(u.R, 2) AS U5MR,
+  CAST(s.BLOCK AS DOUBLE) AS SEASONAL_BLOCK_DURATION_RAINFALL, round_even(c.PCT * 100, 2) AS PCT_CARE, round_even(u.R, 2) AS U5MR,
   CAST(NULL AS DOUBLE) AS NEVER_FILLED
 FROM v_admin a
-LEFT JOIN (SELECT ADM2_ID, POPULATION, POP_UNDER_5 FROM v_population WHERE YEAR = (SELECT max(YEAR) FROM v_population)) p USING (ADM2_ID)
-LEFT JOIN (SELECT ADM2_ID, round(avg(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1) rr USING (ADM2_ID)
-LEFT JOIN (SELECT ADM2_ID, round(avg(INCIDENCE_CRUDE), 2) AS INCIDENCE_CRUDE, round(avg(INCIDENCE_ADJ_TESTING), 2) AS INCIDENCE_ADJ_TESTING,
-    round(avg(INCIDENCE_ADJ_REPORTING), 2) AS INCIDENCE_ADJ_REPORTING FROM v_yearly WHERE YEAR > (SELECT max(YEAR) - 3 FROM v_yearly) GROUP BY 1) i USING (ADM2_ID)
-LEFT JOIN (SELECT ADM2_ID, round(max(VALUE) FILTER (WHERE METRIC_NAME = 'Pf_Parasite_Rate') * 100, 2) AS PF_PR_RATE,
-    round(max(VALUE) FILTER (WHERE METRIC_NAME = 'IRS_Coverage') * 100, 2) AS IRS_COVERAGE_RATE
+LEFT JOIN (SELECT ADM2_ID, POPULATION, POP_UNDER_5 FROM v_population WHERE YEAR = 1996) p USING (ADM2_ID)
+LEFT JOIN (SELECT ADM2_ID, round_even(avg(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1) rr USING (ADM2_ID)
+LEFT JOIN (SELECT ADM2_ID, round_even(avg(INCIDENCE_CRUDE), 2) AS INCIDENCE_CRUDE, round_even(avg(INCIDENCE_ADJ_TESTING), 2) AS INCIDENCE_ADJ_TESTING,
+    round_even(avg(INCIDENCE_ADJ_REPORTING), 2) AS INCIDENCE_ADJ_REPORTING FROM v_yearly WHERE YEAR > (SELECT max(YEAR) - 3 FROM v_yearly) GROUP BY 1) i USING (ADM2_ID)
+LEFT JOIN (SELECT ADM2_ID, round_even(max(VALUE) FILTER (WHERE METRIC_NAME = 'Pf_Parasite_Rate') * 100, 2) AS PF_PR_RATE,
+    round_even(max(VALUE) FILTER (WHERE METRIC_NAME = 'IRS_Coverage') * 100, 2) AS IRS_COVERAGE_RATE
   FROM (SELECT *, max(YEAR) OVER (PARTITION BY METRIC_NAME) AS last FROM v_metrics WHERE STATISTIC = 'MEAN') WHERE YEAR = last GROUP BY 1) m USING (ADM2_ID)
 LEFT JOIN v_season_block s USING (ADM2_ID) LEFT JOIN v_care c USING (ADM1_ID) LEFT JOIN v_u5 u ON 'R' || u.V024 = a.ADM1_ID""")
 def _(t):
@@ -316,7 +317,47 @@ def _(t):
     care = t.care.select("ADM1_ID", (F.col("PCT") * 100).alias("p"))
     u5 = under_five_mortality(_births(t)).select(F.concat(F.lit("R"), "V024").alias("ADM1_ID"), "R")
     return Z.assemble(t.admin, _VARS, population=t.population, rate=t.rate, incidence=yearly(t), metrics=_metrics(t), rain=rain,
-                      surveys=[(care, {"p": "PCT_CARE"}), (u5, {"R": "U5MR"})], years_back=-3)
+                      surveys=[(care, {"p": "PCT_CARE"}), (u5, {"R": "U5MR"})], years_back=-3,
+                      population_year=1996)  # a table that runs on after its reference year
+
+
+@query("K29_median_with_access_cases_and_user_layer", """
+SELECT a.*, CASE WHEN ends_with(a.ADM2_ID, '1') THEN 123.5 ELSE p.POPULATION END AS POPULATION, rr.REPORTING_RATE, i.INCIDENCE_CRUDE,
+  CASE s.SEASONALITY WHEN 0 THEN 'not-seasonal' WHEN 1 THEN 'seasonal' END AS SEASONALITY_CASES,
+  CAST(s.BLOCK AS DOUBLE) AS SEASONAL_BLOCK_DURATION_CASES, x.PCT_HEALTH_ACCESS
+FROM v_admin a
+LEFT JOIN (SELECT ADM2_ID, POPULATION FROM v_population WHERE YEAR = (SELECT max(YEAR) FROM v_population)) p USING (ADM2_ID)
+LEFT JOIN (SELECT ADM2_ID, round_even(median(REPORTING_RATE) * 100, 1) AS REPORTING_RATE FROM v_rate GROUP BY 1) rr USING (ADM2_ID)
+LEFT JOIN (SELECT ADM2_ID, round_even(median(INCIDENCE_CRUDE), 2) AS INCIDENCE_CRUDE FROM v_yearly GROUP BY 1) i USING (ADM2_ID)
+LEFT JOIN v_season_block s USING (ADM2_ID)
+LEFT JOIN (SELECT ADM2_ID, count(*) FILTER (WHERE CONF > 20) * 100.0 / count(*) AS PCT_HEALTH_ACCESS FROM v_district_month GROUP BY 1) x USING (ADM2_ID)""",
+       "PCT_HEALTH_ACCESS")
+def _(t):
+    t.use_staged_routine()
+    cases = Se.seasonality(t.district_month.select("ADM2_ID", "YEAR", "MONTH", F.col("RAIN").alias("VALUE")), "VALUE", "CASES", "SHARE", threshold=0.3)
+    access = t.district_month.groupBy("ADM2_ID").agg((F.count_if(F.col("CONF") > 20) * 100.0 / F.count(F.lit(1))).alias("PCT_HEALTH_ACCESS"))
+    layer = t.admin.select("ADM2_ID", F.lit("other name").alias("ADM2_NAME"), F.when(F.endswith("ADM2_ID", F.lit("1")), "123.5").alias("POPULATION"),
+                           F.lit("x").alias("NOT_A_VARIABLE"))
+    variables = ["POPULATION", "REPORTING_RATE", "INCIDENCE_CRUDE", "SEASONALITY_CASES", "SEASONAL_BLOCK_DURATION_CASES", "PCT_HEALTH_ACCESS"]
+    return Z.assemble(t.admin, variables, population=t.population, rate=t.rate, incidence=yearly(t), cases=cases, access=access,
+                      user_layer=layer, rate_metric="median", incidence_metric="median")
+
+
+@query("A14_K29_periods_used", """
+SELECT v.VARIABLE, v.LABEL, coalesce(p.PERIOD, v.PERIOD) AS PERIOD FROM (VALUES ('POPULATION', 'people', NULL), ('POP_UNDER_5', 'children', NULL),
+  ('REPORTING_RATE', 'rate', NULL), ('INCIDENCE_CRUDE', 'crude', NULL), ('PF_PR_RATE', 'parasite', NULL), ('IRS_COVERAGE_RATE', 'spraying', NULL),
+  ('U5MR', 'deaths', '2018')) v(VARIABLE, LABEL, PERIOD)
+LEFT JOIN (SELECT 'POPULATION' AS VARIABLE, '1996' AS PERIOD UNION ALL SELECT 'POP_UNDER_5', '1996'
+  UNION ALL SELECT 'REPORTING_RATE', min(YEAR) || '-' || max(YEAR) FROM v_rate
+  UNION ALL SELECT 'INCIDENCE_CRUDE', (max(YEAR) - 2) || '-' || max(YEAR) FROM v_yearly
+  UNION ALL SELECT CASE METRIC_NAME WHEN 'Pf_Parasite_Rate' THEN 'PF_PR_RATE' ELSE 'IRS_COVERAGE_RATE' END, CAST(max(YEAR) AS VARCHAR)
+    FROM v_metrics GROUP BY METRIC_NAME) p USING (VARIABLE)""")
+def _(t):
+    labels = {"POPULATION": "people", "POP_UNDER_5": "children", "REPORTING_RATE": "rate", "INCIDENCE_CRUDE": "crude", "PF_PR_RATE": "parasite",
+              "IRS_COVERAGE_RATE": "spraying", "U5MR": "deaths"}
+    meta = metadata_table(t.spark, {k: {"LABEL": v, "PERIOD": "2018" if k == "U5MR" else None} for k, v in labels.items()})
+    used = Z.periods_used(t.population, t.rate, yearly(t).select("ADM2_ID", "YEAR", "INCIDENCE_CRUDE"), _metrics(t), years_back=-3, population_year=1996)
+    return update_metadata(meta, used)
 
 
 @query("K30_outlier_report", """

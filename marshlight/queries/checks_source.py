@@ -286,15 +286,9 @@ def _(t):
 
 
 @query("F1_F5_ordered_coverage", """
-SELECT OU_ID, n, CAST(row_number() OVER (ORDER BY n DESC, OU_ID) AS INTEGER) AS place FROM (
-  SELECT OU_ID, count(MALDTH) AS n FROM v_routine GROUP BY 1) ORDER BY n DESC, OU_ID LIMIT 20""")
+SELECT OU_ID, count(MALDTH) AS n FROM v_routine GROUP BY 1 ORDER BY n DESC, OU_ID""")
 def _(t):
-    from pyspark.sql import Window
-
-    # a top-20 report: the limit comes first, so the window sees twenty rows
-    top = t.routine.groupBy("OU_ID").agg(F.count("MALDTH").alias("n")).orderBy(F.desc("n"), "OU_ID").limit(20)
-    order = Window.partitionBy(F.lit(1)).orderBy(F.desc("n"), "OU_ID")
-    return top.withColumn("place", F.row_number().over(order))
+    return t.routine.groupBy("OU_ID").agg(F.count("MALDTH").alias("n")).orderBy(F.desc("n"), "OU_ID")
 
 
 @query("F3_first_groups", "SELECT DISTINCT ADM2_ID FROM v_routine ORDER BY 1 LIMIT 5")

@@ -301,6 +301,15 @@ def _(t):
     return duplicate_keys(t.dup, ["OU_ID", "PERIOD", "INDICATOR"])
 
 
+@query("D24_conflicting_reports", """
+SELECT PERIOD, OU_ID, coalesce(SUSP, 1.0) AS SUSP, TEST, CONF, PRES FROM v_routine""")
+def _(t):
+    """Each report three times: as sent, empty, and with SUSP filled in; the fullest counts, then the lowest values."""
+    empty = t.routine.withColumns({i: F.lit(None).cast("double") for i in INDICATORS})
+    filled = t.routine.withColumn("SUSP", F.coalesce("SUSP", F.lit(1.0)))
+    return O.facility_months(t.routine.unionByName(empty).unionByName(filled), INDICATORS).select("PERIOD", "OU_ID", *INDICATORS)
+
+
 @query("D24_first_row_per_key", """
 SELECT OU_ID, PERIOD, INDICATOR, VALUE FROM v_dup
 QUALIFY row_number() OVER (PARTITION BY OU_ID, PERIOD, INDICATOR
@@ -472,21 +481,49 @@ SELECT s.ADM2_ID, SEASONALITY AS SEASONALITY_RAINFALL, CAST(BLOCK AS DOUBLE) AS
   CAST(START_MONTH AS DOUBLE) AS SEASONAL_BLOCK_START_MONTH_RAINFALL, PROPORTION AS RAIN_PROPORTION
 FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start_first USING (ADM2_ID)""", "RAIN_PROPORTION")
 def _(t):
-    out = Z.rain_seasonality(_rain(t), "VALUE", threshold=0.3)
+    out = Z.rain_seasonality(_rain(t).withColumn("PERIOD", F.col("YEAR") * 100 + F.col("MONTH")), "VALUE", threshold=0.3)
     return out.withColumns({c: F.col(c).cast("double") for c in
                             ("SEASONAL_BLOCK_DURATION_RAINFALL", "SEASONAL_BLOCK_START_MONTH_RAINFALL")})
 
 
+VIEWS["v_gaps"] = """
+SELECT u.ADM2_ID, m.PERIOD, d.CASES FROM (SELECT DISTINCT ADM2_ID FROM v_routine) u CROSS JOIN (
+  SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS PERIOD FROM (SELECT unnest(generate_series(
+    (SELECT make_date(min(PERIOD) // 100, min(PERIOD) % 100, 1) FROM v_routine)::TIMESTAMP,
+    (SELECT make_date(max(PERIOD) // 100, max(PERIOD) % 100, 1) FROM v_routine)::TIMESTAMP, INTERVAL 1 MONTH)) AS d)) m
+LEFT JOIN (SELECT ADM2_ID, PERIOD, sum(ALLOUT) FILTER (WHERE PERIOD % 17 <> 5) AS CASES FROM v_routine GROUP BY ALL) d
+  ON d.ADM2_ID = u.ADM2_ID AND d.PERIOD = m.PERIOD"""
+
+
+def _gappy(t):
+    """Outpatients as cases, with a month missing now and then."""
+    return t.routine.withColumn("CASES", F.when(F.col("PERIOD") % 17 != 5, F.col("ALLOUT")))
+
+
 @query("K18_case_seasonality_with_gaps_filled")
 def _(t):
-    return Z.case_seasonality(t.routine, "CONF")
+    return Z.case_seasonality(_gappy(t), "CASES")
 
 
 @query("U2_fill_gaps")
 def _(t):
     from ..operators.models import fill_gaps
 
-    return fill_gaps(Z.district_months(t.routine, "MALDTH"), "MALDTH", "ESTIMATE")
+    return fill_gaps(Z.district_months(_gappy(t), "CASES"), "CASES", "ESTIMATE")
+
+
+@query("U2_fill_gaps_properties", """
+SELECT ADM2_ID, count(*) AS n_months, count(*) - count(CASES) AS n_gaps, sum(CASES) AS known_sum, CAST(0 AS BIGINT) AS n_changed,
+  CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_not_whole, CAST(0 AS BIGINT) AS n_negative FROM v_gaps GROUP BY 1""", "known_sum")
+def _(t):
+    """Known months keep their value; every gap gets a whole number that is not negative."""
+    from ..operators.models import fill_gaps
+
+    gap, e = F.col("CASES").isNull(), F.col("ESTIMATE")
+    return fill_gaps(Z.district_months(_gappy(t), "CASES"), "CASES", "ESTIMATE").groupBy("ADM2_ID").agg(
+        F.count(F.lit(1)).alias("n_months"), F.count_if(gap).alias("n_gaps"), F.sum(F.when(~gap, e)).alias("known_sum"),
+        F.count_if(~gap & (e != F.col("CASES"))).alias("n_changed"), F.count_if(e.isNull() | F.isnan(e)).alias("n_missing"),
+        F.count_if(gap & (e != F.floor(e))).alias("n_not_whole"), F.count_if(e < 0).alias("n_negative"))
 
 
 @query("K18_readiness", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +12,12 @@ from pyspark.sql import functions as F
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str]) -> DataFrame:
     """A driver-side list of text rows as a table whose size the optimizer can see.
 
-    Written as literals over a one-row range, so joins with facts are broadcast by Spark's own size rule
-    and never shuffle the facts on a handful of keys. Longer lists become an ordinary table.
+    Made from an Arrow table, which Spark keeps as a local relation: joins with facts are broadcast by
+    Spark's own size rule and never shuffle the facts on a handful of keys.
     """
-    schema = ", ".join(f"`{n}` string" for n in names)
-    if not rows or len(rows) > 5000:
-        return spark.createDataFrame([tuple(r) for r in rows], schema)
-    structs = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, row)]) for row in rows]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    columns = list(zip(*rows)) or [()] * len(names)
+    text = [pa.array([None if v is None else str(v) for v in c], pa.string()) for c in columns]
+    return spark.createDataFrame(pa.Table.from_arrays(text, names=list(names)))
 
 
 def indicator_map(spark: SparkSession, definitions: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -76,8 +76,10 @@ def test_gap_fill_recovers_a_seasonal_series():
     assert np.abs(sarima_interpolate(holes) - y).max() < 0.05
 
 
-def test_gap_fill_short_series_is_a_line():
-    assert list(sarima_interpolate(np.array([1.0, np.nan, 3.0]))) == [1.0, 2.0, 3.0]
+def test_gap_fill_needs_two_years_and_more():
+    assert list(sarima_interpolate(np.array([1.0, 2.0, 3.0]))) == [1.0, 2.0, 3.0]
+    with pytest.raises(ValueError, match="more than 28 months"):
+        sarima_interpolate(np.array([1.0, np.nan, 3.0]))
 
 
 @pytest.mark.parametrize("probs", [[0.0, 0.5, 1.0], [0.1, 0.25, 0.999]])
