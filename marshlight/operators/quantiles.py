@@ -2,8 +2,8 @@
 
 Spark's `percentile` holds all distinct values of a group in one task. That is right for a facility's
 monthly series, which has one value per month, and wrong for a national column. Here a group is first
-reduced to (value, count) pairs, the value range is cut into buckets, and only the one or two buckets
-that contain a wanted rank are sorted.
+reduced to (value, count) pairs, which are staged, so the facts are read once; these are cut into buckets of
+about as many distinct values, and only the one or two buckets that contain a wanted rank are sorted.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 2048
+from ..sources.staging import stage
+
+BUCKETS = 1024
+STEP = 32
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
@@ -21,21 +24,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     keys = list(keys)
     v = F.col(value).cast("double")
     counts = df.filter(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    # A signed logarithm keeps buckets even for long-tailed counts; it is monotone, so order is kept.
-    squeezed = F.signum("_v") * F.log1p(F.abs(F.col("_v")))
-    counts = counts.withColumn("_s", squeezed)
-    span = counts.groupBy(*keys).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+    counts = stage(counts)
+    # Edges at equal numbers of distinct values, so one far outlier does not put the rest into one bucket.
+    edges = counts.groupBy(*keys).agg(F.percentile_approx("_v", [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("_e"))
     if keys:
-        placed = counts.join(span, keys)
+        placed = counts.join(edges, keys)
     else:
-        placed = counts.withColumns({c: span.select(c).scalar() for c in ("_lo", "_hi")})
-    placed = placed.withColumn(
-        "_b",
-        F.coalesce(
-            F.floor(F.try_divide(F.col("_s") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * (BUCKETS - 1)),
-            F.lit(0),
-        ),
-    )
+        placed = counts.withColumn("_e", edges.select("_e").scalar())
+    # How many edges lie below the value, looked up in two steps of STEP.
+    coarse = F.size(F.filter(F.sequence(F.lit(1), F.lit(BUCKETS // STEP - 1)), lambda k: F.get("_e", k * STEP - 1) < F.col("_v")))
+    placed = placed.withColumn("_c", coarse)
+    fine = F.size(F.filter(F.slice("_e", F.col("_c") * STEP + 1, STEP), lambda e: e < F.col("_v")))
+    placed = placed.withColumn("_b", F.col("_c") * STEP + fine).drop("_e", "_c")
     # At most BUCKETS rows per group reach this window.
     per_bucket = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     order = Window.partitionBy(*keys).orderBy("_b")

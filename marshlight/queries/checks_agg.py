@@ -423,18 +423,18 @@ def _(t):
     return T.element_coverage(t.raw.withColumn("VALUE", F.when(~listed, F.col("VALUE"))))
 
 
-_PREFIX = "CASE CAST(floor(s_acctbal) AS BIGINT) % 6 WHEN 0 THEN 'CSI ' WHEN 1 THEN 'HD ' WHEN 2 THEN 'salle  ' WHEN 3 THEN 'CABINET ' WHEN 4 THEN 'CS' ELSE 'POLYCLINIQUE ' END || s_suppkey"
+_PREFIX = "CASE CAST(floor(abs(s_acctbal)) AS BIGINT) % 6 WHEN 0 THEN 'CSI ' WHEN 1 THEN 'HD ' WHEN 2 THEN 'salle  ' WHEN 3 THEN 'CABINET ' WHEN 4 THEN 'CS' ELSE 'POLYCLINIQUE ' END || s_suppkey"
 VIEWS["v_typed"] = f"""
-SELECT 'F' || s_suppkey AS OU_ID, {_PREFIX} AS OU_NAME, CASE CAST(floor(s_acctbal) AS BIGINT) % 6
+SELECT 'F' || s_suppkey AS OU_ID, {_PREFIX} AS OU_NAME, CASE CAST(floor(abs(s_acctbal)) AS BIGINT) % 6
   WHEN 0 THEN 'CSI (centre de santé intégré)' WHEN 1 THEN 'HD (hôpital de district)' WHEN 2 THEN 'SS / Salle (soins/maternité)'
   WHEN 3 THEN 'Cabinet (privé)' WHEN 4 THEN 'Autre' ELSE 'Clinique (privé)' END AS type
-FROM supplier WHERE s_acctbal >= 0"""
+FROM supplier"""
 
 
 def named_facilities(t):
     """Facility names with type prefixes, by account balance."""
-    s = t.raw_table("supplier").filter("s_acctbal >= 0")
-    k = F.floor("s_acctbal") % 6
+    s = t.raw_table("supplier")
+    k = F.floor(F.abs("s_acctbal")) % 6
     prefix = (F.when(k == 0, "CSI ").when(k == 1, "HD ").when(k == 2, "salle  ").when(k == 3, "CABINET ").when(k == 4, "CS")
               .otherwise("POLYCLINIQUE "))
     return s.select(F.concat(F.lit("F"), "s_suppkey").alias("OU_ID"), F.concat(prefix, "s_suppkey").alias("OU_NAME"))
@@ -576,13 +576,13 @@ def _(t):
 
 
 @query("D50_element_months", """
-WITH s AS (SELECT INDICATOR, PERIOD, sum(VALUE) AS VALUE FROM v_long WHERE VALUE > 220 GROUP BY ALL),
+WITH s AS (SELECT INDICATOR, PERIOD, sum(VALUE) FILTER (WHERE VALUE > 220) AS VALUE FROM v_long GROUP BY ALL),
 g AS (SELECT INDICATOR, unnest(generate_series(make_date(min(PERIOD) // 100, min(PERIOD) % 100, 1)::TIMESTAMP,
   make_date(max(PERIOD) // 100, max(PERIOD) % 100, 1)::TIMESTAMP, INTERVAL 1 MONTH)) AS d FROM s GROUP BY 1)
 SELECT g.INDICATOR, CAST(year(d) * 100 + month(d) AS INTEGER) AS PERIOD, coalesce(s.VALUE, 0) AS VALUE
 FROM g LEFT JOIN s ON s.INDICATOR = g.INDICATOR AND s.PERIOD = year(d) * 100 + month(d)""")
 def _(t):
-    return T.element_months(t.long.filter("VALUE > 220"))
+    return T.element_months(t.long.withColumn("VALUE", F.when(F.col("VALUE") > 220, F.col("VALUE"))))
 
 
 @query("D51_national_months", "SELECT PERIOD, sum(SUSP) AS SUSP, sum(TEST) AS TEST FROM v_routine GROUP BY 1")

@@ -307,20 +307,20 @@ def _(t):
 
 
 VIEWS["v_raw_pop"] = """
-SELECT 'A' AS DX, CAST(NULL AS VARCHAR) AS CO, ADM2_ID AS OU, CAST(YEAR AS VARCHAR) AS PE, CAST(CAST(POPULATION AS BIGINT) AS VARCHAR) || '.7' AS VALUE
-FROM v_population WHERE YEAR > 1996
+SELECT 'A' AS DX, CAST(NULL AS VARCHAR) AS CO, ADM2_ID AS OU, CAST(YEAR AS VARCHAR) AS PE, CASE WHEN YEAR > 1996 THEN CAST(CAST(POPULATION AS BIGINT) AS VARCHAR) || '.7' END AS VALUE
+FROM v_population
 UNION ALL SELECT 'N', 'F', ADM2_ID, CAST(YEAR AS VARCHAR), CAST(CAST(POP_UNDER_5 AS BIGINT) AS VARCHAR) FROM v_population"""
 
 
 @query("K2_format_population", """
 SELECT a.ADM1_ID, a.ADM2_ID, replace(a.ADM2_NAME, '_', ' ') AS ADM2_NAME, y.YEAR, x.SUSP, x.ALLOUT
 FROM v_admin a CROSS JOIN (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS YEAR) y
-LEFT JOIN (SELECT OU, CAST(PE AS INTEGER) AS YEAR, sum(trunc(CAST(VALUE AS DOUBLE))) FILTER (WHERE DX = 'A') AS SUSP,
-  sum(trunc(CAST(VALUE AS DOUBLE))) AS ALLOUT FROM v_raw_pop GROUP BY 1, 2) x ON x.OU = a.ADM2_ID AND x.YEAR = y.YEAR""")
+LEFT JOIN (SELECT OU, CAST(PE AS INTEGER) AS YEAR, sum(coalesce(trunc(CAST(VALUE AS DOUBLE)), 0)) FILTER (WHERE DX = 'A') AS SUSP,
+  sum(coalesce(trunc(CAST(VALUE AS DOUBLE)), 0)) AS ALLOUT FROM v_raw_pop GROUP BY 1, 2) x ON x.OU = a.ADM2_ID AND x.YEAR = y.YEAR""")
 def _(t):
     p = t.population
-    whole = F.concat(F.col("POPULATION").cast("bigint").cast("string"), F.lit(".7"))
-    a = p.filter("YEAR > 1996").select(F.lit("A").alias("DX"), F.lit(None).cast("string").alias("CO"), F.col("ADM2_ID").alias("OU"),
+    whole = F.when(F.col("YEAR") > 1996, F.concat(F.col("POPULATION").cast("bigint").cast("string"), F.lit(".7")))
+    a = p.select(F.lit("A").alias("DX"), F.lit(None).cast("string").alias("CO"), F.col("ADM2_ID").alias("OU"),
                                        F.col("YEAR").cast("string").alias("PE"), whole.alias("VALUE"))
     b = p.select(F.lit("N").alias("DX"), F.lit("F").alias("CO"), F.col("ADM2_ID").alias("OU"),
                  F.col("YEAR").cast("string").alias("PE"), F.col("POP_UNDER_5").cast("bigint").cast("string").alias("VALUE"))

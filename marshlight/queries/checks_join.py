@@ -99,14 +99,14 @@ def _(t):
 
 
 @query("C6_complete_unit_month_grid", """
-SELECT u.ADM2_ID, m.PERIOD, d.CONF FROM (SELECT DISTINCT ADM2_ID FROM v_district_month WHERE CONF > 100) u
+SELECT u.ADM2_ID, m.PERIOD, d.CONF FROM (SELECT DISTINCT ADM2_ID FROM v_district_month) u
 CROSS JOIN (SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS PERIOD FROM (SELECT unnest(generate_series(
-   (SELECT make_date(min(PERIOD) // 100, min(PERIOD) % 100, 1) FROM v_district_month WHERE CONF > 100)::TIMESTAMP,
-   (SELECT make_date(max(PERIOD) // 100, max(PERIOD) % 100, 1) FROM v_district_month WHERE CONF > 100)::TIMESTAMP,
+   (SELECT make_date(min(PERIOD) // 100, min(PERIOD) % 100, 1) FROM v_district_month)::TIMESTAMP,
+   (SELECT make_date(max(PERIOD) // 100, max(PERIOD) % 100, 1) FROM v_district_month)::TIMESTAMP,
    INTERVAL 1 MONTH)) AS d)) m
-LEFT JOIN (SELECT * FROM v_district_month WHERE CONF > 100) d ON d.ADM2_ID = u.ADM2_ID AND d.PERIOD = m.PERIOD""")
+LEFT JOIN v_district_month d ON d.ADM2_ID = u.ADM2_ID AND d.PERIOD = m.PERIOD""")
 def _(t):
-    return H.complete_months(t.district_month.filter("CONF > 100"), ["ADM2_ID"], ["CONF"])
+    return H.complete_months(t.district_month, ["ADM2_ID"], ["CONF"])
 
 
 @query("C7_inner_join_of_summaries", """
@@ -248,14 +248,14 @@ def _(t):
 
 VIEWS["v_update"] = """
 SELECT a.ADM2_ID, a.old, b.new FROM (SELECT ADM2_ID, sum(SUSP) AS old FROM v_routine GROUP BY 1) a
-LEFT JOIN (SELECT ADM2_ID, nullif(sum(CONF) FILTER (WHERE YEAR = 1996), 0) / 3 AS new FROM v_routine
-  WHERE ADM1_ID <> 'R2' GROUP BY 1) b USING (ADM2_ID)"""
+LEFT JOIN (SELECT ADM2_ID, nullif(sum(CONF) FILTER (WHERE YEAR = 1996 AND ADM1_ID <> 'R2'), 0) / 3 AS new FROM v_routine
+  GROUP BY 1) b USING (ADM2_ID)"""
 
 
 def _update_sides(t):
     old = t.routine.groupBy("ADM2_ID").agg(F.sum("SUSP").alias("v"))
-    new = t.routine.filter("ADM1_ID <> 'R2'").groupBy("ADM2_ID").agg(
-        (F.nullif(F.sum(F.when(F.col("YEAR") == 1996, F.col("CONF"))), F.lit(0)) / 3).alias("v"))
+    new = t.routine.groupBy("ADM2_ID").agg(
+        (F.nullif(F.sum(F.when((F.col("YEAR") == 1996) & (F.col("ADM1_ID") != "R2"), F.col("CONF"))), F.lit(0)) / 3).alias("v"))
     return old, new
 
 
@@ -271,12 +271,12 @@ def _(t):
 
 @query("C18_user_layer", """
 SELECT a.ADM1_NAME, a.ADM1_ID, a.ADM2_NAME, a.ADM2_ID, p.POPULATION, CAST(NULL AS DOUBLE) AS CONF FROM v_admin a
-LEFT JOIN (SELECT * FROM v_population WHERE YEAR = 1999) p USING (ADM2_ID)""")
+LEFT JOIN (SELECT ADM2_ID, max(POPULATION) AS POPULATION FROM v_population GROUP BY 1) p USING (ADM2_ID)""")
 def _(t):
     from ..plans.assemble import add_user_layer, empty_results
 
-    layer = t.population.filter("YEAR = 1999").select("ADM2_ID", F.lit("other").alias("ADM2_NAME"), "POPULATION",
-                                                     F.lit(1).alias("UNKNOWN"))
+    layer = t.population.groupBy("ADM2_ID").agg(F.max("POPULATION").alias("POPULATION")).withColumns(
+        {"ADM2_NAME": F.lit("other"), "UNKNOWN": F.lit(1)})
     return add_user_layer(empty_results(t.admin, ["POPULATION", "CONF"]), layer)
 
 
@@ -362,11 +362,12 @@ def _(t):
 
 @query("C23_match_regions_by_name", """
 SELECT a.ADM2_ID, a.ADM1_NAME, s.n FROM v_admin a LEFT JOIN (
-  SELECT ADM1_NAME, count(*) AS n FROM v_survey WHERE V024 <> 2 GROUP BY 1) s USING (ADM1_NAME)""")
+  SELECT CASE WHEN V024 <> 2 THEN ADM1_NAME END AS ADM1_NAME, count(*) AS n FROM v_survey GROUP BY 1) s USING (ADM1_NAME)""")
 def _(t):
     from ..functions.text import normalise_name
 
-    s = t.survey.filter("V024 <> 2").groupBy(normalise_name("ADM1_NAME").alias("ADM1_NAME")).agg(
+    known = F.when(F.col("V024") != 2, normalise_name("ADM1_NAME"))
+    s = t.survey.groupBy(known.alias("ADM1_NAME")).agg(
         F.count(F.lit(1)).alias("n"))
     return t.admin.select("ADM2_ID", "ADM1_NAME").join(s, "ADM1_NAME", "left")
 
@@ -417,12 +418,11 @@ def _(t):
 
 
 @query("G2_G3_only_in_left", """
-SELECT ADM2_ID, PERIOD FROM v_district_month WHERE CONF > 50 EXCEPT SELECT ADM2_ID, PERIOD FROM v_district_month
-WHERE RAIN > 500""")
+SELECT OU_ID, PERIOD FROM v_routine EXCEPT SELECT OU, CAST(PE AS INTEGER) + 1 FROM v_raw""")
 def _(t):
-    d = t.district_month
-    return K.only_in_left(d.filter("CONF > 50"), d.filter("RAIN > 500").withColumnRenamed("ADM2_ID", "D"),
-                          ["ADM2_ID", "PERIOD"], ["D", "PERIOD"])
+    # facility months whose month before has no raw record
+    raw = t.raw.select(F.col("OU").alias("U"), (F.col("PE").cast("int") + 1).alias("P"))
+    return K.only_in_left(t.routine, raw, ["OU_ID", "PERIOD"], ["U", "P"])
 
 
 @query("G4_same_sets", """

@@ -282,9 +282,9 @@ def _(t):
 
 
 @query("H32_region_values_to_districts", """
-SELECT a.ADM2_ID, round_even(c.PCT * 100, 2) AS PCT_CARE FROM v_admin a LEFT JOIN (SELECT * FROM v_care WHERE ADM1_ID <> 'R1') c USING (ADM1_ID)""")
+SELECT a.ADM2_ID, round_even(c.PCT * 100, 2) AS PCT_CARE FROM v_admin a LEFT JOIN (SELECT ADM1_ID, CASE WHEN ADM1_ID <> 'R1' THEN PCT END AS PCT FROM v_care) c USING (ADM1_ID)""")
 def _(t):
-    care = t.care.filter("ADM1_ID <> 'R1'").select("ADM1_ID", (F.col("PCT") * 100).alias("p"))
+    care = t.care.select("ADM1_ID", F.when(F.col("ADM1_ID") != "R1", F.col("PCT") * 100).alias("p"))
     out = Z.add_region_values(Z.empty_results(t.admin, ["PCT_CARE"]), care, {"p": "PCT_CARE"})
     return out.select("ADM2_ID", "PCT_CARE")
 

@@ -12,6 +12,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`, or the session's warehouse where that is unset: both are shared by all executors."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -29,7 +32,16 @@ def drop_staged(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read back, in every mode of running."""
-    path = f"{_app_folder(df.sparkSession)}/{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written to the shared folder and read back, in every mode of running.
+
+    Its shuffle files are deleted once it is written, since nothing reads them any more.
+    """
+    spark = df.sparkSession
+    path = f"{_app_folder(spark)}/{uuid4().hex}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

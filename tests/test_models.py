@@ -95,6 +95,14 @@ def test_exact_quantiles(spark, probs):
             assert got[k, p] == pytest.approx(np.quantile(data, p), rel=1e-12)
 
 
+def test_exact_quantiles_with_one_far_outlier(spark):
+    rng = np.random.default_rng(4)
+    data = [*rng.normal(100, 1, 20_000).tolist(), 1e300, -1e300]
+    df = spark.createDataFrame([(v,) for v in data], "v double")
+    got = {r.prob: r.quantile for r in exact_quantiles(df, "v", [0.25, 0.5, 0.999]).collect()}
+    assert got == {p: pytest.approx(np.quantile(data, p), rel=1e-12) for p in got}
+
+
 def test_exact_quantiles_whole_table(spark):
     df = spark.range(1001).select((F.col("id") % 37).alias("v"))
     got = {r.prob: r.quantile for r in exact_quantiles(df, "v", [0.5, 0.9]).collect()}
