@@ -36,10 +36,10 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
 def move_decimal(value: Column | str, lead: int) -> Column:
     """The same digits with the decimal point after the first `lead` of them; null when too short.
 
-    The digits are those of the plain decimal text, up to 15 significant ones, without an exponent.
+    The digits are those of the shortest decimal text of the number, up to 15 decimals, without an exponent.
     """
     value = as_col(value)
-    text = F.format_string("%.15f", F.abs(value))
+    text = F.abs(value).cast("decimal(38,15)").cast("string")
     text = F.regexp_replace(F.regexp_replace(text, "0+$", ""), "[.]$", "")
     digits = F.replace(text, F.lit("."), F.lit(""))
     moved = F.concat(F.substring(digits, 1, lead), F.lit("."), F.substring(digits, lead + 1, 40))

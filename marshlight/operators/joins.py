@@ -49,6 +49,11 @@ def update_columns(df: DataFrame, new: DataFrame, keys: Sequence[str], cols: Seq
     )
 
 
+def join_summaries(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of two tables with one row per key: keys known to both."""
+    return left.join(right, list(keys))
+
+
 def open_in_month(facilities: DataFrame, months: DataFrame, opening: str = "OPENING_DATE",
                   closing: str = "CLOSED_DATE") -> DataFrame:
     """Facility x month rows in which the facility is open at some time of the month.

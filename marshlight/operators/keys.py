@@ -73,3 +73,30 @@ def top_summed_groups(df: DataFrame, target: str, group: str) -> DataFrame:
     best = totals.groupBy("top_value").agg(F.count(F.lit(1)).alias("n_top"))
     best = best.agg(F.max_by(F.struct("top_value", "n_top"), "top_value").alias("_b")).select("_b.*")
     return totals.join(best, "top_value").select(group, "top_value", "n_top")
+
+
+def first_groups(df: DataFrame, group: str, n: int) -> DataFrame:
+    """The first `n` distinct values of `group` in order."""
+    return df.select(group).distinct().orderBy(group).limit(n)
+
+
+def in_first_groups(df: DataFrame, group: str, n: int) -> DataFrame:
+    """Rows of the first `n` values of `group`."""
+    return df.join(first_groups(df, group, n), group, "left_semi").select(*df.columns)
+
+
+def count_distinct_keys(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+    """One row: the number of different key combinations, e.g. of series."""
+    return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias(name))
+
+
+def range_and_latest(df: DataFrame, keys: Sequence[str], period: str, value: str, missing: float) -> DataFrame:
+    """First and last period of each group, and the value of its last period (`missing` where that is unknown)."""
+    return df.groupBy(*keys).agg(
+        F.min(period).alias("lo"), F.max(period).alias("hi"),
+        F.max_by(F.coalesce(F.col(value), F.lit(missing)), period).alias("latest"))
+
+
+def most_complete_first(df: DataFrame, key: str, value: str, name: str = "n") -> DataFrame:
+    """All groups with their number of known values, the fullest first, ties by key."""
+    return df.groupBy(key).agg(F.count(value).alias(name)).orderBy(F.desc(name), key)

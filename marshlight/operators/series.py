@@ -21,6 +21,18 @@ SERIES = ("ADM1_ID", "ADM2_ID", "OU_ID", "INDICATOR")
 ORDER = ("PERIOD", "YEAR", "MONTH")
 
 
+def rank_and_size(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str = "rk", size: str = "n") -> DataFrame:
+    """Place of a row in its series by `order`, and the series' number of rows."""
+    by = Window.partitionBy(*keys)
+    return df.withColumns({rank: F.row_number().over(by.orderBy(*order)), size: F.count(F.lit(1)).over(by)})
+
+
+def size_and_first(df: DataFrame, keys: Sequence[str], order: str, value: str, size: str, first: str) -> DataFrame:
+    """Number of rows of a series and its first value, on every row."""
+    by = Window.partitionBy(*keys)
+    return df.withColumns({size: F.count(F.lit(1)).over(by), first: F.first(value).over(by.orderBy(order))})
+
+
 def quartiles(value: str) -> Column:
     """First and third quartile as one aggregate."""
     return F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))

@@ -90,18 +90,25 @@ def repair_positions(units: DataFrame, edges: DataFrame, unit: str = "OU_ID", sh
     """LONGITUDE/LATITUDE of `units` moved to the first plausible candidate inside the country.
 
     With `box` = (lon min, lon max, lat min, lat max) the country is a rectangle and no shapes are needed.
-    Only units that are not already inside are spread into candidates.
+    The first candidate is the position as it is; only units that are not inside with it are spread into the others.
     """
     has = F.col("LONGITUDE").isNotNull() & F.col("LATITUDE").isNotNull()
-    tried = units.filter(has).select(
-        unit, F.posexplode(position_candidates("LONGITUDE", "LATITUDE")).alias("pos", "c"))
-    tried = tried.select(unit, "pos", F.col("c.method").alias("method"), F.col("c.lon").alias("lon"),
-                         F.col("c.lat").alias("lat")).filter(on_earth("lon", "lat"))
-    if box is not None:
-        inside = tried.filter(F.col("lon").between(box[0], box[1]) & F.col("lat").between(box[2], box[3]))
-    else:
-        inside = locate(tried, usable_edges(edges, shape_id), [shape_id], size, x="lon", y="lat")
-        inside = inside.filter(F.size("found") > 0)
+
+    def with_hit(points: DataFrame) -> DataFrame:
+        if box is not None:
+            hit = F.col("lon").between(box[0], box[1]) & F.col("lat").between(box[2], box[3])
+            return points.withColumn("hit", F.coalesce(hit & on_earth("lon", "lat"), F.lit(False)))
+        found = locate(points, usable_edges(edges, shape_id), [shape_id], size, x="lon", y="lat")
+        return found.withColumn("hit", (F.size("found") > 0) & F.coalesce(on_earth("lon", "lat"), F.lit(False)))
+
+    candidates = position_candidates("LONGITUDE", "LATITUDE")
+    fields = ["pos", F.col("c.method").alias("method"), F.col("c.lon").alias("lon"), F.col("c.lat").alias("lat")]
+    first = with_hit(units.filter(has).select(unit, "LONGITUDE", "LATITUDE", F.lit(0).alias("pos"), candidates[0].alias("c"))
+                     .select(unit, "LONGITUDE", "LATITUDE", *fields))
+    others = first.filter(~F.col("hit")).select(unit, F.posexplode(F.slice(candidates, 2, 100)).alias("pos", "c"))
+    others = with_hit(others.select(unit, *fields).withColumn("pos", F.col("pos") + 1).filter(on_earth("lon", "lat")))
+    keep = [unit, "pos", "method", "lon", "lat"]
+    inside = first.filter("hit").select(*keep).unionByName(others.filter("hit").select(*keep))
     best = inside.groupBy(unit).agg(F.min_by(F.struct("method", "lon", "lat"), "pos").alias("_best"))
     out = units.join(best, unit, "left")
     method = (F.when(~has, F.lit("MISSING_COORDINATES"))

@@ -215,3 +215,8 @@ def older_rate(routine: DataFrame, indicators: Sequence[str], expected: DataFram
     keys = [k for k in RATE_KEYS if k in expected.columns]
     return attach(submitted_reports(routine, indicators), expected, keys, ["EXPECTED_REPORTS"]).withColumn(
         "REPORTING_RATE", ratio("SUBMITTED_REPORTS", "EXPECTED_REPORTS"))
+
+
+def yearly_mean_rate(rate: DataFrame, name: str = "REPORTING_RATE") -> DataFrame:
+    """Mean monthly rate of each district and year."""
+    return rate.groupBy("ADM2_ID", "YEAR").agg(F.avg("REPORTING_RATE").alias(name))

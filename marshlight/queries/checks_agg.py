@@ -292,8 +292,7 @@ def _(t):
 @query("D32_period_range_and_latest", """
 SELECT ADM2_ID, min(PERIOD) AS lo, max(PERIOD) AS hi, max_by(coalesce(CONF, -1), PERIOD) AS latest FROM v_district_month GROUP BY 1""")
 def _(t):
-    return t.district_month.groupBy("ADM2_ID").agg(
-        F.min("PERIOD").alias("lo"), F.max("PERIOD").alias("hi"), F.max_by(F.coalesce("CONF", F.lit(-1.0)), "PERIOD").alias("latest"))
+    return K.range_and_latest(t.district_month, ["ADM2_ID"], "PERIOD", "CONF", -1.0)
 
 
 @query("D33_complete_groups", """
@@ -620,7 +619,7 @@ def _(t):
 
 @query("D55_yearly_mean_rate", "SELECT ADM2_ID, YEAR, avg(REPORTING_RATE) AS r FROM v_rate GROUP BY ALL", "r")
 def _(t):
-    return t.rate.groupBy("ADM2_ID", "YEAR").agg(F.avg("REPORTING_RATE").alias("r"))
+    return R.yearly_mean_rate(t.rate, "r")
 
 
 @query("D56_equal_frequency_breaks", """
@@ -652,7 +651,7 @@ def _(t):
 
 @query("D57_series_count", "SELECT count(*) AS n FROM (SELECT DISTINCT OU_ID, INDICATOR FROM v_long)")
 def _(t):
-    return t.long.select("OU_ID", "INDICATOR").distinct().agg(F.count(F.lit(1)).alias("n"))
+    return K.count_distinct_keys(t.long, ["OU_ID", "INDICATOR"])
 
 
 

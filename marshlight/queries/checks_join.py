@@ -117,7 +117,7 @@ def _(t):
     d = t.district_month
     top = d.groupBy("ADM2_ID", "YEAR").agg(F.max("CONF").alias("top"))
     total = d.filter("MONTH > 6").groupBy("ADM2_ID", "YEAR").agg(F.sum("CONF").alias("total"))
-    return top.join(total, ["ADM2_ID", "YEAR"])
+    return J.join_summaries(top, total, ["ADM2_ID", "YEAR"])
 
 
 @query("C8_units_by_every_month", """

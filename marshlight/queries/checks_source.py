@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import to_num, to_num_blank
 from ..functions.text import clean_columns
 from ..operators import joins as J
+from ..operators import keys as K
 from ..operators import shape as H
 from ..operators.spatial import usable_edges
 from ..plans import assemble as Z
@@ -219,11 +220,14 @@ def _(t):
 SELECT OU_ID, PERIOD, INDICATOR, VALUE_IMPUTED AS VALUE FROM v_flag_iqr WHERE INDICATOR IN {tuple(INDICATORS)}""")
 def _(t):
     from ..plans.outliers import detect
+    from ..sources.staging import new_path
 
     flagged = detect(t.long, "IQR")
     raw = flagged.select("OU_ID", "PERIOD", "INDICATOR", "VALUE", F.lit("raw").alias("variant"))
     imputed = flagged.select("OU_ID", "PERIOD", "INDICATOR", F.col("VALUE_IMPUTED").alias("VALUE"), F.lit("imputed").alias("variant"))
-    return H.union_all([raw, imputed]).filter("variant = 'imputed'").drop("variant")
+    path = new_path(t.spark)
+    H.union_all([raw, imputed]).write.partitionBy("variant").parquet(path)
+    return Rd.read_variant(t.spark, path, "imputed")
 
 
 @query("B18_month_of_reference_years", """
@@ -236,8 +240,7 @@ def _(t):
 @query("B19_first_areas", """
 SELECT OU_ID, PERIOD, ADM1_ID FROM v_routine WHERE ADM1_ID IN (SELECT DISTINCT ADM1_ID FROM v_routine ORDER BY 1 LIMIT 2)""")
 def _(t):
-    first = t.routine.select("ADM1_ID").distinct().orderBy("ADM1_ID").limit(2)
-    return t.routine.join(first, "ADM1_ID", "left_semi").select("OU_ID", "PERIOD", "ADM1_ID")
+    return K.in_first_groups(t.routine, "ADM1_ID", 2).select("OU_ID", "PERIOD", "ADM1_ID")
 
 
 @query("B20_drop_all_missing", """
@@ -288,12 +291,12 @@ def _(t):
 @query("F1_F5_ordered_coverage", """
 SELECT OU_ID, count(MALDTH) AS n FROM v_routine GROUP BY 1 ORDER BY n DESC, OU_ID""")
 def _(t):
-    return t.routine.groupBy("OU_ID").agg(F.count("MALDTH").alias("n")).orderBy(F.desc("n"), "OU_ID")
+    return K.most_complete_first(t.routine, "OU_ID", "MALDTH")
 
 
 @query("F3_first_groups", "SELECT DISTINCT ADM2_ID FROM v_routine ORDER BY 1 LIMIT 5")
 def _(t):
-    return t.routine.select("ADM2_ID").distinct().orderBy("ADM2_ID").limit(5)
+    return K.first_groups(t.routine, "ADM2_ID", 5)
 
 
 VIEWS["v_files"] = """
@@ -343,3 +346,24 @@ def _(t):
 @query("A9_written_and_read_back", "SELECT OU_ID, PERIOD, SUSP, CONF FROM v_routine")
 def _(t):
     return t.staged_routine.select("OU_ID", "PERIOD", "SUSP", "CONF")
+
+
+@query("A10_catalog_table", "SELECT OU_ID, PERIOD, CONF FROM v_routine")
+def _(t):
+    from ..sources.staging import new_path
+    from ..sources.writers import push_to_database
+
+    name = new_path(t.spark).rsplit("/", 1)[1]
+    push_to_database(t.routine.select("OU_ID", "PERIOD", "CONF"), f"pushed_{name}")
+    return t.spark.table(f"pushed_{name}")
+
+
+@query("A9_csv_and_per_year", "SELECT OU_ID, PERIOD, YEAR, CONF FROM v_routine")
+def _(t):
+    from ..sources.staging import new_path
+    from ..sources.writers import write_per_year, write_table
+
+    csv, yearly = new_path(t.spark) + ".csv", new_path(t.spark)
+    write_table(t.routine.select("OU_ID", "PERIOD", "YEAR", "CONF"), csv)
+    write_per_year(Rd.read_table(t.spark, csv, "OU_ID string, PERIOD int, YEAR int, CONF double"), yearly)
+    return t.spark.read.parquet(yearly).select("OU_ID", "PERIOD", F.col("YEAR").cast("int").alias("YEAR"), "CONF")

@@ -238,15 +238,10 @@ def _(t):
 
 @query("E18_rank_and_group_size", """
 SELECT OU_ID, INDICATOR, PERIOD, VALUE,
-  CAST(row_number() OVER (PARTITION BY OU_ID, INDICATOR ORDER BY VALUE, PERIOD) AS INTEGER) AS rk,
-  count(*) OVER (PARTITION BY OU_ID, INDICATOR) AS n FROM v_long WHERE VALUE > 0""")
+  CAST(row_number() OVER (PARTITION BY OU_ID, INDICATOR ORDER BY VALUE NULLS FIRST, PERIOD) AS INTEGER) AS rk,
+  count(*) OVER (PARTITION BY OU_ID, INDICATOR) AS n FROM v_long""")
 def _(t):
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("OU_ID", "INDICATOR")
-    return t.long.filter("VALUE > 0").select(
-        "OU_ID", "INDICATOR", "PERIOD", "VALUE", F.row_number().over(by.orderBy("VALUE", "PERIOD")).alias("rk"),
-        F.count(F.lit(1)).over(by).alias("n"))
+    return S.rank_and_size(t.long, ["OU_ID", "INDICATOR"], ["VALUE", "PERIOD"]).select("OU_ID", "INDICATOR", "PERIOD", "VALUE", "rk", "n")
 
 
 @query("G5_full_grid", "SELECT * FROM v_grid")
@@ -352,11 +347,7 @@ def _(t):
 SELECT OU_ID, PERIOD, count(*) OVER (PARTITION BY OU_ID) AS n,
   first_value(SUSP) OVER (PARTITION BY OU_ID ORDER BY PERIOD) AS first_susp FROM v_routine""")
 def _(t):
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("OU_ID")
-    return t.routine.select("OU_ID", "PERIOD", F.count(F.lit(1)).over(by).alias("n"),
-                            F.first("SUSP").over(by.orderBy("PERIOD")).alias("first_susp"))
+    return S.size_and_first(t.routine, ["OU_ID"], "PERIOD", "SUSP", "n", "first_susp").select("OU_ID", "PERIOD", "n", "first_susp")
 
 
 # --- seasonality ------------------------------------------------------------------------------------

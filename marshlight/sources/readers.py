@@ -54,6 +54,18 @@ def read_country_table(spark: SparkSession, root: str, country: str, suffix: str
     return cast_columns(require(df, required, label), types or {})
 
 
+def read_variant(spark: SparkSession, path: str, variant: str) -> DataFrame:
+    """One variant (raw, imputed, without outliers, ...) of a routine table partitioned by `variant`.
+
+    Only that partition is read; a variant that is not there is an error.
+    """
+    df = spark.read.parquet(path)
+    rows = require(df, ["variant"], "routine variants").filter(F.col("variant") == variant)
+    if not rows.inputFiles() or rows.isEmpty():
+        raise FileNotFoundError(f"no variant {variant!r} in {path}")
+    return rows.drop("variant")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

@@ -31,13 +31,18 @@ def drop_staged(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def new_path(spark: SparkSession) -> str:
+    """A place of its own among what this application stages."""
+    return f"{_app_folder(spark)}/{uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read back, in every mode of running.
 
     Its shuffle files are deleted once it is written, since nothing reads them any more.
     """
     spark = df.sparkSession
-    path = f"{_app_folder(spark)}/{uuid4().hex}"
+    path = new_path(spark)
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
