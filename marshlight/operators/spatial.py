@@ -126,23 +126,27 @@ def count_per_shape(points: DataFrame, edges: DataFrame, ids: Sequence[str], siz
 
 
 FINE = 4  # squares per radius
+POLAR = 85.0  # degrees beyond which a square's nearest point is not found by its edges
 
 
 def reach_index(facilities: DataFrame, radius_km: float, f_lon: str = "LONGITUDE", f_lat: str = "LATITUDE") -> DataFrame:
     """Rows (bx, by, whole, f_lon, f_lat): the squares within reach of a facility.
 
     A square that lies wholly inside some facility's circle is one row, however many facilities reach it;
-    only squares cut by circles and inside none list their facilities for a distance test.
+    only squares cut by circles and inside none list their facilities for a distance test. A circle that
+    crosses the date line has squares on both sides; one near a pole has those of all longitudes.
     """
     size = radius_km / KM_PER_DEGREE * 1.01 / FINE
     places = facilities.select(F.col(f_lon).cast("double").alias("f_lon"), F.col(f_lat).cast("double").alias("f_lat")
                                ).dropna().distinct()
     up = F.lit(size * FINE)
-    widest = F.cos(F.radians(F.least(F.abs(F.col("f_lat")) + up, F.lit(89.0))))
-    across = up / F.greatest(widest, F.lit(0.01))
-    squares = places.withColumn(
-        "bx", F.explode(F.sequence(square(F.col("f_lon") - across, size), square(F.col("f_lon") + across, size)))
-    ).withColumn("by", F.explode(F.sequence(square(F.col("f_lat") - up, size), square(F.col("f_lat") + up, size))))
+    polar = F.abs(F.col("f_lat")) + up >= POLAR
+    across = F.when(polar, 180.0).otherwise(up / F.cos(F.radians(F.least(F.abs(F.col("f_lat")) + up, F.lit(POLAR)))))
+    around = places.withColumns({"polar": polar, "across": across, "f_lon": F.explode(F.array(*[F.col("f_lon") + d for d in (-360.0, 0.0, 360.0)]))})
+    around = around.withColumns({"w": F.greatest(F.col("f_lon") - F.col("across"), F.lit(-180.0)), "e": F.least(F.col("f_lon") + F.col("across"), F.lit(180.0))})
+    low, high = F.greatest(F.col("f_lat") - up, F.lit(-90.0)), F.least(F.col("f_lat") + up, F.lit(90.0))
+    squares = around.filter("w <= e").withColumn("bx", F.explode(F.sequence(square("w", size), square("e", size)))).withColumn(
+        "by", F.explode(F.sequence(square(low, size), square(high, size))))
     west, south = F.col("bx") * size, F.col("by") * size
 
     def away(x: Column, y: Column) -> Column:
@@ -151,7 +155,8 @@ def reach_index(facilities: DataFrame, radius_km: float, f_lon: str = "LONGITUDE
     corners = F.greatest(*[away(x, y) for x in (west, west + size) for y in (south, south + size)])
     nearest = away(F.least(F.greatest(F.col("f_lon"), west), west + size), F.least(F.greatest(F.col("f_lat"), south), south + size))
     # the margins keep every doubtful square on the exact test
-    squares = squares.withColumn("whole", corners <= radius_km * 0.999).filter(nearest <= radius_km * 1.01)
+    squares = squares.withColumn("whole", ~F.col("polar") & (corners <= radius_km * 0.999)).filter(
+        F.col("polar") | (nearest <= radius_km * 1.01))
     whole = squares.filter("whole").select("bx", "by").distinct()
     cut = squares.filter(~F.col("whole")).join(whole, ["bx", "by"], "left_anti")
     nowhere = F.lit(None).cast("double")

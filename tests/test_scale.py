@@ -104,3 +104,11 @@ def test_distance_matches_brute_force_near_the_pole(spark):
 
     want = {i for i, x, y in cells if any(km(x, y, a, b) <= 5 for a, b in sites)}
     assert {r.id for r in P.within_distance(c, f, 5.0).collect()} == want and want
+
+
+def test_distance_join_at_the_date_line_and_a_pole(spark):
+    cells = [(0, -179.99, 10.0), (1, 179.97, 10.01), (2, -179.9, 10.0), (3, 170.0, 89.99), (4, -10.0, 89.98), (5, 0.0, 89.9), (6, 0.0, 10.0)]
+    sites = [(179.99, 10.0), (20.0, 89.985)]
+    c = spark.createDataFrame(cells, "id int, lon double, lat double")
+    f = spark.createDataFrame(sites, "LONGITUDE double, LATITUDE double")
+    assert {r.id for r in P.within_distance(c, f, 5.0).collect()} == {0, 1, 3, 4}
