@@ -54,6 +54,32 @@ def join_summaries(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(right, list(keys))
 
 
+def _open_span(facilities: DataFrame, months: DataFrame, opening: str, closing: str) -> tuple[DataFrame, Column, Column, Column]:
+    """Facilities, first and last day within the span of `months` on which each is open, and whether there is any."""
+    span = months.agg(F.min("PERIOD").alias("lo"), F.max("PERIOD").alias("hi"))
+    df = facilities.withColumns({"_lo": span.select("lo").scalar(), "_hi": span.select("hi").scalar()})
+    start = F.greatest(F.to_date(opening), month_start("_lo"))
+    stop = F.least(F.coalesce(F.to_date(closing), month_end("_hi")), month_end("_hi"))
+    return df, start, stop, F.col(opening).isNotNull() & (start <= stop)
+
+
+def open_per_month(facilities: DataFrame, months: DataFrame, grid: DataFrame, keys: Sequence[str],
+                   name: str = "n_open", opening: str = "OPENING_DATE", closing: str = "CLOSED_DATE") -> DataFrame:
+    """`grid` (keys x PERIOD, no month missing) with the number of facilities open at some time of the month.
+
+    Each facility gives two events, its first month and the one after its last; these are summed before the
+    shuffle and run up over a key's months. No facility is repeated per month.
+    """
+    df, start, stop, ok = _open_span(facilities, months, opening, closing)
+    events = df.filter(ok).select(*keys, F.explode(F.array(
+        F.struct(period_of(start).alias("PERIOD"), F.lit(1).alias("d")),
+        F.struct(period_of(F.add_months(F.trunc(stop, "month"), 1)).alias("PERIOD"), F.lit(-1).alias("d")),
+    )).alias("e")).groupBy(*keys, F.col("e.PERIOD").alias("PERIOD")).agg(F.sum("e.d").alias("_d"))
+    run = Window.partitionBy(*keys).orderBy("PERIOD").rowsBetween(Window.unboundedPreceding, 0)
+    joined = grid.join(events, [*keys, "PERIOD"], "left")
+    return joined.withColumn(name, F.sum(F.coalesce("_d", F.lit(0))).over(run)).drop("_d")
+
+
 def open_in_month(facilities: DataFrame, months: DataFrame, opening: str = "OPENING_DATE",
                   closing: str = "CLOSED_DATE") -> DataFrame:
     """Facility x month rows in which the facility is open at some time of the month.
@@ -61,13 +87,8 @@ def open_in_month(facilities: DataFrame, months: DataFrame, opening: str = "OPEN
     Instead of an interval join, each facility explodes the months of its own open span that fall into
     the span of `months`: no comparison of all facilities with all months.
     """
-    span = months.agg(F.min("PERIOD").alias("lo"), F.max("PERIOD").alias("hi"))
-    first, last = span.select("lo").scalar(), span.select("hi").scalar()
-    df = facilities.withColumns({"_lo": first, "_hi": last})
-    start = F.greatest(F.to_date(opening), month_start("_lo"))
-    stop = F.least(F.coalesce(F.to_date(closing), month_end("_hi")), month_end("_hi"))
-    spans = F.when(F.col(opening).isNotNull() & (start <= stop),
-                   months_between(period_of(start), period_of(stop)))
+    df, start, stop, ok = _open_span(facilities, months, opening, closing)
+    spans = F.when(ok, months_between(period_of(start), period_of(stop)))
     return df.withColumn("PERIOD", F.explode(spans)).drop("_lo", "_hi")
 
 

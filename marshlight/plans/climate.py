@@ -40,6 +40,14 @@ def daily_average(values: DataFrame) -> DataFrame:
         F.avg("m").alias("MEAN"), F.avg("lo").alias("MIN"), F.avg("hi").alias("MAX"))
 
 
+def daily_average_of_cells(values: DataFrame, district_cell: DataFrame) -> DataFrame:
+    """`daily_average` from gridded steps (lon, lat, ts, value): each cell's day is reduced before it meets its district."""
+    per_cell = values.groupBy("lon", "lat", F.to_date("ts").alias("DATE")).agg(
+        F.avg("value").alias("m"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return on_districts(per_cell, district_cell).groupBy("ADM2_ID", "DATE").agg(
+        F.avg("m").alias("MEAN"), F.avg("lo").alias("MIN"), F.avg("hi").alias("MAX"))
+
+
 def in_units(daily: DataFrame, scale: float = 1.0, offset: float = 0.0) -> DataFrame:
     """Kelvin to Celsius is offset -273.15, metres to millimetres scale 1000."""
     return daily.withColumns({c: F.col(c) * scale + offset for c in STATS})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import any_true, ratio, row_sum, sum_zero
 from ..functions.periods import year_of
 from ..functions.text import name_is_closed
-from ..operators.joins import attach, open_at_month_start, open_in_month
+from ..operators.joins import attach, open_at_month_start, open_per_month
 from ..operators.shape import wide_form, with_every_month
 from ..sources.staging import stage
 
@@ -198,12 +198,9 @@ def expected_from_routine(routine: DataFrame, indicators: Sequence[str]) -> Data
 
 def expected_from_pyramid(pyramid: DataFrame, routine: DataFrame) -> DataFrame:
     """Facilities open at some time of each month; 0 where a district has none."""
-    counts = open_in_month(pyramid.select("ADM2_ID", "OU_ID", "OPENING_DATE", "CLOSED_DATE"), routine).groupBy(
-        "ADM2_ID", "PERIOD").agg(F.count(F.lit(1)).alias("n"))
     grid = with_every_month(pyramid.select("ADM2_ID").distinct(), routine)
-    return grid.join(counts, ["ADM2_ID", "PERIOD"], "left").select(
-        "ADM2_ID", year_of("PERIOD").alias("YEAR"), (F.col("PERIOD") % 100).alias("MONTH"),
-        F.coalesce("n", F.lit(0)).alias("EXPECTED_REPORTS"))
+    counts = open_per_month(pyramid.select("ADM2_ID", "OPENING_DATE", "CLOSED_DATE"), routine, grid, ["ADM2_ID"], "EXPECTED_REPORTS")
+    return counts.select("ADM2_ID", year_of("PERIOD").alias("YEAR"), (F.col("PERIOD") % 100).alias("MONTH"), "EXPECTED_REPORTS")
 
 
 def merge_facility_levels(hospitals: DataFrame, others: DataFrame) -> DataFrame:
