@@ -472,7 +472,9 @@ SELECT s.ADM2_ID, SEASONALITY AS SEASONALITY_RAINFALL, CAST(BLOCK AS DOUBLE) AS
   CAST(START_MONTH AS DOUBLE) AS SEASONAL_BLOCK_START_MONTH_RAINFALL, PROPORTION AS RAIN_PROPORTION
 FROM v_season_block s LEFT JOIN v_share USING (ADM2_ID) LEFT JOIN v_start_first USING (ADM2_ID)""", "RAIN_PROPORTION")
 def _(t):
-    out = Z.rain_seasonality(_rain(t).withColumn("PERIOD", F.col("YEAR") * 100 + F.col("MONTH")), "VALUE", threshold=0.3)
+    # months without a value count as dry: the guard asks for few missing ones
+    months = _rain(t).fillna(0.0, ["VALUE"]).withColumn("PERIOD", F.col("YEAR") * 100 + F.col("MONTH"))
+    out = Z.rain_seasonality(months, "VALUE", threshold=0.3)
     return out.withColumns({c: F.col(c).cast("double") for c in
                             ("SEASONAL_BLOCK_DURATION_RAINFALL", "SEASONAL_BLOCK_START_MONTH_RAINFALL")})
 
