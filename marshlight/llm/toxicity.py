@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import fold_share
+from .text import fold_share, hash_sample
 
-SAMPLE_DOCS = 2000  # labelled documents of each class that the lexicon is learned from
+SAMPLE_DOCS = 4000  # labelled documents of each class that the lexicon is learned from
 STEM = (4, 12)  # letters of a learned word beginning
 #: Harmless phrases that hold a word of the lexicon.
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof", "scum of pond", "not stupid", "not worthless")
@@ -136,7 +136,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
     counted = dict(marks.groupBy("toxic").count().collect())
     if len(counted) < 2:
         return Lexicon({}, exceptions)
-    wanted = [marks.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for k in (0, 1)]
+    wanted = [hash_sample(marks.where(F.col("toxic") == k), "doc_id", sample_docs).drop("order") for k in (0, 1)]
     drawn = docs.select("doc_id", "text").join(wanted[0].unionByName(wanted[1]), "doc_id")
     # Copies of one document begin alike; a group of them is one witness, or each of its words would seem a mark of its label.
     sample = drawn.groupBy(F.substring("text", 1, 48).alias("lead")).agg(
@@ -144,13 +144,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
-        rows = [0, 0]
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                rows[toxic] += 1
-                seen[toxic].update(stems(text or ""))
+                seen[toxic].update(stems(text or "") | {""})  # the empty stem counts documents
+                if len(seen[0]) + len(seen[1]) > 200_000:
+                    yield emit(seen)
+                    seen = (Counter(), Counter())
+        yield emit(seen)
+
+    def emit(seen: tuple[Counter[str], Counter[str]]) -> pd.DataFrame:
         names = list(seen[0].keys() | seen[1].keys())
-        yield pd.DataFrame({"stem": [*names, ""], "clean": [seen[0][s] for s in names] + [rows[0]], "toxic": [seen[1][s] for s in names] + [rows[1]]})
+        return pd.DataFrame({"stem": names, "clean": [seen[0][s] for s in names], "toxic": [seen[1][s] for s in names]})
 
     found = sample.mapInPandas(count, "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # At most 0.5 million stems of bounded samples could have this many documents; in practice some hundred have.
