@@ -3,8 +3,8 @@
 Documents with the same shingles are one set. Two sets that are alike share one of their first shingles, in an order
 that is the same for all sets (common shingles last), so sets meet in lists by these. A list is cut into tiles by set size; in a tile
 hashed bitmaps bound the overlap of each pair from above by counting bits, and only what passes meets its sorted shingles.
-Sets that are known to be in one group are not compared again: first each set meets one pivot, then the best partner of
-every other group it shares a list with, then all that is left. So a group of thousands of near copies costs links in proportion to its size.
+Sets that are known to be in one group are not compared again: first each set meets one pivot, then for some rounds the likeliest
+partner outside its group, then all that is left. So a group of thousands of near copies costs links in proportion to its size.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from .text import most_frequent, pieces, scramble, shingle_hashes, word_hashes
 
 COMMON = 100_000  # shingles found to be common, kept last; a bound on what is broadcast, without effect on the result
 TILE = 1024  # sets in a tile
-BITS = 4  # bits of a bitmap for each shingle
+BITS = 2  # bits of a bitmap for each shingle
+LEAST_BITS = 2048
 _CHUNK = 1 << 20
 
 
@@ -36,8 +37,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """A bit for each hash, in a power of two of bits (64 at least) about BITS times the number of shingles."""
-    bits = max(64, 1 << math.ceil(math.log2(max(1, BITS * len(shingles)))))
+    """A bit for each hash, in a power of two of bits, LEAST_BITS or about BITS times the number of shingles."""
+    bits = max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, BITS * len(shingles)))))
     out = np.zeros(bits, dtype=np.uint8)
     out[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").view(np.uint64)
@@ -64,20 +65,27 @@ def digest(shingles: np.ndarray) -> int:
     return int(np.add.reduce(scramble(shingles + np.uint64(len(shingles)))).astype(np.int64)) if len(shingles) else 0
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, so that only a part of the texts is there in several forms at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts_of(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return [(t or "").encode("utf-8") for t in batch.column(column).to_pylist()]
 
 
 def common_shingles(docs: DataFrame, width: int, most: int = COMMON) -> np.ndarray:
-    """Sorted hashes of shingles that many documents share: seen three times or more among some 1000 neighbours."""
+    """Sorted hashes of shingles that many documents share: seen three times or more among some 4000 neighbours."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, n = [], 0, 0
-        for batch in batches:
+        for batch in slices(batches):
             for shingles in shingle_sets(texts_of(batch, 0), width):
                 held.append(shingles)
                 size, n = size + len(shingles), n + 1
-                if n == 1000 or size > 1_000_000:
+                if n == 4000 or size > 3_000_000:
                     yield emit(held)
                     held, size, n = [], 0, 0
         if held:
@@ -94,25 +102,26 @@ def common_shingles(docs: DataFrame, width: int, most: int = COMMON) -> np.ndarr
 
 
 def set_table(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """doc_id, n, node (digest of the set) and the first shingles of every row."""
+    """doc_id, n, node (digest of the set), the first shingles and the bitmap of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(common)  # COMMON numbers at most
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ns, nodes, firsts = [], [], []
+        for batch in slices(batches):
+            ns, nodes, firsts, maps = [], [], [], []
             for s in shingle_sets(texts_of(batch, 1), width):
                 ns.append(len(s))
                 nodes.append(digest(s))
+                maps.append(bitmap(s).tobytes())
                 place = np.searchsorted(shared.value, s)
                 late = np.zeros(len(s), dtype=bool)
                 inside = place < len(shared.value)
                 late[inside] = shared.value[place[inside]] == s[inside]
                 firsts.append(np.concatenate([s[~late], s[late]])[:prefix_length(len(s), percent) if len(s) else 0].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
-                ["doc_id", "n", "node", "first"])
+                [batch.column(0), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(maps, pa.binary())],
+                ["doc_id", "n", "node", "first", "bitmap"])
 
-    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {_id_type(docs)}, n long, node long, first array<long>")
+    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {_id_type(docs)}, n long, node long, first array<long>, bitmap binary")
 
 
 def _id_type(docs: DataFrame) -> str:
@@ -120,18 +129,39 @@ def _id_type(docs: DataFrame) -> str:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """node, shingles (sorted, as bytes) and bitmap of every text of `docs` (text)."""
+    """node and shingles (sorted, as bytes) of every text of `docs` (text)."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = list(shingle_sets(texts_of(batch, 0), width))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+
+    return docs.select("text").mapInArrow(measure, "node long, shingles binary")
+
+
+def overlap_bound(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> int:
+    """No more shingles than this are in both sets: a bit that only one bitmap has is a shingle that only its set has."""
+    size = min(len(a), len(b))
+    a, b = fold_to(a, size), fold_to(b, size)
+    return min(n_a - int(np.bitwise_count(a & ~b).sum()), n_b - int(np.bitwise_count(b & ~a).sum()))
+
+
+def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps (maps: node, n, bitmap) leave a link possible."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch, 0)
-            for a, b in pieces(texts, _CHUNK):
-                sets = list(shingle_sets(texts[a:b], width))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], ["node", "shingles", "bitmap"])
+            good = []
+            for n, m, x, y in zip(*(batch.column(k) for k in range(2, 6))):
+                n, m = n.as_py(), m.as_py()
+                low, high = min(n, m), max(n, m)
+                both = overlap_bound(*(v for s, k in ((x, n), (y, m)) for v in (np.frombuffer(s.as_buffer(), dtype=np.uint64), k))) if set_sizes_agree(low, high, percent) else -1
+                good.append(100 * both >= percent * (n + m - both) if both >= 0 else False)
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return docs.select("text").mapInArrow(measure, "node long, shingles binary, bitmap binary")
+    left, right = (maps.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bitmap").alias(f"m{c}")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(test, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,33 +200,43 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+ROUNDS = 3  # of likeliest partners, at most, before all that is left is compared
+
+
 def tile_pairs(best_only: bool, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Candidate pairs of tiles, which arrive in order of their key; columns key, right, node, n, component, bitmap."""
+    """Candidate pairs of tiles, which arrive in order of their key; columns with key, right, node, n, component, bitmap."""
 
     def compare(rows: pa.Table) -> list[tuple[int, int]]:
         right, node, n, group = (rows.column(c).to_numpy() for c in ("right", "node", "n", "component"))
-        maps = [np.frombuffer(b.as_py(), dtype=np.uint64) for b in rows.column("bitmap")]
-        width = min(len(m) for m in maps)
-        table = np.stack([fold_to(m, width) for m in maps])
         one_tile = not right.any()
         lefts, rights = (np.arange(len(n)),) * 2 if one_tile else (np.flatnonzero(~right), np.flatnonzero(right))
-        out: list[tuple[int, int]] = []
-        for i in lefts:
-            other = rights[rights > i] if one_tile else rights
-            low, high = np.minimum(n[i], n[other]), np.maximum(n[i], n[other])
-            other = other[(group[other] != group[i]) & (100 * low >= percent * high)]
-            if not len(other):
-                continue
-            extra = np.bitwise_count(table[i][None, :] & ~table[other]).sum(axis=1, dtype=np.int64)
-            missing = np.bitwise_count(~table[i][None, :] & table[other]).sum(axis=1, dtype=np.int64)
-            overlap = np.minimum(n[i] - extra, n[other] - missing)
-            fine = 100 * overlap >= percent * (n[i] + n[other] - overlap)
-            other, overlap = other[fine], overlap[fine]
-            if best_only:  # the likeliest of each other group
-                order = np.lexsort((node[other], -overlap, group[other]))
-                other = other[order][np.unique(group[other][order], return_index=True)[1]]
-            out += [(int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in other]
-        return out
+        low, high = np.minimum.outer(n[lefts], n[rights]), np.maximum.outer(n[lefts], n[rights])
+        open_pairs = np.not_equal.outer(group[lefts], group[rights]) & (100 * low >= percent * high)
+        i, j = np.nonzero(np.triu(open_pairs, 1) if one_tile else open_pairs)
+        if not len(i):
+            return []
+        i, j = lefts[i], rights[j]
+        maps = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in rows.column("bitmap")]
+        width = min(len(m) for m in maps)
+        table = np.stack([fold_to(m, width) for m in maps])
+        overlap = np.empty(len(i), dtype=np.int64)
+        step = max(1, (1 << 20) // width)
+        for at in range(0, len(i), step):
+            x, y = table[i[at:at + step]], table[j[at:at + step]]
+            extra = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+            missing = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+            overlap[at:at + step] = np.minimum(n[i[at:at + step]] - extra, n[j[at:at + step]] - missing)
+        fine = 100 * overlap >= percent * (n[i] + n[j] - overlap)
+        i, j, overlap = i[fine], j[fine], overlap[fine]
+        if best_only and len(i):  # the likeliest partner of each set
+            x, y = np.concatenate([i, j]), np.concatenate([j, i])
+            likely = np.concatenate([overlap, overlap]) / (n[x] + n[y])
+            order = np.lexsort((node[y], -likely, x))
+            x, y = x[order], y[order]
+            first = np.ones(len(x), dtype=bool)
+            first[1:] = x[1:] != x[:-1]
+            i, j = x[first], y[first]
+        return list(zip(np.minimum(node[i], node[j]).tolist(), np.maximum(node[i], node[j]).tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -223,26 +263,33 @@ def tile_pairs(best_only: bool, percent: int) -> Callable[[Iterator[pa.RecordBat
 
 
 def tiles(lists: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Rows of lists (h, node, n, component, bitmap) dealt to pairs of tiles of bands of size that can hold links.
+    """Rows of lists (h, node, n, component) dealt to pairs of tiles of bands of size that can hold links.
 
     Sets of one link lie in one band or in neighbours. Each row goes to its tile with every tile of its own and of
-    the next band on the one side, and with those of the band before on the other.
+    the next band on the one side, and with those of the band before on the other, unless all rows there are of one
+    group or too far in size.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
     rows = lists.withColumn("band", band)
-    count = rows.groupBy("h", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("k"))
-    near = count.join(count.select("h", (F.col("band") - 1).alias("band"), F.col("k").alias("after")), ["h", "band"], "left")
-    near = near.join(count.select("h", (F.col("band") + 1).alias("band"), F.col("k").alias("before")), ["h", "band"], "left").fillna(0, ["after", "before"])
+    count = stage(rows.groupBy("h", "band").agg(
+        F.ceil(F.count("*") / tile).cast("int").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min("n").alias("least"), F.max("n").alias("most")))
+    next_to = lambda d, c: count.select("h", (F.col("band") + d).alias("band"), *[F.col(x).alias(f"{c}_{x}") for x in ("k", "low", "high", "least", "most")])
+    near = count.join(next_to(-1, "after"), ["h", "band"], "left").join(next_to(1, "before"), ["h", "band"], "left")
+    mixed = lambda c: (F.least("low", f"{c}_low") < F.greatest("high", f"{c}_high"))
+    near = near.select(
+        "h", "band", "k", F.when(F.col("low") < F.col("high"), F.col("k")).otherwise(0).alias("inner"),
+        *[F.when(mixed(c), F.col(f"{c}_k")).otherwise(0).alias(c) for c in ("after", "before")], "after_least", "before_most")
     own = F.pmod(F.xxhash64("node", F.lit("tile")), F.col("k")).cast("int")
     step = lambda k: F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
     key = lambda a, b, next_band: F.xxhash64("h", F.col("band") - (0 if next_band != "before" else 1), a, F.lit(next_band != "own"), b)
     place = lambda a, b, side, right: F.struct(key(a, b, side).alias("key"), right.alias("right"))
     places = F.concat(
-        F.transform(step(F.col("k")), lambda j: place(F.least(F.col("own"), j), F.greatest(F.col("own"), j), "own", F.col("own") > j)),
-        F.transform(step(F.col("after")), lambda j: place(F.col("own"), j, "after", F.lit(False))),
-        F.transform(step(F.col("before")), lambda j: place(j, F.col("own"), "before", F.lit(True))))
+        F.transform(step(F.col("inner")), lambda j: place(F.least(F.col("own"), j), F.greatest(F.col("own"), j), "own", F.col("own") > j)),
+        F.transform(step(F.when(percent * F.col("after_least") <= 100 * F.col("n"), F.col("after")).otherwise(0)), lambda j: place(F.col("own"), j, "after", F.lit(False))),
+        F.transform(step(F.when(100 * F.col("before_most") >= percent * F.col("n"), F.col("before")).otherwise(0)), lambda j: place(j, F.col("own"), "before", F.lit(True))))
     return rows.join(near, ["h", "band"]).withColumn("own", own).withColumn("place", F.explode(places)).select(
-        "place.key", "place.right", "node", "n", "component", "bitmap")
+        "place.key", "place.right", "node", "n", "component")
 
 
 def link_groups(docs: DataFrame, width: int = 4, percent: int = 85, tile: int = TILE) -> DataFrame:
@@ -257,18 +304,26 @@ def link_groups(docs: DataFrame, width: int = 4, percent: int = 85, tile: int =
     """
     docs = docs.select("doc_id", "text")
     measured = stage(set_table(docs, width, percent, common_shingles(docs, width)))
-    nodes = stage(measured.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n").alias("n")))
+    nodes = stage(measured.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")))
     # Lists of sets by first shingle, without those that hold one set. Lists of the same sets are one.
-    sole = measured.where("n > 0").join(nodes.select("node", F.col("doc_id").alias("sole")), "node").where(F.col("doc_id").eqNullSafe(F.col("sole")))
-    postings = sole.select(F.explode("first").alias("h"), "node", "n")
+    postings = measured.where("n > 0").select(F.explode("first").alias("h"), "node", "n")
     met = postings.groupBy("h").count().where("count > 1").select("h")
     lists = stage(postings.join(met, "h").distinct())
     same = lists.groupBy("h").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node") % 1_000_000_007).alias("y"))
-    lists = stage(lists.join(same.groupBy("c", "x", "y").agg(F.min("h").alias("h")).select("h"), "h"))
+    lists = stage(lists.join(same.where("c > 1").groupBy("c", "x", "y").agg(F.min("h").alias("h")).select("h"), "h"))
     held = lists.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    sets = stage(full_sets(docs.join(held, docs["doc_id"].eqNullSafe(held["doc_id"])).select("text"), width)
-                 .join(held.select(F.col("node").alias("known")), F.col("node") == F.col("known"), "left_semi"))
+    maps = stage(measured.select(F.col("node").alias("_node"), F.col("doc_id").alias("_doc_id"), "n", "bitmap").join(
+        held, (F.col("_node") == F.col("node")) & F.col("_doc_id").eqNullSafe(F.col("doc_id"))).select("node", "n", "bitmap"))
+
+    def tested(pairs: DataFrame) -> DataFrame | None:
+        """The links among candidate pairs, or None without candidates; only texts of sets in a pair are read again."""
+        pairs = stage(pairs)
+        if pairs.isEmpty():
+            return None
+        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"))
+        texts = docs.join(wanted.select(F.col("doc_id").alias("_doc_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
+        sets = stage(full_sets(texts, width).join(wanted.select("node"), "node", "left_semi"))
+        return stage(verified(pairs, sets, percent))
 
     # Each set meets one pivot: of the smallest sets in its lists, by band, the one that most of its lists have.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
@@ -277,16 +332,25 @@ def link_groups(docs: DataFrame, width: int = 4, percent: int = 85, tile: int =
     votes = banded.join(pivots, ["h", "band"]).where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("votes"))
     pairs = votes.groupBy("node").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("pivot")).select(
         F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = stage(verified(pairs, sets, percent))
+    links = tested(possible(pairs, maps, percent))
+    if links is None:
+        links = docs.sparkSession.createDataFrame([], "a long, b long")
     groups = components(links)
-    for best_only in (True, False):
+    for best_only in [*[True] * ROUNDS, False]:
         labelled = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = labelled.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-        open_lists = labelled.join(mixed, "h").join(sets.select("node", "bitmap"), "node")
-        dealt = tiles(open_lists, percent, tile).repartition("key").sortWithinPartitions("key")
-        found = dealt.mapInArrow(tile_pairs(best_only, percent), "a long, b long").distinct()
-        links = stage(links.union(verified(found, sets, percent)))
-        groups = components(links)
+        open_lists = stage(labelled.join(mixed, "h"))
+        dealt = tiles(open_lists, percent, tile).join(maps.select("node", "bitmap"), "node").repartition("key").sortWithinPartitions("key")
+        found = stage(dealt.mapInArrow(tile_pairs(best_only, percent), "a long, b long").distinct())
+        # A set without a likely partner now has none later: groups only grow.
+        partners = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        lists = stage(lists.join(partners, "node", "left_semi"))
+        more = tested(found)
+        if more is not None:
+            links = links.union(more)
+            groups = components(links)
+        elif best_only:
+            break  # not even a likely partner is left
 
     known = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
