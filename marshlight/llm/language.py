@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import fold_share, pieces
+from .text import fold_share, hash_sample, pieces
 
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 8
@@ -117,11 +117,10 @@ def fit_language(docs: DataFrame, label: str = "lang", sample_docs: int = SAMPLE
     It learns from at most `sample_docs` documents, those with the smallest hash of their id, and up to
     `sample_bytes` bytes of each, from a place that depends on the id.
     """
-    labelled = docs.select("doc_id", "text", label).where(F.col(label).isNotNull() & (F.length("text") > 0))
+    labelled = hash_sample(docs.select("doc_id", "text", label).where(F.col(label).isNotNull()), "doc_id", sample_docs).where(F.length("text") > 0)
     spot = F.pmod(F.xxhash64("doc_id", F.lit("spot")), F.greatest(F.length("text") - sample_bytes, F.lit(1))) + 1
-    drawn = labelled.select(
-        F.substring(F.col("text"), spot.cast("int"), F.lit(sample_bytes)).alias("text"), label,
-        F.xxhash64("doc_id").alias("order")).orderBy("order", "text", label).limit(sample_docs).collect()
+    drawn = sorted(labelled.select("order", F.substring(F.col("text"), spot.cast("int"), F.lit(sample_bytes)).alias("text"), label).collect())
+    drawn = [r[1:] for r in drawn]
     if not drawn:
         return None
     languages = sorted({r[1] for r in drawn})

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .text import fold_share, most_frequent
+from .text import fold_share, hash_sample, most_frequent
 
 CLASSES = 512  # frequent words, end, rare
 SIZE = 32  # length of a vector
@@ -163,11 +163,10 @@ def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int = CLASSES, known
     net = None
     if total:
         spot = F.pmod(F.xxhash64("doc_id", F.lit("spot")), F.greatest(F.length("text") - sample_chars, F.lit(1))) + 1
-        drawn = docs.where(F.length("text") > 0).select(
-            F.substring(F.col("text"), spot.cast("int"), F.lit(sample_chars)).alias("text"), F.length("text").alias("whole"),
-            F.xxhash64("doc_id").alias("order")).orderBy("order", "text").limit(sample_docs).collect()
+        drawn = hash_sample(docs.select("doc_id", "text"), "doc_id", sample_docs).where(F.length("text") > 0).select(
+            F.substring(F.col("text"), spot.cast("int"), F.lit(sample_chars)).alias("text"), F.length("text").alias("whole"), "order").collect()
         sequences = []
-        for row in drawn:
+        for row in sorted(drawn, key=lambda r: (r["order"], r["text"])):
             cut = tokens(row["text"])
             cut = cut if row["whole"] <= sample_chars else cut[1:-2]  # words cut in two at the ends of a part
             sequences.append(np.array([index.get(t, len(index)) for t in cut], dtype=np.int64))

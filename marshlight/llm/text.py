@@ -43,6 +43,17 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     return counts.where(step >= least) if least is not None else counts.limit(0)
 
 
+def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The `rows` rows of `df` with the smallest hash of `key`, and a column `order` to sort them by.
+
+    All but about twice as many are left out by a bound on the hash before the sort, so what tasks return does not grow with their number.
+    """
+    spread = 1 << 40
+    hashed = df.withColumn("order", F.pmod(F.xxhash64(key), F.lit(spread)))
+    bound = int(spread * min(1.0, (2 * rows + 100) / max(1, df.count())))
+    return hashed.where(F.col("order") < bound).orderBy("order").limit(rows)
+
+
 def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of `texts` that hold about `limit` bytes each; a longer text is a range of its own."""
     start = size = 0
