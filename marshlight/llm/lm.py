@@ -1,15 +1,17 @@
 """Language-model scoring by a log-bilinear neural model with noise-contrastive training.
 
 The model predicts the class of a token from the classes of the two before it: each frequent word is a class of
-its own, the end of a text is one, all other words share one. Two context matrices turn the vectors of the context
-into a predicted vector, whose product with a class vector (plus a bias) is its score. Training against noise words avoids the
-normaliser; afterwards batched matrix products over all contexts give it exactly, so scores are true log-probabilities. Within the
-class of rare words a word has its share of the counts of the whole corpus, and words never met have the share of words met once.
+its own, the end of a text is one, and all other words are dealt to subclasses learned from the words they stand beside. Two context
+matrices turn the vectors of the context into a predicted vector, whose product with a class vector (plus a bias) is its score. Training
+against noise words avoids the normaliser; afterwards batched matrix products over all contexts give it exactly, so scores are true
+log-probabilities. Within a subclass a word has its share of the counts of the whole corpus, and words never met have the share of
+words met once. Every training document is learned from, whole: each task trains on what it reads, and the tasks' networks are averaged.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,11 +24,15 @@ from pyspark.sql import functions as F
 from ..sources.staging import stage
 from .text import fold_share, hash_sample, most_frequent
 
-CLASSES = 512  # frequent words, end, rare
+CLASSES = 640  # frequent words, end and subclasses of the others, up to MANY distinct words; then more
+MANY = 400_000
+SUBCLASSES = 4  # one of so many classes is a subclass
 SIZE = 32  # length of a vector
 NOISE = 10  # noise words for each true one
-SAMPLE_DOCS = 2000  # documents the network is trained on; counts are over all training documents
-SAMPLE_CHARS = 4000  # characters of each of them
+ROUNDS = 2  # passes over all training documents
+CHUNK = 250_000  # tokens a task works on at a time
+SPELLINGS = 4096  # kinds of endings; the subclass of a word that is not among the known ones is that of its ending
+MARKS = 16  # numbers that describe the words on one side
 KNOWN_WORDS = 200_000  # frequent words whose counts travel with the tasks; other words meet their counts in a join
 END = b""  # no word is empty
 ADD = 0.1  # smoothing of the base score
@@ -56,6 +62,19 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+_DIGITS = bytes(48 if 48 <= b < 58 else b for b in range(256))
+
+
+def spelling(word: bytes) -> int:
+    """The kind of ending of a word; digits are alike."""
+    return zlib.crc32(word[-3:].translate(_DIGITS)) % SPELLINGS
+
+
+def class_count(distinct: int) -> int:
+    """How many classes a corpus of `distinct` words has; the tables of contexts grow with the square root of the words."""
+    return int(CLASSES * max(1.0, distinct / MANY) ** 0.25)
+
+
 @dataclass
 class LogBilinear:
     """Context matrices, class vectors and biases; `normaliser` holds log sums for every pair of context classes."""
@@ -65,6 +84,8 @@ class LogBilinear:
     far: np.ndarray
     bias: np.ndarray
     normaliser: np.ndarray | None = None
+    unmet: np.ndarray | None = None  # log-probability of a word never met, for every pair of context classes
+    endings: np.ndarray | None = None  # the class of each kind of ending
 
     @classmethod
     def start(cls, shares: np.ndarray, seed: int) -> LogBilinear:
@@ -72,15 +93,23 @@ class LogBilinear:
         draw = lambda *s: (rng.standard_normal(s) * 0.05).astype(np.float32)
         return cls(draw(len(shares), SIZE), draw(SIZE, SIZE), draw(SIZE, SIZE), np.log(shares).astype(np.float32))
 
-    def finish(self) -> LogBilinear:
-        """Pair tables of both context places, and the normaliser of all contexts by batched matrix products."""
+    def finish(self, unseen: np.ndarray | None = None) -> LogBilinear:
+        """Pair tables of both context places, and the normaliser of all contexts by batched matrix products.
+
+        unseen: the share that words never met have of each of the last classes.
+        """
         k = len(self.bias)
         self.normaliser = np.empty((k, k), dtype=np.float32)
+        self.unmet = None if unseen is None else np.empty((k, k), dtype=np.float32)
         near, far = self.vectors @ self.near, self.vectors @ self.far
         for far_class in range(k):
             z = (near + far[far_class]) @ self.vectors.T + self.bias
             top = z.max(axis=1)
-            self.normaliser[far_class] = top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+            p = np.exp(z - top[:, None])
+            total = p.sum(axis=1)
+            self.normaliser[far_class] = top + np.log(total)
+            if unseen is not None:
+                self.unmet[far_class] = np.log(np.maximum(p[:, k - len(unseen):] @ unseen, 1e-37) / total)
         self.near_table, self.far_table = near @ self.vectors.T + self.bias, far @ self.vectors.T
         return self
 
@@ -89,40 +118,180 @@ class LogBilinear:
         return self.far_table[far, word] + self.near_table[near, word] - self.normaliser[far, near]
 
 
-def train(sequences: list[np.ndarray], shares: np.ndarray, end: int, batch: int = 512, epochs: int = 2, rate: float = 0.05, seed: int = 11) -> LogBilinear:
-    """Noise-contrastive estimation with Adagrad: tell the true class from NOISE classes drawn by their share."""
-    net = LogBilinear.start(shares, seed)
-    padded = [np.concatenate([[end, end], s]) for s in sequences]
-    far, near, word = (np.concatenate([p[a:len(p) - b] for p in padded]) for a, b in ((0, 2), (1, 1), (2, 0)))
-    rng = np.random.default_rng(seed + 1)
-    ladder = np.cumsum(shares)
-    log_noise = np.log(NOISE * shares).astype(np.float32)
-    squares = [np.full_like(x, 1e-2) for x in (net.vectors, net.near, net.far, net.bias)]
-    for _ in range(epochs):
+class Training:
+    """A network in training: noise-contrastive estimation with Adagrad, to tell the true class from NOISE classes drawn by their share."""
+
+    def __init__(self, net: LogBilinear, shares: np.ndarray, rate: float, squares: list[np.ndarray] | None = None):
+        self.net, self.rate = net, rate
+        self.parts = (net.vectors, net.near, net.far, net.bias)
+        self.squares = squares or [np.full_like(x, 1e-2) for x in self.parts]
+        self.ladder = np.cumsum(shares)
+        self.log_noise = np.log(NOISE * shares).astype(np.float32)
+
+    def learn(self, far: np.ndarray, near: np.ndarray, word: np.ndarray, rng: np.random.Generator, batch: int) -> None:
+        """One pass over the tokens in an order of its own."""
+        net = self.net
         order = rng.permutation(len(word))
         for at in range(0, len(order), batch):
             rows = order[at:at + batch]
             f, n, w = far[rows], near[rows], word[rows]
-            drawn = np.minimum(np.searchsorted(ladder, rng.random(NOISE)), len(shares) - 1)  # one set of noise words a batch
-            vf, vn = net.vectors[f], net.vectors[n]
+            drawn = np.minimum(np.searchsorted(self.ladder, rng.random(NOISE)), len(self.ladder) - 1)  # one set of noise words a batch
+            vf, vn, vw = net.vectors[f], net.vectors[n], net.vectors[w]
             guess = vf @ net.far + vn @ net.near
-            true = (guess * net.vectors[w]).sum(axis=1) + net.bias[w] - log_noise[w]
-            false = guess @ net.vectors[drawn].T + (net.bias - log_noise)[drawn]
+            true = (guess * vw).sum(axis=1) + net.bias[w] - self.log_noise[w]
+            false = guess @ net.vectors[drawn].T + (net.bias - self.log_noise)[drawn]
             up = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - sigmoid
             down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-            back = up[:, None] * net.vectors[w] + down @ net.vectors[drawn]
-            g_vectors, g_bias = np.zeros_like(net.vectors), np.zeros_like(net.bias)
-            np.add.at(g_vectors, w, up[:, None] * guess)
+            back = up[:, None] * vw + down @ net.vectors[drawn]
+            g_vectors, g_bias = np.zeros_like(net.vectors), np.bincount(w, up, len(net.bias)).astype(np.float32)
+            places, sums = sum_by(np.concatenate([w, f, n]), np.concatenate([up[:, None] * guess, back @ net.far.T, back @ net.near.T]))
+            g_vectors[places] = sums
             np.add.at(g_vectors, drawn, down.T @ guess)
-            np.add.at(g_vectors, f, back @ net.far.T)
-            np.add.at(g_vectors, n, back @ net.near.T)
-            np.add.at(g_bias, w, up)
             np.add.at(g_bias, drawn, down.sum(axis=0))
-            for x, g, s in zip((net.vectors, net.near, net.far, net.bias), (g_vectors, vn.T @ back, vf.T @ back, g_bias), squares):
+            for x, g, s in zip(self.parts, (g_vectors, vn.T @ back, vf.T @ back, g_bias), self.squares):
                 g /= len(rows)
                 s += g * g
-                x += rate * g / np.sqrt(s)
-    return net.finish()
+                x += self.rate * g / np.sqrt(s)
+
+
+def sum_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of the rows of each."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    first = np.flatnonzero(np.diff(ranked, prepend=-1))
+    return ranked[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def contexts(sequences: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes two before, just before and at every place; an end stands before each sequence."""
+    padded = [np.concatenate([[end, end], s]) for s in sequences]
+    return tuple(np.concatenate([p[a:len(p) - b] for p in padded]) for a, b in ((0, 2), (1, 1), (2, 0)))
+
+
+def train(sequences: list[np.ndarray], shares: np.ndarray, end: int, batch: int = 512, epochs: int = 2, rate: float = 0.05, seed: int = 11) -> LogBilinear:
+    """A network for sequences in memory."""
+    course = Training(LogBilinear.start(shares, seed), shares, rate)
+    far, near, word = contexts(sequences, end)
+    rng = np.random.default_rng(seed + 1)
+    for _ in range(epochs):
+        course.learn(far, near, word, rng, batch)
+    return course.net.finish()
+
+
+class Coder(dict):
+    """Codes of words: those given, and `start` plus the kind of ending for all others."""
+
+    start = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.start + spelling(word)
+
+
+def coded(batches: Iterator[pa.RecordBatch], codes: dict[bytes, int], start: int) -> Iterator[list[np.ndarray]]:
+    """The texts as codes, in lists of about CHUNK tokens."""
+    coder = Coder(codes)
+    coder.start = start
+    held, size = [], 0
+    for batch in batches:
+        for text in batch.column(0):
+            words = tokens(text.as_py())
+            held.append(np.fromiter(map(coder.__getitem__, words), dtype=np.int64, count=len(words)))
+            size += len(words)
+            if size >= CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def learn_subclasses(docs: DataFrame, codes: dict[bytes, int], own: int, units: int, classes: int) -> np.ndarray:
+    """The subclass (0 to classes - 1) of each of `units` words and of each kind of ending, from the words on both sides of all their occurrences.
+
+    codes: own classes below `own`, the others above in the order of the units. A neighbour is known by its own class or its ending.
+    """
+    marks = np.random.default_rng(5).choice(np.array([-1, 1], dtype=np.float32), (own + SPELLINGS, MARKS))
+    seen_as = np.concatenate([np.arange(own), np.fromiter((own + spelling(w) for w in list(codes)[own:]), np.int64, units), np.arange(own, own + SPELLINGS)])
+    shared = docs.sparkSession.sparkContext.broadcast((codes, marks, seen_as))  # bounded by KNOWN_WORDS
+    names = [f"m{i}" for i in range(2 * MARKS)]
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, marks, seen_as = shared.value
+        total = np.zeros((units + SPELLINGS, 2 * MARKS + 1), dtype=np.float32)
+        end = codes[END]
+        for chunk in coded(batches, codes, own + units):
+            code = np.concatenate([[end], *chunk])  # texts end in an end, so one stands before each
+            at = np.flatnonzero(code[1:] >= own) + 1
+            if len(at):
+                sides = marks[seen_as[code[at - 1]]], marks[seen_as[code[at + 1]]], np.ones((len(at), 1), dtype=np.float32)
+                places, sums = sum_by(code[at] - own, np.concatenate(sides, axis=1))
+                total[places] += sums
+        met = np.flatnonzero(total[:, -1])
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), *[pa.array(total[met, i]) for i in range(2 * MARKS + 1)]], ["unit", *names, "n"])
+
+    schema = "unit int, " + ", ".join(f"{c} float" for c in [*names, "n"])
+    found = docs.select("text").mapInArrow(describe, schema).groupBy("unit").agg(*[F.sum(c).cast("float").alias(c) for c in [*names, "n"]]).toArrow()
+    if not found.num_rows:
+        return np.zeros(units + SPELLINGS, dtype=np.int64)
+    x = np.zeros((units + SPELLINGS, 2 * MARKS + 1), dtype=np.float32)
+    x[found["unit"].to_numpy()] = np.stack([found[c].to_numpy() for c in [*names, "n"]], axis=1)
+    if units:  # an ending is also that of known words
+        places, sums = sum_by(seen_as[own:own + units] - own, x[:units])
+        x[units + places] += sums
+    return group_marks(x[:, :-1], x[:, -1], classes)
+
+
+def group_marks(sums: np.ndarray, n: np.ndarray, groups: int, rounds: int = 10) -> np.ndarray:
+    """Groups of alike rows by k-means over sums / n, rows weighted by n; means of few occurrences are drawn to the mean of all."""
+    middle = sums.sum(axis=0) / n.sum()
+    x = ((sums + 2 * middle) / (n + 2)[:, None] - middle).astype(np.float32)
+    x /= np.maximum(x.std(axis=0), 1e-6)
+    rng = np.random.default_rng(6)
+    centres = x[rng.choice(len(x), min(groups, len(x)), replace=False, p=n / n.sum() if np.count_nonzero(n) >= groups else None)]
+    group = np.zeros(len(x), dtype=np.int64)
+    for _ in range(rounds):
+        for at in range(0, len(x), 20_000):
+            part = x[at:at + 20_000]
+            group[at:at + 20_000] = ((centres**2).sum(axis=1) - 2 * part @ centres.T).argmin(axis=1)
+        places, sums_of = sum_by(group, np.concatenate([x * n[:, None], n[:, None]], axis=1).astype(np.float64))
+        centres[places] = sums_of[:, :-1] / sums_of[:, -1:]
+    return group
+
+
+def train_on(docs: DataFrame, codes: dict[bytes, int], shares: np.ndarray, endings: np.ndarray, end: int, unseen: np.ndarray, rounds: int = ROUNDS, rate: float = 0.05, seed: int = 11) -> LogBilinear:
+    """A network for all of `docs`: in each round every task goes on from the same network over the texts it reads, whole and with their ends; the mean
+    of what they come to, weighted by their tokens, starts the next. It depends on how the rows are dealt to tasks, as floating sums do."""
+    net = LogBilinear.start(shares, seed)
+    names = ("vectors", "near", "far", "bias")
+    shapes = [getattr(net, x).shape for x in names]
+    flat = lambda arrays: np.concatenate([x.ravel() for x in arrays])
+    cuts = np.cumsum([math.prod(s) for s in shapes])[:-1]
+    back = lambda v: [x.reshape(s).astype(np.float32) for x, s in zip(np.split(v, cuts), shapes)]
+    state = np.stack([flat(getattr(net, x) for x in names), np.full(int(cuts[-1] + len(shares)), 1e-2)])
+    context = docs.sparkSession.sparkContext
+    fixed = context.broadcast((codes, endings))
+    for k in range(rounds):
+        start = context.broadcast(state.astype(np.float32))
+
+        def work(batches: Iterator[pa.RecordBatch], k: int = k, start=start) -> Iterator[pa.RecordBatch]:
+            codes, endings = fixed.value
+            course = Training(LogBilinear(*back(start.value[0])), shares, rate, back(start.value[1]))
+            rng, seen = np.random.default_rng(seed + k + 1), 0
+            table = np.concatenate([np.arange(len(shares)), endings])
+            for chunk in coded(batches, codes, len(shares)):
+                far, near, word = contexts([table[x] for x in chunk], end)
+                seen += len(word)
+                course.learn(far, near, word, rng, min(2048, max(128, seen // 500)))
+            if seen:
+                out = (flat(course.parts).astype(float) * seen, flat(course.squares).astype(float) * seen, np.full(state.shape[1], seen))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(state.shape[1], dtype=np.int32)), *map(pa.array, out)], ["place", "a", "b", "n"])
+
+        found = docs.select("text").mapInArrow(work, "place int, a double, b double, n long").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("n").alias("n")).toArrow()
+        if found.num_rows:
+            n = found["n"].to_numpy()
+            state[:, found["place"].to_numpy()] = found["a"].to_numpy() / n, found["b"].to_numpy() / n
+    net = LogBilinear(*back(state[0])).finish(unseen.astype(np.float32))
+    net.endings = endings
+    return net
 
 
 @dataclass
@@ -131,48 +300,64 @@ class Scorer:
 
     net: LogBilinear | None
     counts: dict[bytes, int]  # at most KNOWN_WORDS entries
-    classes: dict[bytes, int]  # at most CLASSES - 1 entries
+    classes: dict[bytes, int]  # of these words and the end
     total: int
     distinct: int
-    rare_total: int
-    rare_once: int
+    rare_total: tuple[int, ...]  # occurrences of the words of each subclass
+    rare_once: tuple[int, ...]  # words of each subclass met once
 
     def base(self, count: float) -> float:
         return math.log10((count + ADD) / (self.total + ADD * (self.distinct + 1)))
 
-    def rare_share(self, count: float) -> float:
-        """log10 of a word's share of the class of rare words; words never met together have the share of words met once."""
-        unseen = max(self.rare_once, 1)
-        return math.log10((count or unseen) / (self.rare_total + unseen))
+    @property
+    def own(self) -> int:
+        """Classes that are one word, or the end; the subclasses follow."""
+        return (len(self.net.bias) if self.net else len(self.rare_total)) - len(self.rare_total)
+
+    def rare_share(self, count: float, subclass: int) -> float:
+        """log10 of a word's share of its subclass; words never met have, of each subclass, the share of its words met once."""
+        return math.log10(count / (self.rare_total[subclass] + max(self.rare_once[subclass], 1)))
 
 
-def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int = CLASSES, known_words: int = KNOWN_WORDS, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Scorer:
+def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int | None = None, known_words: int = KNOWN_WORDS, sample_docs: int | None = None) -> Scorer:
     """A scorer for training documents `docs` whose token counts are `counts`.
 
-    The network learns from at most `sample_docs` documents, those with the smallest hash of their id, `sample_chars` characters of each
-    from a place that depends on the id; counts and class shares are those of all training documents.
+    Subclasses, network, counts and class shares are those of all training documents, whole. `sample_docs` is for trials: with it the
+    network and the subclasses learn from so many documents only.
     """
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    classes = classes or class_count(distinct)
     top = sorted((-r["n"], bytes(r["token"])) for r in most_frequent(counts, "n", known_words).collect())
     words, known = [w for _, w in top], {w: -n for n, w in top}
-    chosen = [w for w in words if w != END][:classes - 2]
-    index = {w: i for i, w in enumerate([*chosen, END])}
-    rare_total = total - sum(known.get(w, 0) for w in index)
-    in_class = counts.where(~F.col("token").isin([bytearray(w) for w in index]))
-    rare_once = in_class.where("n = 1").count()
-    net = None
-    if total:
-        spot = F.pmod(F.xxhash64("doc_id", F.lit("spot")), F.greatest(F.length("text") - sample_chars, F.lit(1))) + 1
-        drawn = hash_sample(docs.select("doc_id", "text"), "doc_id", sample_docs).where(F.length("text") > 0).select(
-            F.substring(F.col("text"), spot.cast("int"), F.lit(sample_chars)).alias("text"), F.length("text").alias("whole"), "order").collect()
-        sequences = []
-        for row in sorted(drawn, key=lambda r: (r["order"], r["text"])):
-            cut = tokens(row["text"])
-            cut = cut if row["whole"] <= sample_chars else cut[1:-2]  # words cut in two at the ends of a part
-            sequences.append(np.array([index.get(t, len(index)) for t in cut], dtype=np.int64))
-        shares = np.array([known.get(w, 0) + 1 for w in index] + [rare_total + 1], dtype=float)
-        net = train([s for s in sequences if len(s)] or [np.array([len(index) - 1])], shares / shares.sum(), len(index) - 1)
-    return Scorer(net, known, index, int(total), int(distinct), int(rare_total), int(rare_once))
+    subclasses = max(1, classes // SUBCLASSES)
+    chosen = [w for w in words if w != END]
+    own, others = [*chosen[:max(1, classes - subclasses - 1)], END], chosen[max(1, classes - subclasses - 1):]
+    index = {w: i for i, w in enumerate(own)}
+    if not total:
+        return Scorer(None, known, index, 0, 0, (0,) * subclasses, (0,) * subclasses)
+    seen = docs if sample_docs is None else stage(hash_sample(docs.select("doc_id", "text"), "doc_id", sample_docs))
+    kinds = len(own) + learn_subclasses(seen, index | {w: len(own) + i for i, w in enumerate(others)}, len(own), len(others), subclasses)
+    index |= {w: int(k) for w, k in zip(others, kinds)}
+    endings = kinds[len(others):]
+    shared = docs.sparkSession.sparkContext.broadcast((index, endings))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, endings = shared.value
+        sums = np.zeros((len(own) + subclasses, 2), dtype=np.int64)
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                k = index.get(word)
+                sums[endings[spelling(word)] if k is None else k] += (n, n == 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums[:, 0]), pa.array(sums[:, 1])], ["class", "n", "once"])
+
+    sums = np.zeros((len(own) + subclasses, 2), dtype=np.int64)
+    for r in counts.select("token", "n").mapInArrow(add_up, "class int, n long, once long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect():
+        sums[r["class"]] = r["n"], r["once"]
+    shares = (sums[:, 0] + 1) / (sums[:, 0] + 1).sum()
+    rare = sums[len(own):]
+    unseen = np.maximum(rare[:, 1], 1)
+    net = train_on(seen, index, shares, endings, len(own) - 1, unseen / (rare[:, 0] + unseen))
+    return Scorer(net, known, index, int(total), int(distinct), *(tuple(x) for x in rare.T.tolist()))
 
 
 class _Ids(dict):
@@ -187,63 +372,72 @@ def score_texts(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame
     of add-0.1 unigrams, the score that of the model. Repeated rows are scored each, a null doc_id stays, other columns are
     ignored; an empty table gives an empty table. Without any training token, every token has the probability of a word never met.
     """
-    rare = len(scorer.classes)
-    names = list(scorer.counts)
-    classes = np.array([scorer.classes.get(w, rare) for w in names] + [rare])
-    count = np.array([scorer.counts[w] for w in names] + [0], dtype=float)
-    inside = classes < rare
-    base = np.array([scorer.base(c) for c in count])
-    share = np.where(inside, 0.0, [scorer.rare_share(c) for c in count])
+    names, own, net = list(scorer.counts), scorer.own, scorer.net
+    classes = np.array([scorer.classes[w] for w in names], dtype=np.int64)
+    base = np.array([scorer.base(scorer.counts[w]) for w in names])
+    share = np.array([scorer.rare_share(scorer.counts[w], k - own) if k >= own else 0.0 for w, k in zip(names, classes)])
     ids = _Ids(zip(names, range(len(names))))
-    end = scorer.classes.get(END, rare)
-    net = scorer.net
-    shared = docs.sparkSession.sparkContext.broadcast((ids, classes, base, share, net))  # bounded by KNOWN_WORDS and CLASSES
+    end = scorer.classes[END]
+    endings = net.endings if net is not None else np.full(SPELLINGS, own)
+    shared = docs.sparkSession.sparkContext.broadcast((ids, classes, base, share, net, endings))  # bounded by KNOWN_WORDS and the classes
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, classes, base, share, net = shared.value
+        ids, classes, base, share, net, endings = shared.value
         ids = _Ids(ids)
-        last = len(ids)
         for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
+            out: list[list] = [[] for _ in range(9)]
             for doc, digest, text in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2)):
                 words = tokens(text.as_py())
                 at = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=len(words))
                 met = at >= 0
                 model = share[at[met]].sum()
+                unknown = np.flatnonzero(~met)
+                kinds = endings[np.fromiter((spelling(words[i]) for i in unknown), np.int64, len(unknown))]
                 if net is not None:
-                    c = classes[np.where(met, at, last)]
+                    c = np.empty(len(words), dtype=np.int64)
+                    c[met], c[unknown] = classes[at[met]], kinds
                     far, near = np.concatenate([[end, end], c[:-2]])[:len(c)], np.concatenate([[end], c[:-1]])
-                    model += net.log_probability(far, near, c).astype(np.float64).sum() / math.log(10)
+                    of_class = net.log_probability(far, near, c).astype(np.float64) / math.log(10)
+                    model += of_class[met].sum()
                 doc = doc.as_py()
-                row = (doc, digest, b" %d" % (digest & (2**64 - 1)), 1, len(words), int(met.sum()), float(base[at[met]].sum()), float(model))
+                row = (doc, digest, b" %d" % (digest & (2**64 - 1)), 1, len(words), int(met.sum()), float(base[at[met]].sum()), float(model), 0)
                 for column, value in zip(out, row):
                     column.append(value)
-                others = Counter([words[i] for i in np.flatnonzero(~met)])
+                others: dict[bytes, list] = {}  # for each other word its number, what it adds if it has been met and if not, and its subclass
+                if len(unknown):
+                    never = net.unmet[far[unknown], near[unknown]].astype(np.float64) / math.log(10) if net is not None else np.zeros(len(unknown))
+                    for i, a, b, kind in zip(unknown, (of_class[unknown] if net is not None else never).tolist(), never.tolist(), (kinds - own).tolist()):
+                        entry = others.setdefault(words[i], [0, 0.0, 0.0, kind])
+                        entry[0] += 1
+                        entry[1] += a
+                        entry[2] += b
                 k = len(others)
-                for column, values in zip(out, ([doc] * k, [digest] * k, others.keys(), [0] * k, others.values(), [0] * k, [0.0] * k, [0.0] * k)):
+                numbers, met_sums, unmet_sums, of = zip(*others.values()) if k else ((),) * 4
+                for column, values in zip(out, ([doc] * k, [digest] * k, others.keys(), [0] * k, numbers, [0] * k, unmet_sums, met_sums, of)):
                     column.extend(values)
                 if len(out[0]) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=labels)
-                    out = [[] for _ in range(8)]
+                    out = [[] for _ in range(9)]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=labels)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    labels = ["doc_id", "text_hash", "token", "copies", "n", "known", "base", "model"]
-    types = [pa.int64() if kind in ("bigint", "int") else pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    labels = ["doc_id", "text_hash", "token", "copies", "n", "known", "base", "model", "subclass"]
+    types = [pa.int64() if kind in ("bigint", "int") else pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32()]
     key = F.col("doc_id").cast("bigint") if kind in ("bigint", "int") else F.col("doc_id").cast("string")
     found = docs.select(key.alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        measure, f"doc_id {'bigint' if kind in ('bigint', 'int') else 'string'}, text_hash long, token binary, copies long, n long, known long, base double, model double")
-    # A row with copies = 1 is a text with its frequent words; its token, which holds a blank, meets no count. The others are rare words.
+        measure, f"doc_id {'bigint' if kind in ('bigint', 'int') else 'string'}, text_hash long, token binary, copies long, n long, known long, base double, model double, subclass int")
+    # A row with copies = 1 is a text with its frequent words; its token, which holds a blank, meets no count. The others are other words.
     c = F.coalesce(F.col("c"), F.lit(0))
-    unseen = max(scorer.rare_once, 1)
+    room = F.get(F.lit([n + max(once, 1) for n, once in zip(scorer.rare_total, scorer.rare_once)]), F.col("subclass"))
     base_of = F.log10((c + ADD) / (scorer.total + ADD * (scorer.distinct + 1)))
-    share_of = F.log10(F.when(c > 0, c).otherwise(unseen) / (scorer.rare_total + unseen))
+    # Of another word, `base` holds the model's sum if it was never met and `model` its class's sum.
+    share_of = F.when(c > 0, F.col("model") + F.col("n") * F.log10(c / room)).otherwise(F.col("base"))
     word = F.col("copies") == 0
     joined = found.join(counts.withColumnRenamed("n", "c"), "token", "left").select(
         "doc_id", "text_hash", "copies", "n",
         F.when(word & (c > 0), F.col("n")).otherwise(F.col("known")).alias("known"),
         F.when(word, F.col("n") * base_of).otherwise(F.col("base")).alias("base"),
-        F.when(word, F.col("n") * share_of).otherwise(F.col("model")).alias("model"))
+        F.when(word, share_of).otherwise(F.col("model")).alias("model"))
     texts = joined.groupBy("doc_id", "text_hash").agg(
         F.sum("copies").alias("copies"), F.sum(F.when(F.col("copies") > 0, F.col("n"))).alias("n_tokens"),
         F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("model").alias("model"))

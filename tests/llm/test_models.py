@@ -139,6 +139,37 @@ def test_scores_do_not_depend_on_the_way_of_a_word(spark):
     assert all(abs(a[i] - b[i]) < 1e-6 * abs(a[i]) for i in a)
 
 
+def test_rare_words_are_told_apart(spark):
+    """Words outside the own classes, known or only met in a join, have subclasses learned from their neighbours."""
+    rng = np.random.default_rng(2)
+    word = lambda end: "".join(chr(97 + i) for i in rng.integers(0, 26, 6)) + end
+    texts = [" ".join(f"the {word('xu')} {word('zi')} ." for _ in range(60)) for _ in range(200)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    counts = lm.count_tokens(docs).cache()
+    right, wrong = "the abcabcxu defdefzi . the ghighixu jkljklzi .", "the defdefzi abcabcxu . the jkljklzi ghighixu ."
+    for known in (10, 200_000):
+        scorer = lm.fit_scorer(docs, counts, classes=16, known_words=known)
+        got = {r["doc_id"]: r["score"] for r in lm.score_texts(documents(spark, [(1, right, "", ""), (2, wrong, "", "")]), scorer, counts).collect()}
+        assert got[1] > got[2] + 1
+
+
+def test_all_documents_are_learned_from(spark):
+    """Also those outside a sample of 2000, and what stands beyond 4000 characters."""
+    from marshlight.llm.text import hash_sample
+
+    ids = spark.range(2400).withColumnRenamed("id", "doc_id")
+    first = {r["doc_id"] for r in hash_sample(ids, "doc_id", 2000).collect()}
+    docs = documents(spark, [(i, "p r s q " * 5 if i in first else "p q s r " * 400, "", "") for i in range(2400)])
+    net = lm.fit_scorer(docs, lm.count_tokens(docs), classes=16)
+    k = [net.classes[w] for w in (b"s", b"p", b"q", b"r")]
+    after = {w: net.net.log_probability(np.array([net.classes[b"r"]]), np.array([k[1]]), np.array([net.classes[w]]))[0] for w in (b"q", b"r")}
+    assert after[b"q"] > after[b"r"] + 1
+
+
+def test_more_words_more_classes():
+    assert lm.class_count(1000) == lm.CLASSES < lm.class_count(4_000_000) < lm.class_count(40_000_000)
+
+
 def test_scores_of_awkward_tables(spark):
     out = lm.held_out_scores(awkward(spark)).collect()
     assert len(out) == 13
