@@ -131,16 +131,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior: float, rounds: int = 50) -
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon for labels.toxic. It learns from at most `sample_docs` documents of each class, those with the
-    smallest hash of their id (of texts that begin alike, one); without documents of both classes it is empty, and every text scores under 0.5."""
+    smallest hash of their id (of equal texts with one label, one); without documents of both classes it is empty, and every text scores under 0.5."""
     marks = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counted = dict(marks.groupBy("toxic").count().collect())
     if len(counted) < 2:
         return Lexicon({}, exceptions)
     wanted = [hash_sample(marks.where(F.col("toxic") == k), "doc_id", sample_docs).drop("order") for k in (0, 1)]
     drawn = docs.select("doc_id", "text").join(wanted[0].unionByName(wanted[1]), "doc_id")
-    # Copies of one document begin alike; a group of them is one witness, or each of its words would seem a mark of its label.
-    sample = drawn.groupBy(F.substring("text", 1, 48).alias("lead")).agg(
-        F.min(F.struct("doc_id", "text", "toxic")).alias("d")).select("d.text", "d.toxic")
+    # Copies of one document with one label are one witness, or each of its words would seem a mark of its label.
+    sample = drawn.groupBy(F.sha2("text", 256).alias("digest"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())

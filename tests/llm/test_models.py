@@ -199,6 +199,17 @@ def test_copies_are_one_witness():
     assert set(toxicity.choose_stems(counts, 50, 300)) == {"abcde"}
 
 
+def test_texts_that_begin_alike_are_witnesses_each(spark):
+    """Only equal texts with one label are one witness; a clean document with a smaller id hides no toxic one."""
+    lead = "This one header stands before every text of the source. "
+    texts = [lead + (f"vermin{chr(97 + i % 26)} number {i}" if i >= 40 else f"calm words number {i}") for i in range(80)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, 1, int(i >= 40)) for i in range(80)], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit_toxicity(docs, labels)
+    assert any(s.startswith("verm") for s in lexicon.weights)
+    assert lexicon.score(lead + "verminx again") > 0.5 > lexicon.score(lead + "calm words")
+
+
 def test_toxicity_of_awkward_tables(spark):
     labels = spark.createDataFrame([(5, 1, 1), (6, 1, 0), (6, 0, 1), (None, 1, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
     lexicon = toxicity.fit_toxicity(awkward(spark), labels)
