@@ -19,10 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from .text import fold_share, hash_sample
 
 SAMPLE_DOCS = 4000  # labelled documents of each class that the lexicon is learned from
-STEM = (4, 12)  # letters of a learned word beginning
+STEM = (4, 12)  # letters of a learned word beginning; a shorter word is learned whole, with the blank after it
+ODDS = 2.5  # log odds of a learned stem, from its rates in both classes
+EVIDENCE = 8.0  # nats by which its counts are likelier with rates of their own than with one for both classes
 #: Harmless phrases that hold a word of the lexicon.
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof", "scum of pond", "not stupid", "not worthless")
 
@@ -92,16 +95,28 @@ class Lexicon:
 
 def stems(text: str) -> set[str]:
     low, high = STEM
-    return {w[:n] for w in set(fold(text).split()) for n in range(low, min(high, len(w)) + 1)}
+    words = set(fold(text).split())
+    return {w[:n] for w in words for n in range(low, min(high, len(w)) + 1)} | {w + " " for w in words if 1 < len(w) < low}
 
 
-def choose_stems(counts: dict[str, tuple[int, int]], toxic: int, clean: int, least: int = 8, weight: float = 2.5) -> dict[str, float]:
+def nats(t: int, c: int, toxic: int, clean: int) -> float:
+    """Log likelihood ratio of a stem in `t` of `toxic` and `c` of `clean` documents: two rates against one."""
+    total, found = toxic + clean, t + c
+    cells = ((t, toxic, found), (c, clean, found), (toxic - t, toxic, total - found), (clean - c, clean, total - found))
+    return sum(k * math.log(k * total / (n * m)) for k, n, m in cells if k)
+
+
+def log_odds(t: int, c: int, toxic: int, clean: int) -> float:
+    return math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+
+
+def choose_stems(counts: dict[str, tuple[int, int]], toxic: int, clean: int, weight: float = ODDS, least: float = EVIDENCE) -> dict[str, float]:
     """Word beginnings that mark toxic documents; of those that begin alike the longest that loses no more than a tenth.
 
-    counts: in how many toxic and clean documents. least: toxic documents at least; weight: log odds at least.
+    counts: in how many toxic and clean documents. weight: log odds at least; least: evidence at least.
     """
-    odds = {s: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) for s, (t, c) in counts.items()}
-    good = sorted((s for s, (t, _) in counts.items() if t >= least and odds[s] >= weight), key=lambda s: (-counts[s][0], -len(s), s))
+    odds = {s: log_odds(t, c, toxic, clean) for s, (t, c) in counts.items()}
+    good = sorted((s for s, (t, c) in counts.items() if odds[s] >= weight and nats(t, c, toxic, clean) >= least), key=lambda s: (-counts[s][0], -len(s), s))
     chosen: dict[str, float] = {}
     under: Counter[str] = Counter()  # beginnings of chosen stems, with the documents of the most common one
     for s in good:
@@ -139,13 +154,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
     wanted = [hash_sample(marks.where(F.col("toxic") == k), "doc_id", sample_docs).drop("order") for k in (0, 1)]
     drawn = docs.select("doc_id", "text").join(wanted[0].unionByName(wanted[1]), "doc_id")
     # Copies of one document with one label are one witness, or each of its words would seem a mark of its label.
-    sample = drawn.groupBy(F.sha2("text", 256).alias("digest"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic")
+    sample = stage(drawn.groupBy(F.sha2("text", 256).alias("digest"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic"))
+    size = dict(sample.groupBy("toxic").count().collect())
+    toxic, clean = size.get(1, 0), size.get(0, 0)
+    if not clean or not toxic:
+        return Lexicon({}, exceptions)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[toxic].update(stems(text or "") | {""})  # the empty stem counts documents
+                seen[toxic].update(stems(text or ""))
                 if len(seen[0]) + len(seen[1]) > 200_000:
                     yield emit(seen)
                     seen = (Counter(), Counter())
@@ -156,12 +175,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
         return pd.DataFrame({"stem": names, "clean": [seen[0][s] for s in names], "toxic": [seen[1][s] for s in names]})
 
     found = sample.mapInPandas(count, "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # At most 0.5 million stems of bounded samples could have this many documents; in practice some hundred have.
-    rows = found.where((F.col("stem") == "") | ((F.col("toxic") >= 8) & (F.col("toxic") > 4 * F.col("clean")))).collect()
-    clean, toxic = next(((r["clean"], r["toxic"]) for r in rows if r["stem"] == ""), (0, 0))
-    if not clean or not toxic:
-        return Lexicon({}, exceptions)
-    lexicon = Lexicon(choose_stems({r["stem"]: (r["toxic"], r["clean"]) for r in rows if r["stem"]}, toxic, clean), exceptions)
+    # Stems of so few documents that no count of clean ones gives them the evidence stay in the tasks; so do those common in clean documents.
+    few = next((t for t in range(1, toxic + 1) if nats(t, 0, toxic, clean) >= EVIDENCE), toxic + 1)
+    rates = (F.col("toxic") + 0.5) / (toxic + 1) >= 0.999 * math.exp(ODDS) * (F.col("clean") + 0.5) / (clean + 1)
+    rows = found.where((F.col("toxic") >= few) & rates).collect()
+    lexicon = Lexicon(choose_stems({r["stem"]: (r["toxic"], r["clean"]) for r in rows}, toxic, clean), exceptions)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

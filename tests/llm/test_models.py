@@ -210,6 +210,25 @@ def test_texts_that_begin_alike_are_witnesses_each(spark):
     assert lexicon.score(lead + "verminx again") > 0.5 > lexicon.score(lead + "calm words")
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_planted_toxic_documents_are_found_at_each_scale(spark, scale):
+    """In the labels' toxic documents a word and a short word stand that no other text holds."""
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{scale}/labels.parquet")
+    marked = labels.where("toxic = 1").select("doc_id", F.lit(1).alias("bad"))
+    for word in ("vermilord", "zyx"):
+        planted = docs.join(marked, "doc_id", "left").withColumn("text", F.when(F.col("bad") == 1, F.concat("text", F.lit(f" {word} {word} "))).otherwise(F.col("text"))).drop("bad")
+        lexicon = toxicity.fit_toxicity(planted, labels)
+        assert any(f"{word} ".startswith(s) for s in lexicon.weights)
+        assert lexicon.score(f"so {word} says") > 0.5 > lexicon.score("so they say")
+
+
+def test_evidence_does_not_depend_on_class_sizes_alike():
+    counts = {"abcd": (60, 4)}  # a rate of 0.6 in toxic documents, whatever their number
+    assert set(toxicity.choose_stems(counts, 100, 400)) == set(toxicity.choose_stems({"abcd": (6, 1)}, 10, 400)) == {"abcd"}
+    assert toxicity.choose_stems({"abcd": (2, 0)}, 4000, 4000) == {}
+
+
 def test_toxicity_of_awkward_tables(spark):
     labels = spark.createDataFrame([(5, 1, 1), (6, 1, 0), (6, 0, 1), (None, 1, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
     lexicon = toxicity.fit_toxicity(awkward(spark), labels)
