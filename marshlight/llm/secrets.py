@@ -1,7 +1,8 @@
 """Secret scans with a recursive decoding worklist.
 
-A text is scanned, then every encoded run in it (URL escapes, Unicode escapes, base64, compressed data inside base64) is
-unwrapped and scanned in turn, layer by layer, until nothing new comes out. Every decoded character knows the
+A text is scanned, then all its escapes (URL, Unicode) are unwrapped together into one new layer, and every run of base64 in it, also one
+broken into lines or standing behind a path or a name, into a layer of its own (unpacked where it is compressed). Layers are
+scanned in turn until nothing new comes out. Every decoded character knows the
 range of the original text it came from, so what is found in a layer is reported where it stands in the text.
 """
 
@@ -24,8 +25,11 @@ _ASSIGN_HINT = re.compile(r"passw(?:or)?d|secret|token|api_?key", re.ASCII | re.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-_RUN = re.compile(r"\S+")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_BREAK = re.compile(r"[/_-]")
+_PACKED = (b"\x1f\x8b", b"\x78", b"BZh", b"\xfd7zXZ")
 _UNPACKERS = ((b"\x1f\x8b", 31), (b"\x78", 15))
 MAX_LAYER = 1 << 24  # bytes a compressed layer may unfold to; a larger one is no text layer
 
@@ -143,33 +147,94 @@ def _decode64(run: str) -> tuple[str, list[int], list[int]] | None:
     return text, starts, ends
 
 
+def _hopeful(run: str) -> bool:
+    """Whether the first bytes of a base64 run may begin a text or compressed data; most others are told by them."""
+    body = run[:24].rstrip("=").replace("-", "+").replace("_", "/")
+    try:
+        raw = base64.b64decode(body[:len(body) // 4 * 4], validate=True)
+    except (binascii.Error, ValueError):
+        return False
+    if raw.startswith(_PACKED):
+        return True
+    head = raw.decode("utf-8", "ignore")  # a character may be cut at the end
+    return len(head.encode("utf-8")) > len(raw) - 4 and all(c.isprintable() or c in "\t\r\n" for c in head)
+
+
+def _parts(run: str) -> Iterator[tuple[int, int]]:
+    """Where base64 may stand in a run besides the whole of it: after a `/`, `-` or `_`, to the end or to the next of one of these."""
+    cuts = [m.start() for m in _BREAK.finditer(run)]
+    if not cuts:
+        return
+    following = {c: len(run) for c in "/_-"}
+    ends: list[tuple[int, ...]] = []
+    for at in reversed([-1, *cuts]):
+        ends.append(tuple(sorted({len(run), *following.values()}, reverse=True)))
+        if at >= 0:
+            following[run[at]] = at
+    for at, stops in zip([-1, *cuts], reversed(ends)):
+        start = at + 1
+        if len(run) - start < 16 or not _hopeful(run[start:start + 24]):
+            continue
+        for stop in stops:
+            if stop - start >= 16 and (start, stop) != (0, len(run)):
+                yield start, stop
+
+
+def _blocks(lines: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Ranges of two lines or more that may be one run: lines of one length, with a shorter one before or after or without them."""
+    size = [e - s for s, e in lines]
+    i = 0
+    while i < len(lines):
+        j = i
+        while j + 1 < len(lines) and size[j + 1] == size[i]:
+            j += 1
+        if size[i] >= 16:
+            for first in {i, i - 1 if i and size[i - 1] < size[i] else i}:
+                for last in {j, j + 1 if j + 1 < len(lines) and size[j + 1] < size[i] else j}:
+                    if last > first:
+                        yield first, last + 1
+        i = j + 1
+
+
+def _decoded(layer: str) -> Iterator[tuple[str, list[int], list[int]]]:
+    """What comes out of `layer` in one step: its text and where in `layer` each character's source starts and ends."""
+    if _ESCAPE.search(layer):
+        yield _unescape(layer)
+    for m in _BASE64.finditer(layer):
+        at, run, done = m.start(), m[0], []
+        if (whole := _decode64(run)) is not None:
+            done.append((0, len(run)))
+            yield whole[0], [at + b for b in whole[1]], [at + e for e in whole[2]]
+        for start, stop in _parts(run):
+            if any(a <= start and stop <= b and (start - a) % 4 == 0 for a, b in done[-4:]):
+                continue  # a part of what has come out
+            if (part := _decode64(run[start:stop])) is not None:
+                done.append((start, stop))
+                yield part[0], [at + start + b for b in part[1]], [at + start + e for e in part[2]]
+    for m in _LINES.finditer(layer):
+        lines = [(m.start() + x.start(), m.start() + x.end()) for x in _LINE.finditer(m[0])]
+        for first, last in _blocks(lines):
+            place = [k for s, e in lines[first:last] for k in range(s, e)]
+            joined = "".join(layer[s:e] for s, e in lines[first:last])
+            for start, stop in [(0, len(joined)), *((a, b) for a, b in _parts(joined) if b == len(joined))]:
+                if _hopeful(joined[start:start + 24]) and (part := _decode64(joined[start:stop])) is not None:
+                    yield part[0], [place[start + b] for b in part[1]], [place[start + e - 1] + 1 for e in part[2]]
+                    break
+
+
 def layers(text: str) -> Iterator[tuple[str, list[int], list[int]]]:
     """Every decoded layer of `text` with the original start and end of each of its characters."""
     work: list[tuple[str, list[int] | None, list[int] | None]] = [(text, None, None)]
-    seen: set[tuple[str, int]] = set()
+    seen: set[tuple[str, int, int]] = set()
     while work:
         layer, starts, ends = work.pop()
-        runs: list[tuple[int, str, tuple[str, list[int], list[int]] | None]] = []
-        if _ESCAPE.search(layer):
-            last = -1
-            for m in _ESCAPE.finditer(layer):  # the run of non-blanks around each escape, once
-                if m.start() < last:
-                    continue
-                left = m.start()
-                while left > 0 and not layer[left - 1].isspace():
-                    left -= 1
-                run = _RUN.match(layer, left)
-                last = run.end()
-                runs.append((left, run[0], _unescape(run[0])))
-        runs += [(m.start(), m[0], _decode64(m[0])) for m in _BASE64.finditer(layer)]
-        for at, _, decoded in runs:
-            if decoded is None:
+        for inner, begins, stops in _decoded(layer):
+            if not inner or inner == layer:  # nothing but signs that are no escapes
                 continue
-            inner, begins, stops = decoded
-            first = [starts[at + b] if starts else at + b for b in begins]
-            final = [ends[at + e - 1] if ends else at + e for e in stops]
-            mark = (inner, first[0] if first else -1)
-            if inner and mark not in seen:  # a layer met before at this place ends the cycle
+            first = [starts[b] for b in begins] if starts else begins
+            final = [ends[e - 1] for e in stops] if ends else stops
+            mark = (inner, first[0], final[-1])
+            if mark not in seen:  # a layer met before at this place ends the cycle
                 seen.add(mark)
                 yield inner, first, final
                 work.append((inner, first, final))

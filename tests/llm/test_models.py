@@ -84,6 +84,28 @@ def test_layers_are_unwrapped_and_mapped():
     assert spans("%25" * 50 + " " + "a" * 200 + " %zz \\u12 &#99999999; =") == [("hex", "a" * 200)]
 
 
+def test_escapes_are_decoded_across_blanks():
+    assert spans("a password%3A hunter2hunter22 b") == [("assign", "password%3A hunter2hunter22")]
+    assert spans('x "token"\\u003a "abcdefghijkl0123" y') == [("assign", 'token"\\u003a "abcdefghijkl0123')]
+
+
+def test_base64_in_lines_and_behind_names():
+    words = " ".join(f"w{i}" for i in range(40))
+    plain = f"{words} password=abcdefghijkl {words}".encode()
+    whole = base64.b64encode(plain).decode()
+    for end in ("\n", "\r\n", "\n  "):
+        for width in (64, 76):
+            wrapped = end.join(whole[i:i + width] for i in range(0, len(whole), width))
+            assert "assign" in [k for k, _ in spans(f"mail\n\n{wrapped}\n\nend")]
+    packed = base64.b64encode(gzip.compress((" ".join(f"{i * 7919 % 1000}" for i in range(300)) + " AKIA12345678901234 end").encode())).decode()
+    wrapped = "\n".join(packed[i:i + 76] for i in range(0, len(packed), 76))
+    assert len(packed) > 200 and ("access", wrapped) in spans(f"blob:\n{wrapped}\nend of it")
+    b64 = base64.b64encode(b"key AKIA12345678901234 end of it").decode()
+    for around in ("key_{}", "http://a.b/path/{}", "a/long/segment-name/{}", "x-{}", "some/{}/more", "some_{}_more"):
+        found = spans(around.format(b64.rstrip("=")))
+        assert [k for k, _ in found] == ["access"] and found[0][1] in b64
+
+
 def test_secrets_of_awkward_tables(spark):
     out = secrets.scan_secrets(awkward(spark)).collect()
     assert len(out) == 13 and {r["base"] for r in out} == {""}
