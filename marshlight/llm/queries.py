@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, line_dedup, lm, mixing, secrets, topk, toxicity, url_filter
+from . import (
+    decontaminate, jaccard, language, line_dedup, lm, merkle, mixing, prefix_trie, secrets, superminhash, text, topk, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -187,3 +188,116 @@ FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least_of ON w.doc_id = least
 """)
 def op10_ngram_jaccard_join(spark, sf_dir):
     return jaccard.link_groups(table(spark, sf_dir, "documents"))
+
+
+# crc32 (reversed polynomial 0xEDB88320) of the characters of a decimal number.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, b: xor(a >> 1, (a & 1) * 3988292384))), 4294967295)"""
+FIELD_SQL = "coalesce(strlen({0}::VARCHAR) || ':' || {0}, '-')"
+
+
+def leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(FIELD_SQL.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+@query("op11_merkle_manifest", sql=f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {leaf_sql("text")} AS leaf,
+         CASE WHEN {CRC32_SQL.format("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 THEN {leaf_sql("({0})".format(ASCII_LOWER_SQL.format("text")))} ELSE {leaf_sql("text")} END AS claim
+  FROM documents),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM d),
+lower_tree(tree, level, pos, digest) AS (
+  SELECT tree, 0, pos, leaf FROM p
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM lower_tree) WHERE n > 1 GROUP BY tree, level, pos // 8),
+heights AS (SELECT tree, max(level) AS height FROM lower_tree GROUP BY tree),
+subroots AS (SELECT tree, digest FROM lower_tree JOIN heights USING (tree) WHERE level = height),
+upper_tree(level, pos, digest) AS (
+  SELECT 0, tree, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM upper_tree) WHERE n > 1 GROUP BY level, pos // 8),
+nodes AS (
+  SELECT tree, level, pos, digest, level < height AS below FROM lower_tree JOIN heights USING (tree)
+  UNION ALL SELECT -1, level, pos, digest, level < (SELECT max(level) FROM upper_tree) FROM upper_tree),
+steps AS (
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.pos // 8 = b.pos // 8 WHERE a.below GROUP BY ALL),
+walk(id, tree, level, pos, home, digest, proof) AS (
+  SELECT row_number() OVER (ORDER BY tree, pos), tree, 0, pos, tree, claim, '' FROM p
+  UNION ALL
+  SELECT id, CASE WHEN s.pos IS NULL THEN -1 ELSE w.tree END, CASE WHEN s.pos IS NULL THEN 0 ELSE w.level + 1 END,
+         CASE WHEN s.pos IS NULL THEN home ELSE w.pos // 8 END, home,
+         CASE WHEN s.pos IS NULL THEN digest ELSE sha256(before || digest || after) END, proof || coalesce(before || after, '')
+  FROM walk w LEFT JOIN steps s ON w.tree = s.tree AND w.level = s.level AND w.pos = s.pos
+  WHERE w.tree >= 0 OR s.pos IS NOT NULL),
+ends AS (
+  SELECT id, arg_max(digest, level) AS folded_root, arg_max(proof, level) AS proof FROM walk WHERE tree = -1 GROUP BY id),
+root AS (SELECT arg_max(digest, level) AS root FROM upper_tree)
+SELECT doc_id, leaf, subroots.digest AS subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM (SELECT *, row_number() OVER (ORDER BY tree, pos) AS id FROM p) JOIN ends USING (id) JOIN subroots USING (tree), root
+""")
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    leaf = lambda body: merkle.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], body)
+    tampered = F.when(text.fold_share(F.col("doc_id"), 3) == 0, text.ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    leaves = docs.select("lang", "doc_id", leaf(F.col("text")).alias("leaf"), leaf(tampered).alias("claim"))
+    found = merkle.manifest(leaves, "lang", "doc_id", "leaf", claim="claim")
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_prefix_trie", sql=f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {CRC32_SQL.format("conv_id::VARCHAR")} % 9 AS h, conv_id - conv_id % 5 AS base FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos >= h),
+s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, struct_pack(role := role, text := text) AS turn FROM r),
+x AS (
+  SELECT conv_id, depth, list(turn) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM s
+  UNION ALL SELECT conv_id, 0, [] FROM c),
+e AS (SELECT conv_id, max(depth) AS len FROM x GROUP BY conv_id),
+n AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = len), '') AS ends
+  FROM x JOIN e USING (conv_id) GROUP BY depth, path),
+k AS (SELECT *, (SELECT count(*) FROM n m WHERE m.depth = n.depth + 1 AND m.path[1:n.depth] = n.path) AS n_children FROM n)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children,
+       count(*) FILTER (b.n_children = 0) AS n_leaves,
+       sum(CASE WHEN b.depth = 0 THEN 0 ELSE (b.n_convs - 1) * strlen(b.path[-1].text) END)::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM k a JOIN k b ON b.depth >= a.depth AND b.path[1:a.depth] = a.path LEFT JOIN k p ON p.depth = a.depth - 1 AND a.path[1:a.depth - 1] = p.path
+GROUP BY a.conv_id, a.depth, p.conv_id, a.n_convs, a.n_children, a.ends
+""")
+def op12_prefix_trie(spark, sf_dir):
+    turns, conversations = prefix_trie.shared_heads(table(spark, sf_dir, "conversations"), family=5, heads=9)
+    return prefix_trie.prefix_trie(turns, conversations)
+
+
+@query("op13_minhash_near_dedup", sql=rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS_SQL.format(ASCII_LOWER_SQL.format("coalesce(text, '')"))} AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS h FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+inter AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM inter JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT a, a FROM edges UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.r = edges.a),
+least_of AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least_of.r, w.doc_id) AS component_id,
+       coalesce(least_of.r, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least_of ON w.doc_id = least_of.doc_id
+""")
+def op13_minhash_near_dedup(spark, sf_dir):
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
