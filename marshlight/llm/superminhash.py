@@ -186,7 +186,10 @@ def least_equal(percent: int, places: int = PLACES) -> int:
 
 
 def _tile_pairs(percent: int, likeliest: bool):
-    """Pairs of different groups in a tile that may be alike; with `likeliest` one partner of each node."""
+    """Pairs of different groups in a tile that may be alike; with `likeliest` one partner of each node.
+
+    A pair that meets in several bands is taken in the first, which the sketches tell: five equal bytes in a row of places.
+    """
     least = least_equal(percent)
 
     def compare(rows: pa.Table) -> list[tuple[bytes, bytes]]:
@@ -195,14 +198,19 @@ def _tile_pairs(percent: int, likeliest: bool):
         node, root = (np.array(rows.column(c).to_pylist(), dtype=object) for c in ("node", "root"))
         _, group = np.unique(root, return_inverse=True)
         sketch = np.stack([np.frombuffer(s.as_buffer(), dtype=np.uint8) for s in rows.column("sketch")])
+        band = rows.column("band")[0].as_py()
         one = not right.any()
         lefts, rights = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~right), np.flatnonzero(right))
         best: list[tuple[int, int, int]] = []
         for i in lefts:
             js = rights[rights > i] if one else rights
             js = js[(group[js] != group[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
-            equal = (sketch[js] == sketch[i]).sum(axis=1)
-            js, equal = js[equal >= least], equal[equal >= least]
+            same = sketch[js] == sketch[i]
+            equal = same.sum(axis=1)
+            good = equal >= least
+            if band:
+                good &= ~same[:, :band * ROWS].reshape(len(js), band, ROWS).all(axis=2).any(axis=1)
+            js, equal = js[good], equal[good]
             if likeliest and len(js):
                 js, equal = js[[equal.argmax()]], equal[[equal.argmax()]]
             best += [(int(i), int(j), int(e)) for j, e in zip(js, equal)]
@@ -231,16 +239,16 @@ def _tile_pairs(percent: int, likeliest: bool):
 
 
 def open_pairs(buckets: DataFrame, nodes: DataFrame, percent: int, tile: int, likeliest: bool) -> DataFrame:
-    """Pairs of nodes of different groups in a bucket (key, node, root) that their sizes and sketches let be alike.
+    """Pairs of nodes of different groups in a bucket (key, band, node, root) that their sizes and sketches let be alike.
 
     A bucket of more than `tile` nodes is cut in parts; a node meets each pair of parts that has its own.
     """
     counts = buckets.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("k"))
     own = F.pmod(F.xxhash64("node", F.lit("part")), F.col("k")).cast("int")
     part = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part")
-    placed = buckets.join(counts, "key").withColumn("own", own).select("key", "node", "root", "own", part)
+    placed = buckets.join(counts, "key").withColumn("own", own).select("key", "band", "node", "root", "own", part)
     dealt = placed.select(
-        F.xxhash64("key", F.least("own", "part"), F.greatest("own", "part")).alias("tile"), (F.col("own") > F.col("part")).alias("right"), "node", "root")
+        F.xxhash64("key", F.least("own", "part"), F.greatest("own", "part")).alias("tile"), (F.col("own") > F.col("part")).alias("right"), "band", "node", "root")
     full = dealt.join(nodes.select("node", "n", "sketch"), "node").repartition("tile").sortWithinPartitions("tile")
     return full.mapInArrow(_tile_pairs(percent, likeliest), "a binary, b binary").distinct()
 
@@ -260,15 +268,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tile: in
     measured = stage(measured_sets(docs, width))
     nodes = stage(measured.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")))
-    postings = nodes.select(F.explode("keys").alias("key"), "node")
-    buckets = stage(postings.join(postings.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1"), "key").select("key", "node", "pivot"))
-    stars = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    likely = _alike(stars, nodes, percent).groupBy("b").agg(F.max_by("a", F.struct("equal", "a")).alias("a"))
-    tested = stage(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    postings = nodes.select(F.posexplode("keys").alias("band", "key"), "node")
+    buckets = stage(postings.join(postings.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1"), "key").select(
+        "key", "band", "node", "pivot"))
+    votes = buckets.where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("votes"))
+    stars = votes.groupBy("node").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("pivot"))
+    tested = stage(_alike(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")), nodes, percent))
     links = stage(confirmed(tested, docs, nodes, width, percent))
     groups = union_find(links)
     for likeliest in (True, False):
-        labelled = buckets.select("key", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        labelled = buckets.select("key", "band", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
         buckets = stage(labelled.join(mixed, "key"))
         found = stage(open_pairs(buckets, nodes, percent, tile, likeliest).join(tested, ["a", "b"], "left_anti"))
@@ -284,7 +293,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tile: in
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches let be alike, and their equal places."""
+    """The pairs (a, b), a < b, that sizes and sketches let be alike."""
     least = least_equal(percent)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,9 +302,8 @@ def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for c in (4, 5))
             n, m = (batch.column(c).to_numpy() for c in (2, 3))
-            equal = (x == y).sum(axis=1)
-            good = (equal >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(equal)], ["a", "b", "equal"]).filter(pa.array(good))
+            good = ((x == y).sum(axis=1) >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            yield batch.select([0, 1]).filter(pa.array(good))
 
     left, right = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(test, "a binary, b binary, equal long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(test, "a binary, b binary")
