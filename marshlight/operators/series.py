@@ -10,12 +10,16 @@ table. On the wide table all indicators share one shuffle and one sort, and no r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from ..functions.nulls import ceil_d
+from . import cleaning
 
 SERIES = ("ADM1_ID", "ADM2_ID", "OU_ID", "INDICATOR")
 ORDER = ("PERIOD", "YEAR", "MONTH")
@@ -200,73 +204,31 @@ def max_back_on_rows(df: DataFrame, target: str, keys: Sequence[str], name: str)
 
 # --- seasonal cleaning ------------------------------------------------------------------------------
 
-PERIOD = 12
-
-
-def _filled_line(value: str, forward: WindowSpec, backward: WindowSpec) -> tuple[dict[str, Column], Column]:
-    """Helper columns and the expression of `value` with gaps joined by straight lines, ends held level.
-
-    The next known value is the last one seen in a backward walk: a running frame costs one step per row,
-    a frame open towards the end would be summed up again for every row.
-    """
-    before = forward.rowsBetween(Window.unboundedPreceding, 0)
-    after = backward.rowsBetween(Window.unboundedPreceding, 0)
-    at = F.when(F.col(value).isNotNull(), F.col("_pos"))
-    helpers = {
-        "_p0": F.last(at, ignorenulls=True).over(before), "_v0": F.last(value, ignorenulls=True).over(before),
-        "_p1": F.last(at, ignorenulls=True).over(after), "_v1": F.last(value, ignorenulls=True).over(after),
-    }
-    slope = F.try_divide(F.col("_v1") - F.col("_v0"), F.col("_p1") - F.col("_p0"))
-    between = F.col("_v0") + slope * (F.col("_pos") - F.col("_p0"))
-    return helpers, F.coalesce(F.col(value), between, F.col("_v0"), F.col("_v1"))
-
 
 def with_seasonal_flag(df: DataFrame, deviation: float, name: str, keys: Sequence[str] = ("OU_ID", "INDICATOR"),
                        order: Sequence[str] = ("PERIOD",), value: str = "VALUE") -> DataFrame:
-    """Flag values far from their cleaned monthly series, in units of the series' MAD.
+    """Flag values far from their cleaned monthly series, in units of the series' MAD (see `cleaning`).
 
-    Cleaning: gaps are joined by straight lines; with more than two years the residual is taken after a
-    centred year average and the median of each calendar position, else after a median of five; values
-    whose residual lies beyond 3 IQR are replaced by interpolation. A series with fewer than two values or
-    with MAD 0 has no outlier. All steps are windows on one partitioning.
+    A series with fewer than two values or with MAD 0 has no outlier. Each series becomes one sorted array, so all steps of
+    the cleaning run on one row; the columns that are not needed pass by untouched.
     """
-    by = Window.partitionBy(*keys)
-    line = by.orderBy(*order)
-    back = by.orderBy(*[F.desc(o) for o in order])
     cols = df.columns
-    df = df.withColumns({"_pos": F.row_number().over(line), "_n": F.count(F.lit(1)).over(by),
-                         "_known": F.count(value).over(by), "_med": F.median(value).over(by)})
-    helpers, filled = _filled_line(value, line, back)
-    df = df.withColumns(helpers).withColumn("_y", filled)
-    df = df.withColumn("_mad", F.median(F.abs(F.col(value) - F.col("_med"))).over(by))
-    # Beyond either end the series is held at its first or last value.
-    df = df.withColumns({"_first": F.min_by("_y", "_pos").over(by), "_last": F.max_by("_y", "_pos").over(by)})
-
-    def short(side: str, reach: int) -> Column:
-        there = F.col("_pos") - 1 if side == "left" else F.col("_n") - F.col("_pos")
-        return F.greatest(F.lit(reach) - there, F.lit(0)).cast("int")
-
-    inner = F.sum("_y").over(line.rowsBetween(-5, 5)) + short("left", 5) * F.col("_first") + short("right", 5) * F.col("_last")
-    outer = F.coalesce(F.lag("_y", 6).over(line), F.col("_first")) + F.coalesce(F.lead("_y", 6).over(line), F.col("_last"))
-    five = F.concat(F.collect_list("_y").over(line.rowsBetween(-2, 2)),
-                    F.array_repeat("_first", short("left", 2)), F.array_repeat("_last", short("right", 2)))
-    long_series = F.col("_n") > 2 * PERIOD
-    trend = F.when(long_series, (inner + outer / 2) / PERIOD).otherwise(_median_of_frame(five))
-    df = df.withColumns({"_trend": trend, "_month": (F.col("_pos") - 1) % PERIOD})
-    month = Window.partitionBy(*keys, "_month")
-    df = df.withColumns({"_shape": F.median(F.col("_y") - F.col("_trend")).over(month),
-                         "_in_month": F.count(F.lit(1)).over(month)})
-    level = F.sum(F.col("_shape") / F.col("_in_month")).over(by) / PERIOD
-    df = df.withColumn("_level", level)
-    df = df.withColumn("_season", F.when(long_series, F.col("_shape") - F.col("_level")).otherwise(0.0))
-    df = df.withColumn("_r", F.col("_y") - F.col("_trend") - F.col("_season"))
-    df = df.withColumn("_q", quartiles("_r").over(by))
-    q1, q3 = F.col("_q")[0], F.col("_q")[1]
-    reach = 3 * (q3 - q1)
-    bad = (F.col("_r") < q1 - reach) | (F.col("_r") > q3 + reach) | F.col(value).isNull()
-    df = df.withColumn("_base", F.when(~bad, F.col("_y") - F.col("_season")))
-    helpers, cleaned = _filled_line("_base", line, back)
-    df = df.withColumns(helpers).withColumn("_clean", F.coalesce(cleaned + F.col("_season"), F.col("_y")))
-    gap = F.try_divide(F.abs(F.col(value) - F.col("_clean")), F.col("_mad"))
-    usable = (F.col("_known") >= 2) & (F.col("_mad") > 0)
-    return df.withColumn(name, F.coalesce(usable & (gap >= deviation), F.lit(False))).select(*cols, name)
+    rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in cols if c not in (*order, *keys)])))
+    series = df.groupBy(*keys).agg(rows.alias("_rows")).withColumn("_values", F.transform("_rows", lambda r: r[value].cast("double")))
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("_values")
+            lengths = values.value_lengths().to_numpy()
+            flat = values.flatten().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(lengths) - lengths
+            flags = np.zeros(len(flat), dtype=bool)
+            for n in np.unique(lengths[lengths > 0]):
+                at = starts[lengths == n][:, None] + np.arange(n)
+                flags[at] = cleaning.seasonal_flags(flat[at], deviation)
+            offsets = pa.array(np.append(starts, len(flat)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(flags))], [*batch.schema.names[:-1], "_flags"])
+
+    schema = StructType([*series.schema.fields[:-1], StructField("_flags", ArrayType(BooleanType()))])
+    flagged = series.mapInArrow(flag, schema).select(*keys, F.explode(F.arrays_zip("_rows", "_flags")).alias("_r"))
+    return flagged.select(*[F.col(c) if c in keys else F.col(f"_r._rows.{c}").alias(c) for c in cols], F.col("_r._flags").alias(name))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -224,12 +223,60 @@ def equal_frequency_breaks(df: DataFrame, value: str, n: int) -> DataFrame:
     return exact_quantiles(df, value, [i / n for i in range(n + 1)]).select("prob", F.col("quantile").alias("break"))
 
 
-def k_means_breaks(df: DataFrame, value: str, n: int, seed: int = 42) -> list[float]:
-    """Minimum, midpoints between sorted cluster centres, maximum. Fits a model, so it runs a job."""
-    vectors = VectorAssembler(inputCols=[value], outputCol="features").transform(
-        df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias(value)))
-    centres = sorted(float(c[0]) for c in KMeans(k=n, seed=seed, maxIter=50).fit(vectors).clusterCenters())
-    ends = vectors.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+MOST_VALUES = 4096  # weighted values on which classes are chosen
+
+
+def best_classes(values: np.ndarray, counts: np.ndarray, n: int) -> list[int]:
+    """Ends (exclusive) of `n` classes of ascending values with the least sum of squares around their means.
+
+    Dynamic programming over the classes: the best cost of the first j values in k classes follows from that of k - 1.
+    """
+    size = len(values)
+    n = min(n, size)
+    values = values - values.mean()  # sums of squares keep their digits
+    total, first, second = (np.concatenate([[0.0], np.cumsum(counts * values**p)]) for p in (0, 1, 2))
+
+    def within(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        rows = total[j] - total[i]
+        return second[j] - second[i] - (first[j] - first[i]) ** 2 / np.where(rows > 0, rows, 1)
+
+    ends = np.arange(size + 1)
+    cost = np.where(ends > 0, within(np.zeros_like(ends), ends), np.inf)
+    cuts = []
+    for _ in range(n - 1):
+        best, cut = np.full(size + 1, np.inf), np.zeros(size + 1, dtype=int)
+        for a in range(1, size + 1, 256):
+            j = np.arange(a, min(a + 256, size + 1))[:, None]
+            i = np.arange(j[-1, 0])[None, :]
+            whole = np.where(i < j, cost[i] + within(i, np.maximum(i, j)), np.inf)
+            cut[j[:, 0]] = whole.argmin(axis=1)
+            best[j[:, 0]] = whole.min(axis=1)
+        cost = best
+        cuts.append(cut)
+    out = [size]
+    for cut in reversed(cuts):
+        out.insert(0, int(cut[out[0]]))
+    return out
+
+
+def k_means_breaks(df: DataFrame, value: str, n: int) -> list[float]:
+    """Minimum, midpoints between the means of the `n` best classes, maximum. Runs a job.
+
+    Classes have the least possible sum of squares, so results do not depend on a start. They are chosen on counts of values, at most
+    MOST_VALUES of them: with more distinct values, on as many equal steps of the range, each at the mean of its values. With
+    fewer distinct values than classes each value is a class; without values there are no breaks.
+    """
+    known = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(F.col(value).cast("double").alias("v"))
+    counts = known.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("distinct")).first()
+    if not ends["distinct"]:
+        return []
+    step = F.col("v") if ends["distinct"] <= MOST_VALUES else F.least(
+        F.floor((F.col("v") - ends["lo"]) / (ends["hi"] - ends["lo"]) * MOST_VALUES), F.lit(MOST_VALUES - 1))
+    rows = counts.groupBy(step.alias("step")).agg(F.sum("n").alias("n"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v")).orderBy("v").collect()
+    values, weights = np.array([r["v"] for r in rows]), np.array([r["n"] for r in rows], dtype=float)
+    classes = best_classes(values, weights, n)
+    centres = [float(np.average(values[a:b], weights=weights[a:b])) for a, b in zip([0, *classes], classes)]
     return [ends["lo"], *[(a + b) / 2 for a, b in zip(centres, centres[1:])], ends["hi"]]
 
 

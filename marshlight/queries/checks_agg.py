@@ -642,7 +642,31 @@ def _(t):
     return exact_quantiles(J.attach(li, t.pyramid, ["OU_ID"], ["ADM2_ID"]), "l_extendedprice", [0.25, 0.9], ["ADM2_ID"])
 
 
-@query("D56_k_means_breaks")
+VIEWS["v_counted"] = """
+SELECT row_number() OVER (ORDER BY v) AS idx, v, sum(c) OVER (ORDER BY v) AS n, sum(c * v) OVER (ORDER BY v) AS s, sum(c * v * v) OVER (ORDER BY v) AS q
+FROM (SELECT CONF::DOUBLE AS v, count(*)::DOUBLE AS c FROM v_district_month WHERE CONF IS NOT NULL GROUP BY 1)"""
+_WITHIN = "(j.q - i.q) - (j.s - i.s) * (j.s - i.s) / (j.n - i.n)"
+VIEWS["v_class1"] = "SELECT *, q - s * s / n AS cost, 0::BIGINT AS cut FROM v_counted"
+for _k in (2, 3, 4):
+    VIEWS[f"v_class{_k}"] = f"""
+SELECT j.idx, j.v, j.n, j.s, j.q, min(i.cost + {_WITHIN}) AS cost, arg_min(i.idx, i.cost + {_WITHIN}) AS cut
+FROM v_counted j JOIN v_class{_k - 1} i ON i.idx < j.idx GROUP BY ALL"""
+
+
+@query("D56_k_means_breaks", """
+WITH z AS (SELECT max(idx) AS idx FROM v_counted),
+e4 AS (SELECT idx, cut FROM v_class4 WHERE idx = (SELECT idx FROM z)), e3 AS (SELECT idx, cut FROM v_class3 WHERE idx = (SELECT cut FROM e4)),
+e2 AS (SELECT idx, cut FROM v_class2 WHERE idx = (SELECT cut FROM e3)),
+ends AS (SELECT 1 AS k, idx FROM v_class1 WHERE idx = (SELECT cut FROM e2) UNION ALL SELECT 2, idx FROM e2 UNION ALL SELECT 3, idx FROM e3 UNION ALL SELECT 4, idx FROM e4),
+m AS (SELECT k, (s - coalesce(lag(s) OVER (ORDER BY k), 0)) / (n - coalesce(lag(n) OVER (ORDER BY k), 0)) AS mean FROM ends JOIN v_counted USING (idx))
+SELECT 0::BIGINT AS k, min(v) AS "break" FROM v_counted UNION ALL SELECT 4, max(v) FROM v_counted
+UNION ALL SELECT k - 1, (mean + before) / 2 FROM (SELECT k, mean, lag(mean) OVER (ORDER BY k) AS before FROM m) WHERE before IS NOT NULL""", "break")
+def _(t):
+    breaks = T.k_means_breaks(t.district_month, "CONF", 4)
+    return t.spark.createDataFrame(list(enumerate(breaks)), "k long, break double")
+
+
+@query("D56_k_means_classes")
 def _(t):
     breaks = T.k_means_breaks(t.district_month, "CONF", 4)
     rounded = [0.0, *T.rounded_breaks(breaks)]

@@ -112,11 +112,11 @@ def _(t):
 @query("C7_inner_join_of_summaries", """
 SELECT ADM2_ID, YEAR, a.top, b.total FROM
   (SELECT ADM2_ID, YEAR, max(CONF) AS top FROM v_district_month GROUP BY ALL) a
-  JOIN (SELECT ADM2_ID, YEAR, sum(CONF) AS total FROM v_district_month WHERE MONTH > 6 GROUP BY ALL) b USING (ADM2_ID, YEAR)""")
+  JOIN (SELECT ADM2_ID, YEAR, sum(POPULATION) AS total FROM v_population GROUP BY ALL) b USING (ADM2_ID, YEAR)""")
 def _(t):
     d = t.district_month
     top = d.groupBy("ADM2_ID", "YEAR").agg(F.max("CONF").alias("top"))
-    total = d.filter("MONTH > 6").groupBy("ADM2_ID", "YEAR").agg(F.sum("CONF").alias("total"))
+    total = t.population.groupBy("ADM2_ID", "YEAR").agg(F.sum("POPULATION").alias("total"))
     return J.join_summaries(top, total, ["ADM2_ID", "YEAR"])
 
 

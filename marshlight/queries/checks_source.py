@@ -16,6 +16,7 @@ from ..plans import incidence as I
 from ..plans import survey as V
 from ..sources import config as Cf
 from ..sources import readers as Rd
+from ..sources.staging import new_path
 from ..streaming.incremental import missing_periods
 from .checks_join import indicator_map
 from .registry import query
@@ -71,6 +72,15 @@ def _(t):
     return t.care if file is None else file
 
 
+@query("A5_user_file_wins", "SELECT ADM1_ID, PCT / 2 AS PCT FROM v_care", "PCT")
+def _(t):
+    """A file of the user comes before the one that ships with the survey; both exist."""
+    own, shipped = (f"{new_path(t.spark)}.parquet" for _ in range(2))
+    t.care.write.parquet(shipped)
+    t.care.withColumn("PCT", F.col("PCT") / 2).write.parquet(own)
+    return Rd.read_first_available(t.spark, [f"{t.dir}/no_such_file.parquet", own, shipped]).select("ADM1_ID", "PCT")
+
+
 @query("A6_merge_period_files", """
 SELECT o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", o_orderstatus AS "O_ORDERSTATUS" FROM orders""")
 def _(t):
@@ -78,6 +88,19 @@ def _(t):
     return df.select("O_ORDERKEY", "O_CUSTKEY", "O_ORDERSTATUS")
 
 
+@query("A6_period_file_ledger", """
+SELECT 'nation.parquet' AS file, count(*) AS n_rows, true AS merged FROM nation UNION ALL SELECT 'region.parquet', count(*), true FROM region
+UNION ALL SELECT 'broken.parquet', 0, false""")
+def _(t):
+    """Copies of two tables and one file that is no table: the merge goes on, the ledger names it."""
+    folder = new_path(t.spark)
+    for name in ("nation", "region"):
+        t.raw_table(name).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    t.spark.range(1).select(F.lit("not a table").alias("value")).coalesce(1).write.text(f"{folder}/broken.parquet")
+    ledger = Rd.period_file_ledger(t.spark, f"{folder}/*.parquet/part-*", level=-2)
+    return ledger.select("file", "n_rows", "merged")
+
+
 @query("A7_concat_tables", """
 SELECT n_nationkey, n_name, NULL AS r_name FROM nation UNION ALL SELECT NULL, NULL, r_name FROM region""")
 def _(t):
@@ -260,6 +283,12 @@ def _(t):
     return I.care_seeking(t.care, "PCT")
 
 
+@query("B22_care_seeking_percent_form", "SELECT ADM1_ID, PCT * 100 + 1 AS CARESEEKING_PCT FROM v_care", "CARESEEKING_PCT")
+def _(t):
+    """A file in percents, written as text, stays as it is; what is no number is refused (tests/test_rules.py)."""
+    return I.care_seeking(t.care.withColumn("PCT", (F.col("PCT") * 100 + 1).cast("string")), "PCT")
+
+
 @query("B23_constant_level_names", "SELECT OU_ID, 'Region' AS LEVEL_2, 'District' AS LEVEL_3 FROM v_pyramid")
 def _(t):
     return H.constant_columns(t.pyramid.select("OU_ID"), {"LEVEL_2": "Region", "LEVEL_3": "District"})

@@ -80,13 +80,29 @@ def read_first_available(spark: SparkSession, paths: Iterable[str | None]) -> Da
 
 
 def merge_period_files(spark: SparkSession, glob: str) -> DataFrame:
-    """All period files as one table: unreadable files skipped, columns in upper case."""
-    df = (
-        spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(glob)
-    )
+    """All period files as one table: unreadable files skipped (`period_file_ledger` names them), columns in upper case."""
+    df = _readable(spark, glob)
     return df.toDF(*[c.upper() for c in df.columns])
 
 
+def _readable(spark: SparkSession, glob: str) -> DataFrame:
+    return spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(glob)
+
+
+def period_file_ledger(spark: SparkSession, glob: str, level: int = -1) -> DataFrame:
+    """file, bytes, n_rows, merged of every file of the glob, beside the table of `merge_period_files`.
+
+    `level` is the part of the path that names the file (-2 for files that are folders of parts). merged is false where no row came from the file: it is broken or has no rows. The listing reads no contents; rows are
+    counted by file from the footers' tables, so one small aggregate is all that moves.
+    """
+    listed = spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("bytes"))
+    gave = _readable(spark, glob).groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("n_rows"))
+    plain = lambda c: F.regexp_replace(F.regexp_replace(c, "%20", " "), "^file:/*", "/")
+    out = listed.join(gave, plain(F.col("path")) == plain(F.col("_path")), "left")
+    return out.select(F.element_at(F.split("path", "/"), level).alias("file"), "bytes", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                      F.col("n_rows").isNotNull().alias("merged"))
+
+
 def concat_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return union_all([read_table(spark, p) for p in paths])
 

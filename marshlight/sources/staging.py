@@ -16,8 +16,17 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`, or the session's warehouse where that is unset: both are shared by all executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """`spark.checkpoint.dir`, or the session's warehouse where that is unset.
+
+    Every executor must reach it, so on a cluster a warehouse on a local disk is refused: set one of the two.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            if path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file":
+                raise ValueError("set spark.checkpoint.dir (or a shared spark.sql.warehouse.dir): executors do not share " + root)
     return root.rstrip("/")
 
 

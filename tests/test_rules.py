@@ -1,13 +1,15 @@
 """Hand-computed fixtures for rules that are easy to get wrong."""
 
+import itertools
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marshlight.functions import binning, geo, nulls, periods, text
 from marshlight.operators import series as S
-from marshlight.plans import assemble, formatting, incidence, outliers, population, quality, reporting, reports, survey
+from marshlight.plans import assemble, formatting, incidence, outliers, population, quality, reporting, reports, seasonality, survey
 from marshlight.sources import config
 
 FIXED = "PERIOD int, YEAR int, MONTH int, ADM1_ID string, ADM2_ID string, OU_ID string, ADM1_NAME string, ADM2_NAME string, OU_NAME string"
@@ -373,3 +375,40 @@ def test_jackknife_of_one_cluster_is_unknown(spark):
     rows = [(1, 1, 1000000, 1400, 1300, None), (1, 1, 1000000, 1400, 1300, 4)]
     row = under_five_mortality(spark.createDataFrame(rows, "V024 int, V021 int, V005 long, V008 int, B3 int, B7 int")).first()
     assert row.R == pytest.approx(500.0) and row.se is None
+
+
+def test_care_seeking_that_is_no_number_fails(spark):
+    df = spark.createDataFrame([("R1", "30"), ("R2", "a third")], "ADM1_ID string, p string")
+    with pytest.raises(Exception, match="not a number: a third"):
+        incidence.care_seeking(df, "p").collect()
+
+
+def test_rain_with_too_few_months_or_too_many_gaps_is_refused(spark):
+    months = [(y, m) for y in range(2018, 2022) for m in range(1, 13)]
+    full = [("D1", y, m, y * 100 + m, 5.0 if m in (6, 7, 8) else 1.0) for y, m in months]
+    schema = "ADM2_ID string, YEAR int, MONTH int, PERIOD int, MEAN double"
+    assert seasonality.rain_seasonality(spark.createDataFrame(full, schema)).count() == 1
+    for rows in (full[:47], [(*r[:4], None) if k % 4 == 0 else r for k, r in enumerate(full)]):
+        with pytest.raises(ValueError, match="not fit for seasonality"):
+            seasonality.rain_seasonality(spark.createDataFrame(rows, schema))
+
+
+def test_best_classes_have_the_least_sum_of_squares():
+    rng = np.random.default_rng(2)
+    for n in (2, 3, 4):
+        values = np.sort(rng.choice(np.arange(200.0), 14, replace=False))
+        counts = rng.integers(1, 9, 14).astype(float)
+
+        def cost(ends):
+            return sum((counts[a:b] * (values[a:b] - np.average(values[a:b], weights=counts[a:b])) ** 2).sum() for a, b in zip([0, *ends], ends))
+
+        every = [[*c, 14] for c in itertools.combinations(range(1, 14), n - 1)]
+        assert cost(reports.best_classes(values, counts, n)) == pytest.approx(min(map(cost, every)))
+
+
+def test_breaks_of_many_values_few_values_and_none(spark):
+    many = spark.range(20_000).select((F.col("id") + F.when(F.col("id") >= 10_000, 50_000).otherwise(0)).cast("double").alias("v"))
+    low, middle, high = reports.k_means_breaks(many, "v", 2)
+    assert (low, high) == (0.0, 69_999.0) and abs(middle - 34_999.5) < 1
+    assert reports.k_means_breaks(many.where("v in (1, 5)"), "v", 4) == [1.0, 3.0, 5.0]
+    assert reports.k_means_breaks(many.where("v < 0"), "v", 4) == []
