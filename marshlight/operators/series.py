@@ -10,13 +10,12 @@ table. On the wide table all indicators share one shuffle and one sort, and no r
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from ..functions.nulls import ceil_d
 from . import cleaning
@@ -205,30 +204,39 @@ def max_back_on_rows(df: DataFrame, target: str, keys: Sequence[str], name: str)
 # --- seasonal cleaning ------------------------------------------------------------------------------
 
 
-def with_seasonal_flag(df: DataFrame, deviation: float, name: str, keys: Sequence[str] = ("OU_ID", "INDICATOR"),
-                       order: Sequence[str] = ("PERIOD",), value: str = "VALUE") -> DataFrame:
+def with_seasonal_flag(df: DataFrame, deviation: float | Sequence[float], name: str, keys: Sequence[str] = ("OU_ID", "INDICATOR"),
+                       order: Sequence[str] = ("PERIOD",), value: str = "VALUE", out: str | None = None) -> DataFrame:
     """Flag values far from their cleaned monthly series, in units of the series' MAD (see `cleaning`).
 
-    A series with fewer than two values or with MAD 0 has no outlier. Each series becomes one sorted array, so all steps of
-    the cleaning run on one row; the columns that are not needed pass by untouched.
+    Several deviations are passes one after the other: each takes the rows that no pass before it flagged as the series. Rows that
+    `out` marks are flagged from the start. A series with fewer than two values or with MAD 0 has no outlier. Each series becomes one
+    sorted array, so all steps and passes run on one row; the columns that are not needed pass by untouched.
     """
+    deviations = [deviation] if isinstance(deviation, (int, float)) else list(deviation)
     cols = df.columns
     rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in cols if c not in (*order, *keys)])))
-    series = df.groupBy(*keys).agg(rows.alias("_rows")).withColumn("_values", F.transform("_rows", lambda r: r[value].cast("double")))
-
-    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column("_values")
-            lengths = values.value_lengths().to_numpy()
-            flat = values.flatten().to_numpy(zero_copy_only=False)
-            starts = np.cumsum(lengths) - lengths
-            flags = np.zeros(len(flat), dtype=bool)
+    series = df.groupBy(*keys).agg(rows.alias("_rows"))
+    before = F.transform("_rows", lambda r: r[out] if out else F.lit(False))
+    flags = _seasonal_flags(deviations)(F.transform("_rows", lambda r: r[value].cast("double")), before)
+    flagged = series.select(*keys, F.explode(F.arrays_zip("_rows", flags.alias("_flags"))).alias("_r"))
+    others = [c for c in cols if c != name]
+    return flagged.select(*[F.col(c) if c in keys else F.col(f"_r._rows.{c}").alias(c) for c in others], F.col("_r._flags").alias(name))
+
+
+def _seasonal_flags(deviations: Sequence[float]):
+    """Flags of arrays of values and of flags so far; series of one length are cleaned together."""
+    @F.pandas_udf("array<boolean>")
+    def flags(values: pd.Series, before: pd.Series) -> pd.Series:
+        gone = [np.array(b, dtype=bool) for b in before]
+        full = [np.asarray(v, dtype=float) for v in values]
+        for deviation in deviations:
+            rest = [np.flatnonzero(~g) for g in gone]
+            lengths = np.array([len(r) for r in rest])
             for n in np.unique(lengths[lengths > 0]):
-                at = starts[lengths == n][:, None] + np.arange(n)
-                flags[at] = cleaning.seasonal_flags(flat[at], deviation)
-            offsets = pa.array(np.append(starts, len(flat)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(flags))], [*batch.schema.names[:-1], "_flags"])
-
-    schema = StructType([*series.schema.fields[:-1], StructField("_flags", ArrayType(BooleanType()))])
-    flagged = series.mapInArrow(flag, schema).select(*keys, F.explode(F.arrays_zip("_rows", "_flags")).alias("_r"))
-    return flagged.select(*[F.col(c) if c in keys else F.col(f"_r._rows.{c}").alias(c) for c in cols], F.col("_r._flags").alias(name))
+                at = np.flatnonzero(lengths == n)
+                found = cleaning.seasonal_flags(np.stack([full[k][rest[k]] for k in at]), deviation)
+                for k, f in zip(at, found):
+                    gone[k][rest[k]] = f
+        return pd.Series(gone)
+
+    return flags

@@ -1,17 +1,18 @@
 """Points, polygons and grids as plain tables.
 
-Polygons are edge rows (id columns, ring, seq, x1, y1, x2, y2). For point location the edges are cut into
-horizontal bands and the bands into squares; every square row carries the shapes that touch it, each with
-only the edges of its band. A point meets exactly one square row through an equality join, so no pair of
-all points and all polygons is ever formed, and adaptive execution can split a square that holds a large
-part of the points. The index grows with the shapes, not with the points.
+Polygons are edge rows (id columns, ring, seq, x1, y1, x2, y2). For point location the plane is cut into
+squares; every square row carries the shapes that touch or cover it, each with only the edges that cross the
+square, and whether the square's south-east corner is inside. Crossings between that corner and a point tell
+the rest, so a square row stays small however many vertices a polygon has. A point meets exactly one square
+row through an equality join, so no pair of all points and all polygons is ever formed, and adaptive
+execution can split a square that holds a large part of the points. The index grows with the shapes, not with the points.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_km
@@ -47,26 +48,48 @@ def usable_edges(edges: DataFrame, shape_id: str) -> DataFrame:
     return ok.join(enough, shape_id, "left_semi")
 
 
-def shape_index(edges: DataFrame, ids: Sequence[str], size: float) -> DataFrame:
-    """Rows (bx, by, shapes): the shapes that touch a square, in id order, with their edges of that band."""
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    banded = edges.withColumn("by", F.explode(F.sequence(square(low, size), square(high, size))))
-    bands = banded.groupBy(*ids, "by").agg(
-        F.min(F.least("x1", "x2")).alias("_w"),
-        F.max(F.greatest("x1", "x2")).alias("_e"),
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-    )
-    squares = bands.withColumn("bx", F.explode(F.sequence(square("_w", size), square("_e", size))))
-    return squares.groupBy("bx", "by").agg(
-        F.array_sort(F.collect_list(F.struct(*ids, "edges"))).alias("shapes")
-    )
+TOUCH = 1e-9  # share of a square by which edges are taken to reach into the next one, so that rounding loses none
+
 
+def shape_index(edges: DataFrame, ids: Sequence[str], size: float) -> DataFrame:
+    """Rows (bx, by, shapes): the shapes that touch or cover a square, in id order.
 
-def _crosses(edge: Column, x: Column, y: Column) -> Column:
-    spans = (edge["y1"] > y) != (edge["y2"] > y)
+    A shape has `odd`, whether the ray to the east from the square's south-east corner crosses an odd number of its edges, and
+    the edges that cross the square.
+    """
+    slack = size * TOUCH
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    banded = edges.select(*ids, "x1", "y1", "x2", "y2").withColumn(
+        "by", F.explode(F.sequence(square(low - slack, size), square(high + slack, size)))).withColumn("_y0", F.col("by") * size)
+    tilt = (F.col("x2") - F.col("x1")) / F.when(F.col("y2") != F.col("y1"), F.col("y2") - F.col("y1"))
+
+    def at(y: Column) -> Column:
+        return F.col("x1") + tilt * (F.least(F.greatest(y, low), high) - F.col("y1"))
+
+    ends = [F.coalesce(at(y), x) for y, x in ((F.col("_y0") - slack, F.col("x1")), (F.col("_y0") + size + slack, F.col("x2")))]
+    banded = banded.withColumns({"_w": square(F.least(*ends) - slack, size), "_e": square(F.greatest(*ends) + slack, size)})
+    touched = banded.withColumn("bx", F.explode(F.sequence("_w", "_e"))).groupBy(*ids, "by", "bx").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    # Crossings of a band's southern line, each counted in the square whose eastern line is the first that is not west of it.
+    crossing = (F.col("x2") - F.col("x1")) * (F.col("_y0") - F.col("y1")) / F.when(F.col("y2") != F.col("y1"), F.col("y2") - F.col("y1")) + F.col("x1")
+    guess = (F.ceil(crossing / size) - 1).cast("bigint")
+    bucket = F.when(crossing > (guess + 1) * size, guess + 1).when(crossing <= guess * size, guess - 1).otherwise(guess)
+    crossed = banded.filter((F.col("y1") > F.col("_y0")) != (F.col("y2") > F.col("_y0"))).groupBy(*ids, "by", bucket.alias("bx")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    extent = banded.groupBy(*ids, "by").agg(F.min("_w").alias("_w"), F.max("_e").alias("_e"))
+    squares = extent.select(*ids, "by", F.explode(F.sequence("_w", "_e")).alias("bx"))
+    # The window holds the squares of one shape in one band.
+    east = Window.partitionBy(*ids, "by").orderBy(F.desc("bx")).rowsBetween(Window.unboundedPreceding, -1)
+    known = squares.join(crossed, [*ids, "by", "bx"], "left").join(touched, [*ids, "by", "bx"], "left").withColumn(
+        "odd", F.coalesce(F.sum("_n").over(east), F.lit(0)) % 2 == 1)
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    rows = known.filter(F.col("odd") | F.col("edges").isNotNull()).withColumn("edges", F.coalesce("edges", none))
+    return rows.groupBy("bx", "by").agg(F.array_sort(F.collect_list(F.struct(*ids, "odd", "edges"))).alias("shapes"))
+
+
+def _at(edge: Column, y: Column) -> Column:
     rise = F.when(edge["y2"] != edge["y1"], edge["y2"] - edge["y1"])
-    at = (edge["x2"] - edge["x1"]) * (y - edge["y1"]) / rise + edge["x1"]
-    return spans & (x < at)
+    return (edge["x2"] - edge["x1"]) * (y - edge["y1"]) / rise + edge["x1"]
 
 
 def _on_edge(edge: Column, x: Column, y: Column) -> Column:
@@ -78,10 +101,20 @@ def _on_edge(edge: Column, x: Column, y: Column) -> Column:
     )
 
 
-def inside(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule over an array of edges; a point on an edge is outside."""
-    odd = F.size(F.filter(edges, lambda e: _crosses(e, x, y))) % 2 == 1
-    return odd & ~F.exists(edges, lambda e: _on_edge(e, x, y))
+def inside(shape: Column, x: Column, y: Column, east: Column, south: Column) -> Column:
+    """Even-odd rule from the south-east corner of the point's square: up along its eastern line, then west to the point.
+
+    A point on an edge is outside.
+    """
+    def across(e: Column) -> Column:
+        return ((e["y1"] > y) != (e["y2"] > y)) & (x < _at(e, y)) & (_at(e, y) <= east)
+
+    def up(e: Column) -> Column:
+        height = e["y1"] + (e["y2"] - e["y1"]) * (east - e["x1"]) / F.when(e["x2"] != e["x1"], e["x2"] - e["x1"])
+        return ((e["x1"] > east) != (e["x2"] > east)) & ((height > south) != (height > y))
+
+    crossed = F.size(F.filter(shape["edges"], across)) + F.size(F.filter(shape["edges"], up))
+    return (shape["odd"] != (crossed % 2 == 1)) & ~F.exists(shape["edges"], lambda e: _on_edge(e, x, y))
 
 
 def locate(points: DataFrame, edges: DataFrame, ids: Sequence[str], size: float, x: str = "LONGITUDE",
@@ -90,7 +123,8 @@ def locate(points: DataFrame, edges: DataFrame, ids: Sequence[str], size: float,
     index = shape_index(edges, ids, size)
     keyed = points.withColumns({"bx": square(x, size), "by": square(y, size)})
     px, py = F.col(x), F.col(y)
-    hits = F.filter(F.col("shapes"), lambda s: inside(s["edges"], px, py))
+    east, south = (F.col("bx") + 1) * size, F.col("by") * size
+    hits = F.filter(F.col("shapes"), lambda s: inside(s, px, py, east, south))
     found = F.transform(hits, lambda s: F.struct(*[s[i].alias(i) for i in ids]))
     joined = keyed.join(index, ["bx", "by"], "left")
     empty = F.array().cast("array<struct<" + ",".join(f"{i}:string" for i in ids) + ">>")

@@ -135,14 +135,12 @@ def staged_mad(df: DataFrame, indicators: Sequence[str], first: float = 15, seco
 
 
 def staged_seasonal(long: DataFrame, flag: str = "FLAG", first: float = 5, second: float = 3) -> DataFrame:
-    """Seasonal passes on the rows the MAD passes kept; `flag` becomes true for rows of any pass.
+    """Seasonal passes over a long table with the flag of what is out already; each pass looks at what is left.
 
-    Rows already out form partitions of their own, so the passes need neither a filter nor a join back.
+    Both passes run on one array for each series. What Spark knows of the partitioning is lost in Python, so the rows are dealt by
+    facility once more, for all that follows.
     """
-    for i, deviation in enumerate((first, second)):
-        long = S.with_seasonal_flag(long, deviation, f"_s{i}", keys=("OU_ID", "INDICATOR", flag))
-        long = long.withColumn(flag, F.col(flag) | F.col(f"_s{i}")).drop(f"_s{i}")
-    return long
+    return by_facility(S.with_seasonal_flag(long, (first, second), flag, out=flag))
 
 
 def run_staged(routine: DataFrame, indicators: Sequence[str], complete: bool = False) -> Outcome:

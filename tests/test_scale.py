@@ -1,5 +1,6 @@
 """What the plans promise: shuffles, joins, pruning, skew."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -24,11 +25,11 @@ def test_outliers_shuffle_twice_whatever_the_number_of_indicators(spark):
         assert plan(out).count("Exchange hashpartitioning") == 2
 
 
-def test_staged_complete_stays_in_one_facility_partitioning(spark):
+def test_staged_complete_is_dealt_by_facility_once_more_after_the_cleaning(spark):
     schema = ("PERIOD int, YEAR int, MONTH int, ADM1_ID string, ADM2_ID string, OU_ID string, ADM1_NAME string, "
               "ADM2_NAME string, OU_NAME string, CONF double")
     out = outliers.run_staged(spark.createDataFrame([], schema), ["CONF"], complete=True).imputed
-    assert plan(out).count("Exchange hashpartitioning") == 2
+    assert plan(out).count("Exchange hashpartitioning") == 3
 
 
 def test_columns_reach_the_scan(spark):
@@ -112,3 +113,37 @@ def test_distance_join_at_the_date_line_and_a_pole(spark):
     c = spark.createDataFrame(cells, "id int, lon double, lat double")
     f = spark.createDataFrame(sites, "LONGITUDE double, LATITUDE double")
     assert {r.id for r in P.within_distance(c, f, 5.0).collect()} == {0, 1, 3, 4}
+
+
+def _ring(n, cx, cy, radius, wave):
+    angle = np.arange(n) / n * 2 * np.pi
+    r = radius * (1 + wave * np.sin(angle * 37))
+    x, y = cx + r * np.cos(angle), cy + r * np.sin(angle)
+    return list(zip(x, y, np.roll(x, -1), np.roll(y, -1)))
+
+
+def test_squares_of_a_polygon_of_many_vertices_stay_small_and_answer_alike(spark):
+    rings = {"A": _ring(100_000, 5.0, 5.0, 4.0, 0.2), "B": _ring(40, 7.0, 6.0, 2.0, 0.0), "C": [(1, 1, 1, 3), (1, 3, 3, 3), (3, 3, 3, 1), (3, 1, 1, 1)]}
+    rows = [(k, i, *map(float, e)) for k, ring in rings.items() for i, e in enumerate(ring)]
+    edges = spark.createDataFrame(rows, "id string, seq int, x1 double, y1 double, x2 double, y2 double")
+    sizes = P.shape_index(edges, ["id"], 0.5).select(F.explode("shapes").alias("s")).select(F.size("s.edges").alias("n"), "s.odd")
+    assert sizes.agg(F.max("n")).first()[0] < 5_000  # all 100 000 were in every square of a band before
+    assert sizes.where("n = 0 and odd").count() > 50  # squares wholly inside carry no edge
+
+    rng = np.random.default_rng(8)
+    corners = [(float(x), float(y)) for x in np.arange(0, 5, 0.5) for y in np.arange(0, 5, 0.5)]  # on lines of squares and on edges
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate([*rng.uniform(0, 10, (400, 2)), *corners])]
+    found = P.locate(spark.createDataFrame(points, "i int, LONGITUDE double, LATITUDE double"), edges, ["id"], 0.5)
+    got = {r["i"]: [s["id"] for s in r["found"]] for r in found.collect()}
+    for i, x, y in points:
+        want = []
+        for k, ring in rings.items():
+            e = np.array(ring, dtype=float)
+            spans = (e[:, 1] > y) != (e[:, 3] > y)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = (e[:, 2] - e[:, 0]) * (y - e[:, 1]) / (e[:, 3] - e[:, 1]) + e[:, 0]
+            on = ((e[:, 2] - e[:, 0]) * (y - e[:, 1]) == (e[:, 3] - e[:, 1]) * (x - e[:, 0])) & (
+                np.minimum(e[:, 0], e[:, 2]) <= x) & (x <= np.maximum(e[:, 0], e[:, 2])) & (np.minimum(e[:, 1], e[:, 3]) <= y) & (y <= np.maximum(e[:, 1], e[:, 3]))
+            if (spans & (x < at)).sum() % 2 and not on.any():
+                want.append(k)
+        assert got[i] == want, (x, y)
