@@ -24,16 +24,17 @@ def domain_means(df: DataFrame, y: Sequence[str], domain: str, weight: str, clus
     With z = w (y - mean) / sum(w) for members of the domain and 0 elsewhere, the variance is
     sum over strata of n/(n-1) * sum over clusters (z_c - mean z)^2. A stratum with one cluster adds 0.
     """
-    w = F.col(weight)
-    values = F.array(*[
-        F.struct(F.lit(c).alias("indicator"), F.col(c).cast("double").alias("y")) for c in y
-    ])
-    long = df.select(F.col(domain).alias("domain"), F.col(stratum).alias("stratum"),
-                     F.col(cluster).alias("cluster"), w.alias("w"), F.explode(values).alias("v"))
-    long = long.filter("v.y is not null and domain is not null")
-    cells = long.groupBy("domain", F.col("v.indicator").alias("indicator"), "stratum", "cluster").agg(
-        F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("v.y")).alias("swy")
-    )
+    w, place = F.col(weight), ["domain", "stratum", "cluster"]
+    sums = []
+    for i, c in enumerate(y):
+        v = F.col(c).cast("double")
+        sums += [F.count(v).alias(f"_n{i}"), F.sum(F.when(v.isNotNull(), w)).alias(f"_w{i}"), F.sum(w * v).alias(f"_wy{i}")]
+    per_cluster = df.filter(F.col(domain).isNotNull()).groupBy(
+        F.col(domain).alias("domain"), F.col(stratum).alias("stratum"), F.col(cluster).alias("cluster")).agg(*sums)
+    # Only rows of clusters are unfolded by indicator, never the microdata.
+    values = F.array(*[F.struct(F.lit(c).alias("indicator"), F.col(f"_n{i}").alias("n"), F.col(f"_w{i}").alias("sw"), F.col(f"_wy{i}").alias("swy"))
+                       for i, c in enumerate(y)])
+    cells = per_cluster.select(*place, F.explode(values).alias("v")).filter("v.n > 0").select(*place, "v.indicator", "v.sw", "v.swy")
     means = cells.groupBy("domain", "indicator").agg(F.sum("sw").alias("W"), F.sum("swy").alias("WY"))
     means = means.withColumn("estimate", ratio("WY", "W"))
     design = df.select(F.col(stratum).alias("stratum"), F.col(cluster).alias("cluster")).distinct()
@@ -79,35 +80,28 @@ def indicator_table(df: DataFrame, y: Sequence[str], admin: DataFrame, domain: s
 AGE_SEGMENTS = [(0, 1), (1, 3), (3, 6), (6, 12), (12, 24), (24, 36), (36, 48), (48, 60)]
 
 
-def mortality_cells(births: DataFrame, window: int = 120, interview: str = "V008", born: str = "B3",
-                    died_at: str = "B7", weight: str = "V005", extra: Sequence[str] = ()) -> DataFrame:
-    """Weighted deaths and exposure per birth and age segment (synthetic cohort method).
+def segment_sums(window: int = 120, interview: str = "V008", born: str = "B3", died_at: str = "B7",
+                 weight: str = "V005") -> list[Column]:
+    """Aggregates e0, d0, e1, ...: weighted exposure and deaths of births by age segment (synthetic cohort method).
 
     A cohort that lives through a segment wholly inside the window counts fully; one that enters before
     the window or leaves after it counts half. A death counts with its cohort's share, and in full at the
-    end of the window.
+    end of the window. All segments are sums over the births as they are, so no birth is unfolded.
     """
-    segments = F.array(*[F.struct(F.lit(i).alias("seg"), F.lit(a).alias("lo"), F.lit(b).alias("hi"))
-                         for i, (a, b) in enumerate(AGE_SEGMENTS)])
-    keep = [F.col(c) for c in extra]
-    df = births.select(*keep, F.col(interview).alias("v8"), F.col(born).alias("b3"), F.col(died_at).alias("b7"),
-                       (F.col(weight) / 1e6).alias("w"), F.explode(segments).alias("s"))
-    end = F.col("v8")                      # last month of the window is the one before the interview
-    start = F.col("v8") - window
-    enter = F.col("b3") + F.col("s.lo")    # first month in the segment
-    leave = F.col("b3") + F.col("s.hi")    # first month after it
-    full = (enter >= start) & (leave <= end)
-    early = (enter < start) & (leave > start) & (leave <= end)
-    late = (enter >= start) & (enter < end) & (leave > end)
-    exposure_share = F.when(full, 1.0).when(early | late, 0.5).otherwise(0.0)
-    death_share = F.when(full | late, 1.0).when(early, 0.5).otherwise(0.0)
-    alive_at_entry = F.col("b7").isNull() | (F.col("b7") >= F.col("s.lo"))
-    dies_here = (F.col("b7") >= F.col("s.lo")) & (F.col("b7") < F.col("s.hi"))
-    return df.filter(alive_at_entry & (exposure_share > 0)).select(
-        *extra, F.col("s.seg").alias("seg"),
-        (F.col("w") * exposure_share).alias("exposure"),
-        F.when(dies_here, F.col("w") * death_share).otherwise(0.0).alias("deaths"),
-    )
+    end = F.col(interview)                 # last month of the window is the one before the interview
+    start = end - window
+    w, age = F.col(weight) / 1e6, F.col(died_at)
+    sums = []
+    for i, (low, high) in enumerate(AGE_SEGMENTS):
+        enter, leave = F.col(born) + low, F.col(born) + high  # first month in the segment, first month after it
+        full = (enter >= start) & (leave <= end)
+        early = (enter < start) & (leave > start) & (leave <= end)
+        late = (enter >= start) & (enter < end) & (leave > end)
+        alive = age.isNull() | (age >= low)
+        dies = (age >= low) & (age < high)
+        sums.append(F.sum(F.when(alive & full, w).when(alive & (early | late), w * 0.5).otherwise(0.0)).alias(f"e{i}"))
+        sums.append(F.sum(F.when(dies & (full | late), w).when(dies & early, w * 0.5).otherwise(0.0)).alias(f"d{i}"))
+    return sums
 
 
 def _death_probability(seg_deaths: Column, seg_exposure: Column) -> Column:
@@ -121,13 +115,12 @@ def under_five_mortality(births: DataFrame, domain: str = "V024", cluster: str =
     Cluster totals are subtracted from region totals: every replicate is a row of eight sums, and the
     births are read once.
     """
-    cells = mortality_cells(births, window, extra=[domain, cluster]).groupBy(domain, cluster, "seg").agg(
-        F.sum("deaths").alias("d"), F.sum("exposure").alias("e"))
     n_seg = len(AGE_SEGMENTS)
-    per_cluster = cells.groupBy(domain, cluster).agg(*[
-        F.coalesce(F.sum(F.when(F.col("seg") == i, F.col(c))), F.lit(0.0)).alias(f"{c}{i}")
-        for i in range(n_seg) for c in "de"
-    ])
+    per_cluster = births.groupBy(domain, cluster).agg(*segment_sums(window))
+    exposed = F.lit(0.0)
+    for i in range(n_seg):
+        exposed = exposed + F.col(f"e{i}")
+    per_cluster = per_cluster.filter(exposed > 0)  # clusters without a birth in the window are no replicate
     total = per_cluster.groupBy(domain).agg(
         F.count(F.lit(1)).alias("k"),
         *[F.sum(f"{c}{i}").alias(f"t{c}{i}") for i in range(n_seg) for c in "de"],

@@ -24,8 +24,11 @@ def population_access(cells: DataFrame, facilities: DataFrame, edges: DataFrame,
     Distances are great-circle distances. Only facilities inside the country count.
     """
     inside = points_within(facilities.dropna(subset=["LONGITUDE", "LATITUDE"]), edges, ["ADM2_ID"], size)
-    zone = cells.join(district_cell, ["lon", "lat"])
-    total = zone.groupBy("ADM2_ID").agg(F.sum("value").alias("POPULATION"))
-    covered = within_distance(zone, inside, radius_km).groupBy("ADM2_ID").agg(F.sum("value").alias("COVERED"))
-    df = total.join(covered, "ADM2_ID", "left").withColumn("COVERED", F.coalesce("COVERED", F.lit(0.0)))
+    # Cells with their population and, once more where a facility is near, as covered: reduced to one row a cell they meet districts once.
+    value, none = F.col("value").cast("double"), F.lit(None).cast("double")
+    both = cells.select("lon", "lat", value.alias("p"), none.alias("c")).union(
+        within_distance(cells, inside, radius_km).select("lon", "lat", none, value))
+    per_cell = both.groupBy("lon", "lat").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
+    df = per_cell.join(district_cell.select("lon", "lat", "ADM2_ID"), ["lon", "lat"]).groupBy("ADM2_ID").agg(
+        F.sum("p").alias("POPULATION"), F.coalesce(F.sum("c"), F.lit(0.0)).alias("COVERED"))
     return df.withColumn("PCT_HEALTH_ACCESS", ratio("COVERED", "POPULATION") * 100)
