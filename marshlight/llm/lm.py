@@ -4,8 +4,10 @@ The model predicts the class of a token from the classes of the two before it: e
 its own, the end of a text is one, and all other words are dealt to subclasses learned from the words they stand beside. Two context
 matrices turn the vectors of the context into a predicted vector, whose product with a class vector (plus a bias) is its score. Training
 against noise words avoids the normaliser; afterwards batched matrix products over all contexts give it exactly, so scores are true
-log-probabilities. Within a subclass a word has its share of the counts of the whole corpus, and words never met have the share of
-words met once. Every training document is learned from, whole: each task trains on what it reads, and the tasks' networks are averaged.
+log-probabilities. Within a subclass a word has its share of the counts of the whole corpus; words never met have together the share of
+words met once, spread over spellings by a model of letters that is learned from these, so the mass of all words stays within one.
+Every training document is learned from, whole: how often each class follows each pair of classes is counted once in Spark, shards of these
+counts train networks of their own, and these are averaged. So results do not depend on how the rows lie in files.
 """
 
 from __future__ import annotations
@@ -29,8 +31,12 @@ MANY = 400_000
 SUBCLASSES = 4  # one of so many classes is a subclass
 SIZE = 32  # length of a vector
 NOISE = 10  # noise words for each true one
-ROUNDS = 2  # passes over all training documents
+ROUNDS = 3  # passes over the counts of all training documents
+SHARD = 400_000  # distinct contexts with their class that one network trains on, about
+BATCH = 512  # contexts in one step of training
+STEPS = 800  # steps in a round, about; a smaller shard is gone through more than once
 CHUNK = 250_000  # tokens a task works on at a time
+HELD = 3_000_000  # tokens whose contexts a task counts before it hands them on
 SPELLINGS = 4096  # kinds of endings; the subclass of a word that is not among the known ones is that of its ending
 MARKS = 16  # numbers that describe the words on one side
 KNOWN_WORDS = 200_000  # frequent words whose counts travel with the tasks; other words meet their counts in a join
@@ -128,10 +134,11 @@ class Training:
         self.ladder = np.cumsum(shares)
         self.log_noise = np.log(NOISE * shares).astype(np.float32)
 
-    def learn(self, far: np.ndarray, near: np.ndarray, word: np.ndarray, rng: np.random.Generator, batch: int) -> None:
-        """One pass over the tokens in an order of its own."""
+    def learn(self, far: np.ndarray, near: np.ndarray, word: np.ndarray, rng: np.random.Generator, batch: int, times: np.ndarray | None = None) -> None:
+        """One pass over the tokens, each met so many `times`, in an order of its own."""
         net = self.net
         order = rng.permutation(len(word))
+        times = np.ones(len(word), dtype=np.float32) if times is None else times.astype(np.float32)
         for at in range(0, len(order), batch):
             rows = order[at:at + batch]
             f, n, w = far[rows], near[rows], word[rows]
@@ -140,8 +147,9 @@ class Training:
             guess = vf @ net.far + vn @ net.near
             true = (guess * vw).sum(axis=1) + net.bias[w] - self.log_noise[w]
             false = guess @ net.vectors[drawn].T + (net.bias - self.log_noise)[drawn]
-            up = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - sigmoid
-            down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+            t = times[rows]
+            up = t / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - sigmoid
+            down = -t[:, None] / (1 + np.exp(-np.clip(false, -30, 30)))
             back = up[:, None] * vw + down @ net.vectors[drawn]
             g_vectors, g_bias = np.zeros_like(net.vectors), np.bincount(w, up, len(net.bias)).astype(np.float32)
             places, sums = sum_by(np.concatenate([w, f, n]), np.concatenate([up[:, None] * guess, back @ net.far.T, back @ net.near.T]))
@@ -149,7 +157,7 @@ class Training:
             np.add.at(g_vectors, drawn, down.T @ guess)
             np.add.at(g_bias, drawn, down.sum(axis=0))
             for x, g, s in zip(self.parts, (g_vectors, vn.T @ back, vf.T @ back, g_bias), self.squares):
-                g /= len(rows)
+                g /= t.sum()
                 s += g * g
                 x += self.rate * g / np.sqrt(s)
 
@@ -257,35 +265,64 @@ def group_marks(sums: np.ndarray, n: np.ndarray, groups: int, rounds: int = 10)
     return group
 
 
-def train_on(docs: DataFrame, codes: dict[bytes, int], shares: np.ndarray, endings: np.ndarray, end: int, unseen: np.ndarray, rounds: int = ROUNDS, rate: float = 0.05, seed: int = 11) -> LogBilinear:
-    """A network for all of `docs`: in each round every task goes on from the same network over the texts it reads, whole and with their ends; the mean
-    of what they come to, weighted by their tokens, starts the next. It depends on how the rows are dealt to tasks, as floating sums do."""
+def count_contexts(docs: DataFrame, codes: dict[bytes, int], classes: int, endings: np.ndarray, end: int) -> DataFrame:
+    """(context, n): how often class w follows the classes f and n, context = (f * classes + n) * classes + w, over all texts with their ends."""
+    fixed = docs.sparkSession.sparkContext.broadcast((codes, endings))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, endings = fixed.value
+        table = np.concatenate([np.arange(classes), endings])
+        held, size = [], 0
+
+        def emit() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["context", "n"])
+
+        for chunk in coded(batches, codes, classes):
+            far, near, word = contexts([table[x] for x in chunk], end)
+            held.append((far * classes + near) * classes + word)
+            size += len(word)
+            if size >= HELD:
+                yield emit()
+                held, size = [], 0
+        if held:
+            yield emit()
+
+    return docs.select("text").mapInArrow(count, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
+
+
+def train_on(counted: DataFrame, shares: np.ndarray, endings: np.ndarray, unseen: np.ndarray, rounds: int = ROUNDS, rate: float = 0.1, seed: int = 11, shard: int = SHARD) -> LogBilinear:
+    """A network for all of `counted` (see count_contexts): in each round every shard goes on from the same network over its counts; the mean
+    of what they come to, weighted by occurrences, starts the next. Shards are dealt by hash and sorted, so they are the same in every run."""
     net = LogBilinear.start(shares, seed)
-    names = ("vectors", "near", "far", "bias")
+    names, k_classes = ("vectors", "near", "far", "bias"), len(shares)
     shapes = [getattr(net, x).shape for x in names]
     flat = lambda arrays: np.concatenate([x.ravel() for x in arrays])
     cuts = np.cumsum([math.prod(s) for s in shapes])[:-1]
     back = lambda v: [x.reshape(s).astype(np.float32) for x, s in zip(np.split(v, cuts), shapes)]
-    state = np.stack([flat(getattr(net, x) for x in names), np.full(int(cuts[-1] + len(shares)), 1e-2)])
-    context = docs.sparkSession.sparkContext
-    fixed = context.broadcast((codes, endings))
+    state = np.stack([flat(getattr(net, x) for x in names), np.full(int(cuts[-1] + k_classes), 1e-2)])
+    context = counted.sparkSession.sparkContext
+    shards = max(1, -(-counted.count() // shard))
+    dealt = counted.withColumn("shard", F.pmod(F.xxhash64("context"), F.lit(shards)).cast("int"))
     for k in range(rounds):
         start = context.broadcast(state.astype(np.float32))
 
         def work(batches: Iterator[pa.RecordBatch], k: int = k, start=start) -> Iterator[pa.RecordBatch]:
-            codes, endings = fixed.value
-            course = Training(LogBilinear(*back(start.value[0])), shares, rate, back(start.value[1]))
-            rng, seen = np.random.default_rng(seed + k + 1), 0
-            table = np.concatenate([np.arange(len(shares)), endings])
-            for chunk in coded(batches, codes, len(shares)):
-                far, near, word = contexts([table[x] for x in chunk], end)
-                seen += len(word)
-                course.learn(far, near, word, rng, min(2048, max(128, seen // 500)))
+            total, seen = np.zeros(state.shape), 0
+            for number, key, n in by_shard(batches):
+                course = Training(LogBilinear(*back(start.value[0])), shares, rate, back(start.value[1]))
+                rng = np.random.default_rng((seed + k + 1, number))
+                far, near, word = key // k_classes**2, key // k_classes % k_classes, key % k_classes
+                for _ in range(max(1, STEPS // -(-len(key) // BATCH))):
+                    course.learn(far, near, word, rng, BATCH, n)
+                total += np.stack([flat(course.parts), flat(course.squares)]) * float(n.sum())
+                seen += int(n.sum())
             if seen:
-                out = (flat(course.parts).astype(float) * seen, flat(course.squares).astype(float) * seen, np.full(state.shape[1], seen))
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(state.shape[1], dtype=np.int32)), *map(pa.array, out)], ["place", "a", "b", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(state.shape[1], dtype=np.int32)), *map(pa.array, total), pa.array(np.full(state.shape[1], seen))], ["place", "a", "b", "n"])
 
-        found = docs.select("text").mapInArrow(work, "place int, a double, b double, n long").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("n").alias("n")).toArrow()
+        ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "context").select("shard", "context", "n")
+        found = ordered.mapInArrow(work, "place int, a double, b double, n long").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("n").alias("n")).toArrow()
         if found.num_rows:
             n = found["n"].to_numpy()
             state[:, found["place"].to_numpy()] = found["a"].to_numpy() / n, found["b"].to_numpy() / n
@@ -294,6 +331,82 @@ def train_on(docs: DataFrame, codes: dict[bytes, int], shares: np.ndarray, endin
     return net
 
 
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, contexts and counts of each shard of rows that are sorted by shard."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)])
+        for part in np.split(rows, np.flatnonzero(np.diff(rows[0])) + 1, axis=1):
+            if held and part.shape[1] and held[-1][0, -1] != part[0, 0]:
+                whole = np.concatenate(held, axis=1)
+                yield int(whole[0, 0]), whole[1], whole[2]
+                held = []
+            if part.shape[1]:
+                held.append(part)
+    if held:
+        whole = np.concatenate(held, axis=1)
+        yield int(whole[0, 0]), whole[1], whole[2]
+
+
+# --- words never met: a model of letters ------------------------------------------------------------
+
+SYMBOLS = 64
+WORD_END = SYMBOLS - 1  # stands before a word as well
+
+
+def _symbol_table() -> tuple[np.ndarray, np.ndarray]:
+    """The symbol of each byte and log10 of its share of the symbol: letters alone, other bytes in groups of alike ones."""
+    b = np.arange(256)
+    symbol = np.where((b >= 97) & (b < 123), b - 97, np.where((b >= 48) & (b < 58), 26, np.where(b >= 192, 43 + (b - 192) // 8, np.where(b >= 128, 27 + b % 16, 51 + b % 12))))
+    return symbol, -np.log10(np.bincount(symbol)[symbol])
+
+
+_SYMBOL, _SPREAD = _symbol_table()
+
+
+def letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all words one behind the other, each with its end: places in the table of letters, log10 shares of bytes, and where each word starts."""
+    raw = np.frombuffer(b"\n".join(words) + b"\n", dtype=np.uint8)  # no word holds a line end
+    end = raw == 10
+    symbol, spread = np.where(end, WORD_END, _SYMBOL[raw]), np.where(end, 0.0, _SPREAD[raw])
+    before = np.concatenate([[WORD_END], symbol[:-1]])
+    first = np.concatenate([[WORD_END], before[:-1]])
+    first[before == WORD_END] = WORD_END
+    starts = np.concatenate([[0], np.flatnonzero(end)[:-1] + 1])
+    return (first * SYMBOLS + before) * SYMBOLS + symbol, spread, starts
+
+
+def letter_table(counts: DataFrame) -> np.ndarray:
+    """log10 of a symbol after two others, from the words of `counts` that were met once; sparse contexts lean on shorter ones."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SYMBOLS**3, dtype=np.int64)
+        for batch in batches:
+            words = [w for w in batch.column(0).to_pylist() if w]
+            if words:
+                total += np.bincount(letters(words)[0], minlength=SYMBOLS**3)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(total[met])], ["place", "n"])
+
+    found = counts.where("n = 1").select("token").mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    three = np.zeros(SYMBOLS**3)
+    three[found["place"].to_numpy()] = found["n"].to_numpy()
+    three = three.reshape((SYMBOLS,) * 3)
+    two = three.sum(axis=0)
+    one = two.sum(axis=0)
+    p1 = (one + 0.5) / (one.sum() + 0.5 * SYMBOLS)
+    p2 = (two + 4 * p1) / (two.sum(axis=1, keepdims=True) + 4)
+    return np.log10((three + 4 * p2) / (three.sum(axis=2, keepdims=True) + 4)).reshape(-1)
+
+
+def spelled(words: list[bytes], table: np.ndarray) -> np.ndarray:
+    """log10 probability of each word under the model of letters."""
+    if not words:
+        return np.zeros(0)
+    place, spread, starts = letters(words)
+    return np.add.reduceat(table[place] + spread, starts)
+
+
 @dataclass
 class Scorer:
     """What tasks need: the network, classes and counts of the most frequent words, and sums over the corpus."""
@@ -305,6 +418,7 @@ class Scorer:
     distinct: int
     rare_total: tuple[int, ...]  # occurrences of the words of each subclass
     rare_once: tuple[int, ...]  # words of each subclass met once
+    letters: np.ndarray  # the model of letters, for words never met
 
     def base(self, count: float) -> float:
         return math.log10((count + ADD) / (self.total + ADD * (self.distinct + 1)))
@@ -334,7 +448,7 @@ def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int | None = None, k
     own, others = [*chosen[:max(1, classes - subclasses - 1)], END], chosen[max(1, classes - subclasses - 1):]
     index = {w: i for i, w in enumerate(own)}
     if not total:
-        return Scorer(None, known, index, 0, 0, (0,) * subclasses, (0,) * subclasses)
+        return Scorer(None, known, index, 0, 0, (0,) * subclasses, (0,) * subclasses, letter_table(counts))
     seen = docs if sample_docs is None else stage(hash_sample(docs.select("doc_id", "text"), "doc_id", sample_docs))
     kinds = len(own) + learn_subclasses(seen, index | {w: len(own) + i for i, w in enumerate(others)}, len(own), len(others), subclasses)
     index |= {w: int(k) for w, k in zip(others, kinds)}
@@ -356,8 +470,9 @@ def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int | None = None, k
     shares = (sums[:, 0] + 1) / (sums[:, 0] + 1).sum()
     rare = sums[len(own):]
     unseen = np.maximum(rare[:, 1], 1)
-    net = train_on(seen, index, shares, endings, len(own) - 1, unseen / (rare[:, 0] + unseen))
-    return Scorer(net, known, index, int(total), int(distinct), *(tuple(x) for x in rare.T.tolist()))
+    counted = stage(count_contexts(seen, index, len(own) + subclasses, endings, len(own) - 1))
+    net = train_on(counted, shares, endings, unseen / (rare[:, 0] + unseen))
+    return Scorer(net, known, index, int(total), int(distinct), *(tuple(x) for x in rare.T.tolist()), letter_table(counts))
 
 
 class _Ids(dict):
@@ -369,8 +484,8 @@ def score_texts(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of `docs`.
 
     Tokens are the words of the text and one end, so a null or empty text has one token. Both scores are log10: the base score is that
-    of add-0.1 unigrams, the score that of the model. Repeated rows are scored each, a null doc_id stays, other columns are
-    ignored; an empty table gives an empty table. Without any training token, every token has the probability of a word never met.
+    of add-0.1 unigrams, the score that of the model; a word never met has the mass of such words times its spelling's. Repeated rows are scored each, a null doc_id stays, other columns are
+    ignored; an empty table gives an empty table. Without any training token, every word has the probability of its spelling alone.
     """
     names, own, net = list(scorer.counts), scorer.own, scorer.net
     classes = np.array([scorer.classes[w] for w in names], dtype=np.int64)
@@ -379,10 +494,10 @@ def score_texts(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame
     ids = _Ids(zip(names, range(len(names))))
     end = scorer.classes[END]
     endings = net.endings if net is not None else np.full(SPELLINGS, own)
-    shared = docs.sparkSession.sparkContext.broadcast((ids, classes, base, share, net, endings))  # bounded by KNOWN_WORDS and the classes
+    shared = docs.sparkSession.sparkContext.broadcast((ids, classes, base, share, net, endings, scorer.letters))  # bounded by KNOWN_WORDS and the classes
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, classes, base, share, net, endings = shared.value
+        ids, classes, base, share, net, endings, table = shared.value
         ids = _Ids(ids)
         for batch in batches:
             out: list[list] = [[] for _ in range(9)]
@@ -411,6 +526,8 @@ def score_texts(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame
                         entry[0] += 1
                         entry[1] += a
                         entry[2] += b
+                    for entry, spelt in zip(others.values(), spelled(list(others), table).tolist()):
+                        entry[2] += entry[0] * spelt
                 k = len(others)
                 numbers, met_sums, unmet_sums, of = zip(*others.values()) if k else ((),) * 4
                 for column, values in zip(out, ([doc] * k, [digest] * k, others.keys(), [0] * k, numbers, [0] * k, unmet_sums, met_sums, of)):

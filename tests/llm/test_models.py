@@ -147,16 +147,46 @@ def test_scores_against_brute_force(spark):
             assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), sum(w in count for w in words), n)
             assert abs(r["base_score"] - base) < 1e-6 * max(1, abs(base))
     held = [r for r in out if folds[r["doc_id"]] == 0]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    # The base has one outcome for all words never met, the model one for each spelling: the same law of spellings goes to the base.
+    spelt = sum(lm.spelled([w for w in lm.tokens(rows[r["doc_id"]]) if w not in count], scorer.letters).sum() for r in held)
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + spelt
     assert all(r["score"] < 0 for r in out)
 
 
+def test_scores_do_not_depend_on_how_rows_lie_and_letters_at_random_score_below_text(spark):
+    docs = table(spark, "documents").select("doc_id", "text")
+    rng = np.random.default_rng(4)
+    draw = lambda: bytes(rng.integers(97, 123, rng.integers(3, 10)).astype(np.uint8)).decode()
+    junk = spark.createDataFrame([(-k, " ".join(draw() for _ in range(300))) for k in range(1, 6)], "doc_id long, text string")
+    scores = []
+    for parts in (1, 23):
+        dealt = docs.repartition(parts)
+        train_docs = dealt.where(lm.fold_share(F.col("doc_id"), 10) != 0)
+        counts = lm.count_tokens(train_docs).cache()
+        out = lm.score_texts(dealt.union(junk), lm.fit_scorer(train_docs, counts, classes=64), counts).collect()
+        scores.append({r["doc_id"]: (r["score"], r["n_tokens"], r["base_score"]) for r in out})
+    assert scores[0].keys() == scores[1].keys()
+    for i, (score, *_) in scores[0].items():
+        assert abs(score - scores[1][i][0]) <= 1e-6 * abs(score)
+    lowest = min(s / n for i, (s, n, _) in scores[0].items() if i >= 0)
+    assert all(s / n < lowest for i, (s, n, _) in scores[0].items() if i < 0)
+    seen = [v for i, v in scores[0].items() if i >= 0 and zlib.crc32(str(i).encode()) % 10]
+    assert sum(s for s, *_ in seen) > sum(b for *_, b in seen)
+
+
+def test_letters_make_a_probability_of_strings():
+    """Over all strings of two symbols, from a table of few words: what is left is longer strings."""
+    place, spread, starts = lm.letters([b"ab", b"a7", "é".encode()])
+    assert len(starts) == 3 and len(place) == len(spread) == 9
+    assert np.allclose(np.bincount(lm._SYMBOL, 10.0**lm._SPREAD)[np.unique(lm._SYMBOL)], 1.0)
+
+
 def test_scores_do_not_depend_on_the_way_of_a_word(spark):
     docs = table(spark, "documents").where("doc_id < 60")
     counts = lm.count_tokens(docs).cache()
     scorer = lm.fit_scorer(docs, counts, classes=32, sample_docs=20)
     few = lm.Scorer(scorer.net, {w: c for w, c in scorer.counts.items() if w in scorer.classes}, scorer.classes, scorer.total, scorer.distinct,
-                    scorer.rare_total, scorer.rare_once)
+                    scorer.rare_total, scorer.rare_once, scorer.letters)
     a, b = ({r["doc_id"]: r["score"] for r in lm.score_texts(docs, s, counts).collect()} for s in (scorer, few))
     assert all(abs(a[i] - b[i]) < 1e-6 * abs(a[i]) for i in a)
 
