@@ -252,15 +252,16 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame, limit: int = LIMIT,
         ends_of = ended.where("NOT (d1 = 0 AND d2 = 0)")
         out = out.union(summed.join(ends_of, ["d1", "d2"], "left").select(
             "conv_id", "depth", "parent_conv_id", "n", "n_children", "leaves", "saved", F.coalesce("ends_sha256", none)))
-    sums = below.agg(F.sum("one").alias("c"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")).withColumn("_one", F.lit(1))
-    whole = conversations.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n")).where("n > 0").withColumn("_one", F.lit(1))
-    at_root = ended.where("d1 = 0 AND d2 = 0").select("ends_sha256").withColumn("_one", F.lit(1))
-    root = whole.join(sums, "_one", "left").join(at_root, "_one", "left").select(
-        "conv_id", F.lit(0).cast("long"), F.lit(None).cast("long"), "n", F.coalesce("c", F.lit(0)), F.coalesce("leaves", F.lit(1)),
-        F.coalesce("saved", F.lit(0)), F.coalesce("ends_sha256", none))
-    named = root.toDF(*figures).unionByName(out)
+    # The root is one row of sums, so it is looked up and not joined.
+    sums = below.agg(F.sum("one").alias("c"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")).first()
+    whole = conversations.agg(F.min("conv_id").alias("least"), F.count("*").alias("n")).first()
+    at_root = ended.where("d1 = 0 AND d2 = 0").first()
+    root = [] if not whole["n"] else [(
+        whole["least"], 0, None, whole["n"], sums["c"] or 0, sums["leaves"] or 1, sums["saved"] or 0,
+        at_root["ends_sha256"] if at_root else sha256(b"").hexdigest())]
+    kinds = ", ".join(f"{c} {'string' if c == 'ends_sha256' else 'long'}" for c in figures)
+    named = turns.sparkSession.createDataFrame(root, kinds).unionByName(out)
     # The children of the root have the root's smallest member as their parent's.
-    least = whole.select(F.col("conv_id").alias("_least"), "_one")
-    return named.withColumn("_one", F.lit(1)).join(F.broadcast(least), "_one", "left").select(*[
-        F.when(F.col("depth") == 1, F.col("_least")).otherwise(F.col(c)).cast("long").alias(c) if c == "parent_conv_id" else
+    return named.select(*[
+        F.when(F.col("depth") == 1, F.lit(whole["least"])).otherwise(F.col(c)).cast("long").alias(c) if c == "parent_conv_id" else
         F.col(c) if c == "ends_sha256" else F.col(c).cast("long").alias(c) for c in figures])
