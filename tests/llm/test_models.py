@@ -1,8 +1,14 @@
 """Language id, secrets, language model, toxicity, top-k: brute force, held-out quality and awkward cases."""
 
 import base64
+import bz2
 import gzip
+import hashlib
+import lzma
 import math
+import random
+import re
+import time
 import urllib.parse
 import zlib
 from collections import Counter
@@ -106,6 +112,78 @@ def test_base64_in_lines_and_behind_names():
         assert [k for k, _ in found] == ["access"] and found[0][1] in b64
 
 
+def test_nested_escapes_take_linear_time():
+    secret = "password=abcdefghijkl"
+    for lead in ("%" + "25" * 4000 + "3D", "\\" + "u005c" * 1600 + "u003d", "&#" + "38;#" * 2000 + "61;", "%" * 3000 + "3" * 3000 + "d"):
+        text = f"ein password{lead}abcdefghijkl aus"
+        began = time.perf_counter()
+        assert ("assign", text[4:-4]) in spans(text)
+        assert time.perf_counter() - began < 1
+    long = "%" + "25" * 500_000 + "41"
+    began = time.perf_counter()
+    secrets.all_spans(long)
+    assert time.perf_counter() - began < 20
+    assert secret in {inner for inner, _, _ in secrets.layers("".join(f"%25252525252525252525{ord(c):02x}" for c in secret))}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_one_pass_and_single_steps_agree(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        text = "".join(rng.choice("aé %;&#x1") for _ in range(rng.randint(1, 8)))
+        for _ in range(rng.randint(1, 4)):
+            hide = [lambda c: "".join(f"%{b:02X}" for b in c.encode()), lambda c: f"\\u{ord(c):04x}", lambda c: f"&#{ord(c)};", lambda c: c, lambda c: c]
+            text = "".join(rng.choice(hide)(c) for c in text)
+        plain, first, final = text, np.arange(len(text)), np.arange(1, len(text) + 1)
+        for _ in range(60):
+            inner, begins, stops = secrets._unescape(plain)
+            if inner == plain:
+                break
+            plain, first, final = inner, first[begins], final[stops - 1]
+        settled = secrets._settle(text)
+        if "Ã" not in plain + settled[0]:  # bytes that no step brought together
+            assert settled[0] == plain
+            assert settled[1].tolist() == first.tolist() and settled[2].tolist() == final.tolist()
+
+
+def test_compressed_layers_of_any_size_depth_and_spelling():
+    secret = b"x password=abcdefghijkl y"
+    big = b"lorem ipsum dolor\n" * 1_000_000 + secret
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        run = base64.b64encode(pack(big)).decode()
+        assert ("assign", run) in spans(f"see {run} end")
+        raw = pack(secret)
+        url = urllib.parse.quote(raw, safe="")
+        assert ("assign", url) in spans(f"see {url} end")
+        written = repr(raw)[2:-1]
+        assert ("assign", written) in spans(f"see {raw!r} end")
+    run = base64.b64encode(gzip.compress(b"first member ") + gzip.compress(secret)).decode()
+    assert ("assign", run) in spans(f"see {run} end")
+    deep = secret
+    for _ in range(40):
+        deep = zlib.compress(deep)
+    run = base64.b64encode(deep).decode()
+    assert ("assign", run) in spans(f"see {run} end")
+    for odd in ("a\u00a0b \u200b\x01 password=abcdefghijkl", "\ufeffpassword=abcdefghijkl"):
+        assert [k for k, _ in spans(f"see {base64.b64encode(odd.encode()).decode()} end")] == ["assign"]
+    latin = base64.b64encode(gzip.compress("schlüssel password=abcdefghijkl".encode("latin-1"))).decode()
+    assert ("assign", latin) in spans(f"see {latin} end")
+    assert [k for k, _ in spans(base64.b64encode(b"x^2 password=abcdefghijkl").decode())] == ["assign"]  # begins like zlib data
+
+
+def test_base_columns_of_a_whole_table(spark):
+    rules = [(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12), (r"(AKIA[A-Z0-9]+)", 18), (r"([0-9a-f]+)", 16)]
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, "documents").collect()}
+    out = QUERIES["op6_secret_scan"](spark, SF).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        found = [sorted((m.start(), k, m.end()) for m in re.finditer(p, texts[r["doc_id"]]) if len(m[1]) >= least) for k, (p, least) in enumerate(rules)]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [len(f) for f in found]
+        listed = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(sum(found, [])))
+        assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert not listed or set(listed.split(",")) <= set(r["spans"].split(","))
+
+
 def test_secrets_of_awkward_tables(spark):
     out = secrets.scan_secrets(awkward(spark)).collect()
     assert len(out) == 13 and {r["base"] for r in out} == {""}
