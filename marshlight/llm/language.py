@@ -21,7 +21,7 @@ from .text import fold_share, hash_sample, pieces
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 8
 WINDOW = 128
-SAMPLE_DOCS = 4000  # labelled documents that training reads
+SAMPLE_DOCS = 4000  # labelled documents that training reads, with equal shares for the labels
 SAMPLE_BYTES = 2048  # bytes of each of them it draws windows from
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -114,11 +114,14 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
 def fit_language(docs: DataFrame, label: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> ByteNetwork | None:
     """A network for the labels of `docs` (doc_id, text, label); None if no row has a label and a text.
 
-    It learns from at most `sample_docs` documents, those with the smallest hash of their id, and up to
-    `sample_bytes` bytes of each, from a place that depends on the id.
+    It learns from about `sample_docs` documents, an equal share for each label that has as many, at least one of each: those with
+    the smallest hash of id and text, equal rows once. Of each it reads up to `sample_bytes` characters, from a place that depends on
+    id and text. Rows without text or label are left out before the sample is drawn, so neither they nor repeated rows can fill it.
     """
-    labelled = hash_sample(docs.select("doc_id", "text", label).where(F.col(label).isNotNull()), "doc_id", sample_docs).where(F.length("text") > 0)
-    spot = F.pmod(F.xxhash64("doc_id", F.lit("spot")), F.greatest(F.length("text") - sample_bytes, F.lit(1))) + 1
+    usable = docs.select("doc_id", "text", label).where(F.col(label).isNotNull() & (F.length("text") > 0))
+    share = max(1, sample_docs // max(1, usable.select(label).distinct().count()))
+    labelled = hash_sample(usable, ["doc_id", "text"], share, by=label)
+    spot = F.pmod(F.xxhash64("doc_id", "text", F.lit("spot")), F.greatest(F.length("text") - sample_bytes, F.lit(1))) + 1
     drawn = sorted(labelled.select("order", F.substring(F.col("text"), spot.cast("int"), F.lit(sample_bytes)).alias("text"), label).collect())
     drawn = [r[1:] for r in drawn]
     if not drawn:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,15 +43,22 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     return counts.where(step >= least) if least is not None else counts.limit(0)
 
 
-def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The `rows` rows of `df` with the smallest hash of `key`, and a column `order` to sort them by.
+def hash_sample(df: DataFrame, keys: str | list[str], rows: int, by: str | None = None) -> DataFrame:
+    """The `rows` rows of `df` with the smallest hash of `keys`, and a column `order` to sort them by; with `by`, the sample of each of its values.
 
     All but about twice as many are left out by a bound on the hash before the sort, so what tasks return does not grow with their number.
+    The bound goes by the distinct hashes, so equal keys in many rows count once: one of their rows is taken.
     """
     spread = 1 << 40
-    hashed = df.withColumn("order", F.pmod(F.xxhash64(key), F.lit(spread)))
-    bound = int(spread * min(1.0, (2 * rows + 100) / max(1, df.count())))
-    return hashed.where(F.col("order") < bound).orderBy("order").limit(rows)
+    hashed = df.withColumn("order", F.pmod(F.xxhash64(*([keys] if isinstance(keys, str) else keys)), F.lit(spread)))
+    found = hashed.groupBy(*([by] if by else [])).agg(F.approx_count_distinct("order", 0.02).alias("n")).collect()
+    bound = {r[0] if by else None: int(spread * min(1.0, (2 * rows + 100) / max(1, r["n"]))) for r in found}
+    if not by:
+        return hashed.where(F.col("order") < bound[None]).dropDuplicates(["order"]).orderBy("order").limit(rows)
+    limit = F.coalesce(*[F.when(F.col(by) == value, F.lit(b)) for value, b in bound.items()], F.lit(0)) if bound else F.lit(0)
+    few = hashed.where(F.col("order") < limit).dropDuplicates([by, "order"])
+    place = Window.partitionBy(by).orderBy("order")
+    return few.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= rows).drop("_place")
 
 
 def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:

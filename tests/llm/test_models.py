@@ -44,6 +44,18 @@ def test_language_of_awkward_tables(spark):
     assert language.identify_language(empty(spark), net).count() == 0
 
 
+def test_sample_of_languages_is_by_label_and_row(spark):
+    good = [(5, f"das ist ein satz mit der nummer {i} und mehr", "de", "a") for i in range(3000)] + [(5, f"voici la phrase numero {i} et plus", "fr", "a") for i in range(2)]
+    for rows in (good, good + [(None, None, "de", "a")] * 3000, good + [(None, "", "fr", "b")] * 3000, good + [(8, "immer derselbe satz", "de", "a")] * 6000):
+        net = language.fit_language(documents(spark, rows), sample_docs=1000)
+        assert net.languages == ["de", "fr"]
+        out = language.identify_language(documents(spark, [(1, "das ist ein satz und mehr", None, None)]), net).first()
+        assert out["lang_pred"] == "de"
+    same = documents(spark, good)
+    one, other = (language.fit_language(df, sample_docs=300) for df in (same.coalesce(1), same.repartition(7)))
+    assert all(np.array_equal(one.tables[w], other.tables[w]) for w in language.WIDTHS)
+
+
 def test_windows_hold_the_whole_text():
     raw = bytes(range(1, 250)) * 3
     assert language.cut(raw).tobytes().rstrip(b" ") == raw and language.cut(b"").shape == (1, language.WINDOW)
