@@ -322,7 +322,8 @@ def link_groups(docs: DataFrame, width: int = 4, percent: int = 85, tile: int =
             return None
         wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"))
         texts = docs.join(wanted.select(F.col("doc_id").alias("_doc_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
-        sets = stage(full_sets(texts, width).join(wanted.select("node"), "node", "left_semi"))
+        full = full_sets(texts, width).groupBy("node").agg(F.first("shingles").alias("shingles"))  # repeated rows once
+        sets = stage(full.join(wanted.select("node"), "node", "left_semi"))
         return stage(verified(pairs, sets, percent))
 
     # Each set meets one pivot: of the smallest sets in its lists, by band, the one that most of its lists have.

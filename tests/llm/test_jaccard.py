@@ -66,6 +66,23 @@ def test_groups_of_awkward_tables(spark):
     assert jaccard.link_groups(empty(spark)).count() == 0
 
 
+def test_repeated_rows_do_not_multiply(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    df = documents(spark, [(1, " ".join(words), "en", "a")] * 400 + [(2, " ".join([*words, "end"]), "en", "a")] * 400)
+    seen = []
+    checked = jaccard.verified
+
+    def counting(pairs, sets, percent):
+        out = checked(pairs, sets, percent)
+        seen.append((sets.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "verified", counting)
+    out = jaccard.link_groups(df).collect()
+    assert len(out) == 800 and {r["component_id"] for r in out} == {1}
+    assert seen and all(pair == (2, 1) for pair in seen)
+
+
 def test_word_hashes_are_those_of_single_words():
     texts = [b"The end", b"", b"  the\tEND \x0b x", "é É".encode(), b"the"]
     words, counts = text.word_hashes(texts)
