@@ -3,7 +3,7 @@
 from collections import Counter
 
 from marshlight.llm import toxicity
-from tests.llm.frames import awkward, empty
+from tests.llm.frames import awkward, documents, empty
 from tests.llm.test_jaccard import brute
 
 import corpus_pipeline
@@ -53,3 +53,18 @@ def test_stages_take_awkward_tables(spark):
             assert n <= df.count() and (name == "source_mixing" or out.columns == COLUMNS)
     kept = corpus_pipeline.drop_common_lines(spark, awkward(spark), SF)
     assert kept.count() == 13 and kept.where("text IS NULL").count() == 2
+
+
+def test_rows_not_ids_are_kept_or_dropped(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    near = text + " end"
+    df = documents(spark, [(7, text, "en", "a")] * 300 + [(None, near, "en", "b")] * 200 + [(9, near, "en", "b"), (7, other, "en", "a"), (None, None, None, None), (None, None, None, None), (3, "", "en", "a")])
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+    assert sorted(kept, key=str) == sorted([(7, text), (7, other), (None, None), (None, None), (3, "")], key=str)
+    only_null = documents(spark, [(None, text, "en", "a"), (None, near, "en", "b")])
+    assert corpus_pipeline.drop_near_copies(spark, only_null, SF).count() == 1
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    df = documents(spark, [(7, item, "en", "a"), (7, text, "en", "a"), (None, other, "en", "b"), (None, f"see {item} here", "en", "b")])
+    assert {r["text"] for r in corpus_pipeline.drop_benchmark(spark, df, SF).collect()} == {text, other}
