@@ -79,28 +79,24 @@ WITH t AS (
 c AS (
   SELECT *, list_transform(tok, lambda x: CASE WHEN x < ':' THEN '#' WHEN lower(x) != x THEN '@'
          WHEN x IN {decontaminate.UNITS} THEN '%' ELSE x END) AS can FROM t),
-i AS (SELECT id AS item_id, tok, can, least(8, len(tok)) AS width FROM c WHERE side = 'i' AND len(tok) >= 5),
+i AS (SELECT id AS item_id, tok, can, least(8, len(tok)) AS width FROM c WHERE side = 'i' AND len(tok) > 0),
 iw AS (
-  SELECT item_id, width, p, array_to_string(can[p:p + width - 1], ' ') AS w FROM (SELECT *, unnest(range(1, len(tok) - width + 2)) AS p FROM i)
-  WHERE 2 * len(list_filter(can[p:p + width - 1], lambda x: x NOT IN ('#', '@', '%'))) > width),
+  SELECT item_id, width, p, tok[p:p + width - 1] AS a, array_to_string(can[p:p + width - 1], ' ') AS w,
+         width >= 5 AND 2 * len(list_filter(can[p:p + width - 1], lambda x: x NOT IN ('#', '@', '%'))) > width AS strong
+  FROM (SELECT *, unnest(range(1, len(tok) - width + 2)) AS p FROM i)),
 dw AS (
   SELECT id AS doc_id, p, width, array_to_string(can[p:p + width - 1], ' ') AS w
-  FROM (SELECT *, unnest(range(1, len(tok) - width + 2)) AS p FROM c, (SELECT DISTINCT width FROM iw) WHERE side = 'd' AND len(tok) >= width)),
-g AS (
-  SELECT doc_id, item_id, any_value(iw.width) AS width, dw.p - iw.p AS shift, list(DISTINCT iw.p) AS found, min(iw.p) AS a, max(iw.p) AS b
-  FROM dw JOIN iw ON dw.w = iw.w GROUP BY doc_id, item_id, dw.p - iw.p),
-z AS (
-  SELECT g.doc_id, g.item_id, g.found, list_distinct(list_filter(list_transform(range(a, b + g.width), lambda q: {{
-           'a': i.tok[q], 'b': d.tok[q + shift], 's': CASE WHEN i.can[q] = d.can[q + shift] AND i.can[q] IN ('#', '@', '%') THEN 1 ELSE 0 END}}),
-         lambda x: x.s = 1)) AS slots
-  FROM g JOIN i ON g.item_id = i.item_id JOIN c d ON d.side = 'd' AND d.id = g.doc_id),
+  FROM (SELECT *, unnest(range(1, len(tok) - width + 2)) AS p FROM c, (SELECT DISTINCT width FROM iw)
+        WHERE side = 'd' AND len(tok) >= width AND (width > 2 OR len(tok) = width))),
+h AS (
+  SELECT dw.doc_id, iw.item_id, iw.p, iw.strong, iw.a, d.tok[dw.p:dw.p + iw.width - 1] AS b
+  FROM dw JOIN iw ON dw.w = iw.w AND dw.width = iw.width JOIN c d ON d.side = 'd' AND d.id = dw.doc_id),
 f AS (
-  SELECT doc_id, item_id, len(list_distinct(flatten(list(found)))) AS n_found FROM z
-  WHERE len(list_distinct(list_transform(slots, lambda x: x.a))) = len(slots)
-    AND len(list_distinct(list_transform(slots, lambda x: x.b))) = len(slots)
-  GROUP BY doc_id, item_id),
-n AS (SELECT item_id, count(*) AS n_windows FROM iw GROUP BY item_id)
-SELECT doc_id, item_id, n_windows, n_found::BIGINT AS n_found FROM f JOIN n USING (item_id) WHERE n_found >= 0.5 * n_windows
+  SELECT doc_id, item_id, count(DISTINCT p) AS n_found, count(DISTINCT p) FILTER (strong) AS strong_found FROM h
+  WHERE CASE WHEN strong THEN len(list_distinct(list_zip(a, b))) = len(list_distinct(a)) ELSE a = b END GROUP BY doc_id, item_id),
+n AS (SELECT item_id, count(*) AS n_windows, count(*) FILTER (strong) AS n_strong FROM iw GROUP BY item_id)
+SELECT doc_id, item_id, n_windows, n_found FROM f JOIN n USING (item_id)
+WHERE n_found >= 0.5 * n_windows OR (n_strong > 0 AND strong_found >= 0.5 * n_strong)
 """)
 def op3_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -134,9 +134,80 @@ def passages(spark, texts, items=((7, ITEM),)):
 def test_passages_are_found_with_new_values(spark):
     filler = " ".join(f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300))
     other = ITEM.replace("Anna", "Maria").replace("eur", "usd").replace("35", "20")
-    mixed = ITEM.replace("35", "75", 1)  # the other 35 stays: one value for two
+    mixed = ITEM.replace("35", "75", 1)  # the other 35 stays, in windows of its own
     got = passages(spark, [ITEM, f"{filler} {ITEM} {filler}", f"{filler}\n{other}", f"{filler} {mixed}", filler, ITEM[:60], None, ""])
-    assert {d for d, _ in got} == {0, 1, 2}
+    assert {d for d, _ in got} == {0, 1, 2, 3}
+
+
+def test_one_value_of_the_item_stands_for_one_of_the_document(spark):
+    item = "a shop sells 3 pens for each of 5 pupils and then adds 3 more pens to a box with 5 free ones"
+    texts = [item.replace("3", a).replace("5", b) for a, b in (("7", "8"), ("4", "4"), ("5", "3"))]
+    texts.append(item.replace("5", "6", 1))
+    dense = "so 3 and 3 make twice 3 or 3 plus 3 with 3 more than 3 from 3 less"
+    texts += [dense, dense.replace("3", "9")]
+    for n in range(8):  # every 3 becomes another value: all windows contradict themselves
+        dense = dense.replace("3", str(50 + n), 1)
+    texts.append(dense)
+    got = passages(spark, texts, [(1, item), (2, texts[4])])
+    assert got == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 2), (5, 2)}
+
+
+def brute_passages(texts, items, share=0.5):
+    import re
+
+    def tokens(t):
+        return re.findall(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+", t or "")
+
+    def slot(t):
+        return "#" if t[0].isdigit() else "@" if t != t.lower() else "%" if t in decontaminate.UNITS else None
+
+    def template(ts):
+        return [slot(t) or t for t in ts]
+
+    out = set()
+    for d, text in enumerate(texts):
+        for i, it in items:
+            doc, own = tokens(text), tokens(it)
+            w = min(8, len(own))
+            found, strong = set(), set()
+            for p in range(len(own) - w + 1 if own else 0):
+                a = own[p:p + w]
+                if w >= 5 and sum(not slot(t) for t in a) * 2 > w:
+                    strong.add(p)
+                for q in range(len(doc) - w + 1):
+                    b = doc[q:q + w]
+                    if (p in strong and template(a) == template(b) and len(set(zip(a, b))) == len(set(a))) or (
+                            a == b and (w > 2 or len(doc) == w)):
+                        found.add(p)
+            n = max(0, len(own) - w + 1)
+            if found and (len(found) >= share * n or (strong and len(found & strong) >= share * len(strong))):
+                out.add((d, i))
+    return out
+
+
+def test_passages_against_brute_force(spark):
+    import random
+
+    r = random.Random(5)
+    words = ["a", "b", "c", "d", "e", "f", "km", "Anna", "Bo", "3", "4", "5"]
+    items = [(i, " ".join(r.choices(words, weights=[4] * 6 + [1] * 6 if i % 2 else None, k=r.choice([1, 2, 3, 4, 5, 6, 9, 14, 20])))) for i in range(40)]
+    texts = [None, "", "a"]
+    for _, it in items:
+        for _ in range(3):
+            part = it.split()
+            part = [r.choice(words) if r.random() < 0.1 else {"3": "7", "Anna": "Carla"}.get(t, t) if r.random() < 0.5 else t for t in part]
+            texts.append(" ".join(r.choices(words, k=r.randrange(4)) + part[r.randrange(2) * r.randrange(len(part)):] + r.choices(words, k=r.randrange(4))))
+        texts.append(it)
+    assert passages(spark, texts, items) == brute_passages(texts, items)
+
+
+def test_a_window_that_all_items_share_brings_no_pairs(spark):
+    shared = "which of the following is the right answer to the question below"
+    items = [(i, f"{shared} " + " ".join(f"w{chr(97 + i)}{chr(97 + k)}" for k in range(20))) for i in range(20)]
+    assert passages(spark, [shared, items[3][1], f"x {shared} y"], items) == {(1, 3)}
+    bench = spark.createDataFrame([(i, j, True, 7 if j < 5 else 1000 + 100 * i + j) for i in range(20) for j in range(12)],
+                                  "item long, pos int, strong boolean, hash long")
+    assert decontaminate.rare_first(bench, 0.5).where("rare").selectExpr("min(pos)", "count(*)").first()[:] == (5, 140)
 
 
 def test_every_place_is_looked_at(spark):
@@ -144,10 +215,14 @@ def test_every_place_is_looked_at(spark):
     assert {d for d, _ in passages(spark, lead)} == set(range(9))
 
 
-def test_short_items(spark):
-    items = [(1, "only four words here"), (2, "exactly five words are here"), (3, None), (4, ""), (5, "One Two Three Four Five Six")]
-    got = passages(spark, ["so only four words here", "pad pad exactly five words are here pad", "One Two Three Four Five Six"], items)
-    assert got == {(1, 2)}
+def test_short_items_and_items_of_placeholders(spark):
+    capital = "The Capital Of France Is Paris And The Capital Of Spain Is Madrid"
+    items = [(1, "only four words here"), (2, "exactly five words are here"), (3, None), (4, ""), (5, "One Two Three Four Five Six"),
+             (6, capital), (7, "What is 12 plus 30"), (8, "Solve 3 x 5"), (9, "Paris"), (10, "Why not")]
+    texts = ["so only four words here", "pad pad exactly five words are here pad", "One Two Three Four Five Six", f"see: {capital}.",
+             "x What is 12 plus 30?", "y Solve 3 x 5", "Paris!", "in Paris", "Why not", "Why not so", "Solve 3 x 6", "Six Five Four Three Two One",
+             "What is 13 plus 31", capital.replace("Paris", "Rome").replace("France", "Italy")]
+    assert passages(spark, texts, items) == {(0, 1), (1, 2), (2, 5), (3, 6), (4, 7), (5, 8), (6, 9), (8, 10)}
 
 
 def test_passages_in_awkward_tables(spark):
