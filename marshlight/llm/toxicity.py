@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick over folded text.
 
 Folding maps look-alike letters, digits and signs to plain letters and keeps the length of the text. The lexicon
-holds word beginnings with weights learned from labelled documents. A match inside an exception phrase does not count. A
+holds word beginnings with weights learned from labelled documents. A match inside an exception phrase does not count; of such
+phrases some are given, others are learned: pairs of words in clean documents with a match that toxic ones do not share. A
 document's matches, plain and normalised by its length, go through a logistic function.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -26,7 +27,7 @@ SAMPLE_DOCS = 4000  # labelled documents of each class that the lexicon is learn
 STEM = (4, 12)  # letters of a learned word beginning; a shorter word is learned whole, with the blank after it
 ODDS = 2.5  # log odds of a learned stem, from its rates in both classes
 EVIDENCE = 8.0  # nats by which its counts are likelier with rates of their own than with one for both classes
-#: Harmless phrases that hold a word of the lexicon.
+#: Harmless phrases that hold a word of the lexicon, known beforehand; others are learned.
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof", "scum of pond", "not stupid", "not worthless")
 
 # Look-alikes of plain letters in Greek, Cyrillic and full width, digits and signs for letters.
@@ -44,6 +45,11 @@ def fold(text: str) -> str:
     return f" {folded if folded.isascii() else folded.lower()} "
 
 
+def fold_words(text: str) -> str:
+    """`fold` of the text with one blank for each run of white space, so that only words and punctuation matter."""
+    return fold(" ".join(text.split()))
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]  # word beginnings
@@ -79,12 +85,26 @@ class Lexicon:
 
     def features(self, text: str) -> list[float]:
         """1 for any match, log weight of all matches, weight per hundred words, constant."""
-        folded = fold(text)
+        folded = fold_words(text)
         found = self.matches(folded)
         total = sum(w for _, w in found)
-        words = folded.count(" ") if found else 1
+        words = len(folded.split()) if found else 1
         return [float(bool(found)), math.log1p(total), min(50.0, 100 * total / max(words, 1)), 1.0]
 
+    def pairs(self, text: str) -> set[str]:
+        """Each match that counts with the word before it, and with the one after it, where only a blank is between."""
+        folded = fold_words(text)
+        found = set()
+        for start, _ in self.matches(folded):
+            end = folded.find(" ", start)
+            before = folded.rfind(" ", 0, start - 1) + 1
+            after = folded.find(" ", end + 1)
+            if before < start - 1:
+                found.add(folded[before:end + 1])
+            if after > end + 1:
+                found.add(folded[start:after + 1])
+        return found
+
     def score(self, text: str) -> float:
         z = sum(a * b for a, b in zip(self.model, self.features(text)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
@@ -144,6 +164,46 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior: float, rounds: int = 50) -
     return beta
 
 
+def count_by_class(sample: DataFrame, items: Callable[[str], set[str]]) -> DataFrame:
+    """item, clean, toxic: in how many texts of `sample` (text, toxic) of each class each item is."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+        for batch in batches:
+            for text, toxic in zip(batch["text"], batch["toxic"]):
+                seen[toxic].update(items(text or ""))
+                if len(seen[0]) + len(seen[1]) > 200_000:
+                    yield emit(seen)
+                    seen = (Counter(), Counter())
+        yield emit(seen)
+
+    def emit(seen: tuple[Counter[str], Counter[str]]) -> pd.DataFrame:
+        names = list(seen[0].keys() | seen[1].keys())
+        return pd.DataFrame({"item": names, "clean": [seen[0][s] for s in names], "toxic": [seen[1][s] for s in names]})
+
+    return sample.mapInPandas(count, "item string, clean long, toxic long").groupBy("item").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
+def learn_exceptions(sample: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
+    """Pairs of words around a match that mark clean documents among all documents with a match, by the rule for stems turned round."""
+    if not lexicon.weights:
+        return ()
+    match = "\n"  # counts the documents with a match; no pair of words is this
+
+    def around(text: str) -> set[str]:
+        return {match} if lexicon.features(text)[0] else set()
+
+    totals = count_by_class(sample, around).first()
+    if totals is None:
+        return ()
+    toxic, clean = totals["toxic"], totals["clean"]
+    few = next((c for c in range(1, clean + 1) if nats(0, c, toxic, clean) >= EVIDENCE), clean + 1)
+    rows = count_by_class(sample, lexicon.pairs).where(F.col("clean") >= few).collect()  # at most 2 of a match, each in `few` texts
+    return tuple(sorted(r["item"] for r in rows if log_odds(r["toxic"], r["clean"], toxic, clean) <= -ODDS and
+                        nats(r["toxic"], r["clean"], toxic, clean) >= EVIDENCE))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon for labels.toxic. It learns from at most `sample_docs` documents of each class, those with the
     smallest hash of their id (of equal texts with one label, one); without documents of both classes it is empty, and every text scores under 0.5."""
@@ -160,26 +220,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_D
     if not clean or not toxic:
         return Lexicon({}, exceptions)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[toxic].update(stems(text or ""))
-                if len(seen[0]) + len(seen[1]) > 200_000:
-                    yield emit(seen)
-                    seen = (Counter(), Counter())
-        yield emit(seen)
-
-    def emit(seen: tuple[Counter[str], Counter[str]]) -> pd.DataFrame:
-        names = list(seen[0].keys() | seen[1].keys())
-        return pd.DataFrame({"stem": names, "clean": [seen[0][s] for s in names], "toxic": [seen[1][s] for s in names]})
-
-    found = sample.mapInPandas(count, "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    found = count_by_class(sample, stems)
     # Stems of so few documents that no count of clean ones gives them the evidence stay in the tasks; so do those common in clean documents.
     few = next((t for t in range(1, toxic + 1) if nats(t, 0, toxic, clean) >= EVIDENCE), toxic + 1)
     rates = (F.col("toxic") + 0.5) / (toxic + 1) >= 0.999 * math.exp(ODDS) * (F.col("clean") + 0.5) / (clean + 1)
     rows = found.where((F.col("toxic") >= few) & rates).collect()
-    lexicon = Lexicon(choose_stems({r["stem"]: (r["toxic"], r["clean"]) for r in rows}, toxic, clean), exceptions)
+    lexicon = Lexicon(choose_stems({r["item"]: (r["toxic"], r["clean"]) for r in rows}, toxic, clean), exceptions)
+    lexicon = Lexicon(lexicon.weights, exceptions + learn_exceptions(sample, lexicon))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

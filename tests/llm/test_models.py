@@ -334,6 +334,19 @@ def test_folding_and_exceptions():
     assert lexicon.score("put it in the trash can") < 0.5 < lexicon.score("you are trash, can you see")
     assert lexicon.features("idiot " + "word " * 1000)[2] < lexicon.features("idiot word")[2]
     assert lexicon.features("amidiot")[0] == 0  # only at the beginning of a word
+    assert lexicon.features("the trash \n  can")[0] == 0 and lexicon.features("you trash, can")[0] == 1
+    assert lexicon.features("idiot" + " " * 200 + "word") == lexicon.features("idiot word")
+    assert lexicon.pairs("so you  trashy, idiot go") == {"you trashy ", "idiot go "}
+
+
+def test_exceptions_are_learned_from_clean_documents(spark):
+    """A word of toxic documents that is harmless in one phrase: documents with the phrase alone are clean."""
+    rows = [(i, f"you vermin number {i} go", 1) for i in range(60)] + [(100 + i, f"a vermin trap number {i} stands here", 0) for i in range(8)]
+    rows += [(200 + i, f"calm words number {i}", 0) for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, t) for i, _, t in rows], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit_toxicity(documents(spark, [(i, t, "en", "a") for i, t, _ in rows]), labels)
+    assert "vermin trap " in lexicon.exceptions
+    assert lexicon.score("our vermin  trap works") < 0.5 < lexicon.score("your vermin trappers are vermin")
 
 
 def test_copies_are_one_witness():
