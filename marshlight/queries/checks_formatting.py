@@ -267,17 +267,45 @@ def _(t):
                       F.round("LONGITUDE", 4).alias("lon"), F.round("LATITUDE", 4).alias("lat"))
 
 
+def _moved(c, k):
+    return f"sign({c}) * TRY_CAST(CASE WHEN length(d_{c}) > {k} THEN left(d_{c}, {k}) || '.' || substr(d_{c}, {k + 1}) END AS DOUBLE)"
+
+
+def _candidate_rows():
+    """Every candidate as method, lon, lat, in order of preference."""
+    rows = [("ORIGINAL", "lon", "lat"), ("SWAP", "lat", "lon"), ("FLIP_LAT", "lon", "-lat"), ("FLIP_LON", "-lon", "lat"), ("FLIP_BOTH", "-lon", "-lat"),
+            ("SWAP_FLIP_LAT", "lat", "-lon"), ("SWAP_FLIP_LON", "-lat", "lon"), ("SWAP_FLIP_BOTH", "-lat", "-lon")]
+    for k in (1, 2):
+        x, y = _moved("lon", k), _moved("lat", k)
+        for swap, one, other in (("", ("lon", "lat"), (x, y)), ("SWAP_", ("lat", "lon"), (y, x))):
+            rows += [(f"{swap}DECIMAL_LR_LON_{k}", other[0], one[1]), (f"{swap}DECIMAL_LR_LAT_{k}", one[0], other[1]),
+                     (f"{swap}DECIMAL_LR_BOTH_{k}", *other)]
+    return rows
+
+
+VIEWS["v_candidates"] = "SELECT vec_id, c.* FROM (SELECT vec_id, unnest([" + ", ".join(
+    f"{{'pos': {n}, 'method': '{m}', 'x': {x}, 'y': {y}}}" for n, (m, x, y) in enumerate(_candidate_rows())) + """]) AS c FROM (
+  SELECT *, replace(rtrim(rtrim(CAST(CAST(abs(lon) AS DECIMAL(18, 4)) AS VARCHAR), '0'), '.'), '.', '') AS d_lon,
+    replace(rtrim(rtrim(CAST(CAST(abs(lat) AS DECIMAL(18, 4)) AS VARCHAR), '0'), '.'), '.', '') AS d_lat FROM v_cells))"""
+
+VIEWS["v_repaired"] = """
+SELECT vec_id, arg_min(method, pos) AS method, arg_min(x, pos) AS lon, arg_min(y, pos) AS lat FROM (
+  SELECT c.vec_id, c.pos, any_value(c.method) AS method, any_value(c.x) AS x, any_value(c.y) AS y, e.ADM2_ID,
+    sum(CASE WHEN (e.y1 > c.y) != (e.y2 > c.y) AND c.x < (e.x2 - e.x1) * (c.y - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1 THEN 1 ELSE 0 END) AS crossings,
+    max(CASE WHEN (e.x2 - e.x1) * (c.y - e.y1) - (e.y2 - e.y1) * (c.x - e.x1) = 0 AND c.x BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+      AND c.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) THEN 1 ELSE 0 END) AS edge
+  FROM v_candidates c CROSS JOIN v_edges e WHERE c.x IS NOT NULL AND c.y IS NOT NULL GROUP BY c.vec_id, c.pos, e.ADM2_ID)
+WHERE crossings % 2 = 1 AND edge = 0 GROUP BY vec_id"""
+
+
 @query("H7_repair_positions_in_country", """
-SELECT c.vec_id AS OU_ID, i.vec_id IS NOT NULL AS valid, CASE WHEN i.vec_id IS NOT NULL THEN lon END AS lon,
-  CASE WHEN i.vec_id IS NOT NULL THEN lat END AS lat FROM v_cells c LEFT JOIN (SELECT DISTINCT vec_id FROM v_inside) i USING (vec_id)""",
-       "lon lat")
+SELECT c.vec_id AS OU_ID, coalesce(r.method, 'INVALID_NO_MATCH') AS method, r.vec_id IS NOT NULL AS valid, r.lon, r.lat
+FROM v_cells c LEFT JOIN v_repaired r USING (vec_id)""", "lon lat")
 def _(t):
     u = t.cells.select(F.col("vec_id").alias("OU_ID"), F.col("lon").alias("LONGITUDE"), F.col("lat").alias("LATITUDE"))
     out = Fm.repair_positions(u, t.edges, size=SIZE)
-    original = F.col("COORD_FIX_METHOD") == "ORIGINAL"
-    # the SQL knows the first candidate only: later ones are compared in the box form above
-    return out.select("OU_ID", original.alias("valid"), F.when(original, F.col("LONGITUDE")).alias("lon"),
-                      F.when(original, F.col("LATITUDE")).alias("lat"))
+    return out.select("OU_ID", F.col("COORD_FIX_METHOD").alias("method"), F.col("COORD_IS_VALID").alias("valid"),
+                      F.col("LONGITUDE").alias("lon"), F.col("LATITUDE").alias("lat"))
 
 
 @query("H9_invalid_positions", "SELECT OU_ID, 'INVALID_NO_MATCH' AS REASON FROM v_spoiled WHERE label = 5")
@@ -329,13 +357,13 @@ def _(t):
 
 
 @query("K3_format_pyramid", """
-SELECT u.OU_ID, 'UNIT A ' || u.OU_ID AS OU_NAME, CASE WHEN i.vec_id IS NOT NULL THEN lon END AS LONGITUDE
-FROM (SELECT vec_id AS OU_ID, lon FROM v_cells) u LEFT JOIN (SELECT DISTINCT vec_id FROM v_inside) i ON i.vec_id = u.OU_ID""", "LONGITUDE")
+SELECT u.vec_id AS OU_ID, 'UNIT A ' || u.vec_id AS OU_NAME, coalesce(r.method, 'INVALID_NO_MATCH') AS COORD_FIX_METHOD,
+  r.lon AS LONGITUDE, r.lat AS LATITUDE FROM v_cells u LEFT JOIN v_repaired r USING (vec_id)""", "LONGITUDE LATITUDE")
 def _(t):
     raw = t.cells.select(F.col("vec_id").alias("OU_ID"), F.concat(F.lit(" Unit-à_"), "vec_id").alias("OU_NAME"),
                          G.point_text("lon", "lat").alias("GEOMETRY"))
     out = Fm.format_pyramid(raw, t.edges, "OU_ID", SIZE)
-    return out.select("OU_ID", "OU_NAME", F.when(F.col("COORD_FIX_METHOD") == "ORIGINAL", F.col("LONGITUDE")).alias("LONGITUDE"))
+    return out.select("OU_ID", "OU_NAME", "COORD_FIX_METHOD", "LONGITUDE", "LATITUDE")
 
 
 @query("K4_format_reporting", """
