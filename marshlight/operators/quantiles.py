@@ -1,9 +1,10 @@
 """Exact quantiles of groups without a size bound.
 
 Spark's `percentile` holds all distinct values of a group in one task. That is right for a facility's
-monthly series, which has one value per month, and wrong for a national column. Here a group is first
-reduced to (value, count) pairs, which are staged, so the facts are read once; these are cut into buckets of
-about as many distinct values, and only the one or two buckets that contain a wanted rank are sorted.
+monthly series, which has one value per month, and wrong for a national column. Here the values are staged,
+so the facts are read once; approximate quantiles a little below and above each wanted one cut them into
+buckets, and only the narrow buckets that contain a wanted rank are counted and sorted. The approximation
+decides how narrow they are, not the result. No step moves more than counts, edges and those buckets.
 """
 
 from __future__ import annotations
@@ -15,29 +16,26 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 
-BUCKETS = 1024
-STEP = 32
+ACCURACY = 8192  # of the edges: a bucket around a rank has about 6 / ACCURACY of a group's values
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Columns `keys`, `prob`, `quantile` (linear interpolation); missing values are left out."""
     keys = list(keys)
     v = F.col(value).cast("double")
-    counts = df.filter(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    counts = stage(counts)
-    # Edges at equal numbers of distinct values, so one far outlier does not put the rest into one bucket.
-    edges = counts.groupBy(*keys).agg(F.percentile_approx("_v", [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("_e"))
+    rows = stage(df.filter(v.isNotNull()).select(*keys, v.alias("_v")))
+    around = sorted({min(max(p + off, 0.0), 1.0) for p in probs for off in (-2 / ACCURACY, 2 / ACCURACY)})
+    # Staged, so the real size decides how they are joined.
+    edges = stage(rows.groupBy(*keys).agg(F.percentile_approx("_v", around, ACCURACY).alias("_e")))
     if keys:
-        placed = counts.join(edges, keys)
+        placed = rows.join(edges, keys)
     else:
-        placed = counts.withColumn("_e", edges.select("_e").scalar())
-    # How many edges lie below the value, looked up in two steps of STEP.
-    coarse = F.size(F.filter(F.sequence(F.lit(1), F.lit(BUCKETS // STEP - 1)), lambda k: F.get("_e", k * STEP - 1) < F.col("_v")))
-    placed = placed.withColumn("_c", coarse)
-    fine = F.size(F.filter(F.slice("_e", F.col("_c") * STEP + 1, STEP), lambda e: e < F.col("_v")))
-    placed = placed.withColumn("_b", F.col("_c") * STEP + fine).drop("_e", "_c")
-    # At most BUCKETS rows per group reach this window.
-    per_bucket = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
+        placed = rows.withColumn("_e", edges.select("_e").scalar())
+    # How many edges lie below the value.
+    below = sum(((F.get("_e", F.lit(i)) < F.col("_v")).cast("int") for i in range(len(around))), F.lit(0))
+    placed = placed.select(*keys, "_v", below.alias("_b"))
+    # At most one row per edge and one more reach this window for each group.
+    per_bucket = placed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     order = Window.partitionBy(*keys).orderBy("_b")
     per_bucket = per_bucket.withColumn(
         "_before", F.sum("_bn").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bn")
@@ -51,9 +49,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
         wanted,
         lambda w: (F.ceil(w["at"]) >= F.col("_before")) & (F.floor(w["at"]) < F.col("_before") + F.col("_bn")),
     )
-    needed = per_bucket.withColumn("_w", hit).filter(F.size("_w") > 0).select(*keys, "_b", "_before", "_w")
+    needed = stage(per_bucket.withColumn("_w", hit).filter(F.size("_w") > 0).select(*keys, "_b", "_before", "_w"))
     inside = Window.partitionBy(*keys, "_b").orderBy("_v")
-    ranked = placed.join(needed, [*keys, "_b"]).withColumn(
+    counts = placed.join(needed.select(*keys, "_b"), [*keys, "_b"], "left_semi").groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = counts.join(needed, [*keys, "_b"]).withColumn(
         "_end", F.col("_before") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     )
     hits = ranked.select(*keys, "_v", "_n", "_end", F.explode("_w").alias("w"))
