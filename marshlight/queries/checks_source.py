@@ -243,13 +243,13 @@ def _(t):
 SELECT OU_ID, PERIOD, INDICATOR, VALUE_IMPUTED AS VALUE FROM v_flag_iqr WHERE INDICATOR IN {tuple(INDICATORS)}""")
 def _(t):
     from ..plans.outliers import detect
-    from ..sources.staging import new_path
+    from ..sources.staging import new_path, stage
 
-    flagged = detect(t.long, "IQR")
-    raw = flagged.select("OU_ID", "PERIOD", "INDICATOR", "VALUE", F.lit("raw").alias("variant"))
-    imputed = flagged.select("OU_ID", "PERIOD", "INDICATOR", F.col("VALUE_IMPUTED").alias("VALUE"), F.lit("imputed").alias("variant"))
+    flagged = stage(detect(t.long, "IQR").select("OU_ID", "PERIOD", "INDICATOR", "VALUE", "VALUE_IMPUTED"))
     path = new_path(t.spark)
-    H.union_all([raw, imputed]).write.partitionBy("variant").parquet(path)
+    # a folder for each variant, as a table partitioned by it has, written without sorting the rows by variant
+    for variant, value in (("raw", "VALUE"), ("imputed", "VALUE_IMPUTED")):
+        flagged.select("OU_ID", "PERIOD", "INDICATOR", F.col(value).alias("VALUE")).write.parquet(f"{path}/variant={variant}")
     return Rd.read_variant(t.spark, path, "imputed")
 
 
