@@ -6,7 +6,8 @@ the Jaccard similarity than independent hashes do, and once the largest value is
 
 160 places in 32 bands of 5 miss a pair of similarity 0.85 with a chance of 1e-8. Sets that are equal are one node. In a band's bucket each node first
 meets the bucket's least; nodes that are in one group by then are not compared again. What is left is compared in tiles by a byte of each
-place and by size, and each pair that may be alike is confirmed on its full sets.
+place, by size and by bitmaps that bound the overlap from above, and each pair that may be alike is confirmed on its full sets. First each
+node of a tile meets its likeliest partner, then all that is left.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
+from .jaccard import bitmap, fold_to
 from .text import pieces, scramble, shingle_hashes, word_hashes
 
 BANDS = 32
@@ -94,7 +96,7 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterato
 
 
 def measured_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n (shingles), node (name of the set), sketch (a byte of each place), keys (of the bands) of every row."""
+    """doc_id, n (shingles), node (name of the set), sketch (a byte of each place), bitmap, keys (of the bands) of every row."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, 1, width):
@@ -104,11 +106,12 @@ def measured_sets(docs: DataFrame, width: int) -> DataFrame:
             keys = band_keys(signature).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(starts)), pa.array([set_name(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sketch], pa.binary()),
+                 pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1)))],
-                ["doc_id", "n", "node", "sketch", "keys"])
+                ["doc_id", "n", "node", "sketch", "bitmap", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {kind}, n long, node binary, sketch binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {kind}, n long, node binary, sketch binary, bitmap binary, keys array<long>")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -185,6 +188,22 @@ def least_equal(percent: int, places: int = PLACES) -> int:
     return int(places * share - SIGMAS * (places * share * (1 - share)) ** 0.5)
 
 
+def most_common(maps: list[np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """No more shingles than this are in both sets of each pair (i, j): a bit that only one bitmap has is a shingle that only its set has."""
+    width = np.fromiter(map(len, maps), dtype=np.int64, count=len(maps))
+    both, out = np.minimum(width[i], width[j]), np.empty(len(i), dtype=np.int64)
+    for w in np.unique(both):
+        at = np.flatnonzero(both == w)
+        used, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        table, (first, second) = np.stack([fold_to(maps[k], w) for k in used]), place.reshape(2, -1)
+        for a in range(0, len(at), step := max(1, _CHUNK // int(w))):
+            part = at[a:a + step]
+            x, y = table[first[a:a + step]], table[second[a:a + step]]
+            out[part] = np.minimum(
+                n[i[part]] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[j[part]] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+    return out
+
+
 def _tile_pairs(percent: int, likeliest: bool):
     """Pairs of different groups in a tile that may be alike; with `likeliest` one partner of each node.
 
@@ -201,20 +220,28 @@ def _tile_pairs(percent: int, likeliest: bool):
         band = rows.column("band")[0].as_py()
         one = not right.any()
         lefts, rights = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~right), np.flatnonzero(right))
-        best: list[tuple[int, int, int]] = []
+        some: list[tuple[np.ndarray, np.ndarray]] = []
         for i in lefts:
             js = rights[rights > i] if one else rights
             js = js[(group[js] != group[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
             same = sketch[js] == sketch[i]
-            equal = same.sum(axis=1)
-            good = equal >= least
+            good = same.sum(axis=1) >= least
             if band:
                 good &= ~same[:, :band * ROWS].reshape(len(js), band, ROWS).all(axis=2).any(axis=1)
-            js, equal = js[good], equal[good]
-            if likeliest and len(js):
-                js, equal = js[[equal.argmax()]], equal[[equal.argmax()]]
-            best += [(int(i), int(j), int(e)) for j, e in zip(js, equal)]
-        return [tuple(sorted((node[i], node[j]))) for i, j, _ in best]
+            if good.any():
+                some.append((np.full(int(good.sum()), i), js[good]))
+        if not some:
+            return []
+        i, j = (np.concatenate(x) for x in zip(*some))
+        both = most_common([np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in rows.column("bitmap")], n, i, j)
+        fine = 100 * both >= percent * (n[i] + n[j] - both)
+        i, j, both = i[fine], j[fine], both[fine]
+        if likeliest and len(i):
+            order = np.lexsort((-both / (n[i] + n[j]), i))
+            i, j = i[order], j[order]
+            first = np.diff(i, prepend=-1) != 0
+            i, j = i[first], j[first]
+        return [tuple(sorted((node[x], node[y]))) for x, y in zip(i, j)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -239,7 +266,7 @@ def _tile_pairs(percent: int, likeliest: bool):
 
 
 def open_pairs(buckets: DataFrame, nodes: DataFrame, percent: int, tile: int, likeliest: bool) -> DataFrame:
-    """Pairs of nodes of different groups in a bucket (key, band, node, root) that their sizes and sketches let be alike.
+    """Pairs of nodes of different groups in a bucket (key, band, node, root) that their sizes, sketches and bitmaps let be alike.
 
     A bucket of more than `tile` nodes is cut in parts; a node meets each pair of parts that has its own.
     """
@@ -249,7 +276,7 @@ def open_pairs(buckets: DataFrame, nodes: DataFrame, percent: int, tile: int, li
     placed = buckets.join(counts, "key").withColumn("own", own).select("key", "band", "node", "root", "own", part)
     dealt = placed.select(
         F.xxhash64("key", F.least("own", "part"), F.greatest("own", "part")).alias("tile"), (F.col("own") > F.col("part")).alias("right"), "band", "node", "root")
-    full = dealt.join(nodes.select("node", "n", "sketch"), "node").repartition("tile").sortWithinPartitions("tile")
+    full = dealt.join(nodes.select("node", "n", "sketch", "bitmap"), "node").repartition("tile").sortWithinPartitions("tile")
     return full.mapInArrow(_tile_pairs(percent, likeliest), "a binary, b binary").distinct()
 
 
@@ -267,7 +294,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tile: in
     docs = docs.select("doc_id", "text")
     measured = stage(measured_sets(docs, width))
     nodes = stage(measured.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")))
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bitmap").alias("bitmap"), F.first("keys").alias("keys")))
     postings = nodes.select(F.posexplode("keys").alias("band", "key"), "node")
     buckets = stage(postings.join(postings.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1"), "key").select(
         "key", "band", "node", "pivot"))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marshlight.llm import superminhash
 from marshlight.llm.text import scramble
@@ -35,6 +36,34 @@ def test_rows_repeated_very_often_are_one_node(spark):
     assert sum(r["kept"] for r in got) == 2000
 
 
+def test_pairs_just_below_the_limit_are_not_handed_on(spark):
+    """Copies of one text with changed words: most pairs share bands and have sketches that allow a link, few sets do."""
+    rng = np.random.default_rng(8)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for doc in range(300):
+        words = list(base)
+        for k, at in enumerate(rng.choice(150, 4, replace=False)):
+            words[at] = f"x{doc}_{k}"
+        rows.append((doc, " ".join(words), "en", "a"))
+    df = documents(spark, rows)
+    nodes = superminhash.measured_sets(df, 3).withColumn("root", F.col("node")).persist()
+    buckets = nodes.select(F.posexplode("keys").alias("band", "key"), "node", "root")
+    sets = [set(zip(w, w[1:], w[2:])) for w in (r[1].split() for r in rows)]
+    close = sum(100 * len(x & y) >= 82 * len(x | y) for i, x in enumerate(sets) for y in sets[:i])
+    got = superminhash.open_pairs(buckets, nodes, 85, 512, False).count()
+    assert got <= close < 300 * 299 // 2 // 20
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in superminhash.near_duplicates(df, 3, 85).collect()} == brute([r[:2] for r in rows], 3, 85)
+
+
+def test_the_bound_of_bitmaps_lies_above_the_overlap():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 2**64, 9000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, k, replace=False)) for k in (1, 9, 900, 1000, 1100, 2100, 5000)]
+    i, j = np.triu_indices(len(sets), 1)
+    got = superminhash.most_common([superminhash.bitmap(s) for s in sets], np.array([len(s) for s in sets]), i, j)
+    assert all(len(np.intersect1d(sets[a], sets[b])) <= g <= min(len(sets[a]), len(sets[b])) for a, b, g in zip(i, j, got))
+
+
 def one_by_one(elements, places):
     """The rule for one set, an element after the other, every step taken."""
     out = [2**64 - 1] * places
