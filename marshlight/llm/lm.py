@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import count as numbers
 
 import numpy as np
 import pyarrow as pa
@@ -71,9 +73,14 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 _DIGITS = bytes(48 if 48 <= b < 58 else b for b in range(256))
 
 
+@lru_cache(maxsize=100_000)
+def _kind(ending: bytes) -> int:
+    return zlib.crc32(ending.translate(_DIGITS)) % SPELLINGS
+
+
 def spelling(word: bytes) -> int:
     """The kind of ending of a word; digits are alike."""
-    return zlib.crc32(word[-3:].translate(_DIGITS)) % SPELLINGS
+    return _kind(word[-3:])
 
 
 def class_count(distinct: int) -> int:
@@ -121,7 +128,8 @@ class LogBilinear:
 
     def log_probability(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Natural log-probability of each class `word` after classes `far`, `near`."""
-        return self.far_table[far, word] + self.near_table[near, word] - self.normaliser[far, near]
+        k = len(self.bias)
+        return self.far_table.take(far * k + word) + self.near_table.take(near * k + word) - self.normaliser.take(far * k + near)
 
 
 class Training:
@@ -143,7 +151,7 @@ class Training:
             rows = order[at:at + batch]
             f, n, w = far[rows], near[rows], word[rows]
             drawn = np.minimum(np.searchsorted(self.ladder, rng.random(NOISE)), len(self.ladder) - 1)  # one set of noise words a batch
-            vf, vn, vw = net.vectors[f], net.vectors[n], net.vectors[w]
+            vf, vn, vw = (net.vectors.take(x, axis=0) for x in (f, n, w))
             guess = vf @ net.far + vn @ net.near
             true = (guess * vw).sum(axis=1) + net.bias[w] - self.log_noise[w]
             false = guess @ net.vectors[drawn].T + (net.bias - self.log_noise)[drawn]
@@ -163,11 +171,11 @@ class Training:
 
 
 def sum_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, and the sum of the rows of each."""
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
+    """Distinct keys (below 2^31), ascending, and the sum of the rows of each, in their order."""
+    ranked = np.sort(keys << 32 | np.arange(len(keys)))  # faster than a stable argsort
+    order, ranked = ranked & 0xFFFFFFFF, ranked >> 32
     first = np.flatnonzero(np.diff(ranked, prepend=-1))
-    return ranked[first], np.add.reduceat(rows[order], first, axis=0)
+    return ranked[first], np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
 def contexts(sequences: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,7 +200,7 @@ class Coder(dict):
     start = 0
 
     def __missing__(self, word: bytes) -> int:
-        return self.start + spelling(word)
+        return self.start + _kind(word[-3:])
 
 
 def coded(batches: Iterator[pa.RecordBatch], codes: dict[bytes, int], start: int) -> Iterator[list[np.ndarray]]:
@@ -230,7 +238,7 @@ def learn_subclasses(docs: DataFrame, codes: dict[bytes, int], own: int, units:
             code = np.concatenate([[end], *chunk])  # texts end in an end, so one stands before each
             at = np.flatnonzero(code[1:] >= own) + 1
             if len(at):
-                sides = marks[seen_as[code[at - 1]]], marks[seen_as[code[at + 1]]], np.ones((len(at), 1), dtype=np.float32)
+                sides = *(marks.take(seen_as[code[at + d]], axis=0) for d in (-1, 1)), np.ones((len(at), 1), dtype=np.float32)
                 places, sums = sum_by(code[at] - own, np.concatenate(sides, axis=1))
                 total[places] += sums
         met = np.flatnonzero(total[:, -1])
@@ -293,7 +301,7 @@ def count_contexts(docs: DataFrame, codes: dict[bytes, int], classes: int, endin
 
 def train_on(counted: DataFrame, shares: np.ndarray, endings: np.ndarray, unseen: np.ndarray, rounds: int = ROUNDS, rate: float = 0.1, seed: int = 11, shard: int = SHARD) -> LogBilinear:
     """A network for all of `counted` (see count_contexts): in each round every shard goes on from the same network over its counts; the mean
-    of what they come to, weighted by occurrences, starts the next. Shards are dealt by hash and sorted, so they are the same in every run."""
+    of what they come to, weighted by occurrences, starts the next. Shards are dealt by hash and sorted, once for all rounds, so they are the same in every run."""
     net = LogBilinear.start(shares, seed)
     names, k_classes = ("vectors", "near", "far", "bias"), len(shares)
     shapes = [getattr(net, x).shape for x in names]
@@ -304,12 +312,14 @@ def train_on(counted: DataFrame, shares: np.ndarray, endings: np.ndarray, unseen
     context = counted.sparkSession.sparkContext
     shards = max(1, -(-counted.count() // shard))
     dealt = counted.withColumn("shard", F.pmod(F.xxhash64("context"), F.lit(shards)).cast("int"))
+    ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "context").select("shard", "context", "n")
+    packed = stage(ordered.mapInArrow(pack_shards, "shard int, contexts binary, counts binary"))
     for k in range(rounds):
         start = context.broadcast(state.astype(np.float32))
 
         def work(batches: Iterator[pa.RecordBatch], k: int = k, start=start) -> Iterator[pa.RecordBatch]:
             total, seen = np.zeros(state.shape), 0
-            for number, key, n in by_shard(batches):
+            for number, key, n in unpacked(batches):
                 course = Training(LogBilinear(*back(start.value[0])), shares, rate, back(start.value[1]))
                 rng = np.random.default_rng((seed + k + 1, number))
                 far, near, word = key // k_classes**2, key // k_classes % k_classes, key % k_classes
@@ -321,8 +331,7 @@ def train_on(counted: DataFrame, shares: np.ndarray, endings: np.ndarray, unseen
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(state.shape[1], dtype=np.int32)), *map(pa.array, total), pa.array(np.full(state.shape[1], seen))], ["place", "a", "b", "n"])
 
-        ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "context").select("shard", "context", "n")
-        found = ordered.mapInArrow(work, "place int, a double, b double, n long").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("n").alias("n")).toArrow()
+        found = packed.mapInArrow(work, "place int, a double, b double, n long").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("n").alias("n")).toArrow()
         if found.num_rows:
             n = found["n"].to_numpy()
             state[:, found["place"].to_numpy()] = found["a"].to_numpy() / n, found["b"].to_numpy() / n
@@ -348,6 +357,20 @@ def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarra
         yield int(whole[0, 0]), whole[1], whole[2]
 
 
+def pack_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shard of rows that are sorted by shard; its contexts and counts are 64-bit numbers as bytes."""
+    for number, key, n in by_shard(batches):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int32()), pa.array([key.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["shard", "contexts", "counts"])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, contexts and counts of each shard that pack_shards has packed."""
+    for batch in batches:
+        for number, *packed in zip(*(batch.column(c) for c in range(3))):
+            yield number.as_py(), *(np.frombuffer(x.as_buffer(), dtype=np.int64) for x in packed)
+
+
 # --- words never met: a model of letters ------------------------------------------------------------
 
 SYMBOLS = 64
@@ -499,43 +522,54 @@ def score_texts(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, classes, base, share, net, endings, table = shared.value
         ids = _Ids(ids)
+
+        def scored(words: list[bytes], sizes: list[int], docs: pa.Array, digests: pa.Array) -> Iterator[pa.RecordBatch]:
+            """All texts at once: `words` holds their tokens one behind the other, `sizes` how many each has."""
+            rows, total = len(sizes), len(words)
+            owner, starts = np.repeat(np.arange(rows), sizes), np.cumsum([0, *sizes[:-1]])
+            add_up = lambda values, at=slice(None): np.bincount(owner[at], values, rows)
+            at = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=total)
+            met = at >= 0
+            known, unknown = at[met], np.flatnonzero(~met)
+            # Each other word has a number, in order of its first place; a pair is such a word in a text.
+            number: defaultdict[bytes, int] = defaultdict(numbers().__next__)
+            word = np.fromiter((number[words[i]] for i in unknown.tolist()), dtype=np.int64, count=len(unknown))
+            others = list(number)
+            kinds = endings[np.fromiter(map(spelling, others), np.int64, len(others))]
+            model = add_up(share[known], met)
+            of_class = never = np.zeros(len(unknown))
+            if net is not None:
+                c = np.empty(total, dtype=np.int64)
+                c[met], c[unknown] = classes[known], kinds[word]
+                far, near = np.concatenate([[end, end], c[:-2]])[:total], np.concatenate([[end], c[:-1]])
+                near[starts] = far[starts] = end
+                far[starts[starts + 1 < total] + 1] = end
+                log_p = net.log_probability(far, near, c).astype(np.float64) / math.log(10)
+                model += add_up(log_p[met], met)
+                of_class, never = log_p[unknown], net.unmet.take(far[unknown] * len(net.bias) + near[unknown]).astype(np.float64) / math.log(10)
+            names = [b" %d" % (d & (2**64 - 1)) for d in digests.to_pylist()]
+            yield batch_of(docs, digests, names, np.ones(rows), sizes, np.bincount(owner[met], minlength=rows), add_up(base[known], met), model, np.zeros(rows))
+            if len(unknown):
+                pairs, place, n = np.unique(owner[unknown] * len(others) + word, return_inverse=True, return_counts=True)
+                text, word = pairs // len(others), pairs % len(others)
+                none = np.zeros(len(pairs))
+                yield batch_of(
+                    docs.take(pa.array(text)), digests.take(pa.array(text)), pa.array(others, pa.binary()).take(pa.array(word)), none, n, none,
+                    np.bincount(place, never) + n * spelled(others, table)[word], np.bincount(place, of_class), kinds[word] - own)
+
+        def batch_of(*columns) -> pa.RecordBatch:
+            made = (v.astype(t.to_pandas_dtype()) if isinstance(v, np.ndarray) else v for v, t in zip(columns, types))
+            return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, types)], names=labels)
+
         for batch in batches:
-            out: list[list] = [[] for _ in range(9)]
-            for doc, digest, text in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2)):
-                words = tokens(text.as_py())
-                at = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=len(words))
-                met = at >= 0
-                model = share[at[met]].sum()
-                unknown = np.flatnonzero(~met)
-                kinds = endings[np.fromiter((spelling(words[i]) for i in unknown), np.int64, len(unknown))]
-                if net is not None:
-                    c = np.empty(len(words), dtype=np.int64)
-                    c[met], c[unknown] = classes[at[met]], kinds
-                    far, near = np.concatenate([[end, end], c[:-2]])[:len(c)], np.concatenate([[end], c[:-1]])
-                    of_class = net.log_probability(far, near, c).astype(np.float64) / math.log(10)
-                    model += of_class[met].sum()
-                doc = doc.as_py()
-                row = (doc, digest, b" %d" % (digest & (2**64 - 1)), 1, len(words), int(met.sum()), float(base[at[met]].sum()), float(model), 0)
-                for column, value in zip(out, row):
-                    column.append(value)
-                others: dict[bytes, list] = {}  # for each other word its number, what it adds if it has been met and if not, and its subclass
-                if len(unknown):
-                    never = net.unmet[far[unknown], near[unknown]].astype(np.float64) / math.log(10) if net is not None else np.zeros(len(unknown))
-                    for i, a, b, kind in zip(unknown, (of_class[unknown] if net is not None else never).tolist(), never.tolist(), (kinds - own).tolist()):
-                        entry = others.setdefault(words[i], [0, 0.0, 0.0, kind])
-                        entry[0] += 1
-                        entry[1] += a
-                        entry[2] += b
-                    for entry, spelt in zip(others.values(), spelled(list(others), table).tolist()):
-                        entry[2] += entry[0] * spelt
-                k = len(others)
-                numbers, met_sums, unmet_sums, of = zip(*others.values()) if k else ((),) * 4
-                for column, values in zip(out, ([doc] * k, [digest] * k, others.keys(), [0] * k, numbers, [0] * k, unmet_sums, met_sums, of)):
-                    column.extend(values)
-                if len(out[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=labels)
-                    out = [[] for _ in range(9)]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=labels)
+            words, sizes, first = [], [], 0
+            for k, text in enumerate(batch.column(2)):
+                found = tokens(text.as_py())
+                words += found
+                sizes.append(len(found))
+                if len(words) > CHUNK or k + 1 == batch.num_rows:
+                    yield from scored(words, sizes, *(batch.column(c).slice(first, k + 1 - first) for c in (0, 1)))
+                    words, sizes, first = [], [], k + 1
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     labels = ["doc_id", "text_hash", "token", "copies", "n", "known", "base", "model", "subclass"]
@@ -550,7 +584,7 @@ def score_texts(docs: DataFrame, scorer: Scorer, counts: DataFrame) -> DataFrame
     # Of another word, `base` holds the model's sum if it was never met and `model` its class's sum.
     share_of = F.when(c > 0, F.col("model") + F.col("n") * F.log10(c / room)).otherwise(F.col("base"))
     word = F.col("copies") == 0
-    joined = found.join(counts.withColumnRenamed("n", "c"), "token", "left").select(
+    joined = found.join(counts.withColumnRenamed("n", "c").hint("shuffle_hash"), "token", "left").select(
         "doc_id", "text_hash", "copies", "n",
         F.when(word & (c > 0), F.col("n")).otherwise(F.col("known")).alias("known"),
         F.when(word, F.col("n") * base_of).otherwise(F.col("base")).alias("base"),
