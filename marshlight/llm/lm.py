@@ -203,39 +203,56 @@ class Coder(dict):
         return self.start + _kind(word[-3:])
 
 
-def coded(batches: Iterator[pa.RecordBatch], codes: dict[bytes, int], start: int) -> Iterator[list[np.ndarray]]:
-    """The texts as codes, in lists of about CHUNK tokens."""
-    coder = Coder(codes)
-    coder.start = start
-    held, size = [], 0
+def coded_texts(docs: DataFrame, codes: dict[bytes, int], start: int) -> DataFrame:
+    """All texts as codes, one behind the other, in rows (codes: 32-bit numbers as bytes) of whole texts and about CHUNK tokens.
+
+    Words that are not in `codes` have `start` plus the kind of their ending. Each text ends in an end, and no other place has its code.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(codes)  # bounded by KNOWN_WORDS
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(shared.value)
+        coder.start = start
+        held, size = [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                words = tokens(text.as_py())
+                held.append(np.fromiter(map(coder.__getitem__, words), dtype=np.int32, count=len(words)))
+                size += len(words)
+                if size >= CHUNK:
+                    yield emit(held)
+                    held, size = [], 0
+        if held:
+            yield emit(held)
+
+    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([np.concatenate(held).tobytes()], pa.binary())], ["codes"])
+
+    return docs.select("text").mapInArrow(code, "codes binary")
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
-        for text in batch.column(0):
-            words = tokens(text.as_py())
-            held.append(np.fromiter(map(coder.__getitem__, words), dtype=np.int64, count=len(words)))
-            size += len(words)
-            if size >= CHUNK:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+        for codes in batch.column(0):
+            yield np.frombuffer(codes.as_buffer(), dtype=np.int32)
 
 
-def learn_subclasses(docs: DataFrame, codes: dict[bytes, int], own: int, units: int, classes: int) -> np.ndarray:
-    """The subclass (0 to classes - 1) of each of `units` words and of each kind of ending, from the words on both sides of all their occurrences.
+def learn_subclasses(texts: DataFrame, others: list[bytes], own: int, classes: int) -> np.ndarray:
+    """The subclass (0 to classes - 1) of each of the words `others` and of each kind of ending, from the words on both sides of all their occurrences.
 
-    codes: own classes below `own`, the others above in the order of the units. A neighbour is known by its own class or its ending.
+    texts: see coded_texts; own classes, the end last, are below `own`, then come the others in order. A neighbour is known by its own class or its ending.
     """
+    units, end = len(others), own - 1
     marks = np.random.default_rng(5).choice(np.array([-1, 1], dtype=np.float32), (own + SPELLINGS, MARKS))
-    seen_as = np.concatenate([np.arange(own), np.fromiter((own + spelling(w) for w in list(codes)[own:]), np.int64, units), np.arange(own, own + SPELLINGS)])
-    shared = docs.sparkSession.sparkContext.broadcast((codes, marks, seen_as))  # bounded by KNOWN_WORDS
+    seen_as = np.concatenate([np.arange(own), np.fromiter((own + spelling(w) for w in others), np.int64, units), np.arange(own, own + SPELLINGS)])
+    shared = texts.sparkSession.sparkContext.broadcast((marks, seen_as))  # bounded by KNOWN_WORDS
     names = [f"m{i}" for i in range(2 * MARKS)]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, marks, seen_as = shared.value
+        marks, seen_as = shared.value
         total = np.zeros((units + SPELLINGS, 2 * MARKS + 1), dtype=np.float32)
-        end = codes[END]
-        for chunk in coded(batches, codes, own + units):
-            code = np.concatenate([[end], *chunk])  # texts end in an end, so one stands before each
+        for chunk in chunks(batches):
+            code = np.concatenate([[end], chunk])  # texts end in an end, so one stands before each
             at = np.flatnonzero(code[1:] >= own) + 1
             if len(at):
                 sides = *(marks.take(seen_as[code[at + d]], axis=0) for d in (-1, 1)), np.ones((len(at), 1), dtype=np.float32)
@@ -245,7 +262,7 @@ def learn_subclasses(docs: DataFrame, codes: dict[bytes, int], own: int, units:
         yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), *[pa.array(total[met, i]) for i in range(2 * MARKS + 1)]], ["unit", *names, "n"])
 
     schema = "unit int, " + ", ".join(f"{c} float" for c in [*names, "n"])
-    found = docs.select("text").mapInArrow(describe, schema).groupBy("unit").agg(*[F.sum(c).cast("float").alias(c) for c in [*names, "n"]]).toArrow()
+    found = texts.mapInArrow(describe, schema).groupBy("unit").agg(*[F.sum(c).cast("float").alias(c) for c in [*names, "n"]]).toArrow()
     if not found.num_rows:
         return np.zeros(units + SPELLINGS, dtype=np.int64)
     x = np.zeros((units + SPELLINGS, 2 * MARKS + 1), dtype=np.float32)
@@ -273,30 +290,33 @@ def group_marks(sums: np.ndarray, n: np.ndarray, groups: int, rounds: int = 10)
     return group
 
 
-def count_contexts(docs: DataFrame, codes: dict[bytes, int], classes: int, endings: np.ndarray, end: int) -> DataFrame:
-    """(context, n): how often class w follows the classes f and n, context = (f * classes + n) * classes + w, over all texts with their ends."""
-    fixed = docs.sparkSession.sparkContext.broadcast((codes, endings))
+def count_contexts(texts: DataFrame, class_of: np.ndarray, classes: int, end: int) -> DataFrame:
+    """(context, n): how often class w follows the classes f and n, context = (f * classes + n) * classes + w, over all texts with their ends.
+
+    texts: see coded_texts; class_of: the class of each code, `end` for that of the end alone.
+    """
+    fixed = texts.sparkSession.sparkContext.broadcast(class_of)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, endings = fixed.value
-        table = np.concatenate([np.arange(classes), endings])
         held, size = [], 0
 
         def emit() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["context", "n"])
 
-        for chunk in coded(batches, codes, classes):
-            far, near, word = contexts([table[x] for x in chunk], end)
-            held.append((far * classes + near) * classes + word)
-            size += len(word)
+        for chunk in chunks(batches):
+            word = np.concatenate([[end, end], fixed.value[chunk]])  # an end stands before each text, and one more before its first word
+            far, near = word[:-2].copy(), word[1:-1]
+            far[near == end] = end
+            held.append((far * classes + near) * classes + word[2:])
+            size += len(chunk)
             if size >= HELD:
                 yield emit()
                 held, size = [], 0
         if held:
             yield emit()
 
-    return docs.select("text").mapInArrow(count, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
 
 
 def train_on(counted: DataFrame, shares: np.ndarray, endings: np.ndarray, unseen: np.ndarray, rounds: int = ROUNDS, rate: float = 0.1, seed: int = 11, shard: int = SHARD) -> LogBilinear:
@@ -473,7 +493,8 @@ def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int | None = None, k
     if not total:
         return Scorer(None, known, index, 0, 0, (0,) * subclasses, (0,) * subclasses, letter_table(counts))
     seen = docs if sample_docs is None else stage(hash_sample(docs.select("doc_id", "text"), "doc_id", sample_docs))
-    kinds = len(own) + learn_subclasses(seen, index | {w: len(own) + i for i, w in enumerate(others)}, len(own), len(others), subclasses)
+    texts = stage(coded_texts(seen, index | {w: len(own) + i for i, w in enumerate(others)}, len(own) + len(others)))
+    kinds = len(own) + learn_subclasses(texts, others, len(own), subclasses)
     index |= {w: int(k) for w, k in zip(others, kinds)}
     endings = kinds[len(others):]
     shared = docs.sparkSession.sparkContext.broadcast((index, endings))
@@ -493,7 +514,7 @@ def fit_scorer(docs: DataFrame, counts: DataFrame, classes: int | None = None, k
     shares = (sums[:, 0] + 1) / (sums[:, 0] + 1).sum()
     rare = sums[len(own):]
     unseen = np.maximum(rare[:, 1], 1)
-    counted = stage(count_contexts(seen, index, len(own) + subclasses, endings, len(own) - 1))
+    counted = stage(count_contexts(texts, np.concatenate([np.arange(len(own)), kinds]), len(own) + subclasses, len(own) - 1))
     net = train_on(counted, shares, endings, unseen / (rare[:, 0] + unseen))
     return Scorer(net, known, index, int(total), int(distinct), *(tuple(x) for x in rare.T.tolist()), letter_table(counts))
 

@@ -212,6 +212,35 @@ def test_network_probabilities_sum_to_one():
     assert np.allclose(p, 1, atol=1e-3)
 
 
+def test_shards_are_dealt_once_for_all_rounds(spark, monkeypatch):
+    """Contexts counted from coded texts are those of plain loops; however many rounds, their shards are shuffled once."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["a", "b", "cc", "rare1", "rare2", "xyz"], rng.integers(0, 9))) for _ in range(200)] + [None, ""]
+    codes = {b"a": 0, b"b": 1, lm.END: 2, b"cc": 3}  # own classes a, b and the end; cc and kinds of endings are of classes 3 and 4
+    class_of = np.concatenate([[0, 1, 2, 3], 3 + np.arange(lm.SPELLINGS) % 2])
+    kind = lambda w: int(class_of[codes.get(w, 4 + lm.spelling(w))])
+    expected = Counter()
+    for text in texts:
+        seen = [2, 2, *map(kind, lm.tokens(text))]
+        expected.update((f * 5 + n) * 5 + w for f, n, w in zip(seen, seen[1:], seen[2:]))
+    docs = documents(spark, [(i, x, "", "") for i, x in enumerate(texts)])
+    counted = lm.count_contexts(lm.coded_texts(docs, codes, 4), class_of, 5, 2).cache()
+    assert {r["context"]: r["n"] for r in counted.collect()} == expected
+    dealt, plain = [], type(counted).repartition
+    monkeypatch.setattr(type(counted), "repartition", lambda self, *a: dealt.append(a) or plain(self, *a))
+    net = lm.train_on(counted, np.full(5, 0.2), np.arange(lm.SPELLINGS) % 2, np.full(2, 0.1), rounds=3, shard=20)
+    assert len(dealt) == 1 and np.isfinite(net.normaliser).all()
+
+
+def test_sums_by_key_are_those_of_loops():
+    rng = np.random.default_rng(7)
+    for keys in (np.array([5]), rng.integers(0, 2**31 - 1, 50).repeat(3), rng.integers(0, 9, 400)):
+        rows = rng.random((len(keys), 3)).astype(np.float32)
+        places, sums = lm.sum_by(keys, rows)
+        assert places.tolist() == sorted(set(keys.tolist()))
+        assert np.allclose(sums, [rows[keys == k].sum(axis=0) for k in places])
+
+
 def test_network_learns_order():
     chain = [np.array([0, 1, 2, 3] * 300) for _ in range(4)]
     net = lm.train(chain, np.full(5, 0.2), 4, epochs=30)
